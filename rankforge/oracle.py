@@ -16,10 +16,18 @@ def trimws(s: str) -> str:
 
 
 # ---------------------------------------------------------------- encounters
-SILVER_ENCOUNTERS_CTE = f"""
-p AS (SELECT *, (props->>'$.k')::INT AS k FROM events),
+ENC_TIE = ('"rDPS" DESC, "aDPS" DESC, duration DESC, "lodestoneID" DESC, encounter_name DESC, '
+           'guild_id DESC, guild_name DESC, server_id DESC, server_name DESC')
+
+
+def encounter_ctes(source: str = "events", carry: str = "", version: str = "") -> str:
+    """CTEs ``silver_c``, ``silver``, ``gold`` over an events-shaped relation ``source``.
+    ``carry`` lists extra columns kept (with a trailing comma); ``version`` is the leading
+    ORDER BY term of the newest-per-key choice (e.g. ``ldts DESC,``)."""
+    return f"""
+p AS (SELECT *, (props->>'$.k')::INT AS k FROM {source}),
 silver_c AS (
-  SELECT (user_id % 5 + 101)::INT AS encounter_id,
+  SELECT {carry} (user_id % 5 + 101)::INT AS encounter_id,
     {trimws(initcap("' the  fight ' || (user_id % 5 + 101)"))} AS encounter_name,
     {trimws(initcap("' player' || chr(10) || ' ' || user_id"))} AS player_name,
     upper(event_type[1]) || lower(event_type[2:]) || ' Mage' AS class,
@@ -34,50 +42,234 @@ silver_c AS (
     'Srv ' || (user_id % 8) AS server_name
   FROM p
   WHERE round((value - 5)::FLOAT, 2) > 0
-    AND round(((value - 2) * 0.95::DOUBLE)::FLOAT, 2) > 0
-    AND (k * 90000 + 500) // 1000 > 0),
+    AND round(((value - 2) * 0.95::DOUBLE)::FLOAT, 2) > 0 AND (k * 90000 + 500) // 1000 > 0),
 silver AS (
   SELECT * FROM silver_c
   QUALIFY row_number() OVER (PARTITION BY encounter_id, player_name, class, ranked_date
-    ORDER BY "rDPS" DESC, "aDPS" DESC, duration DESC, "lodestoneID" DESC,
-             guild_id DESC, guild_name DESC, server_id DESC, server_name DESC, encounter_name DESC) = 1),
+                             ORDER BY {version} {ENC_TIE}) = 1),
 gold AS (
   SELECT encounter_name, player_name, class, "rDPS", "aDPS",
     strftime(ranked_date, '%Y-%m-%d') AS ranked_date, duration, "lodestoneID", guild_name, server_name
   FROM silver
   WHERE encounter_name IS NOT NULL AND player_name IS NOT NULL AND ranked_date IS NOT NULL)"""
 
-SILVER_ENCOUNTERS = f"WITH {SILVER_ENCOUNTERS_CTE} SELECT * FROM silver_c"
-GOLD_ENCOUNTERS = f"WITH {SILVER_ENCOUNTERS_CTE} SELECT * FROM gold"
-PRESENTATION = f"""WITH {SILVER_ENCOUNTERS_CTE}
+
+ENC = encounter_ctes()
+SILVER_ENCOUNTERS = f"WITH {ENC} SELECT * FROM silver_c"
+GOLD_ENCOUNTERS = f"WITH {ENC} SELECT * FROM gold"
+PRESENTATION = f"""WITH {ENC}
 SELECT encounter_name, player_name, class, "rDPS", "aDPS", ranked_date,
   lpad(floor(duration / 60)::BIGINT::VARCHAR, 2, '0') || ':' || lpad((duration % 60)::VARCHAR, 2, '0') AS duration_fmt,
   guild_name, server_name
 FROM gold"""
 
+# The same encounters landed as files with the pull stamp 2026-01-01 00:00:00 as load time.
+SCAN_JSON_MULTILINE = f"""WITH src AS (SELECT *, TIMESTAMP '2026-01-01 00:00:00' AS ldts FROM events),
+{encounter_ctes('src', 'ldts,')} SELECT * FROM silver_c"""
+
+# ---------------------------------------------------------------- versioned loads
+# Three pulls of the whole events table; pull day d shifts value by 3 - d. Written in the
+# order day 3, day 1, day 2, so the newest arrives first.
+LOADS = """loads AS (
+  SELECT TIMESTAMP '2026-01-03 00:00:00' AS ldts, event_id, ts, user_id, event_type, value + 0 AS value, props FROM events
+  UNION ALL
+  SELECT TIMESTAMP '2026-01-01 00:00:00', event_id, ts, user_id, event_type, value + 2, props FROM events
+  UNION ALL
+  SELECT TIMESTAMP '2026-01-02 00:00:00', event_id, ts, user_id, event_type, value + 1, props FROM events)"""
+
+LOAD_CTES = f"WITH {LOADS}, {encounter_ctes('loads', 'ldts,', 'ldts DESC,')}"
+STREAM_BRONZE = f"""WITH {LOADS}
+SELECT ldts, count(DISTINCT (user_id % 5, event_id // 100)) AS documents, count(*) AS records
+FROM loads GROUP BY ldts"""
+STREAM_SILVER = f"{LOAD_CTES} SELECT * FROM silver_c"
+STREAM_LATEST_ENCOUNTERS = f"{LOAD_CTES} SELECT * FROM silver"
+STREAM_GOLD_ENCOUNTERS = f"{LOAD_CTES} SELECT * FROM gold"
+
 # ---------------------------------------------------------------- guilds
-SILVER_GUILDS_CTE = """
-g AS (SELECT c_custkey::INT AS guild_id,
+GLD_TIE = ('guild_name DESC, guild_description DESC, server_id DESC, region_id DESC, '
+           'world_prog_rank DESC, region_prog_rank DESC, world_speed_rank DESC, region_speed_rank DESC')
+
+
+def guild_ctes(source: str = "customer", carry: str = "", version: str = "", tag: str = "''") -> str:
+    return f"""
+g AS (SELECT {carry} c_custkey::INT AS guild_id,
   CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 'Guild Of ' || upper(c_name[1]) || lower(c_name[2:]) END AS guild_name,
-  CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment || ' guild' END AS guild_description,
+  CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE {trimws("c_mktsegment || ' guild ' || " + tag)} END AS guild_description,
   CASE WHEN c_custkey % 13 <> 0 THEN c_nationkey END AS server_id,
   CASE WHEN c_custkey % 13 <> 0 THEN c_nationkey % 5 END AS region_id,
   CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 2 <> 0 THEN (c_custkey % 150)::INT END AS world_prog_rank,
   CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 3 = 0 THEN (c_custkey % 150 + 1)::INT END AS region_prog_rank,
   CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 3 <> 0 THEN (c_custkey % 200)::INT END AS world_speed_rank,
   CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 4 = 0 THEN (c_custkey % 200 + 1)::INT END AS region_speed_rank
-  FROM customer),
+  FROM {source}),
 guild_c AS (
   SELECT * FROM g WHERE guild_id IS NOT NULL AND server_id IS NOT NULL AND region_id IS NOT NULL
     AND coalesce(world_prog_rank, region_prog_rank, world_speed_rank, region_speed_rank) IS NOT NULL),
 guild_silver AS (
   SELECT * FROM guild_c
-  QUALIFY row_number() OVER (PARTITION BY guild_id ORDER BY guild_name DESC, guild_description DESC,
-    server_id DESC, region_id DESC, world_prog_rank DESC, region_prog_rank DESC,
-    world_speed_rank DESC, region_speed_rank DESC) = 1),
+  QUALIFY row_number() OVER (PARTITION BY guild_id ORDER BY {version} {GLD_TIE}) = 1),
 guild_gold AS (
-  SELECT * FROM guild_silver
+  SELECT guild_id, guild_name, guild_description, server_id, region_id,
+         world_prog_rank, region_prog_rank, world_speed_rank, region_speed_rank
+  FROM guild_silver
   WHERE guild_name IS NOT NULL AND server_id IS NOT NULL AND region_id IS NOT NULL)"""
 
-SILVER_GUILDS = f"WITH {SILVER_GUILDS_CTE} SELECT * FROM guild_c"
-GOLD_GUILDS = f"WITH {SILVER_GUILDS_CTE} SELECT * FROM guild_gold"
+
+GLD = guild_ctes()
+SILVER_GUILDS = f"WITH {GLD} SELECT * FROM guild_c"
+GOLD_GUILDS = f"WITH {GLD} SELECT * FROM guild_gold"
+SCHEMA_SETUP = GOLD_GUILDS
+
+GUILD_LOADS = """gloads AS (
+  SELECT TIMESTAMP '2026-01-03 00:00:00' AS ldts, '3' AS tag, * FROM customer
+  UNION ALL SELECT TIMESTAMP '2026-01-01 00:00:00', '1', * FROM customer
+  UNION ALL SELECT TIMESTAMP '2026-01-02 00:00:00', '2', * FROM customer)"""
+STREAM_LATEST_GUILDS = (f"WITH {GUILD_LOADS}, {guild_ctes('gloads', 'ldts,', 'ldts DESC,', 'tag')} "
+                        "SELECT * FROM guild_silver")
+
+# draft guild chain: rank rule only, then newest per guild, then the gold projection
+DRAFT_G = f"""WITH g0 AS (SELECT * FROM customer), {guild_ctes('g0')},
+draft_c AS (SELECT * FROM g WHERE coalesce(world_prog_rank, region_prog_rank, world_speed_rank, region_speed_rank) IS NOT NULL)"""
+STAGE_COUNTS = f"""{DRAFT_G}
+SELECT 0 AS step, 'raw' AS stage, count(DISTINCT c_custkey // 100) AS rows FROM customer
+UNION ALL SELECT 1, 'bronze', count(DISTINCT c_custkey // 100) FROM customer
+UNION ALL SELECT 2, 'silver', count(DISTINCT guild_id) FROM draft_c
+UNION ALL SELECT 3, 'gold', count(DISTINCT guild_id) FROM draft_c"""
+
+# ---------------------------------------------------------------- quality report
+ENC_RULE_SQL = f"""WITH p AS (SELECT *, (props->>'$.k')::INT AS k FROM events),
+c AS (SELECT (user_id % 5 + 101)::INT AS encounter_id,
+   {trimws(initcap("' player' || chr(10) || ' ' || user_id"))} AS player_name,
+   round((value - 5)::FLOAT, 2)::FLOAT AS r, round(((value - 2) * 0.95::DOUBLE)::FLOAT, 2)::FLOAT AS a,
+   ((k * 90000 + 500) // 1000)::INT AS d FROM p),
+f AS (SELECT count(*) AS n,
+   count(*) FILTER (WHERE encounter_id IS NULL) AS f0,
+   count(*) FILTER (WHERE player_name IS NULL) AS f1,
+   count(*) FILTER (WHERE NOT coalesce(r > 0, false)) AS f2,
+   count(*) FILTER (WHERE NOT coalesce(a > 0, false)) AS f3,
+   count(*) FILTER (WHERE NOT coalesce(d > 0, false)) AS f4,
+   count(*) FILTER (WHERE encounter_id IS NULL OR player_name IS NULL OR NOT coalesce(r > 0, false)
+                    OR NOT coalesce(a > 0, false) OR NOT coalesce(d > 0, false)) AS f5 FROM c)
+SELECT rule, n AS rows_tested, failed AS rows_failed, n - failed AS rows_passed FROM (
+  SELECT 'valid_encounter_id' AS rule, n, f0 AS failed FROM f UNION ALL
+  SELECT 'valid_player_name', n, f1 FROM f UNION ALL
+  SELECT 'positive_rdps', n, f2 FROM f UNION ALL
+  SELECT 'positive_adps', n, f3 FROM f UNION ALL
+  SELECT 'valid_duration', n, f4 FROM f UNION ALL
+  SELECT 'ALL', n, f5 FROM f)"""
+
+GUILD_RULE_SQL = f"""WITH {GLD},
+f AS (SELECT count(*) AS n,
+  count(*) FILTER (WHERE guild_id IS NULL) AS f0,
+  count(*) FILTER (WHERE server_id IS NULL) AS f1,
+  count(*) FILTER (WHERE region_id IS NULL) AS f2,
+  count(*) FILTER (WHERE coalesce(world_prog_rank, region_prog_rank, world_speed_rank, region_speed_rank) IS NULL) AS f3,
+  count(*) FILTER (WHERE guild_id IS NULL OR server_id IS NULL OR region_id IS NULL OR
+    coalesce(world_prog_rank, region_prog_rank, world_speed_rank, region_speed_rank) IS NULL) AS f4 FROM g)
+SELECT rule, n AS rows_tested, failed AS rows_failed, n - failed AS rows_passed FROM (
+  SELECT 'valid_guild_id' AS rule, n, f0 AS failed FROM f UNION ALL
+  SELECT 'valid_server_id', n, f1 FROM f UNION ALL
+  SELECT 'valid_region_id', n, f2 FROM f UNION ALL
+  SELECT 'has_any_ranking', n, f3 FROM f UNION ALL
+  SELECT 'ALL', n, f4 FROM f)"""
+
+# ---------------------------------------------------------------- page merge / slice / preview
+MERGE_PAGES = """SELECT (user_id % 5 + 101)::INT AS eid,
+  (row_number() OVER (PARTITION BY user_id % 5 ORDER BY event_id // 100, event_id) - 1)::INT AS pos,
+  event_id FROM events"""
+
+PAGE_SLICE = """SELECT c_custkey, c_name, c_acctbal, ((rn - 1) // 100 + 1)::INT AS page FROM (
+  SELECT *, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS rn FROM customer)
+WHERE rn > 100 AND rn <= 600"""
+
+RAW_PREVIEW = """SELECT c_custkey // 100 AS doc, 1500 AS total, true AS has_more_pages,
+  (row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1)::INT AS pos,
+  c_custkey::INT AS guild_id,
+  CASE WHEN c_custkey % 11 = 0 THEN ' ' || chr(10) || ' ' ELSE ' guild' || chr(10) || ' of  ' || c_name END AS guild_name
+FROM customer QUALIFY pos < 3"""
+
+SURROGATE_KEY = """SELECT c_custkey, sha256(concat_ws('|', coalesce(c_custkey::VARCHAR, '\\N'),
+  coalesce(c_nationkey::VARCHAR, '\\N'), coalesce(c_mktsegment, '\\N'))) AS surrogate_key FROM customer"""
+
+LATEST_PER_KEY = """SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type
+  ORDER BY ts DESC, event_id DESC, value DESC, props DESC) = 1"""
+
+# ---------------------------------------------------------------- scalar functions
+TITLE_CASE = f"""SELECT event_id,
+  {initcap("regexp_replace(upper(event_type[1]) || lower(event_type[2:]) || 'Mage', '([a-z])([A-Z])', '\\1 \\2', 'g')")} AS pascal,
+  {initcap("regexp_replace(event_type || '__dark_knight', '_+', ' ', 'g')")} AS snake,
+  {initcap("regexp_replace(event_type || '--white-mage', '-+', ' ', 'g')")} AS kebab
+FROM events"""
+
+TIME_FUNCTIONS = """SELECT event_id,
+  date_trunc('second', ts) AS from_s, date_trunc('second', ts) AS from_ms, date_trunc('second', ts) AS from_us,
+  (epoch_ms(date_trunc('second', ts)))::DOUBLE AS start_time,
+  (event_id * 1000)::DOUBLE AS end_time,
+  strftime(ts, '%Y-%m-%d') AS day,
+  lpad(floor(((props->>'$.k')::INT * 61) / 60)::BIGINT::VARCHAR, 2, '0') || ':' ||
+    lpad((((props->>'$.k')::INT * 61) % 60)::VARCHAR, 2, '0') AS mmss
+FROM events"""
+
+# ---------------------------------------------------------------- analytics
+FEATURE_SELECT = f"""WITH {ENC} SELECT class, "rDPS", "aDPS", duration FROM gold WHERE encounter_name = 'The Fight 103'"""
+
+BOOTSTRAP_SAMPLE = """WITH r AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS rid, * FROM events),
+  i AS (SELECT i AS draw, ('0x' || substr(md5('42:' || i), 1, 8))::BIGINT % (SELECT count(*) FROM events) AS rid
+        FROM range(100) t(i))
+SELECT draw, event_id, ts, user_id, event_type, value, props FROM i JOIN r USING (rid)"""
+
+LEAST_SQUARES = f"""WITH {ENC} SELECT encounter_name, class,
+  round(regr_slope("aDPS"::DOUBLE, "rDPS"::DOUBLE), 6) AS m,
+  round(regr_intercept("aDPS"::DOUBLE, "rDPS"::DOUBLE), 6) AS b, count(*) AS n
+FROM gold GROUP BY ALL"""
+
+R_SQUARED = """WITH st AS (SELECT event_type, round_even(regr_slope(value, user_id), 2) AS m,
+                   round_even(regr_intercept(value, user_id), 2) AS b, avg(value) AS yb FROM events GROUP BY 1),
+     q AS (SELECT event_type, m, b, round(sum(pow(value - yb, 2)), 3) AS sse_base,
+                  round(sum(pow(value - (m * user_id + b), 2)), 3) AS sse_reg,
+                  round_even(1 - sum(pow(value - (m * user_id + b), 2)) / sum(pow(value - yb, 2)), 2)::DOUBLE + 0.0 AS r2
+           FROM events JOIN st USING (event_type) GROUP BY ALL)
+SELECT * FROM q"""
+
+FIT_REPORT = f"""WITH {ENC},
+  g AS (SELECT row_number() OVER (ORDER BY encounter_name, player_name, ranked_date, class) - 1 AS rid, * FROM gold),
+  i AS (SELECT i AS draw, ('0x' || substr(md5('42:' || i), 1, 8))::BIGINT % (SELECT count(*) FROM gold) AS rid
+        FROM range(100) t(i)),
+  s AS (SELECT "rDPS"::DOUBLE AS x, "aDPS"::DOUBLE AS y FROM i JOIN g USING (rid)),
+  st AS (SELECT round_even(regr_slope(y, x), 2) AS m, round_even(regr_intercept(y, x), 2) AS b,
+                avg(y) AS yb, count(*) AS n FROM s)
+SELECT m, b, round(sum(pow(y - yb, 2)), 3) AS sse_base, round(sum(pow(y - (m * x + b), 2)), 3) AS sse_reg,
+  round_even(1 - sum(pow(y - (m * x + b), 2)) / sum(pow(y - yb, 2)), 2)::DOUBLE + 0.0 AS r2, n
+FROM s, st GROUP BY m, b, n"""
+
+_FIT = """st AS (SELECT event_type, regr_slope(value, user_id) AS m, regr_intercept(value, user_id) AS b,
+                  min(user_id)::DOUBLE AS lo, max(user_id)::DOUBLE AS hi FROM events GROUP BY 1),
+  pts AS (SELECT event_type, i::INT AS i, lo + i * ((hi - lo) / 99) AS x, m, b FROM st, range(100) t(i))"""
+FIT_POINTS = f"""WITH {_FIT} SELECT event_type, i, round(x, 6) AS x, round(m * x + b, 6) AS y FROM pts"""
+LINE_FROM_POINTS = f"""WITH {_FIT},
+  e AS (SELECT event_type, min(x) AS x0, max(x) AS x1, arg_min(m * x + b, x) AS y0, arg_max(m * x + b, x) AS y1 FROM pts GROUP BY 1)
+SELECT event_type, round((y1 - y0) / (x1 - x0), 6) AS m, round(y0 - (y1 - y0) / (x1 - x0) * x0, 6) AS b FROM e"""
+
+DAMAGE_PROBABILITY = f"""WITH {ENC},
+  q AS (SELECT encounter_name, class, avg(("rDPS" >= 50)::INT::DOUBLE) AS empirical, avg("rDPS"::DOUBLE) AS mean,
+               stddev_samp("rDPS"::DOUBLE) AS sd, count(*) AS n FROM gold GROUP BY ALL),
+  r AS (SELECT *, (50 - mean) / sd AS z FROM q),
+  s AS (SELECT *, 1 / (1 + 0.3275911::DOUBLE * abs(z) / sqrt(2)) AS t FROM r),
+  u AS (SELECT *, 0.5::DOUBLE * ((((1.061405429::DOUBLE * t - 1.453152027::DOUBLE) * t + 1.421413741::DOUBLE) * t
+                  - 0.284496736::DOUBLE) * t + 0.254829592::DOUBLE) * t * exp(-z * z / 2) AS h FROM s)
+SELECT encounter_name, class, round(empirical, 6) AS empirical, round(mean, 6) AS mean, round(sd, 6) AS sd, n,
+  round(CASE WHEN z >= 0 THEN h ELSE 1 - h END, 6) AS normal_tail FROM u"""
+
+# ---------------------------------------------------------------- reports
+SELECT_REPORTS = """WITH rep AS (
+    SELECT 'R' || o_orderkey AS code, 'report ' || o_orderstatus AS title,
+      split_part(o_orderpriority, '-', 1)::INT AS zone_id, o_custkey AS guild_id,
+      epoch_ms(o_orderdate) AS start_ms, o_orderkey
+    FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)),
+  kept AS (SELECT *, row_number() OVER (ORDER BY start_ms, code) AS rn FROM rep
+           WHERE zone_id = 1 AND start_ms >= epoch_ms(TIMESTAMP '1995-01-01') AND start_ms < epoch_ms(TIMESTAMP '1996-01-01'))
+SELECT code, title, zone_id, guild_id, start_ms, 2 AS page, l_linenumber AS fight_id,
+  (l_partkey % 5 + 101)::INT AS encounter_id, l_returnflag = 'R' AS kill,
+  epoch_ms(l_shipdate) AS fight_start, epoch_ms(l_shipdate) + (l_quantity * 60000)::BIGINT AS fight_end
+FROM kept JOIN lineitem ON l_orderkey = o_orderkey
+WHERE rn > 50 AND rn <= 100 AND l_partkey % 5 + 101 = 103"""

@@ -1,19 +1,34 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame computed from the
-whole driver tables. Their DuckDB twins live in :mod:`rankforge.oracle`."""
+whole driver tables (or from files Spark writes from them). Their DuckDB twins live in
+:mod:`rankforge.oracle`."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
+from .functions import (date_text, epoch_to_timestamp, minutes_seconds, normalize_time_fields,
+                        surrogate_key, to_title_case)
+from .operators import analytics as an
+from .operators.latest import latest_per_key
+from .operators.nested import merged_positions
+from .operators.ordinal import page_slice as _page_slice
+from .operators.quality import SILVER_ENCOUNTER_RULES, SILVER_GUILD_RULES, expectation_report
 from .plans import encounters as enc
 from .plans import guilds as gld
-from .session import prepare
+from .plans.reports import report_fights, select_reports as _select_reports
+from .plans.stages import guild_spec, run_pipeline, stage_counts as _stage_counts
+from .session import prepare, shared_path
 from .sources import fixtures
-from .sources.files import attach_metadata
+from .sources.catalog import ensure_schemas, read_table, save_table
+from .sources.files import (attach_metadata, preview_sql, raw_preview as _raw_preview, read_landing,
+                            stamp_from_file_name, write_landing)
+from .streaming.flows import append_to_table, bronze_stream, read_table_stream, upsert_stream
+from .streaming.snapshot import SnapshotTable
 
 SOURCE = "rankforge"
 
@@ -23,30 +38,37 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
 
-def encounter_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
-    docs = fixtures.rank_documents(fixtures.table(spark, sf_dir, "events"))
+    return fixtures.table(spark, sf_dir, name)
+
+
+# ---------------------------------------------------------------- bronze from the tables
+def encounter_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fixtures.rank_documents(_t(spark, sf_dir, "events"))
     return attach_metadata(docs.drop("_doc"), SOURCE)
 
 
 def guild_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    docs = fixtures.guild_documents(fixtures.table(spark, sf_dir, "customer"))
+    docs = fixtures.guild_documents(_t(spark, sf_dir, "customer"))
     return attach_metadata(docs.drop("_doc"), SOURCE)
 
 
+def _gold_enc(spark, sf_dir):
+    return enc.gold(enc.deduplicate(enc.silver_clean(encounter_bronze(spark, sf_dir))))
+
+
+# ---------------------------------------------------------------- chains
 def silver_encounters(spark, sf_dir):
-    silver_c = enc.silver_clean(encounter_bronze(spark, sf_dir))
-    return _ntz(silver_c.drop("ldts", "rsrc"), "ranked_date")
+    return _ntz(enc.silver_clean(encounter_bronze(spark, sf_dir)).drop("ldts", "rsrc"), "ranked_date")
 
 
 def gold_encounters(spark, sf_dir):
-    silver = enc.deduplicate(enc.silver_clean(encounter_bronze(spark, sf_dir)))
-    return enc.gold(silver)
+    return _gold_enc(spark, sf_dir)
 
 
 def presentation(spark, sf_dir):
-    return enc.presentation(gold_encounters(spark, sf_dir))
+    return enc.presentation(_gold_enc(spark, sf_dir))
 
 
 def silver_guilds(spark, sf_dir):
@@ -57,12 +79,278 @@ def gold_guilds(spark, sf_dir):
     return gld.gold(gld.deduplicate(gld.silver_clean(guild_bronze(spark, sf_dir))))
 
 
+# ---------------------------------------------------------------- files, SQL, catalog
+PULL_DAY = dt.datetime(2026, 1, 1)
+
+
+def _land_encounters(spark, sf_dir, events=None, when=PULL_DAY, landing=None):
+    landing = landing or shared_path(spark, "landing", "encounters")
+    events = events if events is not None else _t(spark, sf_dir, "events")
+    write_landing(fixtures.rank_documents(events, as_text=False).select("worldData"),
+                  landing, "encounter_ranking", when)
+    return landing
+
+
+def scan_json_multiline(spark, sf_dir):
+    """Land the documents as files (one per document), scan them back (multi-line JSON,
+    declared schema, payload kept as text), load time from the pull stamp, then silver."""
+    landing = _land_encounters(spark, sf_dir)
+    bronze = attach_metadata(read_landing(spark, landing, "encounters"), SOURCE, stamp_from_file_name())
+    silver_c = enc.silver_clean(bronze)
+    return _ntz(silver_c.drop("rsrc"), "ldts", "ranked_date")
+
+
+def sql_preview(spark, sf_dir):
+    landing = shared_path(spark, "landing", "guilds")
+    write_landing(fixtures.guild_documents(_t(spark, sf_dir, "customer"), as_text=False).select("guildData"),
+                  landing, "guilds", PULL_DAY)
+    return preview_sql(spark, landing, SOURCE)
+
+
+def schema_setup(spark, sf_dir):
+    """Create the three namespaces in the shared warehouse folder, publish gold guilds as a
+    table there and read it back through the catalog."""
+    names = ensure_schemas(spark, "rankforge_", location=shared_path(spark, "warehouse"))
+    gold = gold_guilds(spark, sf_dir)
+    table = f"`{names[2]}`.guilds_gold"
+    save_table(gold, table, comment="Guild ranks, newest load per guild.")
+    return read_table(spark, table)
+
+
+def raw_preview(spark, sf_dir):
+    docs = fixtures.guild_documents(_t(spark, sf_dir, "customer"))
+    pre = _raw_preview(docs.select("guildData", F.col("_doc").alias("doc")), "guilds", 3)
+    return pre.select("doc", F.col("guildData.guilds.total").alias("total"),
+                      F.col("guildData.guilds.has_more_pages").alias("has_more_pages"),
+                      F.posexplode("guildData.guilds.data").alias("pos", "s")
+                      ).select("doc", "total", "has_more_pages", "pos", F.col("s.id").alias("guild_id"),
+                               F.col("s.name").alias("guild_name"))
+
+
+def stage_counts(spark, sf_dir):
+    raw = fixtures.guild_documents(_t(spark, sf_dir, "customer")).drop("_doc")
+    frames = run_pipeline(raw, guild_spec(SOURCE))
+    return _stage_counts(frames)
+
+
+# ---------------------------------------------------------------- page merge / slice / keys
+def merge_pages(spark, sf_dir):
+    pages = fixtures.event_pages(_t(spark, sf_dir, "events"))
+    return merged_positions(pages, ["eid"], "page", "arr", value_name="event_id")
+
+
+def page_slice(spark, sf_dir):
+    customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    return _page_slice(customer, [F.col("c_acctbal").desc(), "c_custkey"], offset=1, limit=5, per_page=100)
+
+
+def surrogate_keys(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer")
+    return c.select("c_custkey", surrogate_key("c_custkey", "c_nationkey", "c_mktsegment").alias("surrogate_key"))
+
+
+def latest_events(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return latest_per_key(ev, ["user_id", "event_type"], "ts", ["event_id"])
+
+
+# ---------------------------------------------------------------- scalar functions
+def title_case(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        to_title_case(F.concat(F.initcap("event_type"), F.lit("Mage")), "pascal").alias("pascal"),
+        to_title_case(F.concat("event_type", F.lit("__dark_knight")), "snake").alias("snake"),
+        to_title_case(F.concat("event_type", F.lit("--white-mage")), "kebab").alias("kebab"))
+
+
+def time_functions(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    ts = F.col("ts").cast("timestamp")
+    k = F.get_json_object("props", "$.k").cast("int")
+    base = ev.select(
+        "event_id",
+        epoch_to_timestamp(F.unix_seconds(ts), "s").alias("from_s"),
+        epoch_to_timestamp(F.unix_millis(ts), "MS").alias("from_ms"),
+        epoch_to_timestamp(F.unix_micros(ts), " us ").alias("from_us"),
+        F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("start_time"),
+        (F.col("event_id") * 1000).alias("end_time"),
+        date_text(ts).alias("day"),
+        minutes_seconds(k * 61).alias("mmss"))
+    return _ntz(normalize_time_fields(base), "from_s", "from_ms", "from_us")
+
+
+# ---------------------------------------------------------------- quality
+def expectation_report_encounters(spark, sf_dir):
+    cleaned = enc.clean(enc.define(enc.unpack(encounter_bronze(spark, sf_dir))))
+    return expectation_report(cleaned, SILVER_ENCOUNTER_RULES)
+
+
+def expectation_report_guilds(spark, sf_dir):
+    cleaned = gld.clean(gld.define(gld.unpack(guild_bronze(spark, sf_dir))))
+    return expectation_report(cleaned, SILVER_GUILD_RULES)
+
+
+# ---------------------------------------------------------------- streaming
+LOAD_DAYS = (3, 1, 2)  # arrival order: the newest pull lands first
+
+
+def _versioned_encounter_flow(spark, sf_dir):
+    """Three pulls of the whole table land one after another; after each, the bronze
+    stream and then the silver upsert stream run to completion (availableNow)."""
+    events = _t(spark, sf_dir, "events")
+    root = shared_path(spark, "stream", "encounters")
+    landing, bronze_path = f"{root}/landing", f"{root}/bronze"
+    target = SnapshotTable(spark, f"{root}/silver", ["encounter_id", "player_name", "class", "ranked_date"],
+                           "ldts", enc.TIE_BREAK, bucket=F.pmod(F.dayofmonth("ranked_date"), F.lit(8)))
+    for day in LOAD_DAYS:
+        shifted = events.withColumn("value", F.col("value") + F.lit(float(3 - day)))
+        _land_encounters(spark, sf_dir, shifted, dt.datetime(2026, 1, day), landing)
+        append_to_table(bronze_stream(spark, landing, "encounters", SOURCE, stamp_from_file_name()),
+                        bronze_path, f"{root}/_chk/bronze")
+        bronze_schema = spark.read.parquet(bronze_path).schema
+        upsert_stream(read_table_stream(spark, bronze_path, bronze_schema), target,
+                      f"{root}/_chk/silver", transform=enc.silver_clean)
+    return root, bronze_path, target
+
+
+def stream_encounter_tables(spark, sf_dir):
+    root, bronze_path, target = _versioned_encounter_flow(spark, sf_dir)
+    return spark.read.parquet(bronze_path), target.read()
+
+
+def stream_bronze(spark, sf_dir):
+    bronze, _ = stream_encounter_tables(spark, sf_dir)
+    recs = F.size(F.from_json("worldData", "encounter struct<characterRankings: struct<rankings: array<string>>>")
+                  ["encounter"]["characterRankings"]["rankings"])
+    return _ntz(bronze.groupBy("ldts").agg(F.count(F.lit(1)).alias("documents"),
+                                           F.sum(recs).alias("records")), "ldts")
+
+
+def stream_silver(spark, sf_dir):
+    bronze, _ = stream_encounter_tables(spark, sf_dir)
+    return _ntz(enc.silver_clean(bronze).drop("rsrc"), "ldts", "ranked_date")
+
+
+def stream_latest_encounters(spark, sf_dir):
+    _, silver = stream_encounter_tables(spark, sf_dir)
+    return _ntz(silver.drop("rsrc"), "ldts", "ranked_date")
+
+
+def stream_gold_encounters(spark, sf_dir):
+    _, silver = stream_encounter_tables(spark, sf_dir)
+    return enc.gold(silver)
+
+
+def stream_latest_guilds(spark, sf_dir):
+    customer = _t(spark, sf_dir, "customer")
+    root = shared_path(spark, "stream", "guilds")
+    landing = f"{root}/landing"
+    target = SnapshotTable(spark, f"{root}/silver", ["guild_id"], "ldts", gld.TIE_BREAK, num_buckets=16)
+    for day in LOAD_DAYS:
+        docs = fixtures.guild_documents(customer, as_text=False, tag=str(day)).select("guildData")
+        write_landing(docs, landing, "guilds", dt.datetime(2026, 1, day))
+        upsert_stream(bronze_stream(spark, landing, "guilds", SOURCE, stamp_from_file_name()),
+                      target, f"{root}/_chk/silver", transform=gld.silver_clean)
+    return _ntz(target.read().drop("rsrc"), "ldts")
+
+
+# ---------------------------------------------------------------- analytics
+def feature_select(spark, sf_dir):
+    return an.select_features(_gold_enc(spark, sf_dir), ["class", "rDPS", "aDPS", "duration"],
+                              {"encounter_name": "The Fight 103"})
+
+
+def bootstrap_sample(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    return an.bootstrap_sample(ev, ["event_id"], n=100, seed=42)
+
+
+def least_squares(spark, sf_dir):
+    fit = an.least_squares(_gold_enc(spark, sf_dir), "rDPS", "aDPS", ["encounter_name", "class"])
+    return fit.select("encounter_name", "class", F.round("m", 6).alias("m"), F.round("b", 6).alias("b"), "n")
+
+
+def r_squared(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    fit = an.least_squares(ev, "user_id", "value", ["event_type"], round_decimal=2)
+    r2 = an.r_squared(ev, fit, "user_id", "value", ["event_type"])
+    return r2.select("event_type", "m", "b", F.round("sse_base", 3).alias("sse_base"),
+                     F.round("sse_reg", 3).alias("sse_reg"), "r2")
+
+
+def fit_report(spark, sf_dir):
+    gold = _gold_enc(spark, sf_dir)
+    sample = an.bootstrap_sample(gold, ["encounter_name", "player_name", "ranked_date", "class"], 100, 42)
+    rep = an.fit_report(sample, "rDPS", "aDPS", [], round_decimal=2)
+    return rep.select("m", "b", F.round("sse_base", 3).alias("sse_base"),
+                      F.round("sse_reg", 3).alias("sse_reg"), "r2", "n")
+
+
+def _event_fit(spark, sf_dir):
+    ev = _t(spark, sf_dir, "events")
+    fit = an.least_squares(ev, "user_id", "value", ["event_type"])
+    return an.fit_points(fit, ev, "user_id", ["event_type"], 100)
+
+
+def fit_points(spark, sf_dir):
+    pts = _event_fit(spark, sf_dir)
+    return pts.select("event_type", "i", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+def line_from_points(spark, sf_dir):
+    line = an.line_from_points(_event_fit(spark, sf_dir), ["event_type"])
+    return line.select("event_type", F.round("m", 6).alias("m"), F.round("b", 6).alias("b"))
+
+
+def damage_probability(spark, sf_dir):
+    p = an.damage_probability(_gold_enc(spark, sf_dir), 50.0, "rDPS", ["encounter_name", "class"])
+    return p.select("encounter_name", "class", *[F.round(c, 6).alias(c) for c in ("empirical", "mean", "sd")],
+                    "n", F.round("normal_tail", 6).alias("normal_tail"))
+
+
+# ---------------------------------------------------------------- reports
+def select_reports(spark, sf_dir):
+    reports = fixtures.report_rows(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
+    start = int(dt.datetime(1995, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    end = int(dt.datetime(1996, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
+    chosen = _select_reports(reports, start, end, zone_id=1, encounter_id=103, page=2, limit=50)
+    return report_fights(chosen)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_encounters": silver_encounters,
     "gold_encounters": gold_encounters,
     "presentation": presentation,
     "silver_guilds": silver_guilds,
     "gold_guilds": gold_guilds,
+    "scan_json_multiline": scan_json_multiline,
+    "sql_preview": sql_preview,
+    "schema_setup": schema_setup,
+    "raw_preview": raw_preview,
+    "stage_counts": stage_counts,
+    "merge_pages": merge_pages,
+    "page_slice": page_slice,
+    "surrogate_key": surrogate_keys,
+    "latest_per_key": latest_events,
+    "title_case": title_case,
+    "time_functions": time_functions,
+    "expectation_report": expectation_report_encounters,
+    "expectation_report_guilds": expectation_report_guilds,
+    "stream_bronze": stream_bronze,
+    "stream_silver": stream_silver,
+    "stream_latest_encounters": stream_latest_encounters,
+    "stream_gold_encounters": stream_gold_encounters,
+    "stream_latest_guilds": stream_latest_guilds,
+    "feature_select": feature_select,
+    "bootstrap_sample": bootstrap_sample,
+    "least_squares": least_squares,
+    "r_squared": r_squared,
+    "fit_report": fit_report,
+    "fit_points": fit_points,
+    "line_from_points": line_from_points,
+    "damage_probability": damage_probability,
+    "select_reports": select_reports,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -71,4 +359,31 @@ ORACLE_SQL: dict[str, str] = {
     "presentation": oracle.PRESENTATION,
     "silver_guilds": oracle.SILVER_GUILDS,
     "gold_guilds": oracle.GOLD_GUILDS,
+    "scan_json_multiline": oracle.SCAN_JSON_MULTILINE,
+    # sql_preview: LIMIT 5 without an order is an arbitrary 5 rows -> rows-only check
+    "schema_setup": oracle.SCHEMA_SETUP,
+    "raw_preview": oracle.RAW_PREVIEW,
+    "stage_counts": oracle.STAGE_COUNTS,
+    "merge_pages": oracle.MERGE_PAGES,
+    "page_slice": oracle.PAGE_SLICE,
+    "surrogate_key": oracle.SURROGATE_KEY,
+    "latest_per_key": oracle.LATEST_PER_KEY,
+    "title_case": oracle.TITLE_CASE,
+    "time_functions": oracle.TIME_FUNCTIONS,
+    "expectation_report": oracle.ENC_RULE_SQL,
+    "expectation_report_guilds": oracle.GUILD_RULE_SQL,
+    "stream_bronze": oracle.STREAM_BRONZE,
+    "stream_silver": oracle.STREAM_SILVER,
+    "stream_latest_encounters": oracle.STREAM_LATEST_ENCOUNTERS,
+    "stream_gold_encounters": oracle.STREAM_GOLD_ENCOUNTERS,
+    "stream_latest_guilds": oracle.STREAM_LATEST_GUILDS,
+    "feature_select": oracle.FEATURE_SELECT,
+    "bootstrap_sample": oracle.BOOTSTRAP_SAMPLE,
+    "least_squares": oracle.LEAST_SQUARES,
+    "r_squared": oracle.R_SQUARED,
+    "fit_report": oracle.FIT_REPORT,
+    "fit_points": oracle.FIT_POINTS,
+    "line_from_points": oracle.LINE_FROM_POINTS,
+    "damage_probability": oracle.DAMAGE_PROBABILITY,
+    "select_reports": oracle.SELECT_REPORTS,
 }

@@ -17,31 +17,34 @@ from .. import schemas
 
 # File-name stamp of a landing file and its parse pattern.
 STAMP_FORMAT = "%Y%m%d_%H%M%S"
-STAMP_REGEX = r"_(\d{8}_\d{6})\.json$"
+STAMP_REGEX = r"_(\d{8}_\d{6})(?:\.json$|/)"
 STAMP_PATTERN = "yyyyMMdd_HHmmss"
 
 
 def read_landing(spark: SparkSession, landing_dir: str, dataset: str = "encounters",
-                 as_text: bool = True, glob: str = "*.json") -> DataFrame:
-    """Batch scan of every landing file (A1). Declared schema, never inferred."""
+                 as_text: bool = True, glob: str = "*/*.json") -> DataFrame:
+    """Batch scan of every landing file (A1). Declared schema, never inferred. The default
+    glob reads the files of every pull folder written by :func:`write_landing`."""
     return (spark.read.schema(schemas.landing_schema(dataset, as_text))
             .option("multiLine", True).json(f"{landing_dir.rstrip('/')}/{glob}"))
 
 
 def stream_landing(spark: SparkSession, landing_dir: str, dataset: str = "encounters",
-                   as_text: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
+                   as_text: bool = True, max_files_per_trigger: int | None = None,
+                   glob: str = "*/*.json") -> DataFrame:
     """Incremental file stream (A2): each file is picked up once; the checkpoint of the
     query that consumes this frame records which files were seen."""
     reader = (spark.readStream.schema(schemas.landing_schema(dataset, as_text))
-              .option("multiLine", True).option("pathGlobFilter", "*.json"))
+              .option("multiLine", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing_dir)
+    return reader.json(f"{landing_dir.rstrip('/')}/{glob}")
 
 
 def stamp_from_file_name() -> Column:
-    """Load time taken from the file-name stamp: deterministic across replays."""
-    stamp = F.regexp_extract(F.col("_metadata.file_name"), STAMP_REGEX, 1)
+    """Load time taken from the stamp in the file (or pull folder) name: deterministic
+    across replays."""
+    stamp = F.regexp_extract(F.col("_metadata.file_path"), STAMP_REGEX, 1)
     return F.to_timestamp(F.nullif(stamp, F.lit("")), STAMP_PATTERN)
 
 
@@ -56,7 +59,7 @@ def bronze(df: DataFrame, source: str, ldts: Column | None = None) -> DataFrame:
 
 
 def preview_sql(spark: SparkSession, landing_dir: str, source: str, drop: str = "_corrupt_record",
-                view: str = "landing_preview", n: int = 5, glob: str = "*.json") -> DataFrame:
+                view: str = "landing_preview", n: int = 5, glob: str = "*/*.json") -> DataFrame:
     """SQL preview (A4): all columns except one, plus load metadata, first ``n`` rows.
 
     The landing folder is exposed as a temporary view ``USING json`` (multi-line)."""
@@ -77,10 +80,11 @@ def landing_file_name(name: str, when: _dt.datetime | None = None) -> str:
 
 def write_landing(docs: DataFrame, landing_dir: str, name: str, when: _dt.datetime | None = None,
                   records_per_file: int = 1) -> str:
-    """JSON sink (A10): a time-stamped folder of documents, appended, never overwriting an
-    older pull. Each document is one JSON line; Spark writes one part per task."""
+    """JSON sink (A10): a time-stamped pull folder, appended, never overwriting an older
+    pull. One document per file (a landing file holds one document), written in parallel
+    by every task."""
     target = f"{landing_dir.rstrip('/')}/{landing_file_name(name, when)[:-5]}"
-    docs.write.mode("append").json(target)
+    docs.write.mode("append").option("maxRecordsPerFile", records_per_file).json(target)
     return target
 
 

@@ -41,22 +41,26 @@ def ranking_records(events: DataFrame) -> DataFrame:
                          record.alias("rec"))
 
 
-def rank_documents(events: DataFrame) -> DataFrame:
-    """One encounter-ranking document per (encounter, block of 100 event ids), as JSON text
-    in column ``worldData``."""
+def rank_documents(events: DataFrame, as_text: bool = True) -> DataFrame:
+    """One encounter-ranking document per (encounter, block of 100 event ids) in column
+    ``worldData``: JSON text (bronze form) or the object itself (landing-file form).
+    Records are sorted inside the document, so documents are deterministic."""
     recs = ranking_records(events)
-    docs = recs.groupBy("eid", "doc").agg(F.collect_list("rec").alias("rankings"))
+    docs = recs.groupBy("eid", "doc").agg(F.array_sort(F.collect_list("rec")).alias("rankings"))
     payload = F.struct(F.struct(
         F.col("eid").alias("id"),
         F.concat(F.lit(" the  fight "), F.col("eid").cast("string")).alias("name"),
         F.struct(F.lit(1).alias("id"), F.lit("zone").alias("name")).alias("zone"),
         F.struct(F.col("rankings").alias("rankings")).alias("characterRankings"),
     ).alias("encounter"))
-    return docs.select(F.to_json(payload).alias("worldData"), F.col("doc").alias("_doc"))
+    body = F.to_json(payload) if as_text else payload
+    return docs.select(body.alias("worldData"), F.col("doc").alias("_doc"))
 
 
-def guild_documents(customer: DataFrame) -> DataFrame:
-    """One guild-list document per block of 100 customer keys, JSON text in ``guildData``."""
+def guild_documents(customer: DataFrame, as_text: bool = True, tag: str | None = None) -> DataFrame:
+    """One guild-list document per block of 100 customer keys in ``guildData`` (JSON text or
+    object), records sorted by guild id. ``tag`` is appended to every non-blank description
+    (to tell versions of one guild apart)."""
     k = F.col("c_custkey")
 
     def rank(cond, value):
@@ -65,7 +69,8 @@ def guild_documents(customer: DataFrame) -> DataFrame:
     record = F.struct(
         k.cast("int").alias("id"),
         F.when(k % 11 == 0, F.lit(" \n ")).otherwise(F.concat(F.lit(" guild\n of  "), F.col("c_name"))).alias("name"),
-        F.when(k % 3 == 0, F.lit("  ")).otherwise(F.concat(F.col("c_mktsegment"), F.lit("\r\n guild "))).alias("description"),
+        F.when(k % 3 == 0, F.lit("  ")).otherwise(
+            F.concat(F.col("c_mktsegment"), F.lit("\r\n guild " + (tag or "")))).alias("description"),
         F.lit(0).alias("type"),
         F.when(k % 13 != 0, F.struct(F.col("c_nationkey").alias("id"),
                                      F.struct((F.col("c_nationkey") % 5).alias("id")).alias("region"))).alias("server"),
@@ -77,10 +82,11 @@ def guild_documents(customer: DataFrame) -> DataFrame:
         )).alias("zoneRanking"),
     )
     docs = (customer.select(F.floor(k / RECORDS_PER_DOC).alias("doc"), record.alias("rec"))
-            .groupBy("doc").agg(F.collect_list("rec").alias("data")))
+            .groupBy("doc").agg(F.array_sort(F.collect_list("rec")).alias("data")))
     payload = F.struct(F.struct(F.lit(1500).alias("total"), F.lit(True).alias("has_more_pages"),
                                 F.col("data").alias("data")).alias("guilds"))
-    return docs.select(F.to_json(payload).alias("guildData"), F.col("doc").alias("_doc"))
+    body = F.to_json(payload) if as_text else payload
+    return docs.select(body.alias("guildData"), F.col("doc").alias("_doc"))
 
 
 def event_pages(events: DataFrame) -> DataFrame:

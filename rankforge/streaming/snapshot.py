@@ -1,0 +1,140 @@
+"""Keyed upsert target without a MERGE-capable table format.
+
+The table is a set of parquet *buckets*; the bucket of a row is a function of its key (by
+default a hash, or e.g. the day of a date key so new loads touch only recent buckets).
+Each upsert (one micro-batch) rewrites only the buckets its rows fall in:
+
+    new bucket = newest-per-key(old bucket rows  UNION  batch rows)
+
+and publishes a manifest ``_manifest/{batch:012d}.json`` mapping every bucket to the
+version folder that holds it; the newest manifest is the current snapshot. A replayed batch
+id rewrites the same folder and manifest from the manifest *before* it, so retries after a
+crash are idempotent. "Newest" is ``max(struct(version, tie..., row))``, which does not
+depend on arrival order: an older version arriving later never overwrites a newer one.
+"""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.latest import latest_per_key
+
+BUCKET = "_bucket"
+
+
+class _FS:
+    """Small file-system helper over the Hadoop API (works for local, HDFS, object stores)."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        jvm = spark.sparkContext._jvm
+        self._jvm = jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self.fs = self._path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def list_names(self, folder: str) -> list[str]:
+        p = self._path(folder)
+        if not self.fs.exists(p):
+            return []
+        return [s.getPath().getName() for s in self.fs.listStatus(p)]
+
+    def read_text(self, path: str) -> str:
+        stream = self.fs.open(self._path(path))
+        try:
+            reader = self._jvm.java.io.BufferedReader(self._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            lines = []
+            line = reader.readLine()
+            while line is not None:
+                lines.append(line)
+                line = reader.readLine()
+            return "\n".join(lines)
+        finally:
+            stream.close()
+
+    def write_text_atomic(self, path: str, text: str) -> None:
+        tmp = self._path(path + ".tmp")
+        out = self.fs.create(tmp, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        target = self._path(path)
+        if self.fs.exists(target):
+            self.fs.delete(target, False)
+        self.fs.rename(tmp, target)
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], version: str = "ldts",
+                 tie: list[str] = (), bucket: Column | None = None, num_buckets: int = 64):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.keys = list(keys)
+        self.version = version
+        self.tie = list(tie)
+        self.bucket_expr = bucket if bucket is not None else F.pmod(
+            F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets))
+        self._fs = _FS(spark, self.path)
+
+    # ------------------------------------------------------------------ manifests
+    def _manifest_ids(self) -> list[int]:
+        ids = []
+        for name in self._fs.list_names(f"{self.path}/_manifest"):
+            if name.endswith(".json") and name[:-5].isdigit():
+                ids.append(int(name[:-5]))
+        return sorted(ids)
+
+    def manifest(self, before: int | None = None) -> dict:
+        ids = [i for i in self._manifest_ids() if before is None or i < before]
+        if not ids:
+            return {"batch": None, "previous": None, "schema": None, "buckets": {}}
+        return json.loads(self._fs.read_text(f"{self.path}/_manifest/{ids[-1]:012d}.json"))
+
+    def _bucket_paths(self, manifest: dict, buckets=None) -> list[str]:
+        chosen = manifest["buckets"] if buckets is None else {
+            b: v for b, v in manifest["buckets"].items() if b in buckets}
+        return [f"{self.path}/v={v:012d}/{BUCKET}={b}" for b, v in sorted(chosen.items())]
+
+    # ------------------------------------------------------------------ reads
+    def read(self, manifest: dict | None = None) -> DataFrame | None:
+        """Current snapshot (or the one of ``manifest``); None when nothing was written."""
+        m = manifest or self.manifest()
+        if not m["buckets"]:
+            return None
+        schema = T.StructType.fromJson(json.loads(m["schema"]))
+        return self.spark.read.schema(schema).parquet(*self._bucket_paths(m))
+
+    # ------------------------------------------------------------------ writes
+    def upsert(self, batch: DataFrame, batch_id: int) -> None:
+        """Merge one batch; safe to call again with the same ``batch_id``."""
+        newest = latest_per_key(batch, self.keys, self.version, self.tie)
+        tagged = newest.withColumn(BUCKET, self.bucket_expr.cast("int")).persist()
+        try:
+            touched = sorted(str(r[0]) for r in tagged.select(BUCKET).distinct().collect())
+            if not touched:
+                return
+            prev = self.manifest(before=batch_id)
+            old_paths = self._bucket_paths(prev, set(touched))
+            data_schema = newest.schema
+            if old_paths:
+                old = self.spark.read.schema(data_schema).parquet(*old_paths)
+                old = old.withColumn(BUCKET, self.bucket_expr.cast("int"))
+                merged = latest_per_key(old.unionByName(tagged), self.keys + [BUCKET],
+                                        self.version, self.tie)
+            else:
+                merged = tagged
+            target = f"{self.path}/v={batch_id:012d}"
+            # no repartition by bucket: a bucket may hold a third of the rows; every task
+            # writes its share of each bucket it holds
+            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+            buckets = dict(prev["buckets"])
+            for b in touched:
+                buckets[b] = batch_id
+            doc = {"batch": batch_id, "previous": prev["batch"], "schema": data_schema.json(),
+                   "buckets": buckets}
+            self._fs.write_text_atomic(f"{self.path}/_manifest/{batch_id:012d}.json", json.dumps(doc))
+        finally:
+            tagged.unpersist()
