@@ -43,7 +43,8 @@ def draw_hash(seed: int) -> Column:
 
 
 def bootstrap_sample(df: DataFrame, order: list[str | Column], n: int = DEFAULT_SAMPLE,
-                     seed: int = DEFAULT_SEED, draw_col: str = "draw") -> DataFrame:
+                     seed: int = DEFAULT_SEED, draw_col: str = "draw",
+                     order_is_key: bool = False) -> DataFrame:
     """Exactly ``n`` rows drawn with replacement: draw ``i`` takes the row at position
     ``hash(seed:i) mod N`` in ``order`` (a unique order makes it reproducible).
 
@@ -54,7 +55,10 @@ def bootstrap_sample(df: DataFrame, order: list[str | Column], n: int = DEFAULT_
     if n < 0:
         raise ValueError("sample size must be >= 0")
     spark = df.sparkSession
-    tagged = tag_positions(df, [], order)
+    # With ``order_is_key`` (the order columns name one row each) only those columns are
+    # ranked and checkpointed; the drawn keys then fetch their rows.
+    narrow = order_is_key and all(isinstance(c, str) for c in order)
+    tagged = tag_positions(df.select(*order) if narrow else df, [], order)
     parts = partition_offsets(tagged, []).withColumn(
         "_n", F.sum("_cnt").over(Window.partitionBy().rowsBetween(Window.unboundedPreceding,
                                                                    Window.unboundedFollowing)))
@@ -67,6 +71,11 @@ def bootstrap_sample(df: DataFrame, order: list[str | Column], n: int = DEFAULT_
                              (F.col("_first") + rid - F.col("_before")).alias("_dloc"))
     hit = tagged.join(F.broadcast(located),
                       (tagged["_pid"] == located["_dpid"]) & (tagged["_loc"] == located["_dloc"]))
+    if narrow:
+        # n order keys (a parameter-sized table) fetch their whole rows where they lie
+        picked = hit.select(draw_col, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+        cond = [df[c].eqNullSafe(picked[f"_o{i}"]) for i, c in enumerate(order)]
+        return df.join(F.broadcast(picked), cond).select(draw_col, *[df[c] for c in df.columns])
     return hit.select(draw_col, *[tagged[c] for c in df.columns])
 
 
@@ -130,7 +139,7 @@ def fit_points(fit: DataFrame, data: DataFrame, x: str, group: list[str] = (),
     rng = d.groupBy(*keys).agg(F.min(_d(x)).alias("_lo"), F.max(_d(x)).alias("_hi"))
     lines = f.select(*keys, "m", "b").join(rng, keys)
     step = (F.col("_hi") - F.col("_lo")) / F.lit(max(points - 1, 1))
-    out = lines.select(*keys, "m", "b", "_lo", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    out = lines.select(*keys, "m", "b", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
     out = out.select(*keys, "i", (F.col("_lo") + F.col("i") * step).alias("x"), "m", "b")
     out = out.select(*keys, "i", "x", (F.col("m") * F.col("x") + F.col("b")).alias("y"))
     return out if group else _drop_all(out)

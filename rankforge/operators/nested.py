@@ -66,13 +66,16 @@ def merged_positions(df: DataFrame, keys: list[str], page: str, array: str,
                      value_name: str = "value", pos_name: str = "pos") -> DataFrame:
     """The records of the merged document, one row each, with their position in it.
 
-    Equal to ``posexplode(merge_pages(...)[array])`` but distributed: each page is exploded
-    where it lies and the position is a distributed ordinal over (page, index in page)
-    within the key, so no group is ever gathered into one row or one task.
+    Equal to ``posexplode(merge_pages(...)[array])`` but distributed: the position of a
+    page's first record is a running total of page sizes within the key, computed on the
+    narrow (key, page, size) table; each page is then exploded where it lies. No key is
+    ever gathered into one row or one task. Pages are assumed unique per key.
     """
-    from .ordinal import with_ordinal
-
-    records = df.select(*keys, F.col(page).alias("_page"),
-                        F.posexplode(F.col(array)).alias("_idx", value_name))
-    ranked = with_ordinal(records, keys, ["_page", "_idx"], pos_name)
-    return ranked.select(*keys, F.col(pos_name).cast("int").alias(pos_name), value_name)
+    from .ordinal import running_total
+
+    sizes = df.select(*keys, page, F.coalesce(F.size(F.col(array)), F.lit(0)).cast("bigint").alias("_n"))
+    sizes = sizes.where(F.col("_n") > 0)
+    starts = running_total(sizes, keys, [page], "_n", "_start").drop("_n")
+    cond = [df[k].eqNullSafe(starts[k]) for k in keys] + [df[page] == starts[page]]
+    placed = df.join(starts, cond).select(*[df[k] for k in keys], "_start", F.posexplode(df[array]).alias("_idx", value_name))
+    return placed.select(*keys, (F.col("_start") + F.col("_idx")).cast("int").alias(pos_name), value_name)

@@ -1,4 +1,5 @@
-"""Distributed ordinals: the position of each row in a sort order, without one-task windows.
+"""Distributed ordinals and running totals: the position of each row in a sort order
+without one-task windows.
 
 ``row_number()`` over a global order (or over a key that holds a third of the data) runs in
 one task. Here the rows are range-partitioned on (keys, order) -- so a hot key is spread
@@ -6,6 +7,12 @@ over many partitions -- sorted inside each partition, and tagged with
 (partition id, local position). A tiny table with one row per (partition, key) gives each
 partition's running offset inside a key; adding it gives the exact ordinal.
 
+The range bounds come from a sample, and the rows reaching a partition come out of an
+upstream shuffle in fetch order, so two evaluations of the tagged frame need not agree.
+The tagged frame is therefore checkpointed (reliable checkpoint in the shared
+``spark.checkpoint.dir``) before it is read twice; only the columns the caller passes are
+written, so callers narrow first.
+
 The offsets table has at most (#partitions + #keys) rows. Without keys it has one row per
 partition, a proven bound, so it is broadcast; with keys adaptive execution picks the join
 from its measured size.
@@ -16,10 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import prepare, shuffle_partitions
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | position in partition
 
+# Largest slice (rows) that ``page_slice`` takes as a top-k; deeper slices are numbered.
+TOP_K_ROWS = 100_000
+
 
 def _cols(names):
     return [F.col(c) if isinstance(c, str) else c for c in names]
@@ -27,24 +37,42 @@ def _cols(names):
 
 def tag_positions(df: DataFrame, keys: list[str], order: list[str | Column],
                   num_partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort on (keys, order); add ``_pid`` and ``_loc``."""
+    """Range-partition and sort on (keys, order); add ``_pid`` and ``_loc``. The result is
+    checkpointed, so every later read sees the same partitioning."""
+    prepare(df.sparkSession)
     n = num_partitions or shuffle_partitions(df.sparkSession)
     sort_cols = _cols(keys) + _cols(order)
     ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
     mid = F.monotonically_increasing_id()
-    return (ranged.withColumn("_mid", mid)
-            .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
-            .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-            .drop("_mid"))
+    tagged = (ranged.withColumn("_mid", mid)
+              .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
+              .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+              .drop("_mid"))
+    return tagged.checkpoint(eager=True)
 
 
-def partition_offsets(tagged: DataFrame, keys: list[str]) -> DataFrame:
+def partition_offsets(tagged: DataFrame, keys: list[str], value: str | None = None) -> DataFrame:
     """One row per (partition, key): rows there (``_cnt``), first local position
-    (``_first``) and rows of the same key in earlier partitions (``_before``)."""
-    stats = tagged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"),
-                                              F.min("_loc").alias("_first"))
+    (``_first``), rows of the same key in earlier partitions (``_before``) and, with
+    ``value``, the sum of that column in earlier partitions (``_vbefore``)."""
+    aggs = [F.count(F.lit(1)).alias("_cnt"), F.min("_loc").alias("_first")]
+    if value:
+        aggs.append(F.sum(value).alias("_vsum"))
+    stats = tagged.groupBy("_pid", *keys).agg(*aggs)
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    return stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+    out = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+    if value:
+        out = out.withColumn("_vbefore", F.coalesce(F.sum("_vsum").over(w), F.lit(0)))
+    return out
+
+
+def _join_offsets(tagged: DataFrame, offsets: DataFrame, keys: list[str], carry: list[str]):
+    renamed = offsets.select("_pid", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *carry)
+    if not keys:
+        renamed = F.broadcast(renamed)  # one row per partition
+    cond = [tagged["_pid"] == renamed["_pid"]]
+    cond += [tagged[k].eqNullSafe(renamed[f"_k{i}"]) for i, k in enumerate(keys)]
+    return tagged.join(renamed, on=cond, how="inner"), renamed
 
 
 def with_ordinal(df: DataFrame, keys: list[str], order: list[str | Column], name: str = "ordinal",
@@ -55,28 +83,45 @@ def with_ordinal(df: DataFrame, keys: list[str], order: list[str | Column], name
     NULL keys form their own group."""
     tagged = tag_positions(df, keys, order, num_partitions)
     offsets = partition_offsets(tagged, keys)
-    renamed = offsets.select("_pid", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                             "_first", "_before")
-    if not keys:
-        renamed = F.broadcast(renamed)  # one row per partition
-    cond = [tagged["_pid"] == renamed["_pid"]]
-    cond += [tagged[k].eqNullSafe(renamed[f"_k{i}"]) for i, k in enumerate(keys)]
-    joined = tagged.join(renamed, on=cond, how="inner")
+    joined, _ = _join_offsets(tagged, offsets, keys, ["_first", "_before"])
     ordinal = (F.col("_before") + F.col("_loc") - F.col("_first")).alias(name)
     return joined.select(*[tagged[c] for c in df.columns], ordinal)
 
 
+def running_total(df: DataFrame, keys: list[str], order: list[str | Column], value: str,
+                  name: str = "running_total", num_partitions: int | None = None) -> DataFrame:
+    """Add ``name`` = sum of ``value`` over the rows *before* this one within its key in
+    ``order`` (0 for the first). Partition offsets come from the small per-partition table;
+    the part inside a partition is a window over (partition, key), which splits a hot key
+    across all the partitions it spans."""
+    tagged = tag_positions(df, keys, order, num_partitions)
+    offsets = partition_offsets(tagged, keys, value)
+    w = (Window.partitionBy("_pid", *keys).orderBy("_loc")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    local = tagged.withColumn("_vlocal", F.coalesce(F.sum(value).over(w), F.lit(0)))
+    joined, _ = _join_offsets(local, offsets, keys, ["_vbefore"])
+    total = (F.col("_vbefore") + F.col("_vlocal")).alias(name)
+    return joined.select(*[local[c] for c in df.columns], total)
+
+
 def page_slice(df: DataFrame, order: list[str | Column], offset: int, limit: int,
                per_page: int, page_col: str = "page") -> DataFrame:
-    """Pages ``offset+1 .. offset+limit`` of ``per_page`` rows each in ``order``.
+    """Pages ``offset+1 .. offset+limit`` of ``per_page`` rows each in ``order`` (a unique
+    order makes the slice deterministic).
 
-    Distributed for any offset: rows are numbered with :func:`with_ordinal` and filtered,
-    instead of sorting ``offset+limit`` pages into one task.
+    A slice of at most :data:`TOP_K_ROWS` rows is a top-k (each task keeps its best
+    ``(offset+limit)*per_page`` rows, one task merges them); a deeper slice numbers all
+    rows with :func:`with_ordinal` and filters, so no task ever holds more than a partition.
     """
     if offset < 0 or limit < 0 or per_page <= 0:
         raise ValueError("offset and limit must be >= 0 and per_page > 0")
-    numbered = with_ordinal(df, [], order, "_ord")
     lo, hi = offset * per_page, (offset + limit) * per_page
+    if hi <= TOP_K_ROWS:
+        top = df.orderBy(*_cols(order)).limit(hi)
+        w = Window.orderBy(*_cols(order))  # over at most TOP_K_ROWS rows
+        numbered = top.withColumn("_ord", F.row_number().over(w) - 1)
+    else:
+        numbered = with_ordinal(df, [], order, "_ord")
     return (numbered.where((F.col("_ord") >= lo) & (F.col("_ord") < hi))
             .withColumn(page_col, (F.floor(F.col("_ord") / per_page) + 1).cast("int"))
             .drop("_ord"))

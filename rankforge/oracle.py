@@ -232,7 +232,9 @@ R_SQUARED = """WITH st AS (SELECT event_type, round_even(regr_slope(value, user_
 SELECT * FROM q"""
 
 FIT_REPORT = f"""WITH {ENC},
-  g AS (SELECT row_number() OVER (ORDER BY encounter_name, player_name, ranked_date, class) - 1 AS rid, * FROM gold),
+  g AS (SELECT row_number() OVER (ORDER BY encounter_name NULLS FIRST, player_name NULLS FIRST, class NULLS FIRST,
+             "rDPS" NULLS FIRST, "aDPS" NULLS FIRST, ranked_date NULLS FIRST, duration NULLS FIRST,
+             "lodestoneID" NULLS FIRST, guild_name NULLS FIRST, server_name NULLS FIRST) - 1 AS rid, * FROM gold),
   i AS (SELECT i AS draw, ('0x' || substr(md5('42:' || i), 1, 8))::BIGINT % (SELECT count(*) FROM gold) AS rid
         FROM range(100) t(i)),
   s AS (SELECT "rDPS"::DOUBLE AS x, "aDPS"::DOUBLE AS y FROM i JOIN g USING (rid)),

@@ -263,7 +263,7 @@ def feature_select(spark, sf_dir):
 
 def bootstrap_sample(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
-    return an.bootstrap_sample(ev, ["event_id"], n=100, seed=42)
+    return an.bootstrap_sample(ev, ["event_id"], n=100, seed=42, order_is_key=True)
 
 
 def least_squares(spark, sf_dir):
@@ -281,7 +281,7 @@ def r_squared(spark, sf_dir):
 
 def fit_report(spark, sf_dir):
     gold = _gold_enc(spark, sf_dir)
-    sample = an.bootstrap_sample(gold, ["encounter_name", "player_name", "ranked_date", "class"], 100, 42)
+    sample = an.bootstrap_sample(gold, enc.GOLD_COLUMNS, 100, 42)
     rep = an.fit_report(sample, "rDPS", "aDPS", [], round_decimal=2)
     return rep.select("m", "b", F.round("sse_base", 3).alias("sse_base"),
                       F.round("sse_reg", 3).alias("sse_reg"), "r2", "n")

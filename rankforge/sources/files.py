@@ -90,13 +90,13 @@ def write_landing(docs: DataFrame, landing_dir: str, name: str, when: _dt.dateti
 
 def raw_preview(docs: DataFrame, dataset: str = "guilds", n: int = 3) -> DataFrame:
     """Envelope of each document with only the first ``n`` records (A12), parsed with the
-    declared schema, one row per document."""
+    declared schema, one row per document; other columns of ``docs`` are kept."""
     from ..operators.nested import slice_records
 
     column, payload = schemas.PAYLOADS[dataset]
     array_path = {"guilds": "guilds.data", "encounters": "encounter.characterRankings.rankings",
                   "reports": "reports.data"}[dataset]
-    parsed = docs.select(F.from_json(F.col(column), payload).alias(column))
+    parsed = docs.withColumn(column, F.from_json(F.col(column), payload))
     return slice_records(parsed, f"{column}.{array_path}", n)
 
 
