@@ -36,6 +36,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        conf.update({
+            # a file stream hands each batch its new files as explicit paths; their status
+            # is fetched by a listing job of up to one task per file -- keep it to a few
+            # tasks on one machine (a cluster runs them in parallel anyway)
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": "16",
+            # local disk only: no .crc side files for the many small landing files
+            "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+            "spark.hadoop.fs.file.impl.disable.cache": "true",
+        })
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
