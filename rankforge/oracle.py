@@ -226,7 +226,7 @@ FROM gold GROUP BY ALL"""
 R_SQUARED = """WITH st AS (SELECT event_type, round_even(regr_slope(value, user_id), 2) AS m,
                    round_even(regr_intercept(value, user_id), 2) AS b, avg(value) AS yb FROM events GROUP BY 1),
      q AS (SELECT event_type, m, b, round(sum(pow(value - yb, 2)), 3) AS sse_base,
-                  round(sum(pow(value - (m * user_id + b), 2)), 3) AS sse_reg,
+                  round(sum(pow(value - (m * user_id + b), 2)), 4) AS sse_reg,
                   round_even(1 - sum(pow(value - (m * user_id + b), 2)) / sum(pow(value - yb, 2)), 2)::DOUBLE + 0.0 AS r2
            FROM events JOIN st USING (event_type) GROUP BY ALL)
 SELECT * FROM q"""

@@ -275,8 +275,10 @@ def r_squared(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     fit = an.least_squares(ev, "user_id", "value", ["event_type"], round_decimal=2)
     r2 = an.r_squared(ev, fit, "user_id", "value", ["event_type"])
+    # values have 2 decimals and the rounded line 2 as well, so each squared residual has 4
+    # and sse_reg is exact at 4 decimals: rounding it to 3 would land on ties
     return r2.select("event_type", "m", "b", F.round("sse_base", 3).alias("sse_base"),
-                     F.round("sse_reg", 3).alias("sse_reg"), "r2")
+                     F.round("sse_reg", 4).alias("sse_reg"), "r2")
 
 
 def fit_report(spark, sf_dir):
