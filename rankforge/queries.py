@@ -24,7 +24,7 @@ from .plans.reports import report_fights, select_reports as _select_reports
 from .plans.stages import guild_spec, run_pipeline, stage_counts as _stage_counts
 from .session import prepare, shared_path
 from .sources import fixtures
-from .sources.catalog import ensure_schemas, read_table, save_table
+from .sources.catalog import ensure_schemas, publish_view, read_table, save_table, use_schema
 from .sources.files import (attach_metadata, preview_sql, raw_preview as _raw_preview, read_landing,
                             stamp_from_file_name, write_landing)
 from .streaming.flows import append_to_table, bronze_stream, read_table_stream, upsert_stream
@@ -68,7 +68,8 @@ def gold_encounters(spark, sf_dir):
 
 
 def presentation(spark, sf_dir):
-    return enc.presentation(_gold_enc(spark, sf_dir))
+    """The presentation view (A9): a named temporary view over gold, read back by name."""
+    return publish_view(enc.presentation(_gold_enc(spark, sf_dir)), "encounter_ranking_presentation")
 
 
 def silver_guilds(spark, sf_dir):
@@ -114,7 +115,12 @@ def schema_setup(spark, sf_dir):
     gold = gold_guilds(spark, sf_dir)
     table = f"`{names[2]}`.guilds_gold"
     save_table(gold, table, comment="Guild ranks, newest load per guild.")
-    return read_table(spark, table)
+    previous = spark.catalog.currentDatabase()
+    use_schema(spark, names[2])
+    try:
+        return read_table(spark, "guilds_gold")   # resolved now, in the gold namespace
+    finally:
+        use_schema(spark, previous)
 
 
 def raw_preview(spark, sf_dir):
