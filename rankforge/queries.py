@@ -203,12 +203,13 @@ LOAD_DAYS = (3, 1, 2)  # arrival order: the newest pull lands first
 
 def _versioned_encounter_flow(spark, sf_dir):
     """Three pulls of the whole table land one after another; after each, the bronze
-    stream and then the silver upsert stream run to completion (availableNow)."""
+    stream and then the silver upsert stream run to completion (availableNow). Silver is
+    bucketed by ranking day, so a pull of recent rankings rewrites only recent days."""
     events = _t(spark, sf_dir, "events")
     root = shared_path(spark, "stream", "encounters")
     landing, bronze_path = f"{root}/landing", f"{root}/bronze"
     target = SnapshotTable(spark, f"{root}/silver", ["encounter_id", "player_name", "class", "ranked_date"],
-                           "ldts", enc.TIE_BREAK, bucket=F.pmod(F.dayofmonth("ranked_date"), F.lit(8)))
+                           "ldts", enc.TIE_BREAK, bucket=F.date_format("ranked_date", "yyyyMMdd"))
     for day in LOAD_DAYS:
         shifted = events.withColumn("value", F.col("value") + F.lit(float(3 - day)))
         _land_encounters(spark, sf_dir, shifted, dt.datetime(2026, 1, day), landing)

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from ..operators.latest import latest_per_key
 
 BUCKET = "_bucket"
+NULL_BUCKET = -1
 
 
 class _FS:
@@ -75,8 +76,10 @@ class SnapshotTable:
         self.keys = list(keys)
         self.version = version
         self.tie = list(tie)
-        self.bucket_expr = bucket if bucket is not None else F.pmod(
+        expr = bucket if bucket is not None else F.pmod(
             F.xxhash64(*[F.col(k) for k in keys]), F.lit(num_buckets))
+        # a NULL bucket (e.g. a date bucket of a NULL date) is a bucket of its own
+        self.bucket_expr = F.coalesce(expr.cast("int"), F.lit(NULL_BUCKET))
         self._fs = _FS(spark, self.path)
 
     # ------------------------------------------------------------------ manifests
@@ -111,7 +114,7 @@ class SnapshotTable:
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one batch; safe to call again with the same ``batch_id``."""
         newest = latest_per_key(batch, self.keys, self.version, self.tie)
-        tagged = newest.withColumn(BUCKET, self.bucket_expr.cast("int")).persist()
+        tagged = newest.withColumn(BUCKET, self.bucket_expr).persist()
         try:
             touched = sorted(str(r[0]) for r in tagged.select(BUCKET).distinct().collect())
             if not touched:
@@ -121,7 +124,7 @@ class SnapshotTable:
             data_schema = newest.schema
             if old_paths:
                 old = self.spark.read.schema(data_schema).parquet(*old_paths)
-                old = old.withColumn(BUCKET, self.bucket_expr.cast("int"))
+                old = old.withColumn(BUCKET, self.bucket_expr)
                 merged = latest_per_key(old.unionByName(tagged), self.keys + [BUCKET],
                                         self.version, self.tie)
             else:

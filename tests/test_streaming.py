@@ -75,3 +75,13 @@ def test_upsert_order_independent_and_replay_safe(spark, versions):
         results.append(sorted(t.read().collect()))
     assert results[0] == results[1] == results[2]
     assert all(r.ver == 3 for r in results[0]) and len(results[0]) == 7
+
+
+def test_upsert_with_null_bucket(spark):
+    df = spark.createDataFrame([(1, None, 1, "a"), (1, None, 2, "b"), (2, "2024-01-02", 1, "c")],
+                               "key int, day string, ver int, payload string")
+    t = SnapshotTable(spark, shared_path(spark, "test", "snapnull"), ["key", "day"], "ver", ["payload"],
+                      bucket=F.regexp_replace("day", "-", ""))
+    t.upsert(df.where("ver = 1"), 0)
+    t.upsert(df.where("ver = 2"), 1)
+    assert sorted((r.key, r.payload) for r in t.read().collect()) == [(1, "b"), (2, "c")]
