@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracle
+from . import oracle, schemas
 from .functions import (date_text, epoch_to_timestamp, minutes_seconds, normalize_time_fields,
                         surrogate_key, to_title_case)
 from .operators import analytics as an
@@ -105,7 +105,7 @@ def sql_preview(spark, sf_dir):
     landing = shared_path(spark, "landing", "guilds")
     write_landing(fixtures.guild_documents(_t(spark, sf_dir, "customer"), as_text=False).select("guildData"),
                   landing, "guilds", PULL_DAY)
-    return preview_sql(spark, landing, SOURCE)
+    return preview_sql(spark, landing, SOURCE, schema=schemas.landing_schema("guilds", as_text=False))
 
 
 def schema_setup(spark, sf_dir):

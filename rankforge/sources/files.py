@@ -70,18 +70,24 @@ def bronze(df: DataFrame, source: str, ldts: Column | None = None) -> DataFrame:
 
 
 def preview_sql(spark: SparkSession, landing_dir: str, source: str, drop: str = "_corrupt_record",
-                view: str = "landing_preview", n: int = 5, file_filter: str = FILE_FILTER) -> DataFrame:
+                view: str = "landing_preview", n: int = 5, file_filter: str = FILE_FILTER,
+                schema: T.StructType | None = None, sampling_ratio: float | None = None) -> DataFrame:
     """SQL preview (A4): all columns except one, plus load metadata, first ``n`` rows.
 
-    The landing folder is exposed as a temporary view ``USING json`` (multi-line)."""
+    The landing folder is exposed as a temporary view ``USING json`` (multi-line). Pass the
+    declared ``schema``: without it Spark infers one by reading the files (all of them, or a
+    ``sampling_ratio`` share), a full extra pass over a large landing folder."""
     path = landing_dir.rstrip("/").replace("'", "\\'")
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} USING json "
+    columns = ""
+    if schema is not None:
+        columns = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ") "
+    ratio = f", samplingRatio '{float(sampling_ratio)}'" if sampling_ratio and schema is None else ""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} {columns}USING json "
               f"OPTIONS (path '{path}', multiLine 'true', recursiveFileLookup 'true', "
-              f"pathGlobFilter '{file_filter}')")
-    cols = [c for c in spark.table(view).columns if c != drop]
-    select = ", ".join(f"`{c}`" for c in cols)
+              f"pathGlobFilter '{file_filter}'{ratio})")
+    star = f"* EXCEPT (`{drop}`)" if drop in spark.table(view).columns else "*"
     src = source.replace("'", "''")
-    return spark.sql(f"SELECT {select}, current_timestamp() AS ldts, '{src}' AS rsrc "
+    return spark.sql(f"SELECT {star}, current_timestamp() AS ldts, '{src}' AS rsrc "
                      f"FROM {view} LIMIT {int(n)}")
 
 

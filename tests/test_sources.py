@@ -76,3 +76,14 @@ def test_stage_runner_order_and_contract(spark):
         run_stages(raw, {"define": gld.define})
     with pytest.raises(ValueError):
         run_stages(raw, {"define": gld.define, "clean": gld.clean, "bogus": gld.clean})
+
+
+def test_preview_sql_with_declared_schema(spark):
+    from rankforge import schemas
+    landing = shared_path(spark, "test", "preview2")
+    docs = spark.createDataFrame([(guild_doc(GUILDS),)], "t string").select(
+        F.from_json("t", schemas.GUILD_DATA).alias("guildData"))
+    write_landing(docs, landing, "g", dt.datetime(2024, 1, 1))
+    out = preview_sql(spark, landing, "src", schema=schemas.landing_schema("guilds", as_text=False))
+    row = out.first()
+    assert out.columns == ["guildData", "ldts", "rsrc"] and row.guildData.guilds.data[0].id == 12345
