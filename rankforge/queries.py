@@ -202,32 +202,37 @@ LOAD_DAYS = (3, 1, 2)  # arrival order: the newest pull lands first
 
 
 def _versioned_encounter_flow(spark, sf_dir):
-    """Three pulls of the whole table land one after another; after each, the bronze
-    stream and then the silver upsert stream run to completion (availableNow). Silver is
+    """Three pulls of the whole table land one after another; after each, the chained
+    stream hops run to completion in order (availableNow): landing -> bronze table ->
+    silver-clean table (parse, explode, clean, rules) -> silver upsert target. Silver is
     bucketed by ranking day, so a pull of recent rankings rewrites only recent days."""
     events = _t(spark, sf_dir, "events")
     root = shared_path(spark, "stream", "encounters")
-    landing, bronze_path = f"{root}/landing", f"{root}/bronze"
+    landing, bronze_path, clean_path = f"{root}/landing", f"{root}/bronze", f"{root}/silver_clean"
     target = SnapshotTable(spark, f"{root}/silver", ["encounter_id", "player_name", "class", "ranked_date"],
                            "ldts", enc.TIE_BREAK, bucket=F.date_format("ranked_date", "yyyyMMdd"))
+    metrics = []
     for day in LOAD_DAYS:
         shifted = events.withColumn("value", F.col("value") + F.lit(float(3 - day)))
         _land_encounters(spark, sf_dir, shifted, dt.datetime(2026, 1, day), landing)
         append_to_table(bronze_stream(spark, landing, "encounters", SOURCE, stamp_from_file_name()),
                         bronze_path, f"{root}/_chk/bronze")
-        bronze_schema = spark.read.parquet(bronze_path).schema
-        upsert_stream(read_table_stream(spark, bronze_path, bronze_schema), target,
-                      f"{root}/_chk/silver", transform=enc.silver_clean)
-    return root, bronze_path, target
+        bronze = read_table_stream(spark, bronze_path, spark.read.parquet(bronze_path).schema)
+        metrics.append(append_to_table(enc.silver_clean(bronze, observation="silver_encounter_rules"),
+                                       clean_path, f"{root}/_chk/silver_clean"))
+        cleaned = read_table_stream(spark, clean_path, spark.read.parquet(clean_path).schema)
+        upsert_stream(cleaned, target, f"{root}/_chk/silver")
+    return {"root": root, "bronze": bronze_path, "silver_clean": clean_path, "silver": target,
+            "metrics": metrics}
 
 
 def stream_encounter_tables(spark, sf_dir):
-    root, bronze_path, target = _versioned_encounter_flow(spark, sf_dir)
-    return spark.read.parquet(bronze_path), target.read()
+    flow = _versioned_encounter_flow(spark, sf_dir)
+    return spark.read.parquet(flow["bronze"]), spark.read.parquet(flow["silver_clean"]), flow["silver"].read()
 
 
 def stream_bronze(spark, sf_dir):
-    bronze, _ = stream_encounter_tables(spark, sf_dir)
+    bronze, _, _ = stream_encounter_tables(spark, sf_dir)
     recs = F.size(F.from_json("worldData", "encounter struct<characterRankings: struct<rankings: array<string>>>")
                   ["encounter"]["characterRankings"]["rankings"])
     return _ntz(bronze.groupBy("ldts").agg(F.count(F.lit(1)).alias("documents"),
@@ -235,17 +240,17 @@ def stream_bronze(spark, sf_dir):
 
 
 def stream_silver(spark, sf_dir):
-    bronze, _ = stream_encounter_tables(spark, sf_dir)
-    return _ntz(enc.silver_clean(bronze).drop("rsrc"), "ldts", "ranked_date")
+    _, cleaned, _ = stream_encounter_tables(spark, sf_dir)
+    return _ntz(cleaned.drop("rsrc"), "ldts", "ranked_date")
 
 
 def stream_latest_encounters(spark, sf_dir):
-    _, silver = stream_encounter_tables(spark, sf_dir)
+    _, _, silver = stream_encounter_tables(spark, sf_dir)
     return _ntz(silver.drop("rsrc"), "ldts", "ranked_date")
 
 
 def stream_gold_encounters(spark, sf_dir):
-    _, silver = stream_encounter_tables(spark, sf_dir)
+    _, _, silver = stream_encounter_tables(spark, sf_dir)
     return enc.gold(silver)
 
 

@@ -30,12 +30,26 @@ def bronze_stream(spark: SparkSession, landing_dir: str, dataset: str, source: s
                            source, ldts)
 
 
-def append_to_table(stream: DataFrame, table_path: str, checkpoint: str) -> None:
-    """Append-only streaming table (A7) as parquet, run until the input is drained."""
+def observed_metrics(query) -> dict[str, dict]:
+    """Metrics of every ``observe`` in the query, summed over the batches it ran."""
+    totals: dict[str, dict] = {}
+    for progress in query.recentProgress:
+        for name, row in (progress.observedMetrics or {}).items():
+            values = row.asDict() if hasattr(row, "asDict") else dict(row)
+            acc = totals.setdefault(name, {})
+            for k, v in values.items():
+                acc[k] = acc.get(k, 0) + (v or 0)
+    return totals
+
+
+def append_to_table(stream: DataFrame, table_path: str, checkpoint: str) -> dict[str, dict]:
+    """Append-only streaming table (A7) as parquet, run until the input is drained.
+    Returns the ``observe`` metrics of the run (e.g. rows failing each quality rule)."""
     q = (stream.writeStream.format("parquet").outputMode("append")
          .option("path", table_path).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     run_to_completion(q)
+    return observed_metrics(q)
 
 
 def read_table_stream(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:

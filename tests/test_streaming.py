@@ -85,3 +85,21 @@ def test_upsert_with_null_bucket(spark):
     t.upsert(df.where("ver = 1"), 0)
     t.upsert(df.where("ver = 2"), 1)
     assert sorted((r.key, r.payload) for r in t.read().collect()) == [(1, "b"), (2, "c")]
+
+
+def test_chained_hops_report_rule_failures(spark, sf_small):
+    from rankforge.operators.quality import SILVER_ENCOUNTER_RULES, expectation_report
+    from rankforge.sources import fixtures
+
+    flow = q._versioned_encounter_flow(spark, sf_small)
+    ev = spark.read.parquet(f"{sf_small}/events.parquet")
+    n_events = ev.count()
+    for day, m in zip(q.LOAD_DAYS, flow["metrics"]):
+        got = m["silver_encounter_rules"]
+        shifted = ev.withColumn("value", F.col("value") + F.lit(float(3 - day)))
+        docs = attach_metadata(fixtures.rank_documents(shifted).drop("_doc"), "t")
+        report = {r.rule: r.rows_failed for r in expectation_report(
+            enc.clean(enc.define(enc.unpack(docs))), SILVER_ENCOUNTER_RULES).collect()}
+        assert got["rows_tested"] == n_events
+        assert all(got[f"failed_{name}"] == report[name] for name in SILVER_ENCOUNTER_RULES)
+    assert spark.read.parquet(flow["silver_clean"]).count() < 3 * n_events
