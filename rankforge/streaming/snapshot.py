@@ -55,6 +55,9 @@ class _FS:
         finally:
             stream.close()
 
+    def delete(self, path: str) -> None:
+        self.fs.delete(self._path(path), True)
+
     def write_text_atomic(self, path: str, text: str) -> None:
         tmp = self._path(path + ".tmp")
         out = self.fs.create(tmp, True)
@@ -110,6 +113,35 @@ class SnapshotTable:
         schema = T.StructType.fromJson(json.loads(m["schema"]))
         return self.spark.read.schema(schema).parquet(*self._bucket_paths(m))
 
+    # ------------------------------------------------------------------ housekeeping
+    def vacuum(self, retain: int = 2) -> list[str]:
+        """Delete version folders and manifests that none of the newest ``retain``
+        manifests refers to (older snapshots stop being readable). Returns what was
+        deleted. Run it between batches, never concurrently with an upsert."""
+        if retain < 1:
+            raise ValueError("retain must be >= 1")
+        ids = self._manifest_ids()
+        keep_ids = ids[-retain:]
+        live = set()
+        for i in keep_ids:
+            doc = json.loads(self._fs.read_text(f"{self.path}/_manifest/{i:012d}.json"))
+            live.update(int(v) for v in doc["buckets"].values())
+        # a replay of the newest batch rebuilds from the manifest before it: keep that too
+        if len(ids) > len(keep_ids):
+            doc = json.loads(self._fs.read_text(f"{self.path}/_manifest/{ids[-len(keep_ids) - 1]:012d}.json"))
+            live.update(int(v) for v in doc["buckets"].values())
+            keep_ids = ids[-len(keep_ids) - 1:]
+        deleted = []
+        for name in self._fs.list_names(self.path):
+            if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) not in live:
+                self._fs.delete(f"{self.path}/{name}")
+                deleted.append(name)
+        for i in ids:
+            if i not in keep_ids:
+                self._fs.delete(f"{self.path}/_manifest/{i:012d}.json")
+                deleted.append(f"_manifest/{i:012d}.json")
+        return deleted
+
     # ------------------------------------------------------------------ writes
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one batch; safe to call again with the same ``batch_id``."""

@@ -103,3 +103,15 @@ def test_chained_hops_report_rule_failures(spark, sf_small):
         assert got["rows_tested"] == n_events
         assert all(got[f"failed_{name}"] == report[name] for name in SILVER_ENCOUNTER_RULES)
     assert spark.read.parquet(flow["silver_clean"]).count() < 3 * n_events
+
+
+def test_vacuum_keeps_current_and_replay_base(spark, versions):
+    t = SnapshotTable(spark, shared_path(spark, "test", "vac"), ["key"], "ver", ["payload"], num_buckets=3)
+    for batch_id in range(3):
+        t.upsert(versions[batch_id], batch_id)
+    before = sorted(t.read().collect())
+    deleted = t.vacuum(retain=1)
+    assert "v=000000000000" in deleted and "_manifest/000000000000.json" in deleted
+    assert sorted(t.read().collect()) == before
+    t.upsert(versions[2], 2)                 # replay of the newest batch still works
+    assert sorted(t.read().collect()) == before
