@@ -136,6 +136,12 @@ UNION ALL SELECT 1, 'bronze', count(DISTINCT c_custkey // 100) FROM customer
 UNION ALL SELECT 2, 'silver', count(DISTINCT guild_id) FROM draft_c
 UNION ALL SELECT 3, 'gold', count(DISTINCT guild_id) FROM draft_c"""
 
+STAGE_COUNTS_ENCOUNTERS = f"""WITH {ENC}
+SELECT 0 AS step, 'raw' AS stage, count(DISTINCT (user_id % 5, event_id // 100)) AS rows FROM events
+UNION ALL SELECT 1, 'bronze', count(DISTINCT (user_id % 5, event_id // 100)) FROM events
+UNION ALL SELECT 2, 'silver', count(*) FROM silver
+UNION ALL SELECT 3, 'gold', count(*) FROM gold"""
+
 # ---------------------------------------------------------------- quality report
 ENC_RULE_SQL = f"""WITH p AS (SELECT *, (props->>'$.k')::INT AS k FROM events),
 c AS (SELECT (user_id % 5 + 101)::INT AS encounter_id,

@@ -21,7 +21,7 @@ from .operators.quality import SILVER_ENCOUNTER_RULES, SILVER_GUILD_RULES, expec
 from .plans import encounters as enc
 from .plans import guilds as gld
 from .plans.reports import report_fights, select_reports as _select_reports
-from .plans.stages import guild_spec, run_pipeline, stage_counts as _stage_counts
+from .plans.stages import encounter_spec, guild_spec, run_pipeline, stage_counts as _stage_counts
 from .session import prepare, shared_path
 from .sources import fixtures
 from .sources.catalog import ensure_schemas, publish_view, read_table, save_table, use_schema
@@ -139,6 +139,14 @@ def stage_counts(spark, sf_dir):
     return _stage_counts(frames)
 
 
+def stage_counts_encounters(spark, sf_dir):
+    """The encounter chain through the stage runner: raw documents -> bronze -> silver
+    (all rules, newest per key) -> gold (projection and gold rules)."""
+    raw = fixtures.rank_documents(_t(spark, sf_dir, "events")).drop("_doc")
+    frames = run_pipeline(raw, encounter_spec(SOURCE))
+    return _stage_counts(frames)
+
+
 # ---------------------------------------------------------------- page merge / slice / keys
 def merge_pages(spark, sf_dir):
     pages = fixtures.event_pages(_t(spark, sf_dir, "events"))
@@ -343,6 +351,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_setup": schema_setup,
     "raw_preview": raw_preview,
     "stage_counts": stage_counts,
+    "stage_counts_encounters": stage_counts_encounters,
     "merge_pages": merge_pages,
     "page_slice": page_slice,
     "surrogate_key": surrogate_keys,
@@ -378,6 +387,7 @@ ORACLE_SQL: dict[str, str] = {
     "schema_setup": oracle.SCHEMA_SETUP,
     "raw_preview": oracle.RAW_PREVIEW,
     "stage_counts": oracle.STAGE_COUNTS,
+    "stage_counts_encounters": oracle.STAGE_COUNTS_ENCOUNTERS,
     "merge_pages": oracle.MERGE_PAGES,
     "page_slice": oracle.PAGE_SLICE,
     "surrogate_key": oracle.SURROGATE_KEY,

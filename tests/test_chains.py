@@ -118,3 +118,11 @@ def test_guild_sample_and_edges(spark):
     gold = {r.guild_id for r in gld.gold(gld.deduplicate(gld.silver_clean(
         bronze(spark, [guild_doc(GUILDS)], "guildData")))).collect()}
     assert gold == {12345, 5}                     # NULL name dropped at gold
+
+
+def test_presentation_detail_variant(spark):
+    gold = enc.gold(enc.silver_clean(bronze(spark, [world([ranking(duration=6_000_000)])])))
+    short = enc.presentation(gold)
+    full = enc.presentation(gold, truncate=False, detail=True).first()
+    assert "duration" not in short.columns
+    assert (full.duration_fmt, full.duration, full.lodestoneID) == ("100:00", 6000, 12345678)
