@@ -107,25 +107,45 @@ def least_squares(df: DataFrame, x: str, y: str, group: list[str] = (),
 
 
 # ------------------------------------------------------------------ L4
+def moments(df: DataFrame, x: str, y: str, group: list[str] = ()) -> DataFrame:
+    """One row per group: count, mean and population variance of ``y`` (all non-NULL y),
+    and count, means, population variances and covariance of the (x, y) pairs where both
+    are non-NULL. One aggregate with a map-side partial phase; Spark merges the partial
+    states with the pairwise (Chan) update, so the sums of squares stay exact to rounding
+    for a group of any size, and only one partial row per task and group is shuffled."""
+    xd, yd = _d(x), _d(y)
+    both = xd.isNotNull() & yd.isNotNull()
+    px, py = F.when(both, xd), F.when(both, yd)
+    return df.groupBy(*group).agg(
+        F.count(yd).alias("_ny"), F.var_pop(yd).alias("_vy"),
+        F.count(px).alias("_np"), F.avg(px).alias("_mx"), F.avg(py).alias("_my"),
+        F.var_pop(px).alias("_vx"), F.var_pop(py).alias("_vyp"), F.covar_pop(px, py).alias("_cxy"))
+
+
 def r_squared(df: DataFrame, fit: DataFrame, x: str, y: str, group: list[str] = (),
               decimals: int = 2) -> DataFrame:
     """R^2 = 1 - SSE(line)/SSE(mean) of a *given* line (m, b) per group, half-to-even
-    rounded, with both sums of squares. The per-group line and mean (one row per group)
-    are joined back on the group key; without a group that side is one row, broadcast."""
+    rounded, with both sums of squares.
+
+    No row of ``df`` is joined or shuffled: with r = y - (m x + b),
+    SSE(mean) = n_y var(y) and SSE(line) = n (var(y) + m^2 var(x) - 2 m cov(x, y))
+    + n (mean(y) - m mean(x) - b)^2 over the (x, y) pairs, all from :func:`moments`. Only
+    the one-row-per-group moments meet the one-row-per-group line (NULL group keys match
+    each other)."""
     data, keys = _keys(df, group)
     fit_k, _ = _keys(fit, group)
-    stats = fit_k.select(*keys, "m", "b").join(
-        data.groupBy(*keys).agg(F.avg(_d(y)).alias("_ybar")), keys)
-    if not group:
-        stats = F.broadcast(stats)
-    joined = data.join(stats, keys)
-    resid = _d(y) - (F.col("m") * _d(x) + F.col("b"))
-    dev = _d(y) - F.col("_ybar")
-    agg = joined.groupBy(*keys).agg(F.first("m").alias("m"), F.first("b").alias("b"),
-                                    F.sum(dev * dev).alias("sse_base"),
-                                    F.sum(resid * resid).alias("sse_reg"))
+    mom = moments(data, x, y, keys)
+    line = fit_k.select(*[F.col(k).alias(f"_f{i}") for i, k in enumerate(keys)], "m", "b")
+    joined = mom.join(line, [mom[k].eqNullSafe(line[f"_f{i}"]) for i, k in enumerate(keys)])
+    m, b = F.col("m"), F.col("b")
+    resid_var = F.greatest(F.col("_vyp") + m * m * F.col("_vx") - 2 * m * F.col("_cxy"), F.lit(0.0))
+    resid_mean = F.col("_my") - m * F.col("_mx") - b
+    sse_base = F.col("_ny") * F.col("_vy")
+    sse_reg = F.col("_np") * (resid_var + resid_mean * resid_mean)
+    out = joined.select(*[mom[k] for k in keys], "m", "b", F.when(F.col("_ny") > 0, sse_base).alias("sse_base"),
+                        F.when(F.col("_np") > 0, sse_reg).alias("sse_reg"))
     r2 = F.bround(1 - F.col("sse_reg") / F.col("sse_base"), decimals) + F.lit(0.0)
-    out = agg.withColumn("r2", r2)
+    out = out.withColumn("r2", r2)
     return out if group else _drop_all(out)
 
 

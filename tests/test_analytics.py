@@ -46,6 +46,29 @@ def test_r_squared_of_given_line(xy):
     assert rep.n == len(X) and rep.r2 == r.r2
 
 
+def test_r_squared_moments_against_brute_force(spark):
+    """Grouped R^2 from moments equals the row-by-row sums, with NULL x / y rows, a NULL
+    group key and a hot group far from the origin (large mean, small spread)."""
+    rng = np.random.default_rng(7)
+    rows = [("hot", 1e6 + float(i), 3e5 + 0.5 * i + float(rng.normal(0, 2))) for i in range(3000)]
+    rows += [(None, float(i), 2.0 * i + 1.0) for i in range(5)]
+    rows += [("holes", 1.0, 2.0), ("holes", None, 5.0), ("holes", 3.0, None), ("holes", 4.0, 9.5),
+             ("holes", 6.0, 12.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    fit = an.least_squares(df, "x", "y", ["g"], round_decimal=2)
+    got = {r.g: r for r in an.r_squared(df, fit, "x", "y", ["g"]).collect()}
+    lines = {r.g: (r.m, r.b) for r in fit.collect()}
+    assert set(got) == {"hot", None, "holes"}
+    for g, (m, b) in lines.items():
+        ys = [y for k, _, y in rows if k == g and y is not None]
+        pairs = [(x, y) for k, x, y in rows if k == g and x is not None and y is not None]
+        base = sum((y - np.mean(ys)) ** 2 for y in ys)
+        reg = sum((y - (m * x + b)) ** 2 for x, y in pairs)
+        assert got[g].sse_base == pytest.approx(base, rel=1e-9, abs=1e-9)
+        assert got[g].sse_reg == pytest.approx(reg, rel=1e-9, abs=1e-9)
+        assert got[g].r2 == round(1 - reg / base, 2) + 0.0
+
+
 def test_fit_points_and_line_recovery(xy):
     a = xy.where("g = 'a'")
     fit = an.least_squares(a, "x", "y")
