@@ -107,19 +107,37 @@ def least_squares(df: DataFrame, x: str, y: str, group: list[str] = (),
 
 
 # ------------------------------------------------------------------ L4
-def moments(df: DataFrame, x: str, y: str, group: list[str] = ()) -> DataFrame:
-    """One row per group: count, mean and population variance of ``y`` (all non-NULL y),
-    and count, means, population variances and covariance of the (x, y) pairs where both
-    are non-NULL. One aggregate with a map-side partial phase; Spark merges the partial
-    states with the pairwise (Chan) update, so the sums of squares stay exact to rounding
-    for a group of any size, and only one partial row per task and group is shuffled."""
+def _moment_aggs(x: str, y: str) -> list[Column]:
+    """Count, mean and population variance of ``y`` (all non-NULL y), and count, means,
+    population variances and covariance of the (x, y) pairs where both are non-NULL.
+    Spark merges their partial states with the pairwise (Chan) update, so the sums of
+    squares stay exact to rounding for a group of any size."""
     xd, yd = _d(x), _d(y)
     both = xd.isNotNull() & yd.isNotNull()
     px, py = F.when(both, xd), F.when(both, yd)
-    return df.groupBy(*group).agg(
-        F.count(yd).alias("_ny"), F.var_pop(yd).alias("_vy"),
-        F.count(px).alias("_np"), F.avg(px).alias("_mx"), F.avg(py).alias("_my"),
-        F.var_pop(px).alias("_vx"), F.var_pop(py).alias("_vyp"), F.covar_pop(px, py).alias("_cxy"))
+    return [F.count(yd).alias("_ny"), F.var_pop(yd).alias("_vy"),
+            F.count(px).alias("_np"), F.avg(px).alias("_mx"), F.avg(py).alias("_my"),
+            F.var_pop(px).alias("_vx"), F.var_pop(py).alias("_vyp"), F.covar_pop(px, py).alias("_cxy")]
+
+
+def moments(df: DataFrame, x: str, y: str, group: list[str] = ()) -> DataFrame:
+    """One row per group with the columns of :func:`_moment_aggs`: one aggregate with a
+    map-side partial phase, so only one partial row per task and group is shuffled."""
+    return df.groupBy(*group).agg(*_moment_aggs(x, y))
+
+
+def _sse_columns(m: Column, b: Column) -> list[Column]:
+    """SSE(mean) = n_y var(y); SSE(line) = n (var(y) + m^2 var(x) - 2 m cov(x, y))
+    + n (mean(y) - m mean(x) - b)^2 over the (x, y) pairs, for r = y - (m x + b)."""
+    resid_var = F.greatest(F.col("_vyp") + m * m * F.col("_vx") - 2 * m * F.col("_cxy"), F.lit(0.0))
+    resid_mean = F.col("_my") - m * F.col("_mx") - b
+    sse_base = F.when(F.col("_ny") > 0, F.col("_ny") * F.col("_vy"))
+    sse_reg = F.when(F.col("_np") > 0, F.col("_np") * (resid_var + resid_mean * resid_mean))
+    return [sse_base.alias("sse_base"), sse_reg.alias("sse_reg")]
+
+
+def _r2(decimals: int) -> Column:
+    return (F.bround(1 - F.col("sse_reg") / F.col("sse_base"), decimals) + F.lit(0.0)).alias("r2")
 
 
 def r_squared(df: DataFrame, fit: DataFrame, x: str, y: str, group: list[str] = (),
@@ -127,25 +145,16 @@ def r_squared(df: DataFrame, fit: DataFrame, x: str, y: str, group: list[str] =
     """R^2 = 1 - SSE(line)/SSE(mean) of a *given* line (m, b) per group, half-to-even
     rounded, with both sums of squares.
 
-    No row of ``df`` is joined or shuffled: with r = y - (m x + b),
-    SSE(mean) = n_y var(y) and SSE(line) = n (var(y) + m^2 var(x) - 2 m cov(x, y))
-    + n (mean(y) - m mean(x) - b)^2 over the (x, y) pairs, all from :func:`moments`. Only
-    the one-row-per-group moments meet the one-row-per-group line (NULL group keys match
-    each other)."""
+    No row of ``df`` is joined or shuffled: the sums of squares come from :func:`moments`
+    (see :func:`_sse_columns`); only the one-row-per-group moments meet the
+    one-row-per-group line (NULL group keys match each other)."""
     data, keys = _keys(df, group)
     fit_k, _ = _keys(fit, group)
     mom = moments(data, x, y, keys)
     line = fit_k.select(*[F.col(k).alias(f"_f{i}") for i, k in enumerate(keys)], "m", "b")
     joined = mom.join(line, [mom[k].eqNullSafe(line[f"_f{i}"]) for i, k in enumerate(keys)])
-    m, b = F.col("m"), F.col("b")
-    resid_var = F.greatest(F.col("_vyp") + m * m * F.col("_vx") - 2 * m * F.col("_cxy"), F.lit(0.0))
-    resid_mean = F.col("_my") - m * F.col("_mx") - b
-    sse_base = F.col("_ny") * F.col("_vy")
-    sse_reg = F.col("_np") * (resid_var + resid_mean * resid_mean)
-    out = joined.select(*[mom[k] for k in keys], "m", "b", F.when(F.col("_ny") > 0, sse_base).alias("sse_base"),
-                        F.when(F.col("_np") > 0, sse_reg).alias("sse_reg"))
-    r2 = F.bround(1 - F.col("sse_reg") / F.col("sse_base"), decimals) + F.lit(0.0)
-    out = out.withColumn("r2", r2)
+    out = joined.select(*[mom[k] for k in keys], "m", "b", *_sse_columns(F.col("m"), F.col("b")))
+    out = out.withColumn("r2", _r2(decimals))
     return out if group else _drop_all(out)
 
 
@@ -203,9 +212,16 @@ def damage_probability(df: DataFrame, x: float, measure: str = "rDPS",
 # ------------------------------------------------------------------ L9
 def fit_report(sample: DataFrame, x: str, y: str, group: list[str] = (),
                round_decimal: int = 2) -> DataFrame:
-    """Slope, intercept (rounded as the caller asks), R^2, both SSEs and n per group."""
+    """Slope, intercept (rounded as the caller asks), R^2 of that line, both SSEs and n per
+    group. The fit and the moments are one aggregate: the sample is read once and no
+    table is joined."""
     data, keys = _keys(sample, group)
-    fit = least_squares(data, x, y, keys, round_decimal)
-    report = r_squared(data, fit, x, y, keys)
-    out = report.join(fit.select(*keys, "n"), keys)
+    m = F.regr_slope(_d(y), _d(x))
+    b = F.regr_intercept(_d(y), _d(x))
+    if round_decimal:
+        m, b = F.bround(m, round_decimal), F.bround(b, round_decimal)
+    stats = data.groupBy(*keys).agg(m.alias("m"), b.alias("b"), F.count(F.lit(1)).alias("n"),
+                                    *_moment_aggs(x, y))
+    out = stats.select(*keys, "m", "b", *_sse_columns(F.col("m"), F.col("b")), "n")
+    out = out.select(*keys, "m", "b", "sse_base", "sse_reg", _r2(2), "n")
     return out if group else _drop_all(out)
