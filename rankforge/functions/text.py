@@ -32,9 +32,9 @@ def to_title_case(col: Column | str, case: str) -> Column:
 
 
 def trim_whitespace(col: Column | str) -> Column:
-    """CR/LF become spaces, runs of whitespace become one space, both ends trimmed."""
-    one_line = F.regexp_replace(_col(col), r"[\r\n]", " ")
-    return F.trim(F.regexp_replace(one_line, r"\s+", " "))
+    """CR/LF become spaces, runs of whitespace become one space, both ends trimmed.
+    The whitespace class covers CR and LF, so one replacement does both."""
+    return F.trim(F.regexp_replace(_col(col), r"\s+", " "))
 
 
 def capitalize_words(col: Column | str) -> Column:
