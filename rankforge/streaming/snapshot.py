@@ -144,32 +144,32 @@ class SnapshotTable:
 
     # ------------------------------------------------------------------ writes
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge one batch; safe to call again with the same ``batch_id``."""
-        newest = latest_per_key(batch, self.keys, self.version, self.tie)
-        tagged = newest.withColumn(BUCKET, self.bucket_expr).persist()
-        try:
-            touched = sorted(str(r[0]) for r in tagged.select(BUCKET).distinct().collect())
-            if not touched:
-                return
-            prev = self.manifest(before=batch_id)
-            old_paths = self._bucket_paths(prev, set(touched))
-            data_schema = newest.schema
-            if old_paths:
-                old = self.spark.read.schema(data_schema).parquet(*old_paths)
-                old = old.withColumn(BUCKET, self.bucket_expr)
-                merged = latest_per_key(old.unionByName(tagged), self.keys + [BUCKET],
-                                        self.version, self.tie)
-            else:
-                merged = tagged
-            target = f"{self.path}/v={batch_id:012d}"
-            # no repartition by bucket: a bucket may hold a third of the rows; every task
-            # writes its share of each bucket it holds
-            merged.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-            buckets = dict(prev["buckets"])
-            for b in touched:
-                buckets[b] = batch_id
-            doc = {"batch": batch_id, "previous": prev["batch"], "schema": data_schema.json(),
-                   "buckets": buckets}
-            self._fs.write_text_atomic(f"{self.path}/_manifest/{batch_id:012d}.json", json.dumps(doc))
-        finally:
-            tagged.unpersist()
+        """Merge one batch; safe to call again with the same ``batch_id``.
+
+        Two jobs: the set of buckets the batch touches (a partial ``distinct`` of one
+        small column), then one newest-per-key aggregate over (old rows of those buckets
+        UNION batch rows), written by bucket. The batch is read twice instead of being
+        cached: a micro-batch of a file or table source re-reads the same files."""
+        tagged = batch.withColumn(BUCKET, self.bucket_expr)
+        touched = sorted(str(r[0]) for r in tagged.select(BUCKET).distinct().collect())
+        if not touched:
+            return
+        prev = self.manifest(before=batch_id)
+        old_paths = self._bucket_paths(prev, set(touched))
+        data_schema = batch.schema
+        rows = tagged
+        if old_paths:
+            old = self.spark.read.schema(data_schema).parquet(*old_paths)
+            rows = old.withColumn(BUCKET, self.bucket_expr).unionByName(tagged)
+        # the bucket is a function of the key: grouping by (key, bucket) is grouping by key
+        merged = latest_per_key(rows, self.keys + [BUCKET], self.version, self.tie)
+        target = f"{self.path}/v={batch_id:012d}"
+        # no repartition by bucket: a bucket may hold a third of the rows; every task
+        # writes its share of each bucket it holds
+        merged.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
+        buckets = dict(prev["buckets"])
+        for b in touched:
+            buckets[b] = batch_id
+        doc = {"batch": batch_id, "previous": prev["batch"], "schema": data_schema.json(),
+               "buckets": buckets}
+        self._fs.write_text_atomic(f"{self.path}/_manifest/{batch_id:012d}.json", json.dumps(doc))
