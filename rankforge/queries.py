@@ -223,12 +223,12 @@ def _versioned_encounter_flow(spark, sf_dir):
     for day in LOAD_DAYS:
         shifted = events.withColumn("value", F.col("value") + F.lit(float(3 - day)))
         _land_encounters(spark, sf_dir, shifted, dt.datetime(2026, 1, day), landing)
-        append_to_table(bronze_stream(spark, landing, "encounters", SOURCE, stamp_from_file_name()),
-                        bronze_path, f"{root}/_chk/bronze")
-        bronze = read_table_stream(spark, bronze_path, spark.read.parquet(bronze_path).schema)
-        metrics.append(append_to_table(enc.silver_clean(bronze, observation="silver_encounter_rules"),
-                                       clean_path, f"{root}/_chk/silver_clean"))
-        cleaned = read_table_stream(spark, clean_path, spark.read.parquet(clean_path).schema)
+        landed = bronze_stream(spark, landing, "encounters", SOURCE, stamp_from_file_name())
+        append_to_table(landed, bronze_path, f"{root}/_chk/bronze")
+        bronze = read_table_stream(spark, bronze_path, landed.schema)
+        clean = enc.silver_clean(bronze, observation="silver_encounter_rules")
+        metrics.append(append_to_table(clean, clean_path, f"{root}/_chk/silver_clean"))
+        cleaned = read_table_stream(spark, clean_path, clean.schema)
         upsert_stream(cleaned, target, f"{root}/_chk/silver")
     return {"root": root, "bronze": bronze_path, "silver_clean": clean_path, "silver": target,
             "metrics": metrics}

@@ -52,9 +52,22 @@ def append_to_table(stream: DataFrame, table_path: str, checkpoint: str) -> dict
     return observed_metrics(q)
 
 
+def as_nullable(dtype: T.DataType) -> T.DataType:
+    """The same type with every field nullable (what a file table stores)."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, as_nullable(f.dataType), True, f.metadata)
+                             for f in dtype.fields])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(as_nullable(dtype.elementType), True)
+    if isinstance(dtype, T.MapType):
+        return T.MapType(dtype.keyType, as_nullable(dtype.valueType), True)
+    return dtype
+
+
 def read_table_stream(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
-    """Stream read of an append-only parquet table (A5)."""
-    return spark.readStream.schema(schema).parquet(table_path)
+    """Stream read of an append-only parquet table (A5). Pass the schema of the stream that
+    writes the table (no file of the table is opened to learn it)."""
+    return spark.readStream.schema(as_nullable(schema)).parquet(table_path)
 
 
 def upsert_stream(stream: DataFrame, target: SnapshotTable, checkpoint: str,
