@@ -6,6 +6,7 @@ timestamp casts of the silver/gold layers depend on it.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -14,6 +15,13 @@ from pyspark.sql import SparkSession
 
 UTC = "UTC"
 
+# Fixed values of the shuffle sizing rule: bytes one shuffle partition should hold, how
+# much larger decoded shuffle rows are than the compressed parquet they come from, and a
+# ceiling on the partition count.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+SHUFFLE_EXPANSION = 4
+MAX_SHUFFLE_PARTITIONS = 200_000
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "rankforge") -> SparkSession:
@@ -92,3 +100,26 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Stored size of a file or folder (one file-system summary call, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def size_shuffle(spark: SparkSession, nbytes: int) -> int:
+    """Make ``spark.sql.shuffle.partitions`` large enough that a shuffle of an input of
+    ``nbytes`` stored bytes puts about :data:`TARGET_PARTITION_BYTES` in each partition.
+
+    Only ever raises the setting (a cluster's own larger value is kept); adaptive execution
+    coalesces the partitions that turn out small, but it cannot split one that is too big,
+    so the initial count must fit the largest input. Returns the count in force."""
+    want = min(MAX_SHUFFLE_PARTITIONS, math.ceil(max(nbytes, 0) * SHUFFLE_EXPANSION / TARGET_PARTITION_BYTES))
+    current = shuffle_partitions(spark)
+    if want > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(want))
+        return want
+    return current

@@ -14,7 +14,12 @@ RECORDS_PER_DOC = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the shuffle width is raised to fit its stored size first."""
+    from ..session import input_bytes, size_shuffle
+
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    size_shuffle(spark, input_bytes(spark, path))
+    return spark.read.parquet(path)
 
 
 def ranking_records(events: DataFrame) -> DataFrame:
