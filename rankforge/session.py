@@ -19,8 +19,8 @@ UTC = "UTC"
 # much larger decoded shuffle rows are than the compressed parquet they come from, and a
 # ceiling on the partition count.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-SHUFFLE_EXPANSION = 4
-MAX_SHUFFLE_PARTITIONS = 200_000
+SHUFFLE_EXPANSION = 2
+MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,

@@ -9,7 +9,7 @@ def test_size_shuffle_only_raises(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         assert S.size_shuffle(spark, 10 * 1024 * 1024) == 8            # small input: kept
         hundred_gb = 100 * 1024 ** 3
-        want = hundred_gb * S.SHUFFLE_EXPANSION // S.TARGET_PARTITION_BYTES   # 3,200
+        want = hundred_gb * S.SHUFFLE_EXPANSION // S.TARGET_PARTITION_BYTES   # 1,600
         assert S.size_shuffle(spark, hundred_gb) == want                # raised to fit
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(want)
         assert S.size_shuffle(spark, 1024) == want                      # never lowered
