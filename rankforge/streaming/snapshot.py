@@ -7,7 +7,11 @@ Each upsert (one micro-batch) rewrites only the buckets its rows fall in:
     new bucket = newest-per-key(old bucket rows  UNION  batch rows)
 
 and publishes a manifest ``_manifest/{batch:012d}.json`` mapping every bucket to the
-version folder that holds it; the newest manifest is the current snapshot. A replayed batch
+version folder that holds it (and its row count); the newest manifest is the current
+snapshot. A rewritten bucket is laid out in ``ceil(rows / rows_per_file)`` slices by a
+hash of the key, each written by one task, so a version holds about one file per slice
+whatever the number of tasks, and a bucket holding a third of the rows is spread over
+many tasks. A replayed batch
 id rewrites the same folder and manifest from the manifest *before* it, so retries after a
 crash are idempotent. "Newest" is ``max(struct(version, tie..., row))``, which does not
 depend on arrival order: an older version arriving later never overwrites a newer one.
@@ -16,6 +20,7 @@ depend on arrival order: an older version arriving later never overwrites a newe
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +29,9 @@ from pyspark.sql import types as T
 from ..operators.latest import latest_per_key
 
 BUCKET = "_bucket"
+SLICE = "_slice"
 NULL_BUCKET = -1
+ROWS_PER_FILE = 2_000_000
 
 
 class _FS:
@@ -73,8 +80,12 @@ class _FS:
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, keys: list[str], version: str = "ldts",
-                 tie: list[str] = (), bucket: Column | None = None, num_buckets: int = 64):
+                 tie: list[str] = (), bucket: Column | None = None, num_buckets: int = 64,
+                 rows_per_file: int = ROWS_PER_FILE):
+        if rows_per_file < 1:
+            raise ValueError("rows_per_file must be >= 1")
         self.spark = spark
+        self.rows_per_file = rows_per_file
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.version = version
@@ -146,30 +157,46 @@ class SnapshotTable:
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one batch; safe to call again with the same ``batch_id``.
 
-        Two jobs: the set of buckets the batch touches (a partial ``distinct`` of one
-        small column), then one newest-per-key aggregate over (old rows of those buckets
-        UNION batch rows), written by bucket. The batch is read twice instead of being
-        cached: a micro-batch of a file or table source re-reads the same files."""
-        tagged = batch.withColumn(BUCKET, self.bucket_expr)
-        touched = sorted(str(r[0]) for r in tagged.select(BUCKET).distinct().collect())
-        if not touched:
+        1. rows per touched bucket, counted on the batch (a partial aggregate of one small
+           column; an upper bound of its keys);
+        2. the batch reduced to its newest row per key (map-side partial aggregate first,
+           so a key holding a third of the batch is one row per task before the shuffle);
+        3. old rows of the touched buckets UNION (2), shuffled once by (bucket, slice) --
+           at most one old and one new row per key -- and reduced per key inside those
+           partitions (no further shuffle), then written by bucket;
+        4. exact rows per bucket from the footers of the files just written.
+        The batch is read again instead of being cached: a micro-batch of a file or table
+        source re-reads the same files."""
+        batch_rows = {str(r[0]): int(r[1]) for r in
+                      batch.groupBy(self.bucket_expr.alias(BUCKET)).count().collect()}
+        if not batch_rows:
             return
+        touched = sorted(batch_rows)
         prev = self.manifest(before=batch_id)
-        old_paths = self._bucket_paths(prev, set(touched))
+        prev_rows = prev.get("rows", {})
+        slices = {b: max(1, math.ceil((prev_rows.get(b, 0) + batch_rows[b]) / self.rows_per_file))
+                  for b in touched}
         data_schema = batch.schema
-        rows = tagged
+        newest = latest_per_key(batch, self.keys, self.version, self.tie).withColumn(BUCKET, self.bucket_expr)
+        rows = newest
+        old_paths = self._bucket_paths(prev, set(touched))
         if old_paths:
             old = self.spark.read.schema(data_schema).parquet(*old_paths)
-            rows = old.withColumn(BUCKET, self.bucket_expr).unionByName(tagged)
-        # the bucket is a function of the key: grouping by (key, bucket) is grouping by key
-        merged = latest_per_key(rows, self.keys + [BUCKET], self.version, self.tie)
+            rows = old.withColumn(BUCKET, self.bucket_expr).unionByName(newest)
+        per_bucket = F.create_map(*[F.lit(x) for b in touched for x in (int(b), slices[b])])
+        slice_of = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.element_at(per_bucket, F.col(BUCKET)))
+        laid = rows.withColumn(SLICE, slice_of).repartition(sum(slices.values()), BUCKET, SLICE)
+        # the bucket and the slice are functions of the key: grouping by (key, bucket, slice)
+        # is grouping by key, and the (bucket, slice) partitioning already serves it
+        merged = latest_per_key(laid, self.keys + [BUCKET, SLICE], self.version, self.tie).drop(SLICE)
         target = f"{self.path}/v={batch_id:012d}"
-        # no repartition by bucket: a bucket may hold a third of the rows; every task
-        # writes its share of each bucket it holds
         merged.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-        buckets = dict(prev["buckets"])
+        written = {str(r[0]): int(r[1]) for r in
+                   self.spark.read.parquet(target).groupBy(BUCKET).count().collect()}
+        buckets, counts = dict(prev["buckets"]), dict(prev_rows)
         for b in touched:
             buckets[b] = batch_id
+            counts[b] = written.get(b, 0)
         doc = {"batch": batch_id, "previous": prev["batch"], "schema": data_schema.json(),
-               "buckets": buckets}
+               "buckets": buckets, "rows": counts}
         self._fs.write_text_atomic(f"{self.path}/_manifest/{batch_id:012d}.json", json.dumps(doc))

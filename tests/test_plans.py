@@ -18,7 +18,7 @@ def _tree(node):
 def _physical(df):
     plan = df._jdf.queryExecution().executedPlan()
     if plan.nodeName() == "AdaptiveSparkPlan":
-        plan = plan.inputPlan()
+        plan = plan.executedPlan()
     return _tree(plan)
 
 
