@@ -157,27 +157,30 @@ class SnapshotTable:
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one batch; safe to call again with the same ``batch_id``.
 
-        1. rows per touched bucket, counted on the batch (a partial aggregate of one small
-           column; an upper bound of its keys);
-        2. the batch reduced to its newest row per key (map-side partial aggregate first,
-           so a key holding a third of the batch is one row per task before the shuffle);
-        3. old rows of the touched buckets UNION (2), shuffled once by (bucket, slice) --
+        1. the batch reduced to its newest row per key (map-side partial aggregate first,
+           so a key holding a third of the batch is one row per task before the shuffle),
+           kept with ``persist`` (recomputed from its lineage if an executor is lost);
+        2. its keys per touched bucket (a partial aggregate of one small column);
+        3. old rows of the touched buckets UNION (1), shuffled once by (bucket, slice) --
            at most one old and one new row per key -- and reduced per key inside those
            partitions (no further shuffle), then written by bucket;
-        4. exact rows per bucket from the footers of the files just written.
-        The batch is read again instead of being cached: a micro-batch of a file or table
-        source re-reads the same files."""
-        batch_rows = {str(r[0]): int(r[1]) for r in
-                      batch.groupBy(self.bucket_expr.alias(BUCKET)).count().collect()}
-        if not batch_rows:
-            return
+        4. exact rows per bucket from the footers of the files just written."""
+        newest = latest_per_key(batch, self.keys, self.version, self.tie).withColumn(
+            BUCKET, self.bucket_expr).persist()
+        try:
+            batch_rows = {str(r[0]): int(r[1]) for r in newest.groupBy(BUCKET).count().collect()}
+            if not batch_rows:
+                return
+            self._merge(newest, batch_rows, batch_id, batch.schema)
+        finally:
+            newest.unpersist()
+
+    def _merge(self, newest: DataFrame, batch_rows: dict, batch_id: int, data_schema) -> None:
         touched = sorted(batch_rows)
         prev = self.manifest(before=batch_id)
         prev_rows = prev.get("rows", {})
         slices = {b: max(1, math.ceil((prev_rows.get(b, 0) + batch_rows[b]) / self.rows_per_file))
                   for b in touched}
-        data_schema = batch.schema
-        newest = latest_per_key(batch, self.keys, self.version, self.tie).withColumn(BUCKET, self.bucket_expr)
         rows = newest
         old_paths = self._bucket_paths(prev, set(touched))
         if old_paths:
