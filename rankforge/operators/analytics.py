@@ -20,6 +20,9 @@ AS_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
 DEFAULT_SEED = 42
 DEFAULT_SAMPLE = 100
 
+# Largest number of draws that is broadcast; a larger sample joins by shuffle instead.
+MAX_BROADCAST_DRAWS = 1_000_000
+
 
 def _d(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
@@ -69,13 +72,15 @@ def bootstrap_sample(df: DataFrame, order: list[str | Column], n: int = DEFAULT_
                          (rid >= F.col("_before")) & (rid < F.col("_before") + F.col("_cnt")))
     located = located.select(draw_col, F.col("_pid").alias("_dpid"),
                              (F.col("_first") + rid - F.col("_before")).alias("_dloc"))
-    hit = tagged.join(F.broadcast(located),
+    # the n draws are broadcast only up to a fixed size; beyond it they are joined by shuffle
+    small = (lambda d: F.broadcast(d)) if n <= MAX_BROADCAST_DRAWS else (lambda d: d)
+    hit = tagged.join(small(located),
                       (tagged["_pid"] == located["_dpid"]) & (tagged["_loc"] == located["_dloc"]))
     if narrow:
         # n order keys (a parameter-sized table) fetch their whole rows where they lie
         picked = hit.select(draw_col, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
         cond = [df[c].eqNullSafe(picked[f"_o{i}"]) for i, c in enumerate(order)]
-        return df.join(F.broadcast(picked), cond).select(draw_col, *[df[c] for c in df.columns])
+        return df.join(small(picked), cond).select(draw_col, *[df[c] for c in df.columns])
     return hit.select(draw_col, *[tagged[c] for c in df.columns])
 
 

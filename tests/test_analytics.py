@@ -91,6 +91,19 @@ def test_bootstrap_is_exact_size_with_replacement(spark):
     assert an.bootstrap_sample(df, ["k"], n=0).count() == 0
 
 
+def test_bootstrap_beyond_broadcast_bound_gives_same_draws(spark, monkeypatch):
+    df = spark.range(53).withColumnRenamed("id", "k").withColumn("payload", F.col("k") * 3)
+    def hints(d):
+        return d._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
+
+    small = an.bootstrap_sample(df, ["k"], n=200, order_is_key=True)
+    want = sorted(small.collect())
+    monkeypatch.setattr(an, "MAX_BROADCAST_DRAWS", 10)     # 200 draws: no broadcast hint on them
+    got = an.bootstrap_sample(df, ["k"], n=200, order_is_key=True)
+    assert sorted(got.collect()) == want
+    assert hints(small) == 3 and hints(got) == 1           # only the one-row-per-partition table
+
+
 def test_damage_probability_against_erfc(spark):
     vals = [10.0, 20.0, 35.0, 50.0, 55.0, 70.0, 90.0]
     df = spark.createDataFrame([("e", "c", v) for v in vals], "encounter_name string, class string, rDPS double")
