@@ -105,9 +105,10 @@ def report_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One report per order, its line items as fights.
 
     zone = order priority number, guild = customer key, report start = order date; a fight
-    starts at the ship date and lasts ``quantity`` minutes. Both sides are keyed by the
-    order key, so the join is one co-partitioned shuffle; a fight list is at most the
-    lines of one order.
+    starts at the ship date and lasts ``quantity`` minutes. Heads are joined to the lines
+    first and grouped after, so a selection on report columns (zone, guild, start) is
+    pushed through the aggregate and the join to the orders scan, and only the lines of
+    selected orders are grouped; a fight list is at most the lines of one order.
     """
     ship_ms = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
     fight = F.struct(
@@ -125,7 +126,7 @@ def report_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.lit(None).cast("bigint").alias("wipeCalledTime"),
         F.array(F.col("l_suppkey").cast("int")).alias("friendlyPlayers"),
     )
-    fights = lineitem.groupBy("l_orderkey").agg(F.collect_list(fight).alias("fights"))
+    lines = lineitem.select("l_orderkey", fight.alias("fight"))
     heads = orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.concat(F.lit("R"), F.col("o_orderkey").cast("string")).alias("code"),
@@ -133,4 +134,7 @@ def report_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.substring_index("o_orderpriority", "-", 1).cast("int").alias("zone_id"),
         F.col("o_custkey").alias("guild_id"),
         F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("start_ms"))
-    return heads.join(fights, "l_orderkey").drop("l_orderkey")
+    head_cols = ["code", "title", "zone_id", "guild_id", "start_ms"]
+    return (heads.join(lines, "l_orderkey")
+            .groupBy("l_orderkey", *head_cols).agg(F.collect_list("fight").alias("fights"))
+            .drop("l_orderkey"))

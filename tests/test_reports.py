@@ -1,0 +1,42 @@
+"""Report selection on a small hand-made reports table: half-open window, zone and guild
+filters, the nested fight filter and paging."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from rankforge.plans.reports import report_fights, select_reports
+
+SCHEMA = ("code string, title string, zone_id int, guild_id bigint, start_ms bigint, "
+          "fights array<struct<id: int, encounterID: int, kill: boolean, startTime: bigint, endTime: bigint>>")
+
+
+@pytest.fixture(scope="module")
+def reports(spark):
+    rows = []
+    for i in range(30):
+        fights = [(n, e, n == 3, 1000 + 10 * i + n, 1001 + 10 * i + n)
+                  for n, e in ((1, 101), (2, 102 + i % 2), (3, 101))]
+        rows.append((f"R{i:02d}", f"t{i}", 1 if i % 3 else 2, 7 if i % 2 else 8, 1000 + 10 * i, fights))
+    rows.append(("RX", "no fights", 1, 7, 1005, []))
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_window_is_half_open_and_filters_apply(reports):
+    got = select_reports(reports, 1000, 1100, zone_id=1, guild_id=7, page=1, limit=100)
+    codes = [r.code for r in got.orderBy("start_ms", "code").collect()]
+    want = [f"R{i:02d}" for i in range(10) if i % 3 and i % 2]
+    want = sorted(want + ["RX"], key=lambda c: (1005 if c == "RX" else 1000 + 10 * int(c[1:]), c))
+    assert codes == want                       # start 1100 (i = 10) is outside [1000, 1100)
+
+
+def test_nested_encounter_filter_and_paging(reports):
+    page1 = select_reports(reports, 0, 10_000, encounter_id=101, page=1, limit=4).collect()
+    page2 = select_reports(reports, 0, 10_000, encounter_id=101, page=2, limit=4).collect()
+    assert [r.code for r in sorted(page1, key=lambda r: (r.start_ms, r.code))] == ["R00", "RX", "R01", "R02"]
+    assert [r.page for r in page1] == [1] * 4 and [r.page for r in page2] == [2] * 4
+    assert all(f.encounterID == 101 for r in page1 + page2 for f in r.fights)
+    assert {len(r.fights) for r in page1 if r.code != "RX"} == {2}
+    fights = report_fights(select_reports(reports, 0, 10_000, encounter_id=103, page=1, limit=100))
+    assert fights.count() == 15 and fights.where(F.col("encounter_id") != 103).count() == 0
+    with pytest.raises(ValueError):
+        select_reports(reports, 0, 1, page=0)
