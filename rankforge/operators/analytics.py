@@ -142,7 +142,9 @@ def _sse_columns(m: Column, b: Column) -> list[Column]:
 
 
 def _r2(decimals: int) -> Column:
-    return (F.bround(1 - F.col("sse_reg") / F.col("sse_base"), decimals) + F.lit(0.0)).alias("r2")
+    """NULL when SSE(mean) is 0 (constant y): R^2 is undefined there."""
+    ratio = F.try_divide(F.col("sse_reg"), F.col("sse_base"))
+    return (F.bround(1 - ratio, decimals) + F.lit(0.0)).alias("r2")
 
 
 def r_squared(df: DataFrame, fit: DataFrame, x: str, y: str, group: list[str] = (),
@@ -210,8 +212,10 @@ def damage_probability(df: DataFrame, x: float, measure: str = "rDPS",
     stats = df.groupBy(*group).agg(
         F.avg((v >= F.lit(x)).cast("double")).alias("empirical"),
         F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.count(F.lit(1)).alias("n"))
-    z = (F.lit(float(x)) - F.col("mean")) / F.col("sd")
-    return stats.withColumn("normal_tail", normal_upper_tail(z))
+    z = F.try_divide(F.lit(float(x)) - F.col("mean"), F.col("sd"))
+    # sd 0 (all values equal): the normal model degenerates to a point mass at the mean
+    tail = F.when(F.col("sd") == 0, (F.col("mean") >= F.lit(float(x))).cast("double")).otherwise(normal_upper_tail(z))
+    return stats.withColumn("normal_tail", tail)
 
 
 # ------------------------------------------------------------------ L9

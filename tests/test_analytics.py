@@ -116,6 +116,21 @@ def test_damage_probability_against_erfc(spark):
         an.damage_probability(df, 60_000.0)
 
 
+def test_degenerate_groups_do_not_fail(spark):
+    """Constant y gives SSE(mean) = 0 and a constant measure gives sd = 0: both are answered
+    (R^2 NULL, point-mass tail) instead of failing the query under ANSI division."""
+    df = spark.createDataFrame([("c", 1.0, 5.0), ("c", 2.0, 5.0), ("one", 3.0, 7.0)], "g string, x double, y double")
+    fit = an.least_squares(df, "x", "y", ["g"])
+    r2 = {r.g: r for r in an.r_squared(df, fit.fillna(0.0, ["m", "b"]), "x", "y", ["g"]).collect()}
+    assert r2["c"].sse_base == 0.0 and r2["c"].r2 is None and r2["one"].r2 is None
+    rep = an.fit_report(df, "x", "y", ["g"]).collect()
+    assert all(r.r2 is None for r in rep)
+    dmg = spark.createDataFrame([("e", "k", 60.0), ("e", "k", 60.0), ("e", "low", 10.0), ("e", "low", 10.0)],
+                                "encounter_name string, class string, rDPS double")
+    tails = {r["class"]: r.normal_tail for r in an.damage_probability(dmg, 50.0).collect()}
+    assert tails == {"k": 1.0, "low": 0.0}
+
+
 def test_normal_tail_expression_accuracy(spark):
     zs = [z / 4 for z in range(-16, 17)]
     df = spark.createDataFrame([(z,) for z in zs], "z double")

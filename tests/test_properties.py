@@ -41,3 +41,34 @@ def test_load_order_does_not_matter(spark, rows, seed):
     step = latest_per_key(dfs[0].unionByName(dfs[1]), ["k", "c"], "ver", ["payload"])
     b = latest_per_key(step.unionByName(dfs[2]), ["k", "c"], "ver", ["payload"])
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+XY = st.lists(
+    st.tuples(st.sampled_from(["g", "h", None]),
+              st.floats(-1e4, 1e4, allow_nan=False) | st.none(),
+              st.floats(-1e4, 1e4, allow_nan=False) | st.none()),
+    min_size=1, max_size=40)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=XY, m=st.floats(-5, 5, allow_nan=False), b=st.floats(-100, 100, allow_nan=False))
+def test_r_squared_moments_equal_direct_sums(spark, rows, m, b):
+    """Sums of squares from moments equal the row-by-row sums for any data and line."""
+    from rankforge.operators import analytics as an
+
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    groups = sorted({r[0] for r in rows}, key=lambda v: (v is None, v))
+    fit = spark.createDataFrame([(g, m, b) for g in groups], "g string, m double, b double")
+    got = {r.g: r for r in an.r_squared(df, fit, "x", "y", ["g"]).collect()}
+    assert set(got) == set(groups)
+    for g in groups:
+        ys = [y for k, _, y in rows if k == g and y is not None]
+        pairs = [(x, y) for k, x, y in rows if k == g and x is not None and y is not None]
+        base = sum((y - sum(ys) / len(ys)) ** 2 for y in ys) if ys else None
+        reg = sum((y - (m * x + b)) ** 2 for x, y in pairs) if pairs else None
+        scale = 1.0 + sum(y * y for y in ys) + sum((m * x + b) ** 2 for x, _ in pairs)
+        for have, want in ((got[g].sse_base, base), (got[g].sse_reg, reg)):
+            if want is None:
+                assert have is None
+            else:
+                assert abs(have - want) <= 1e-9 * scale
