@@ -183,11 +183,12 @@ def fit_points(fit: DataFrame, data: DataFrame, x: str, group: list[str] = (),
 
 # ------------------------------------------------------------------ L6
 def line_from_points(points: DataFrame, group: list[str] = ()) -> DataFrame:
-    """Line through the first and last drawn point: m = dy/dx, b = y0 - m x0."""
+    """Line through the first and last drawn point: m = dy/dx, b = y0 - m x0 (NULL when all
+    points share one x)."""
     aggs = [F.min("x").alias("x0"), F.max("x").alias("x1"),
             F.min_by("y", "x").alias("y0"), F.max_by("y", "x").alias("y1")]
     ends = points.groupBy(*group).agg(*aggs)
-    m = (F.col("y1") - F.col("y0")) / (F.col("x1") - F.col("x0"))
+    m = F.try_divide(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0"))
     return ends.select(*group, m.alias("m"), (F.col("y0") - m * F.col("x0")).alias("b"))
 
 

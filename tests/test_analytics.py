@@ -129,6 +129,10 @@ def test_degenerate_groups_do_not_fail(spark):
                                 "encounter_name string, class string, rDPS double")
     tails = {r["class"]: r.normal_tail for r in an.damage_probability(dmg, 50.0).collect()}
     assert tails == {"k": 1.0, "low": 0.0}
+    same_x = spark.createDataFrame([(2.0, 1.0), (2.0, 3.0)], "x double, y double")
+    pts = an.fit_points(an.least_squares(same_x, "x", "y"), same_x, "x", points=5)
+    line = an.line_from_points(pts).first()
+    assert line.m is None and line.b is None
 
 
 def test_normal_tail_expression_accuracy(spark):
