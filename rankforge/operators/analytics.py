@@ -103,12 +103,15 @@ def least_squares(df: DataFrame, x: str, y: str, group: list[str] = (),
     """Slope ``m`` and intercept ``b`` per group: m = cov(x,y)/var(x), b = E[y] - m E[x].
     ``round_decimal`` 0 or None leaves them unrounded; rounding is half-to-even. A constant
     x gives NULL. One partial/final aggregate: a hot group is pre-aggregated map-side."""
+    return df.groupBy(*group).agg(*_line_aggs(x, y, round_decimal))
+
+
+def _line_aggs(x: str, y: str, round_decimal: int | None) -> list[Column]:
     m = F.regr_slope(_d(y), _d(x))
     b = F.regr_intercept(_d(y), _d(x))
     if round_decimal:
         m, b = F.bround(m, round_decimal), F.bround(b, round_decimal)
-    aggs = [m.alias("m"), b.alias("b"), F.count(F.lit(1)).alias("n")]
-    return df.groupBy(*group).agg(*aggs)
+    return [m.alias("m"), b.alias("b"), F.count(F.lit(1)).alias("n")]
 
 
 # ------------------------------------------------------------------ L4
@@ -226,12 +229,7 @@ def fit_report(sample: DataFrame, x: str, y: str, group: list[str] = (),
     group. The fit and the moments are one aggregate: the sample is read once and no
     table is joined."""
     data, keys = _keys(sample, group)
-    m = F.regr_slope(_d(y), _d(x))
-    b = F.regr_intercept(_d(y), _d(x))
-    if round_decimal:
-        m, b = F.bround(m, round_decimal), F.bround(b, round_decimal)
-    stats = data.groupBy(*keys).agg(m.alias("m"), b.alias("b"), F.count(F.lit(1)).alias("n"),
-                                    *_moment_aggs(x, y))
+    stats = data.groupBy(*keys).agg(*_line_aggs(x, y, round_decimal), *_moment_aggs(x, y))
     out = stats.select(*keys, "m", "b", *_sse_columns(F.col("m"), F.col("b")), "n")
     out = out.select(*keys, "m", "b", "sse_base", "sse_reg", _r2(2), "n")
     return out if group else _drop_all(out)
