@@ -110,6 +110,30 @@ def test_upsert_slices_a_hot_bucket(spark):
     assert len(files) >= 3          # 200 keys at 40 rows per file: spread over slices
 
 
+def test_upsert_retry_after_crash_before_manifest(spark, versions, monkeypatch):
+    """The driver dies after the version folder is written but before its manifest is
+    published: the snapshot still shows the previous batch, and the retry of the same
+    batch id rebuilds the folder from that previous manifest."""
+    from rankforge.streaming import snapshot as sn
+
+    t = SnapshotTable(spark, shared_path(spark, "test", "snapcrash"), ["key"], "ver", ["payload"], num_buckets=3)
+    t.upsert(versions[0], 0)
+    before = sorted(t.read().collect())
+
+    def crash(self, path, text):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(sn._FS, "write_text_atomic", crash)
+        with pytest.raises(RuntimeError):
+            t.upsert(versions[2], 1)
+    assert sorted(t.read().collect()) == before          # half-done batch is invisible
+    t.upsert(versions[2], 1)                             # the stream retries batch 1
+    t.upsert(versions[1], 2)                             # an older version arrives later
+    got = sorted(t.read().collect())
+    assert len(got) == 7 and all(r.ver == 3 for r in got)
+
+
 def test_chained_hops_report_rule_failures(spark, sf_small):
     from rankforge.operators.quality import SILVER_ENCOUNTER_RULES, expectation_report
     from rankforge.sources import fixtures
