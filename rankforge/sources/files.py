@@ -24,6 +24,10 @@ STAMP_PATTERN = "yyyyMMdd_HHmmss"
 # Fixed value: name filter of landing files.
 FILE_FILTER = "*.json"
 
+# Most landing files one stream micro-batch takes: the driver plans (and logs) the file
+# list of a batch, so a very large pull is cut into several batches.
+MAX_FILES_PER_TRIGGER = 100_000
+
 
 def _landing_options(reader, file_filter: str = FILE_FILTER):
     """Every ``*.json`` file below the landing folder, pull folders included. A recursive
@@ -41,10 +45,11 @@ def read_landing(spark: SparkSession, landing_dir: str, dataset: str = "encounte
 
 
 def stream_landing(spark: SparkSession, landing_dir: str, dataset: str = "encounters",
-                   as_text: bool = True, max_files_per_trigger: int | None = None,
+                   as_text: bool = True, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
                    file_filter: str = FILE_FILTER) -> DataFrame:
     """Incremental file stream (A2): each file is picked up once; the checkpoint of the
-    query that consumes this frame records which files were seen."""
+    query that consumes this frame records which files were seen. A run to completion
+    (``availableNow``) takes at most ``max_files_per_trigger`` files per micro-batch."""
     reader = _landing_options(spark.readStream.schema(schemas.landing_schema(dataset, as_text)),
                               file_filter)
     if max_files_per_trigger:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..sources.files import attach_metadata, stream_landing
+from ..sources.files import MAX_FILES_PER_TRIGGER, attach_metadata, stream_landing
 from .snapshot import SnapshotTable
 
 
@@ -24,7 +24,8 @@ def run_to_completion(query) -> None:
 
 
 def bronze_stream(spark: SparkSession, landing_dir: str, dataset: str, source: str,
-                  ldts: Column | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                  ldts: Column | None = None,
+                  max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Incremental scan of the landing folder with load metadata (A2 + A3)."""
     return attach_metadata(stream_landing(spark, landing_dir, dataset, True, max_files_per_trigger),
                            source, ldts)
