@@ -126,6 +126,8 @@ GUILD_LOADS = """gloads AS (
   UNION ALL SELECT TIMESTAMP '2026-01-02 00:00:00', '2', * FROM customer)"""
 STREAM_LATEST_GUILDS = (f"WITH {GUILD_LOADS}, {guild_ctes('gloads', 'ldts,', 'ldts DESC,', 'tag')} "
                         "SELECT * FROM guild_silver")
+STREAM_BRONZE_GUILDS = f"""WITH {GUILD_LOADS}
+SELECT ldts, count(DISTINCT c_custkey // 100) AS documents, count(*) AS records FROM gloads GROUP BY ldts"""
 
 # draft guild chain: rank rule only, then newest per guild, then the gold projection
 DRAFT_G = f"""WITH g0 AS (SELECT * FROM customer), {guild_ctes('g0')},

@@ -275,6 +275,36 @@ def stream_latest_guilds(spark, sf_dir):
     return _ntz(target.read().drop("rsrc"), "ldts")
 
 
+def _chained_guild_flow(spark, sf_dir):
+    """The guild chain with its bronze table: each pull lands, the landing -> bronze hop
+    appends it (raw text + load metadata), and the bronze -> silver hop parses, cleans,
+    checks and upserts it by guild id."""
+    customer = _t(spark, sf_dir, "customer")
+    root = shared_path(spark, "stream", "guild-chain")
+    landing, bronze_path = f"{root}/landing", f"{root}/bronze"
+    target = SnapshotTable(spark, f"{root}/silver", ["guild_id"], "ldts", gld.TIE_BREAK, num_buckets=16)
+    for day in LOAD_DAYS:
+        docs = fixtures.guild_documents(customer, as_text=False, tag=str(day)).select("guildData")
+        write_landing(docs, landing, "guilds", dt.datetime(2026, 1, day))
+        landed = bronze_stream(spark, landing, "guilds", SOURCE, stamp_from_file_name())
+        append_to_table(landed, bronze_path, f"{root}/_chk/bronze")
+        upsert_stream(read_table_stream(spark, bronze_path, landed.schema), target,
+                      f"{root}/_chk/silver", transform=gld.silver_clean)
+    return spark.read.parquet(bronze_path), target
+
+
+def stream_bronze_guilds(spark, sf_dir):
+    bronze, _ = _chained_guild_flow(spark, sf_dir)
+    recs = F.size(F.from_json("guildData", "guilds struct<data: array<string>>")["guilds"]["data"])
+    return _ntz(bronze.groupBy("ldts").agg(F.count(F.lit(1)).alias("documents"),
+                                           F.sum(recs).alias("records")), "ldts")
+
+
+def stream_silver_guilds(spark, sf_dir):
+    _, silver = _chained_guild_flow(spark, sf_dir)
+    return _ntz(silver.read().drop("rsrc"), "ldts")
+
+
 # ---------------------------------------------------------------- analytics
 def feature_select(spark, sf_dir):
     return an.select_features(_gold_enc(spark, sf_dir), ["class", "rDPS", "aDPS", "duration"],
@@ -365,6 +395,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_latest_encounters": stream_latest_encounters,
     "stream_gold_encounters": stream_gold_encounters,
     "stream_latest_guilds": stream_latest_guilds,
+    "stream_bronze_guilds": stream_bronze_guilds,
+    "stream_silver_guilds": stream_silver_guilds,
     "feature_select": feature_select,
     "bootstrap_sample": bootstrap_sample,
     "least_squares": least_squares,
@@ -401,6 +433,8 @@ ORACLE_SQL: dict[str, str] = {
     "stream_latest_encounters": oracle.STREAM_LATEST_ENCOUNTERS,
     "stream_gold_encounters": oracle.STREAM_GOLD_ENCOUNTERS,
     "stream_latest_guilds": oracle.STREAM_LATEST_GUILDS,
+    "stream_bronze_guilds": oracle.STREAM_BRONZE_GUILDS,
+    "stream_silver_guilds": oracle.STREAM_LATEST_GUILDS,   # same rows through the bronze table
     "feature_select": oracle.FEATURE_SELECT,
     "bootstrap_sample": oracle.BOOTSTRAP_SAMPLE,
     "least_squares": oracle.LEAST_SQUARES,
