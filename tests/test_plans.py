@@ -91,3 +91,15 @@ def test_surrogate_key_reads_only_its_columns(plan):
     scans = [n[1] for n in _nodes(plan("surrogate_key")) if "FileScan" in n[1]]
     assert scans and all("ReadSchema: struct<c_custkey:bigint,c_nationkey:int,c_mktsegment:string>" in s
                          for s in scans), scans
+
+
+def test_reports_group_after_the_filtered_join(plan):
+    tree = plan("select_reports")
+    joins = [n for n in _nodes(tree) if "Join" in n[0]]
+    assert len(joins) == 1
+    below = [_below(side) for side in joins[0][2]]
+    # both join inputs are scans: the fights are grouped only after the join
+    assert all("FileScan" in b[1] or b[0].startswith("Scan") for b in below), [b[1][:80] for b in below]
+    orders = [b[1] for b in below if "o_orderdate" in b[1]]
+    assert orders and "DataFilters: [isnotnull(o_orderdate" in orders[0]   # report filters reach the scan
+    assert any("collect_list" in n[1] for n in _nodes(tree))
