@@ -101,6 +101,18 @@ def test_upsert_order_independent_and_replay_safe(spark, versions):
     assert all(r.ver == 3 for r in results[0]) and len(results[0]) == 7
 
 
+def test_upsert_writes_one_file_per_slice(spark, versions):
+    """Whatever the task count, a rewritten bucket below ``rows_per_file`` is one file."""
+    import glob
+
+    t = SnapshotTable(spark, shared_path(spark, "test", "snapfiles"), ["key"], "ver", ["payload"], num_buckets=3)
+    many = versions[0].repartition(8).unionByName(versions[1].repartition(8))
+    t.upsert(many, 0)
+    version_dir = f"{t.path}/v={0:012d}".replace("file:", "")
+    per_bucket = [len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{version_dir}/_bucket=*")]
+    assert per_bucket and all(n == 1 for n in per_bucket), per_bucket
+
+
 def test_upsert_with_null_bucket(spark):
     df = spark.createDataFrame([(1, None, 1, "a"), (1, None, 2, "b"), (2, "2024-01-02", 1, "c")],
                                "key int, day string, ver int, payload string")
