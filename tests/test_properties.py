@@ -72,3 +72,28 @@ def test_r_squared_moments_equal_direct_sums(spark, rows, m, b):
                 assert have is None
             else:
                 assert abs(have - want) <= 1e-9 * scale
+
+
+UPSERT_ROWS = st.lists(
+    st.tuples(st.integers(0, 30) | st.none(), st.integers(0, 5), st.sampled_from(["p", "q", "r", None])),
+    min_size=1, max_size=60)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=UPSERT_ROWS, per_file=st.integers(1, 8), cuts=st.integers(1, 3), seed=st.integers(0, 99))
+def test_sliced_upsert_equals_newest_of_all(spark, rows, per_file, cuts, seed):
+    """Any cut of the input into batches, any arrival order and any slice size give the
+    newest row per key over everything (NULL keys included)."""
+    from rankforge.session import shared_path
+    from rankforge.streaming.snapshot import SnapshotTable
+
+    schema = "k int, ver int, payload string"
+    parts = [rows[i::cuts] for i in range(cuts)]
+    random.Random(seed).shuffle(parts)
+    t = SnapshotTable(spark, shared_path(spark, "prop", "slices"), ["k"], "ver", ["payload"],
+                      num_buckets=3, rows_per_file=per_file)
+    for batch_id, part in enumerate(p for p in parts if p):
+        t.upsert(spark.createDataFrame(part, schema), batch_id)
+    want = latest_per_key(spark.createDataFrame(rows, schema), ["k"], "ver", ["payload"])
+    key = lambda r: tuple((v is None, v) for v in r)
+    assert sorted(t.read().select("k", "ver", "payload").collect(), key=key) == sorted(want.collect(), key=key)
