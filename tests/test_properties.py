@@ -97,3 +97,28 @@ def test_sliced_upsert_equals_newest_of_all(spark, rows, per_file, cuts, seed):
     want = latest_per_key(spark.createDataFrame(rows, schema), ["k"], "ver", ["payload"])
     key = lambda r: tuple((v is None, v) for v in r)
     assert sorted(t.read().select("k", "ver", "payload").collect(), key=key) == sorted(want.collect(), key=key)
+
+
+PAGES = st.dictionaries(
+    st.tuples(st.sampled_from([1, 2, None]), st.integers(0, 12)),
+    st.lists(st.integers(0, 99), max_size=5) | st.none(),
+    min_size=1, max_size=25)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pages=PAGES)
+def test_merged_positions_equal_python_concatenation(spark, pages):
+    """Distributed page merge = concatenating each key's pages in page order (NULL and empty
+    pages contribute nothing) and numbering the records from 0."""
+    from rankforge.operators.nested import merged_positions
+
+    rows = [(k, p, arr) for (k, p), arr in pages.items()]
+    df = spark.createDataFrame(rows, "k int, page int, arr array<int>")
+    got = merged_positions(df, ["k"], "page", "arr")
+    want = []
+    for k in {k for k, _ in pages}:
+        mine = sorted(((page, arr) for (kk, page), arr in pages.items() if kk == k), key=lambda x: x[0])
+        merged = [v for _, arr in mine for v in (arr or [])]
+        want += [(k, i, v) for i, v in enumerate(merged)]
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(want, key=key)
