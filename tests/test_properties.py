@@ -122,3 +122,43 @@ def test_merged_positions_equal_python_concatenation(spark, pages):
         want += [(k, i, v) for i, v in enumerate(merged)]
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(want, key=key)
+
+
+QUALITY_ROWS = st.lists(
+    st.tuples(st.integers(-2, 2) | st.none(), st.sampled_from(["a", "", None]),
+              st.floats(-1, 1) | st.just(float("nan")) | st.none()),
+    min_size=0, max_size=40)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=QUALITY_ROWS)
+def test_report_all_row_counts_the_dropped_rows(spark, rows):
+    """The ALL row of the report is exactly what expect_or_drop removes; per-rule failures
+    count NULL results as failures, like the drop."""
+    from rankforge.operators.quality import expect_or_drop, expectation_report
+
+    rules = {"pos": "n > 0", "named": "s <> ''", "small": "x < 0.5"}
+    df = spark.createDataFrame(rows, "n int, s string, x double")
+    report = {r.rule: r for r in expectation_report(df, rules).collect()}
+    kept = expect_or_drop(df, rules).count()
+    assert report["ALL"].rows_tested == len(rows)
+    assert report["ALL"].rows_failed == len(rows) - kept
+    assert report["pos"].rows_failed == sum(1 for n, _, _ in rows if n is None or n <= 0)
+    assert report["named"].rows_failed == sum(1 for _, s, _ in rows if s is None or s == "")
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(n=st.integers(0, 120), offset=st.integers(0, 6), limit=st.integers(0, 4),
+       per_page=st.integers(1, 20), top_k=st.sampled_from([0, 10_000]))
+def test_page_slice_equals_python_slice(spark, monkeypatch, n, offset, limit, per_page, top_k):
+    """Both paths (top-k and distributed ordinal) give Python's sort-and-slice, with pages."""
+    from rankforge.operators import ordinal
+
+    monkeypatch.setattr(ordinal, "TOP_K_ROWS", top_k)
+    vals = [(i, (i * 37) % 11) for i in range(n)]
+    df = spark.createDataFrame(vals, "id int, v int")
+    got = ordinal.page_slice(df, [F.col("v").desc(), "id"], offset, limit, per_page).collect()
+    order = sorted(vals, key=lambda r: (-r[1], r[0]))
+    lo, hi = offset * per_page, (offset + limit) * per_page
+    want = [(i, v, j // per_page + 1) for j, (i, v) in enumerate(order) if lo <= j < hi]
+    assert sorted(tuple(r) for r in got) == sorted(want)
