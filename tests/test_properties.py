@@ -162,3 +162,27 @@ def test_page_slice_equals_python_slice(spark, monkeypatch, n, offset, limit, pe
     lo, hi = offset * per_page, (offset + limit) * per_page
     want = [(i, v, j // per_page + 1) for j, (i, v) in enumerate(order) if lo <= j < hi]
     assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.integers(-10**7, 10**7), min_size=1, max_size=60))
+def test_time_helpers_equal_python(spark, values):
+    """Epoch ms -> whole seconds truncates toward zero; seconds -> MM:SS pads and cuts each
+    part to two characters; ms -> seconds truncates toward zero."""
+    import datetime as dt
+    import math
+
+    from rankforge.functions import epoch_to_timestamp, minutes_seconds, ms_to_seconds
+
+    def lpad2(text):
+        return text[:2] if len(text) >= 2 else "0" * (2 - len(text)) + text
+
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    got = df.select("v", epoch_to_timestamp("v", "ms").cast("timestamp_ntz").alias("ts"),
+                    ms_to_seconds("v").alias("sec"), minutes_seconds("v").alias("mmss")).collect()
+    epoch = dt.datetime(1970, 1, 1)
+    for r in got:
+        v = r.v
+        assert r.ts == epoch + dt.timedelta(seconds=int(v / 1000)), v
+        assert r.sec == int(v / 1000), v
+        assert r.mmss == f"{lpad2(str(math.floor(v / 60)))}:{lpad2(str(int(math.fmod(v, 60))))}", v
