@@ -186,3 +186,23 @@ def test_time_helpers_equal_python(spark, values):
         assert r.ts == epoch + dt.timedelta(seconds=int(v / 1000)), v
         assert r.sec == int(v / 1000), v
         assert r.mmss == f"{lpad2(str(math.floor(v / 60)))}:{lpad2(str(int(math.fmod(v, 60))))}", v
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet="aBcD _-\t\n\r\x0b\f", max_size=12), min_size=1, max_size=40))
+def test_text_helpers_equal_python(spark, texts):
+    """Whitespace runs (ASCII whitespace, CR/LF included) become one space and the ends are
+    trimmed; pascal style splits lower-upper pairs, then each space-separated word is
+    capitalised and the rest lower-cased."""
+    import re
+
+    from rankforge.functions import to_title_case, trim_whitespace
+
+    def initcap(s):
+        return " ".join(w[:1].upper() + w[1:].lower() for w in s.split(" "))
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select("t", trim_whitespace("t").alias("ws"), to_title_case("t", "Pascal ").alias("pc")).collect()
+    for r in got:
+        assert r.ws == re.sub(r"[ \t\n\x0b\f\r]+", " ", r.t).strip(" "), repr(r.t)
+        assert r.pc == initcap(re.sub(r"([a-z])([A-Z])", r"\1 \2", r.t)), repr(r.t)
