@@ -206,3 +206,21 @@ def test_text_helpers_equal_python(spark, texts):
     for r in got:
         assert r.ws == re.sub(r"[ \t\n\x0b\f\r]+", " ", r.t).strip(" "), repr(r.t)
         assert r.pc == initcap(re.sub(r"([a-z])([A-Z])", r"\1 \2", r.t)), repr(r.t)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(-50, 50) | st.none(), st.text(alphabet="ab|é\\\\N", max_size=4) | st.none()),
+                     min_size=1, max_size=30))
+def test_surrogate_key_equals_hashlib(spark, rows):
+    """SHA-256 of the parts joined by '|', a NULL part written as the sentinel (so it is
+    not skipped: (x, NULL) and (NULL, x) get different keys)."""
+    import hashlib
+
+    from rankforge.functions import surrogate_key
+    from rankforge.functions.keys import KEY_SEPARATOR, NULL_SENTINEL
+
+    df = spark.createDataFrame(rows, "a int, b string")
+    got = df.select("a", "b", surrogate_key("a", "b").alias("k")).collect()
+    for r in got:
+        text = KEY_SEPARATOR.join(NULL_SENTINEL if v is None else str(v) for v in (r.a, r.b))
+        assert r.k == hashlib.sha256(text.encode("utf-8")).hexdigest()
