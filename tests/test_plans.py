@@ -103,3 +103,38 @@ def test_reports_group_after_the_filtered_join(plan):
     orders = [b[1] for b in below if "o_orderdate" in b[1]]
     assert orders and "DataFilters: [isnotnull(o_orderdate" in orders[0]   # report filters reach the scan
     assert any("collect_list" in n[1] for n in _nodes(tree))
+
+
+def test_upsert_merge_shuffles_once_by_bucket_slice(spark, monkeypatch):
+    """The merge write: the batch is pre-reduced per key (partial aggregate, then its
+    shuffle), old rows and batch rows are shuffled once by (bucket, slice), and the
+    per-key reduction runs inside that partitioning (no further exchange above it)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from rankforge.session import shared_path
+    from rankforge.streaming.snapshot import SnapshotTable
+
+    plans = []
+    real = DataFrameWriter.parquet
+
+    def spy(self, path, *a, **k):
+        p = self._df._jdf.queryExecution().executedPlan()
+        plans.append(_tree(p.executedPlan() if p.nodeName() == "AdaptiveSparkPlan" else p))
+        return real(self, path, *a, **k)
+
+    df = spark.range(0, 200, 1, 4).select((F.col("id") % 23).alias("k"), (F.col("id") % 3).alias("ver"))
+    t = SnapshotTable(spark, shared_path(spark, "test", "planup"), ["k"], "ver", num_buckets=3)
+    t.upsert(df, 0)
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    t.upsert(df.withColumn("ver", F.col("ver") + 1), 1)
+    tree = plans[0]
+    exchanges = [n[1] for n in _nodes(tree) if n[0].endswith("Exchange") and "Broadcast" not in n[0]]
+    slice_ex = [e for e in exchanges if "REPARTITION_BY_NUM" in e]
+    assert len(slice_ex) == 1 and "_bucket" in slice_ex[0] and "_slice" in slice_ex[0]
+    # above the (bucket, slice) exchange there is no other shuffle
+    top = tree
+    while "REPARTITION_BY_NUM" not in top[1]:
+        assert not (top[0].endswith("Exchange") and "Broadcast" not in top[0]), top[1]
+        top = top[2][0]
+    assert any("partial_max" in n[1] for n in _nodes(tree))
