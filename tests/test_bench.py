@@ -1,0 +1,20 @@
+"""bench.py prints exactly one JSON line with the fields the driver reads."""
+
+import json
+import os
+import subprocess
+import sys
+
+from conftest import ROOT
+
+
+def test_bench_prints_one_json_line(sf_small):
+    env = dict(os.environ, BENCH_SF_DIR=sf_small, BENCH_REPEATS="1", BENCH_CPUS="2")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py"), "page_slice", "r_squared"],
+                         capture_output=True, text=True, env=env, timeout=600, cwd=ROOT)
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1
+    doc = json.loads(lines[0])
+    assert doc["unit"] == "sec" and doc["sf"] == 0.001 and set(doc["queries"]) == {"page_slice", "r_squared"}
+    assert doc["value"] == round(sum(doc["queries"].values()), 3) and doc["metric"]
