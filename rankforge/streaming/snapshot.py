@@ -79,6 +79,11 @@ class _FS:
 
 
 class SnapshotTable:
+    """Keyed SCD-1 table at ``path``: newest row per ``keys`` by ``version`` (then ``tie``,
+    then the rest of the row). ``bucket`` maps a row to its bucket (default: hash of the
+    key into ``num_buckets``); a rewritten bucket is written as slices of about
+    ``rows_per_file`` rows each."""
+
     def __init__(self, spark: SparkSession, path: str, keys: list[str], version: str = "ldts",
                  tie: list[str] = (), bucket: Column | None = None, num_buckets: int = 64,
                  rows_per_file: int = ROWS_PER_FILE):
