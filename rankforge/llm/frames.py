@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +20,27 @@ from ..session import checkpoint_root
 SLICE_BYTES = 2 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.basename(root)
+    target = os.path.join(tempfile.mkdtemp(prefix=f"{name}-"), f"{name}.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    out.write(full, os.path.join(name, os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the input folder."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -63,6 +87,8 @@ def map_text(df: DataFrame, text: str, make: Callable[[], Callable[[pa.RecordBat
     """``mapInArrow`` over slices of bounded text size. ``make()`` is called once per task
     and returns the function from a slice to an output batch (or None)."""
 
+    ship(df.sparkSession)
+
     def run(batches):
         one = make()
         for batch in batches:
@@ -78,3 +104,31 @@ def in_sample(column: str, modulus: int) -> F.Column:
     """crc32(id as text) mod ``modulus`` is 0; a null id counts as not held out."""
     crc = F.crc32(F.col(column).cast("string").cast("binary"))
     return F.coalesce(crc % F.lit(modulus) == 0, F.lit(False))
+
+
+# ------------------------------------------------------------------ bounded filters
+#: Bits of a membership filter: 4 MB, whatever the number of keys. A full filter only lets
+#: more rows pass; an exact join always follows.
+FILTER_BITS = 25
+
+
+def key_filter(keys: DataFrame, column: str, places: F.Column | None = None) -> np.ndarray:
+    """A bitmap over the hashes of a long column (or over ``places``). Equal words of the bitmap are combined on
+    the executors; at most 2 ** (FILTER_BITS - 6) of them reach the driver."""
+    words = (keys.where(F.col(column).isNotNull()).withColumn("_h", hashed(column) if places is None else places)
+             .selectExpr("_h >> 6 AS w", "shiftleft(1L, _h & 63) AS bit")
+             .groupBy("w").agg(F.bit_or("bit").alias("bits")))
+    found = words.toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[found["w"].to_numpy()] = found["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def hashed(column: str) -> F.Column:
+    """The hash that ``passes`` looks up."""
+    return F.shiftrightunsigned(F.xxhash64(column), 64 - FILTER_BITS).cast("int")
+
+
+def passes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash of ``hashed`` may be among the keys of the bitmap."""
+    return (bitmap[hashes >> 6] >> (hashes & 63).astype(np.uint64)) & np.uint64(1) == 1

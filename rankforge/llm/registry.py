@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import packing, sharding, warc
+from . import decontam, neardup, packing, sharding, warc
 from .frames import load
 
 SHARDS = 24
@@ -33,6 +33,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_shingles", "common", "containment").distinct()
+
+
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(_table(spark, sf_dir, "documents"), width=2)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), sharding.layout(SHARDS), sharding.layout(SHARDS + 1))
 
@@ -40,6 +49,8 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_packing": op3_packing,
+    "op4_decontamination": op4_decontamination,
+    "op6_neardup": op6_neardup,
     "op8_sharding": op8_sharding,
 }
 
@@ -53,6 +64,43 @@ SELECT d.page_id, d.payload_bytes::BIGINT AS payload_bytes, d.payload_digest,
 FROM d LEFT JOIN f USING (payload_digest)
 """
 
+# Words as the operators take them: A-Z lower-cased, runs of bytes outside white space.
+_WORDS = """regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"""
+
+
+def _shingles(table: str, key: str, width: int) -> str:
+    """(key, s): the distinct shingles of each row's text, as text."""
+    return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {width}
+                 THEN list_transform(range(1, len(w) - {width - 2}), i -> array_to_string(w[i:i + {width - 1}], ' '))
+                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+               FROM (SELECT {key}, {_WORDS.format(text="text")} AS w FROM {table})"""
+
+
+_OP4 = f"""
+WITH d AS ({_shingles("documents", "doc_id", 5)}), b AS ({_shingles("benchmark", "item_id", 5)}),
+n AS (SELECT item_id, count(*) AS item_shingles FROM b GROUP BY 1),
+c AS (SELECT doc_id, item_id, count(*) AS common FROM d JOIN b USING (s) GROUP BY 1, 2)
+SELECT doc_id, item_id, item_shingles, common, common / item_shingles AS containment
+FROM c JOIN n USING (item_id) WHERE 100 * common >= 80 * item_shingles
+"""
+
+_OP6 = f"""
+WITH RECURSIVE d AS ({_shingles("documents", "doc_id", 2)}),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM d x JOIN d y USING (s)
+      WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+      WHERE 100 * common >= 80 * (p.n + q.n - common)),
+r AS (SELECT doc_id AS node, doc_id AS found FROM documents
+      UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.found)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(found) AS component_id,
+       doc_id = min(found) AS kept
+FROM documents LEFT JOIN n USING (doc_id) JOIN r ON r.node = doc_id GROUP BY 1, 2
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": _OP2,
+    "op4_decontamination": _OP4,
+    "op6_neardup": _OP6,
 }

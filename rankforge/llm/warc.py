@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
+from .frames import ship
 
 # Fixed values of the WARC 1.1 format.
 CRLF = "\r\n"
@@ -204,6 +205,7 @@ def read_records(spark: SparkSession, path: str, *, with_payload: bool = True) -
     """The records of all archives below ``path`` (plain or gzip), one row each. A response
     has its payload's size and digest, computed anew; a revisit those of its header. A broken
     archive fails the read. ``with_payload`` adds the payload bytes of responses."""
+    ship(spark)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true")
              .load(path).select("content"))
     schema = RECORD_SCHEMA + (", payload binary" if with_payload else "")
