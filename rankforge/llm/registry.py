@@ -72,7 +72,7 @@ _WORDS = """regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOP
 def _shingles(table: str, key: str, width: int) -> str:
     """(key, s): the distinct shingles of each row's text, as text."""
     return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= {width}
-                 THEN list_transform(range(1, len(w) - {width - 2}), i -> array_to_string(w[i:i + {width - 1}], ' '))
+                 THEN list_transform(range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i:i + {width - 1}], ' '))
                  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
                FROM (SELECT {key}, {_WORDS.format(text="text")} AS w FROM {table})"""
 
