@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import decontam, neardup, packing, sharding, warc
+from . import decontam, knn, neardup, packing, sharding, warc
 from .frames import load
 
 SHARDS = 24
@@ -25,6 +25,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -47,6 +51,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_voronoi_knn": op1_voronoi_knn,
     "op2_warc": op2_warc,
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
@@ -54,6 +59,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
 }
 
+_OP1 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 _OP2 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest FROM p),
@@ -100,6 +115,7 @@ FROM documents LEFT JOIN n USING (doc_id) JOIN r ON r.node = doc_id GROUP BY 1,
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_voronoi_knn": _OP1,
     "op2_warc": _OP2,
     "op4_decontamination": _OP4,
     "op6_neardup": _OP6,
