@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import decontam, knn, neardup, packing, sharding, warc
-from .frames import load
+from . import decontam, knn, langid, neardup, packing, pii, sharding, warc
+from .frames import in_sample, load
 
 SHARDS = 24
+#: The key of the pseudonyms made by the registered queries; a deployment brings its own.
+PSEUDONYM_KEY = b"registered-queries"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,10 +44,22 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "item_shingles", "common", "containment").distinct()
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", in_sample("doc_id", 5))
+    model = langid.train(docs.where("NOT held_out").select("text", "lang"))
+    found = langid.predict(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(_table(spark, sf_dir, "documents"), width=2)
 
 
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PSEUDONYM_KEY, kinds_col="kinds")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), sharding.layout(SHARDS), sharding.layout(SHARDS + 1))
 
@@ -55,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
+    "op5_language": op5_language,
     "op6_neardup": op6_neardup,
+    "op7_pseudonyms": op7_pseudonyms,
     "op8_sharding": op8_sharding,
 }
 
