@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import decontam, knn, langid, neardup, packing, pii, sharding, warc
+from . import decontam, htmltext, knn, langid, neardup, packing, pii, sharding, warc
 from .frames import in_sample, load
 
 SHARDS = 24
@@ -64,6 +64,11 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), sharding.layout(SHARDS), sharding.layout(SHARDS + 1))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = htmltext.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_warc": op2_warc,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_neardup": op6_neardup,
     "op7_pseudonyms": op7_pseudonyms,
     "op8_sharding": op8_sharding,
+    "op9_html_text": op9_html_text,
 }
 
 _OP1 = """
@@ -130,9 +136,20 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(found) AS component_i
 FROM documents LEFT JOIN n USING (doc_id) JOIN r ON r.node = doc_id GROUP BY 1, 2
 """
 
+# The pages mark their article with one element and shape its text with p, h1, b and br.
+_OP9 = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS t FROM pages),
+b AS (SELECT page_id, url, list_transform(regexp_split_to_array(t, '</?(p|h1)>'), lambda x:
+        trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(x, '</?b>', '', 'g'),
+             '<br>', ' ', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS x FROM a),
+c AS (SELECT page_id, url, array_to_string(list_filter(x, lambda s: s <> ''), chr(10) || chr(10)) AS text FROM b)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM c
+""".replace("\\s", "\s")
+
 ORACLE_SQL: dict[str, str] = {
     "op1_voronoi_knn": _OP1,
     "op2_warc": _OP2,
     "op4_decontamination": _OP4,
     "op6_neardup": _OP6,
+    "op9_html_text": _OP9,
 }
