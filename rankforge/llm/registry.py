@@ -144,7 +144,7 @@ b AS (SELECT page_id, url, list_transform(regexp_split_to_array(t, '</?(p|h1)>')
              '<br>', ' ', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS x FROM a),
 c AS (SELECT page_id, url, array_to_string(list_filter(x, lambda s: s <> ''), chr(10) || chr(10)) AS text FROM b)
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM c
-""".replace("\\s", "\s")
+"""
 
 ORACLE_SQL: dict[str, str] = {
     "op1_voronoi_knn": _OP1,
