@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import decontam, htmltext, knn, langid, neardup, packing, pii, sharding, warc
+from . import decontam, htmltext, knn, langid, maxent, neardup, packing, pii, sharding, warc
 from .frames import in_sample, load
 
 SHARDS = 24
@@ -69,6 +69,10 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", "n_chars")
 
 
+def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_documents(_table(spark, sf_dir, "documents"), in_sample("doc_id", 10))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_warc": op2_warc,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pseudonyms": op7_pseudonyms,
     "op8_sharding": op8_sharding,
     "op9_html_text": op9_html_text,
+    "op10_maxent": op10_maxent,
 }
 
 _OP1 = """
