@@ -25,7 +25,7 @@ def epoch_to_timestamp(col: Column | str, unit: str = "s") -> Column:
     """
     key = unit.lower().strip()
     if key not in EPOCH_UNITS:
-        raise ValueError(f"Unsupported unit '{unit}'")
+        raise ValueError(f"epoch unit {unit!r} is none of {', '.join(EPOCH_UNITS)}")
     return F.timestamp_seconds((_col(col) / F.lit(EPOCH_UNITS[key])).cast("bigint"))
 
 

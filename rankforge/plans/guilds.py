@@ -13,6 +13,7 @@ from ..operators.quality import GOLD_GUILD_RULES, SILVER_GUILD_RULES, expect_or_
 
 META = ["ldts", "rsrc"]
 
+# Payload path of each silver field (the data contract).
 GUILD_FIELDS = {
     "guild_id": "s.id",
     "guild_name": "s.name",

@@ -1,7 +1,8 @@
 """Payload schemas (declared, never inferred) and the bronze row layout.
 
 Every field is nullable, as in the source payloads: a ``null`` object or a malformed field
-becomes NULL and the rest of the record survives ``from_json``.
+becomes NULL and the rest of the record survives ``from_json``. Field names, types and nesting
+are fixed values: the contract of the payloads.
 """
 
 from __future__ import annotations

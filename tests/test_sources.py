@@ -52,7 +52,7 @@ def test_preview_sql_drops_one_column_and_limits(spark):
 def test_raw_preview_first_three_records(spark):
     docs = spark.createDataFrame([(guild_doc(GUILDS),)], "guildData string")
     row = raw_preview(docs, "guilds", 3).first()
-    assert [g.id for g in row.guildData.guilds.data] == [12345, 67890, 5]
+    assert [g.id for g in row.guildData.guilds.data] == [41, 42, 43]
     assert row.guildData.guilds.total == 2
 
 
@@ -86,4 +86,4 @@ def test_preview_sql_with_declared_schema(spark):
     write_landing(docs, landing, "g", dt.datetime(2024, 1, 1))
     out = preview_sql(spark, landing, "src", schema=schemas.landing_schema("guilds", as_text=False))
     row = out.first()
-    assert out.columns == ["guildData", "ldts", "rsrc"] and row.guildData.guilds.data[0].id == 12345
+    assert out.columns == ["guildData", "ldts", "rsrc"] and row.guildData.guilds.data[0].id == 41
