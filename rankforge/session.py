@@ -6,8 +6,7 @@ timestamp casts of the silver/gold layers depend on it.
 
 from __future__ import annotations
 
-import math
-import os
+import re
 import tempfile
 import uuid
 
@@ -15,14 +14,6 @@ from pyspark.sql import SparkSession
 
 UTC = "UTC"
 
-# Fixed values of the shuffle sizing rule: bytes one shuffle partition should hold, how
-# much larger decoded shuffle rows are than the compressed parquet they come from, and a
-# ceiling on the partition count.
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-SHUFFLE_EXPANSION = 2
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "rankforge") -> SparkSession:
     """Session for tests and the bench. On a cluster use the cluster's own builder and call
@@ -77,12 +68,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the cluster (a shared file system); it is only invented here
-    when unset, which is the case in local tests.
+    A cluster names it (a folder that all its machines share); without it every executor would
+    write to its own disk, so anything but a local master is an error then. In local mode, as
+    in tests, a temporary folder is made when it is unset.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
         root = tempfile.mkdtemp(prefix="rankforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
@@ -91,39 +85,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
-    """A path below the shared checkpoint folder (never a machine-local temp folder)."""
+    """A path below the shared checkpoint folder; Spark's writers create it."""
     root = checkpoint_root(spark).rstrip("/")
     leaf = "/".join(p.strip("/") for p in parts if p)
     if unique:
         leaf = f"{leaf}-{uuid.uuid4().hex[:12]}" if leaf else uuid.uuid4().hex[:12]
-    path = f"{root}/rankforge/{leaf}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{root}/rankforge/{leaf}"
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Stored size of a file or folder (one file-system summary call, no data read)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def size_shuffle(spark: SparkSession, nbytes: int) -> int:
-    """Make ``spark.sql.shuffle.partitions`` large enough that a shuffle of an input of
-    ``nbytes`` stored bytes puts about :data:`TARGET_PARTITION_BYTES` in each partition.
-
-    Only ever raises the setting (a cluster's own larger value is kept); adaptive execution
-    coalesces the partitions that turn out small, but it cannot split one that is too big,
-    so the initial count must fit the largest input. Returns the count in force."""
-    want = min(MAX_SHUFFLE_PARTITIONS, math.ceil(max(nbytes, 0) * SHUFFLE_EXPANSION / TARGET_PARTITION_BYTES))
-    current = shuffle_partitions(spark)
-    if want > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(want))
-        return want
-    return current

@@ -13,20 +13,10 @@ from pyspark.sql import functions as F
 RECORDS_PER_DOC = 100
 
 
-_SIZES: dict[str, int] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; the shuffle width is raised to fit its stored size first. The size
-    (a recursive listing on an object store) is looked up once per path and process; it
-    only sizes partitions, so a stale value is harmless."""
-    from ..session import input_bytes, size_shuffle
-
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SIZES:
-        _SIZES[path] = input_bytes(spark, path)
-    size_shuffle(spark, _SIZES[path])
-    return spark.read.parquet(path)
+    """A driver table. Shuffle widths are the session's: adaptive execution coalesces small
+    partitions, and a cluster sets ``spark.sql.shuffle.partitions`` for its largest input."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ranking_records(events: DataFrame) -> DataFrame:
