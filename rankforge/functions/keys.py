@@ -1,17 +1,14 @@
-"""Surrogate key: SHA-256 over the key columns joined by ``|``."""
+"""Surrogate key: SHA-256 over the key columns, each written with its length."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Separator between key parts and the text standing in for a NULL part
-# (``concat_ws`` would otherwise skip NULLs and make ("a", NULL) equal to (NULL, "a")).
-KEY_SEPARATOR = "|"
-NULL_SENTINEL = "\\N"
-
 
 def surrogate_key(*cols: Column | str) -> Column:
-    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NULL_SENTINEL))
-             for c in cols]
-    return F.sha2(F.concat_ws(KEY_SEPARATOR, *parts), 256)
+    """Every part is written as ``<characters>:<text>``, a NULL part as ``-``, so different
+    tuples never give the same text, whatever characters their parts hold."""
+    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat(*parts), 256)

@@ -11,8 +11,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordinal import partition_offsets, tag_positions
-
 # Abramowitz-Stegun 7.1.26 coefficients for erfc (|error| < 1.5e-7).
 AS_P = 0.3275911
 AS_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
@@ -20,8 +18,8 @@ AS_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
 DEFAULT_SEED = 42
 DEFAULT_SAMPLE = 100
 
-# Largest number of draws that is broadcast; a larger sample joins by shuffle instead.
-MAX_BROADCAST_DRAWS = 1_000_000
+# Fixed value: hex digits of a hash, 60 bits, so its remainder by any row count is even.
+HASH_DIGITS = 15
 
 
 def _d(c: str | Column) -> Column:
@@ -39,49 +37,40 @@ def select_features(gold: DataFrame, columns: list[str], where: dict | None = No
 
 
 # ------------------------------------------------------------------ L2
-def draw_hash(seed: int) -> Column:
-    """32-bit hash of ``'{seed}:{i}'`` for draw ``i`` (column ``id``)."""
-    text = F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+def _hash60(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_DIGITS), 16, 10).cast("bigint")
+
+
+def draw_position(seed: int, i: Column, rows: Column) -> Column:
+    """Position that draw ``i`` takes among ``rows`` rows: a 60-bit hash of ``seed:i`` modulo
+    the row count."""
+    return _hash60(F.concat(F.lit(f"{seed}:"), i.cast("string"))) % rows
 
 
-def bootstrap_sample(df: DataFrame, order: list[str | Column], n: int = DEFAULT_SAMPLE,
-                     seed: int = DEFAULT_SEED, draw_col: str = "draw",
-                     order_is_key: bool = False) -> DataFrame:
-    """Exactly ``n`` rows drawn with replacement: draw ``i`` takes the row at position
-    ``hash(seed:i) mod N`` in ``order`` (a unique order makes it reproducible).
+def bootstrap_sample(df: DataFrame, key: list[str], n: int = DEFAULT_SAMPLE, seed: int = DEFAULT_SEED,
+                     draw_col: str = "draw", tie: list[str] = ()) -> DataFrame:
+    """Exactly ``n`` rows drawn with replacement (none from an empty frame).
 
-    Distributed: rows are tagged with (partition, local position) after a range
-    partitioning; a table of one row per partition turns each draw into such a tag; the
-    ``n`` draws (a parameter-sized table) are broadcast and matched where the rows lie.
+    Rows have a random order by a hash of ``seed:key`` (equal hashes by ``key`` and ``tie``).
+    Draw ``i`` takes position ``hash(seed:i) mod N``; the distinct positions, in the order in
+    which they are first drawn, stand for the first rows of the random order. Which rows are
+    drawn together, and how often each, is as in sampling with replacement, but only the ``n``
+    smallest hashes are wanted, so no row is sorted, numbered or moved beyond a parameter-sized
+    set: rows whose hash lies below a bound that about ``4 n`` rows meet.
     """
     if n < 0:
         raise ValueError("sample size must be >= 0")
-    spark = df.sparkSession
-    # With ``order_is_key`` (the order columns name one row each) only those columns are
-    # ranked and checkpointed; the drawn keys then fetch their rows.
-    narrow = order_is_key and all(isinstance(c, str) for c in order)
-    tagged = tag_positions(df.select(*order) if narrow else df, [], order)
-    parts = partition_offsets(tagged, []).withColumn(
-        "_n", F.sum("_cnt").over(Window.partitionBy().rowsBetween(Window.unboundedPreceding,
-                                                                   Window.unboundedFollowing)))
-    draws = spark.range(n).select(F.col("id").alias(draw_col), draw_hash(seed).alias("_h"))
-    rid = F.col("_h") % F.col("_n")
-    # range lookup of n draws in a table of one row per partition: both sides are small
-    located = draws.join(F.broadcast(parts),
-                         (rid >= F.col("_before")) & (rid < F.col("_before") + F.col("_cnt")))
-    located = located.select(draw_col, F.col("_pid").alias("_dpid"),
-                             (F.col("_first") + rid - F.col("_before")).alias("_dloc"))
-    # the n draws are broadcast only up to a fixed size; beyond it they are joined by shuffle
-    small = (lambda d: F.broadcast(d)) if n <= MAX_BROADCAST_DRAWS else (lambda d: d)
-    hit = tagged.join(small(located),
-                      (tagged["_pid"] == located["_dpid"]) & (tagged["_loc"] == located["_dloc"]))
-    if narrow:
-        # n order keys (a parameter-sized table) fetch their whole rows where they lie
-        picked = hit.select(draw_col, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
-        cond = [df[c].eqNullSafe(picked[f"_o{i}"]) for i, c in enumerate(order)]
-        return df.join(small(picked), cond).select(draw_col, *[df[c] for c in df.columns])
-    return hit.select(draw_col, *[tagged[c] for c in df.columns])
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    total = df.agg(F.count(F.lit(1)).alias("_rows"))
+    hashed = df.withColumn("_h", _hash60(text))
+    few = hashed.join(F.broadcast(total), F.col("_h") / float(1 << 4 * HASH_DIGITS) * F.col("_rows") < 4 * n + 256)
+    order = Window.orderBy("_h", *key, *tie)
+    chosen = few.drop("_rows").withColumn("_j", F.row_number().over(order)).where(F.col("_j") <= n)
+    draws = (df.sparkSession.range(n).join(F.broadcast(total), F.col("_rows") > 0)
+             .select(F.col("id").alias(draw_col), draw_position(seed, F.col("id"), F.col("_rows")).alias("_p")))
+    first = (draws.groupBy("_p").agg(F.min(draw_col).alias("_first"))
+             .withColumn("_j", F.row_number().over(Window.orderBy("_first"))))
+    return (draws.join(first, "_p").join(chosen, "_j").select(draw_col, *df.columns))
 
 
 def _keys(df: DataFrame, group) -> tuple[DataFrame, list[str]]:
@@ -102,7 +91,7 @@ def least_squares(df: DataFrame, x: str, y: str, group: list[str] = (),
                   round_decimal: int | None = None) -> DataFrame:
     """Slope ``m`` and intercept ``b`` per group: m = cov(x,y)/var(x), b = E[y] - m E[x].
     ``round_decimal`` 0 or None leaves them unrounded; rounding is half-to-even. A constant
-    x gives NULL. One partial/final aggregate: a hot group is pre-aggregated map-side."""
+    x gives NULL; ``n`` counts the pairs without a NULL. One partial/final aggregate: a hot group is pre-aggregated map-side."""
     return df.groupBy(*group).agg(*_line_aggs(x, y, round_decimal))
 
 
@@ -111,37 +100,21 @@ def _line_aggs(x: str, y: str, round_decimal: int | None) -> list[Column]:
     b = F.regr_intercept(_d(y), _d(x))
     if round_decimal:
         m, b = F.bround(m, round_decimal), F.bround(b, round_decimal)
-    return [m.alias("m"), b.alias("b"), F.count(F.lit(1)).alias("n")]
+    return [m.alias("m"), b.alias("b"), F.regr_count(_d(y), _d(x)).alias("n")]
 
 
 # ------------------------------------------------------------------ L4
-def _moment_aggs(x: str, y: str) -> list[Column]:
-    """Count, mean and population variance of ``y`` (all non-NULL y), and count, means,
-    population variances and covariance of the (x, y) pairs where both are non-NULL.
-    Spark merges their partial states with the pairwise (Chan) update, so the sums of
-    squares stay exact to rounding for a group of any size."""
-    xd, yd = _d(x), _d(y)
-    both = xd.isNotNull() & yd.isNotNull()
-    px, py = F.when(both, xd), F.when(both, yd)
-    return [F.count(yd).alias("_ny"), F.var_pop(yd).alias("_vy"),
-            F.count(px).alias("_np"), F.avg(px).alias("_mx"), F.avg(py).alias("_my"),
-            F.var_pop(px).alias("_vx"), F.var_pop(py).alias("_vyp"), F.covar_pop(px, py).alias("_cxy")]
-
-
-def moments(df: DataFrame, x: str, y: str, group: list[str] = ()) -> DataFrame:
-    """One row per group with the columns of :func:`_moment_aggs`: one aggregate with a
-    map-side partial phase, so only one partial row per task and group is shuffled."""
-    return df.groupBy(*group).agg(*_moment_aggs(x, y))
-
-
-def _sse_columns(m: Column, b: Column) -> list[Column]:
-    """SSE(mean) = n_y var(y); SSE(line) = n (var(y) + m^2 var(x) - 2 m cov(x, y))
-    + n (mean(y) - m mean(x) - b)^2 over the (x, y) pairs, for r = y - (m x + b)."""
-    resid_var = F.greatest(F.col("_vyp") + m * m * F.col("_vx") - 2 * m * F.col("_cxy"), F.lit(0.0))
-    resid_mean = F.col("_my") - m * F.col("_mx") - b
-    sse_base = F.when(F.col("_ny") > 0, F.col("_ny") * F.col("_vy"))
-    sse_reg = F.when(F.col("_np") > 0, F.col("_np") * (resid_var + resid_mean * resid_mean))
-    return [sse_base.alias("sse_base"), sse_reg.alias("sse_reg")]
+def _squares(df: DataFrame, line: DataFrame, x: str, y: str, keys: list[str]) -> DataFrame:
+    """``keys, m, b, sse_base, sse_reg`` per group: the squared distances of y from its mean and
+    of the pairs from the line, summed directly (no difference of large sums, so a nearly
+    perfect fit keeps its digits). The one-row-per-group line is joined to the rows (NULL keys
+    match each other); adaptive execution broadcasts it or splits a hot group."""
+    named = line.select(*[F.col(k).alias(f"_f{i}") for i, k in enumerate(keys)], "m", "b")
+    rows = df.select(*keys, _d(x).alias("_x"), _d(y).alias("_y"))
+    joined = rows.join(named, [rows[k].eqNullSafe(named[f"_f{i}"]) for i, k in enumerate(keys)])
+    residual = F.col("_y") - (F.col("m") * F.col("_x") + F.col("b"))
+    return joined.groupBy(*keys, "m", "b").agg(
+        (F.count("_y") * F.var_pop("_y")).alias("sse_base"), F.sum(residual * residual).alias("sse_reg"))
 
 
 def _r2(decimals: int) -> Column:
@@ -153,18 +126,10 @@ def _r2(decimals: int) -> Column:
 def r_squared(df: DataFrame, fit: DataFrame, x: str, y: str, group: list[str] = (),
               decimals: int = 2) -> DataFrame:
     """R^2 = 1 - SSE(line)/SSE(mean) of a *given* line (m, b) per group, half-to-even
-    rounded, with both sums of squares.
-
-    No row of ``df`` is joined or shuffled: the sums of squares come from :func:`moments`
-    (see :func:`_sse_columns`); only the one-row-per-group moments meet the
-    one-row-per-group line (NULL group keys match each other)."""
+    rounded, with both sums of squares."""
     data, keys = _keys(df, group)
-    fit_k, _ = _keys(fit, group)
-    mom = moments(data, x, y, keys)
-    line = fit_k.select(*[F.col(k).alias(f"_f{i}") for i, k in enumerate(keys)], "m", "b")
-    joined = mom.join(line, [mom[k].eqNullSafe(line[f"_f{i}"]) for i, k in enumerate(keys)])
-    out = joined.select(*[mom[k] for k in keys], "m", "b", *_sse_columns(F.col("m"), F.col("b")))
-    out = out.withColumn("r2", _r2(decimals))
+    line, _ = _keys(fit, group)
+    out = _squares(data, line, x, y, keys).withColumn("r2", _r2(decimals))
     return out if group else _drop_all(out)
 
 
@@ -173,6 +138,8 @@ def fit_points(fit: DataFrame, data: DataFrame, x: str, group: list[str] = (),
                points: int = 100) -> DataFrame:
     """``points`` evenly spaced x in [min x, max x] per group and y = m x + b; the points
     are generated from the one-row-per-group line, no join with a point table."""
+    if points < 1:
+        raise ValueError("points must be >= 1")
     d, keys = _keys(data, group)
     f, _ = _keys(fit, group)
     rng = d.groupBy(*keys).agg(F.min(_d(x)).alias("_lo"), F.max(_d(x)).alias("_hi"))
@@ -215,21 +182,43 @@ def damage_probability(df: DataFrame, x: float, measure: str = "rDPS",
     v = _d(measure)
     stats = df.groupBy(*group).agg(
         F.avg((v >= F.lit(x)).cast("double")).alias("empirical"),
-        F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.count(F.lit(1)).alias("n"))
+        F.avg(v).alias("mean"), F.stddev_samp(v).alias("sd"), F.count(v).alias("n"))
     z = F.try_divide(F.lit(float(x)) - F.col("mean"), F.col("sd"))
     # sd 0 (all values equal): the normal model degenerates to a point mass at the mean
     tail = F.when(F.col("sd") == 0, (F.col("mean") >= F.lit(float(x))).cast("double")).otherwise(normal_upper_tail(z))
     return stats.withColumn("normal_tail", tail)
 
 
+def joint_probability(df: DataFrame, thresholds: dict[str, float], encounter: str | None = None,
+                      job: str | None = None, group: list[str] = ("encounter_name", "class")) -> DataFrame:
+    """Per group, the share of rows that reach every threshold (``p_all``) and that reach at
+    least one (``p_any``), with the rows (``n``) in which all measures are present; optionally
+    of one encounter and one job. A NULL measure takes its row out."""
+    if not thresholds or any(not (0 <= t <= 50_000) for t in thresholds.values()):
+        raise ValueError("each threshold must lie in [0, 50000]")
+    where = {"encounter_name": encounter, "class": job}
+    rows = df
+    for column, value in where.items():
+        if value is not None:
+            rows = rows.where(F.col(column) == F.lit(value))
+    reached = [_d(m) >= F.lit(float(t)) for m, t in thresholds.items()]
+    every, some = reached[0], reached[0]
+    for r in reached[1:]:
+        every, some = every & r, some | r
+    present = rows.where(F.expr(" AND ".join(f"`{m}` IS NOT NULL" for m in thresholds)))
+    return present.groupBy(*group).agg(F.avg(every.cast("double")).alias("p_all"),
+                                       F.avg(some.cast("double")).alias("p_any"), F.count(F.lit(1)).alias("n"))
+
+
 # ------------------------------------------------------------------ L9
 def fit_report(sample: DataFrame, x: str, y: str, group: list[str] = (),
                round_decimal: int = 2) -> DataFrame:
-    """Slope, intercept (rounded as the caller asks), R^2 of that line, both SSEs and n per
-    group. The fit and the moments are one aggregate: the sample is read once and no
-    table is joined."""
+    """Slope, intercept (rounded as the caller asks), R^2 of that line, both SSEs and the
+    pairs per group."""
     data, keys = _keys(sample, group)
-    stats = data.groupBy(*keys).agg(*_line_aggs(x, y, round_decimal), *_moment_aggs(x, y))
-    out = stats.select(*keys, "m", "b", *_sse_columns(F.col("m"), F.col("b")), "n")
+    line = data.groupBy(*keys).agg(*_line_aggs(x, y, round_decimal))
+    squares = _squares(data, line, x, y, keys)
+    n = line.select(*[F.col(k).alias(f"_f{i}") for i, k in enumerate(keys)], "n")
+    out = squares.join(n, [squares[k].eqNullSafe(n[f"_f{i}"]) for i, k in enumerate(keys)])
     out = out.select(*keys, "m", "b", "sse_base", "sse_reg", _r2(2), "n")
     return out if group else _drop_all(out)

@@ -10,12 +10,6 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def parse_payload(df: DataFrame, text_col: str, schema: T.StructType, alias: str) -> DataFrame:
-    """JSON text -> declared struct. A malformed field becomes NULL; the record survives."""
-    return df.withColumn(alias, F.from_json(F.col(text_col), schema))
 
 
 def explode_records(df: DataFrame, array_path: str, alias: str,
@@ -67,15 +61,14 @@ def merged_positions(df: DataFrame, keys: list[str], page: str, array: str,
     """The records of the merged document, one row each, with their position in it.
 
     Equal to ``posexplode(merge_pages(...)[array])`` but distributed: the position of a
-    page's first record is a running total of page sizes within the key, computed on the
-    narrow (key, page, size) table; each page is then exploded where it lies. No key is
-    ever gathered into one row or one task. Pages are assumed unique per key.
+    page's first record is a running total of page sizes within the key, and every page is
+    exploded where it lies, so no key is gathered into one row or one task. Pages go in the
+    order of (page, records): a repeated page number counts once for each row, a NULL page
+    comes first.
     """
     from .ordinal import running_total
 
-    sizes = df.select(*keys, page, F.coalesce(F.size(F.col(array)), F.lit(0)).cast("bigint").alias("_n"))
-    sizes = sizes.where(F.col("_n") > 0)
-    starts = running_total(sizes, keys, [page], "_n", "_start").drop("_n")
-    cond = [df[k].eqNullSafe(starts[k]) for k in keys] + [df[page] == starts[page]]
-    placed = df.join(starts, cond).select(*[df[k] for k in keys], "_start", F.posexplode(df[array]).alias("_idx", value_name))
-    return placed.select(*keys, (F.col("_start") + F.col("_idx")).cast("int").alias(pos_name), value_name)
+    pages = df.select(*keys, page, array, F.coalesce(F.size(F.col(array)), F.lit(0)).cast("bigint").alias("_n"))
+    placed = running_total(pages.where(F.col("_n") > 0), keys, [page, array], "_n", "_start")
+    out = placed.select(*keys, "_start", F.posexplode(array).alias("_idx", value_name))
+    return out.select(*keys, (F.col("_start") + F.col("_idx")).cast("bigint").alias(pos_name), value_name)

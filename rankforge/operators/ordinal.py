@@ -27,9 +27,6 @@ from ..session import prepare, shuffle_partitions
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | position in partition
 
-# Largest slice (rows) that ``page_slice`` takes as a top-k; deeper slices are numbered.
-TOP_K_ROWS = 100_000
-
 
 def _cols(names):
     return [F.col(c) if isinstance(c, str) else c for c in names]
@@ -109,19 +106,18 @@ def page_slice(df: DataFrame, order: list[str | Column], offset: int, limit: int
     """Pages ``offset+1 .. offset+limit`` of ``per_page`` rows each in ``order`` (a unique
     order makes the slice deterministic).
 
-    A slice of at most :data:`TOP_K_ROWS` rows is a top-k (each task keeps its best
-    ``(offset+limit)*per_page`` rows, one task merges them); a deeper slice numbers all
-    rows with :func:`with_ordinal` and filters, so no task ever holds more than a partition.
+    Rows are range-partitioned and tagged once; only the partitions that the slice spans (by
+    the one-row-per-partition offsets) keep their rows, and no task holds more than a
+    partition, however deep the page or however large the slice.
     """
     if offset < 0 or limit < 0 or per_page <= 0:
         raise ValueError("offset and limit must be >= 0 and per_page > 0")
     lo, hi = offset * per_page, (offset + limit) * per_page
-    if hi <= TOP_K_ROWS:
-        top = df.orderBy(*_cols(order)).limit(hi)
-        w = Window.orderBy(*_cols(order))  # over at most TOP_K_ROWS rows
-        numbered = top.withColumn("_ord", F.row_number().over(w) - 1)
-    else:
-        numbered = with_ordinal(df, [], order, "_ord")
-    return (numbered.where((F.col("_ord") >= lo) & (F.col("_ord") < hi))
-            .withColumn(page_col, (F.floor(F.col("_ord") / per_page) + 1).cast("int"))
-            .drop("_ord"))
+    tagged = tag_positions(df, [], order)
+    spanned = partition_offsets(tagged, []).where(
+        (F.col("_before") < hi) & (F.col("_before") + F.col("_cnt") > lo))
+    joined, _ = _join_offsets(tagged, spanned, [], ["_first", "_before"])
+    position = F.col("_before") + F.col("_loc") - F.col("_first")
+    return (joined.withColumn("_ord", position).where((F.col("_ord") >= lo) & (F.col("_ord") < hi))
+            .select(*[tagged[c] for c in df.columns],
+                    (F.floor(F.col("_ord") / per_page) + 1).cast("bigint").alias(page_col)))

@@ -196,8 +196,12 @@ RAW_PREVIEW = """SELECT c_custkey // 100 AS doc, 1500 AS total, true AS has_more
   CASE WHEN c_custkey % 11 = 0 THEN ' ' || chr(10) || ' ' ELSE ' guild' || chr(10) || ' of  ' || c_name END AS guild_name
 FROM customer QUALIFY pos < 3"""
 
-SURROGATE_KEY = """SELECT c_custkey, sha256(concat_ws('|', coalesce(c_custkey::VARCHAR, '\\N'),
-  coalesce(c_nationkey::VARCHAR, '\\N'), coalesce(c_mktsegment, '\\N'))) AS surrogate_key FROM customer"""
+def _part(c: str) -> str:
+    return f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+
+SURROGATE_KEY = f"""SELECT c_custkey,
+  sha256({_part('c_custkey')} || {_part('c_nationkey')} || {_part('c_mktsegment')}) AS surrogate_key FROM customer"""
 
 LATEST_PER_KEY = """SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type
   ORDER BY ts DESC, event_id DESC, value DESC, props DESC) = 1"""
@@ -221,14 +225,25 @@ FROM events"""
 # ---------------------------------------------------------------- analytics
 FEATURE_SELECT = f"""WITH {ENC} SELECT class, "rDPS", "aDPS", duration FROM gold WHERE encounter_name = 'The Fight 103'"""
 
-BOOTSTRAP_SAMPLE = """WITH r AS (SELECT row_number() OVER (ORDER BY event_id) - 1 AS rid, * FROM events),
-  i AS (SELECT i AS draw, ('0x' || substr(md5('42:' || i), 1, 8))::BIGINT % (SELECT count(*) FROM events) AS rid
-        FROM range(100) t(i))
-SELECT draw, event_id, ts, user_id, event_type, value, props FROM i JOIN r USING (rid)"""
+def _sample(table: str, key: list[str], tie: list[str] = (), n: int = 100, seed: int = 42) -> str:
+    """CTEs ``r`` (rows in the order of a seeded hash of their key) and ``i`` (draws, with the
+    rank of their position among the distinct ones in order of first appearance)."""
+    text = " || '|' || ".join([f"'{seed}'", *[f"coalesce({c}::VARCHAR, '')" for c in key]])
+    order = ", ".join(f"{c} NULLS FIRST" for c in [*key, *tie])
+    return f"""r AS (SELECT row_number() OVER (ORDER BY ('0x' || substr(md5({text}), 1, 15))::BIGINT, {order}) AS j, *
+        FROM {table}),
+  d AS (SELECT i AS draw, ('0x' || substr(md5('{seed}:' || i), 1, 15))::BIGINT % (SELECT count(*) FROM {table}) AS pos
+        FROM range({n}) t(i)),
+  f AS (SELECT pos, row_number() OVER (ORDER BY min(draw)) AS j FROM d GROUP BY pos),
+  i AS (SELECT draw, j FROM d JOIN f USING (pos))"""
+
+
+BOOTSTRAP_SAMPLE = f"""WITH {_sample('events', ['event_id'])}
+SELECT draw, event_id, ts, user_id, event_type, value, props FROM i JOIN r USING (j)"""
 
 LEAST_SQUARES = f"""WITH {ENC} SELECT encounter_name, class,
   round(regr_slope("aDPS"::DOUBLE, "rDPS"::DOUBLE), 6) AS m,
-  round(regr_intercept("aDPS"::DOUBLE, "rDPS"::DOUBLE), 6) AS b, count(*) AS n
+  round(regr_intercept("aDPS"::DOUBLE, "rDPS"::DOUBLE), 6) AS b, regr_count("aDPS"::DOUBLE, "rDPS"::DOUBLE)::BIGINT AS n
 FROM gold GROUP BY ALL"""
 
 R_SQUARED = """WITH st AS (SELECT event_type, round_even(regr_slope(value, user_id), 2) AS m,
@@ -240,12 +255,8 @@ R_SQUARED = """WITH st AS (SELECT event_type, round_even(regr_slope(value, user_
 SELECT * FROM q"""
 
 FIT_REPORT = f"""WITH {ENC},
-  g AS (SELECT row_number() OVER (ORDER BY encounter_name NULLS FIRST, player_name NULLS FIRST, class NULLS FIRST,
-             "rDPS" NULLS FIRST, "aDPS" NULLS FIRST, ranked_date NULLS FIRST, duration NULLS FIRST,
-             "lodestoneID" NULLS FIRST, guild_name NULLS FIRST, server_name NULLS FIRST) - 1 AS rid, * FROM gold),
-  i AS (SELECT i AS draw, ('0x' || substr(md5('42:' || i), 1, 8))::BIGINT % (SELECT count(*) FROM gold) AS rid
-        FROM range(100) t(i)),
-  s AS (SELECT "rDPS"::DOUBLE AS x, "aDPS"::DOUBLE AS y FROM i JOIN g USING (rid)),
+  {_sample('gold', ['encounter_name', 'player_name', 'class', 'ranked_date'], ['"rDPS"', '"aDPS"', 'duration'])},
+  s AS (SELECT "rDPS"::DOUBLE AS x, "aDPS"::DOUBLE AS y FROM i JOIN r USING (j)),
   st AS (SELECT round_even(regr_slope(y, x), 2) AS m, round_even(regr_intercept(y, x), 2) AS b,
                 avg(y) AS yb, count(*) AS n FROM s)
 SELECT m, b, round(sum(pow(y - yb, 2)), 3) AS sse_base, round(sum(pow(y - (m * x + b), 2)), 3) AS sse_reg,
@@ -270,6 +281,12 @@ DAMAGE_PROBABILITY = f"""WITH {ENC},
 SELECT encounter_name, class, round(empirical, 6) AS empirical, round(mean, 6) AS mean, round(sd, 6) AS sd, n,
   round(CASE WHEN z >= 0 THEN h ELSE 1 - h END, 6) AS normal_tail FROM u"""
 
+JOINT_PROBABILITY = f"""WITH {ENC}
+SELECT encounter_name, class, round(avg(("rDPS" >= 50 AND "aDPS" >= 60)::INT::DOUBLE), 6) AS p_all,
+  round(avg(("rDPS" >= 50 OR "aDPS" >= 60)::INT::DOUBLE), 6) AS p_any, count(*) AS n
+FROM gold WHERE encounter_name = 'The Fight 103' AND class = 'Purchase Mage'
+  AND "rDPS" IS NOT NULL AND "aDPS" IS NOT NULL GROUP BY ALL"""
+
 # ---------------------------------------------------------------- reports
 SELECT_REPORTS = """WITH rep AS (
     SELECT 'R' || o_orderkey AS code, 'report ' || o_orderstatus AS title,

@@ -313,7 +313,7 @@ def feature_select(spark, sf_dir):
 
 def bootstrap_sample(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
-    return an.bootstrap_sample(ev, ["event_id"], n=100, seed=42, order_is_key=True)
+    return an.bootstrap_sample(ev, ["event_id"], n=100, seed=42)
 
 
 def least_squares(spark, sf_dir):
@@ -333,7 +333,8 @@ def r_squared(spark, sf_dir):
 
 def fit_report(spark, sf_dir):
     gold = _gold_enc(spark, sf_dir)
-    sample = an.bootstrap_sample(gold, enc.GOLD_COLUMNS, 100, 42)
+    sample = an.bootstrap_sample(gold, ["encounter_name", "player_name", "class", "ranked_date"], 100, 42,
+                                 tie=["rDPS", "aDPS", "duration"])
     rep = an.fit_report(sample, "rDPS", "aDPS", [], round_decimal=2)
     return rep.select("m", "b", F.round("sse_base", 3).alias("sse_base"),
                       F.round("sse_reg", 3).alias("sse_reg"), "r2", "n")
@@ -361,6 +362,12 @@ def damage_probability(spark, sf_dir):
                     "n", F.round("normal_tail", 6).alias("normal_tail"))
 
 
+def joint_probability(spark, sf_dir):
+    """rDPS and/or aDPS of one job in one encounter."""
+    p = an.joint_probability(_gold_enc(spark, sf_dir), {"rDPS": 50.0, "aDPS": 60.0}, "The Fight 103", "Purchase Mage")
+    return p.select("encounter_name", "class", F.round("p_all", 6).alias("p_all"), F.round("p_any", 6).alias("p_any"), "n")
+
+
 # ---------------------------------------------------------------- reports
 def select_reports(spark, sf_dir):
     reports = fixtures.report_rows(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
@@ -405,6 +412,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_points": fit_points,
     "line_from_points": line_from_points,
     "damage_probability": damage_probability,
+    "joint_probability": joint_probability,
     "select_reports": select_reports,
 }
 
@@ -443,5 +451,6 @@ ORACLE_SQL: dict[str, str] = {
     "fit_points": oracle.FIT_POINTS,
     "line_from_points": oracle.LINE_FROM_POINTS,
     "damage_probability": oracle.DAMAGE_PROBABILITY,
+    "joint_probability": oracle.JOINT_PROBABILITY,
     "select_reports": oracle.SELECT_REPORTS,
 }

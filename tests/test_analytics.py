@@ -46,8 +46,8 @@ def test_r_squared_of_given_line(xy):
     assert rep.n == len(X) and rep.r2 == r.r2
 
 
-def test_r_squared_moments_against_brute_force(spark):
-    """Grouped R^2 from moments equals the row-by-row sums, with NULL x / y rows, a NULL
+def test_r_squared_against_brute_force(spark):
+    """Grouped R^2 equals the row-by-row sums, with NULL x / y rows, a NULL
     group key and a hot group far from the origin (large mean, small spread)."""
     rng = np.random.default_rng(7)
     rows = [("hot", 1e6 + float(i), 3e5 + 0.5 * i + float(rng.normal(0, 2))) for i in range(3000)]
@@ -82,26 +82,58 @@ def test_fit_points_and_line_recovery(xy):
 
 def test_bootstrap_is_exact_size_with_replacement(spark):
     df = spark.range(37).withColumnRenamed("id", "k").withColumn("payload", F.col("k") * 2)
-    s1 = an.bootstrap_sample(df, ["k"], n=500, seed=42, order_is_key=True).collect()
-    s2 = an.bootstrap_sample(df, ["k"], n=500, seed=42).collect()
+    s1 = an.bootstrap_sample(df, ["k"], n=500, seed=42).collect()
+    s2 = an.bootstrap_sample(df.repartition(7), ["k"], n=500, seed=42).collect()
     assert len(s1) == 500 and sorted(s1) == sorted(s2)
     assert {r.draw for r in s1} == set(range(500))
     assert all(r.payload == 2 * r.k for r in s1)
-    assert len({r.k for r in s1}) < 37 or len(s1) > 37  # with replacement: repeats occur
+    assert len({r.k for r in s1}) == 37                # 500 draws of 37 rows: every row, repeats
     assert an.bootstrap_sample(df, ["k"], n=0).count() == 0
+    assert an.bootstrap_sample(df.limit(0), ["k"], n=5).count() == 0
 
 
-def test_bootstrap_beyond_broadcast_bound_gives_same_draws(spark, monkeypatch):
-    df = spark.range(53).withColumnRenamed("id", "k").withColumn("payload", F.col("k") * 3)
-    def hints(d):
-        return d._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
+def test_bootstrap_repeats_follow_the_positions(spark):
+    import hashlib
 
-    small = an.bootstrap_sample(df, ["k"], n=200, order_is_key=True)
-    want = sorted(small.collect())
-    monkeypatch.setattr(an, "MAX_BROADCAST_DRAWS", 10)     # 200 draws: no broadcast hint on them
-    got = an.bootstrap_sample(df, ["k"], n=200, order_is_key=True)
-    assert sorted(got.collect()) == want
-    assert hints(small) == 3 and hints(got) == 1           # only the one-row-per-partition table
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    got = {r.draw: r.k for r in an.bootstrap_sample(df, ["k"], n=80, seed=7).collect()}
+    h = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
+    ranked = sorted(range(1000), key=lambda k: (h(f"7|{k}"), k))
+    seen = {}
+    for i in range(80):
+        p = h(f"7:{i}") % 1000
+        assert got[i] == ranked[seen.setdefault(p, len(seen))]
+
+
+def test_draw_positions_reach_beyond_32_bits(spark):
+    rows = 10 ** 13
+    got = [r.p for r in spark.range(400).select(an.draw_position(1, F.col("id"), F.lit(rows)).alias("p")).collect()]
+    assert max(got) > 9 * 10 ** 12 and min(got) < 10 ** 12 and sum(p > 2 ** 32 for p in got) > 390
+
+
+def test_joint_probability(spark):
+    rows = [("e", "c", 60.0, 10.0), ("e", "c", 60.0, 70.0), ("e", "c", 1.0, 1.0), ("e", "c", None, 99.0), ("x", "c", 99.0, 99.0)]
+    df = spark.createDataFrame(rows, "encounter_name string, class string, rDPS double, aDPS double")
+    r = an.joint_probability(df, {"rDPS": 50, "aDPS": 60}, encounter="e", job="c").collect()
+    assert len(r) == 1 and (r[0].n, r[0].p_all, r[0].p_any) == (3, pytest.approx(1 / 3), pytest.approx(2 / 3))
+    with pytest.raises(ValueError):
+        an.joint_probability(df, {})
+
+
+def test_nearly_perfect_fit_keeps_its_residual(spark):
+    rows = [(1e7 + i, 2 * (1e7 + i) + (1e-4 if i % 2 else -1e-4)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    line = spark.createDataFrame([(2.0, 0.0)], "m double, b double")
+    assert an.r_squared(df, line, "x", "y").first().sse_reg == pytest.approx(1000 * 1e-8, rel=1e-3)
+
+
+def test_pairs_and_points_edges(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, None)], "x double, y double")
+    fit = an.least_squares(df, "x", "y")
+    assert fit.first().n == 2
+    with pytest.raises(ValueError):
+        an.fit_points(fit, df, "x", points=0)
+    assert an.fit_points(fit, df, "x", points=1).count() == 1
 
 
 def test_damage_probability_against_erfc(spark):

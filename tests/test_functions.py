@@ -84,6 +84,8 @@ def test_surrogate_key_separates_null_positions(spark):
     df = spark.createDataFrame([("a", None), (None, "a"), ("a", None)], "x string, y string")
     keys = [r.k for r in df.select(surrogate_key("x", "y").alias("k")).collect()]
     assert keys[0] == keys[2] and keys[0] != keys[1] and len(keys[0]) == 64
+    clash = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("\\N", "c"), (None, "c")], "x string, y string")
+    assert len({r.k for r in clash.select(surrogate_key("x", "y").alias("k")).collect()}) == 4
 
 
 def test_date_text(spark):

@@ -51,13 +51,11 @@ def test_running_total_matches_window(skewed):
     assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
 
 
-@pytest.mark.parametrize("top_k", [10 ** 6, 0])
-def test_page_slice_both_paths(skewed, monkeypatch, top_k):
-    monkeypatch.setattr(ordinal, "TOP_K_ROWS", top_k)
+def test_page_slice_matches_window(skewed):
     got = ordinal.page_slice(skewed, [F.col("v").desc(), "id"], offset=2, limit=3, per_page=50)
     ranked = skewed.withColumn("rn", F.row_number().over(Window.orderBy(F.col("v").desc(), "id")) - 1)
     want = (ranked.where("rn >= 100 AND rn < 250")
-            .withColumn("page", (F.floor(F.col("rn") / 50) + 1).cast("int")).drop("rn"))
+            .withColumn("page", (F.floor(F.col("rn") / 50) + 1).cast("bigint")).drop("rn"))
     assert sorted(got.collect()) == sorted(want.collect())
 
 
@@ -78,6 +76,15 @@ def test_merged_positions_equal_merge_then_posexplode(spark):
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
 
 
+def test_merged_positions_with_repeated_and_null_pages(spark):
+    df = spark.createDataFrame([(1, 1, ["a", "b"]), (1, 1, ["c"]), (1, 2, ["d"]), (1, None, ["e"]), (2, 7, None)],
+                               "k int, page int, arr array<string>")
+    want = merge_pages(df, ["k"], "page", "arr").select("k", F.posexplode("arr").alias("pos", "value"))
+    got = merged_positions(df, ["k"], "page", "arr")
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert sorted(r.value for r in got.collect()) == list("abcde")
+
+
 def test_slice_records_keeps_envelope(spark):
     df = spark.createDataFrame([({"total": 5, "data": [1, 2, 3, 4, 5]},)],
                                "g struct<total:int, data:array<int>>")
