@@ -56,6 +56,17 @@ def merge_pages(df: DataFrame, keys: list[str], page: str, array: str,
     return df.groupBy(*keys).agg(*aggs)
 
 
+def merged_envelopes(df: DataFrame, keys: list[str], page: str, array: str,
+                     envelope: list[str]) -> DataFrame:
+    """The envelope of each merged document: the columns of its first page (ties go to the
+    smallest values), with its ``pages`` and ``records``; the records themselves come from
+    :func:`merged_positions`. One partial aggregate, no array is built."""
+    first = F.min(F.struct(F.col(page), *envelope))
+    out = df.groupBy(*keys).agg(first.alias("_first"), F.count(F.lit(1)).alias("pages"),
+                                F.sum(F.coalesce(F.size(F.col(array)), F.lit(0))).alias("records"))
+    return out.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in envelope], "pages", "records")
+
+
 def merged_positions(df: DataFrame, keys: list[str], page: str, array: str,
                      value_name: str = "value", pos_name: str = "pos") -> DataFrame:
     """The records of the merged document, one row each, with their position in it.

@@ -20,16 +20,18 @@ ENC_TIE = ('"rDPS" DESC, "aDPS" DESC, duration DESC, "lodestoneID" DESC, encount
            'guild_id DESC, guild_name DESC, server_id DESC, server_name DESC')
 
 
-def encounter_ctes(source: str = "events", carry: str = "", version: str = "") -> str:
+def encounter_ctes(source: str = "events", carry: str = "", version: str = "", faults: bool = False) -> str:
     """CTEs ``silver_c``, ``silver``, ``gold`` over an events-shaped relation ``source``.
     ``carry`` lists extra columns kept (with a trailing comma); ``version`` is the leading
-    ORDER BY term of the newest-per-key choice (e.g. ``ldts DESC,``)."""
+    ORDER BY term of the newest-per-key choice (e.g. ``ldts DESC,``). ``faults``: the source
+    has players and encounters without a name and encounters without an id."""
+    unnamed = ("user_id % 13 = 0", "user_id % 5 + 101 = 104", "user_id % 5 + 101 = 105") if faults else ("false",) * 3
     return f"""
 p AS (SELECT *, (props->>'$.k')::INT AS k FROM {source}),
 silver_c AS (
-  SELECT {carry} (user_id % 5 + 101)::INT AS encounter_id,
-    {trimws(initcap("' the  fight ' || (user_id % 5 + 101)"))} AS encounter_name,
-    {trimws(initcap("' player' || chr(10) || ' ' || user_id"))} AS player_name,
+  SELECT {carry} CASE WHEN NOT {unnamed[2]} THEN (user_id % 5 + 101)::INT END AS encounter_id,
+    CASE WHEN NOT {unnamed[1]} THEN {trimws(initcap("' the  fight ' || (user_id % 5 + 101)"))} END AS encounter_name,
+    CASE WHEN NOT {unnamed[0]} THEN {trimws(initcap("' player' || chr(10) || ' ' || user_id"))} END AS player_name,
     upper(event_type[1]) || lower(event_type[2:]) || ' Mage' AS class,
     round((value - 5)::FLOAT, 2)::FLOAT AS "rDPS",
     round(((value - 2) * 0.95::DOUBLE)::FLOAT, 2)::FLOAT AS "aDPS",
@@ -42,7 +44,8 @@ silver_c AS (
     'Srv ' || (user_id % 8) AS server_name
   FROM p
   WHERE round((value - 5)::FLOAT, 2) > 0
-    AND round(((value - 2) * 0.95::DOUBLE)::FLOAT, 2) > 0 AND (k * 90000 + 500) // 1000 > 0),
+    AND round(((value - 2) * 0.95::DOUBLE)::FLOAT, 2) > 0 AND (k * 90000 + 500) // 1000 > 0
+    AND NOT {unnamed[0]} AND NOT {unnamed[2]}),
 silver AS (
   SELECT * FROM silver_c
   QUALIFY row_number() OVER (PARTITION BY encounter_id, player_name, class, ranked_date
@@ -63,6 +66,12 @@ SELECT encounter_name, player_name, class, "rDPS", "aDPS", ranked_date,
   guild_name, server_name
 FROM gold"""
 
+_FAULTS = f"""WITH f AS (SELECT * FROM events UNION ALL
+  SELECT event_id, ts, user_id, event_type, value + 1, props FROM events WHERE event_id % 10 = 0),
+{encounter_ctes('f', faults=True)}"""
+SILVER_ENCOUNTERS_FAULTS = f"{_FAULTS} SELECT * FROM silver"
+GOLD_ENCOUNTERS_FAULTS = f"{_FAULTS} SELECT * FROM gold"
+
 # The same encounters landed as files with the pull stamp 2026-01-01 00:00:00 as load time.
 SCAN_JSON_MULTILINE = f"""WITH src AS (SELECT *, TIMESTAMP '2026-01-01 00:00:00' AS ldts FROM events),
 {encounter_ctes('src', 'ldts,')} SELECT * FROM silver_c"""
@@ -81,11 +90,16 @@ LOAD_CTES = f"WITH {LOADS}, {encounter_ctes('loads', 'ldts,', 'ldts DESC,')}"
 STREAM_BRONZE = f"""WITH {LOADS}
 SELECT ldts, count(DISTINCT (user_id % 5, event_id // 100)) AS documents, count(*) AS records
 FROM loads GROUP BY ldts"""
+STREAM_BRONZE_TABLE = f"""WITH {LOADS}
+SELECT ldts, count(DISTINCT (user_id % 5, event_id // 100)) AS documents,
+  'Landed encounter documents as text, with load time and source.' AS comment FROM loads GROUP BY ldts"""
 STREAM_SILVER = f"{LOAD_CTES} SELECT * FROM silver_c"
 STREAM_LATEST_ENCOUNTERS = f"{LOAD_CTES} SELECT * FROM silver"
 STREAM_GOLD_ENCOUNTERS = f"{LOAD_CTES} SELECT * FROM gold"
 
 # ---------------------------------------------------------------- guilds
+SCAN_JSON_LINES = SCAN_JSON_MULTILINE
+
 GLD_TIE = ('guild_name DESC, guild_description DESC, server_id DESC, region_id DESC, '
            'world_prog_rank DESC, region_prog_rank DESC, world_speed_rank DESC, region_speed_rank DESC')
 
@@ -116,6 +130,9 @@ guild_gold AS (
 
 
 GLD = guild_ctes()
+SQL_PREVIEW = """SELECT 'guildData,ldts,rsrc' AS preview_columns, 'rankforge' AS rsrc, 1500 AS total,
+  count(*)::INT AS records, min(c_custkey)::INT AS first_id
+FROM customer GROUP BY c_custkey // 100 ORDER BY first_id LIMIT 5"""
 SILVER_GUILDS = f"WITH {GLD} SELECT * FROM guild_c"
 GOLD_GUILDS = f"WITH {GLD} SELECT * FROM guild_gold"
 SCHEMA_SETUP = GOLD_GUILDS
@@ -126,6 +143,8 @@ GUILD_LOADS = """gloads AS (
   UNION ALL SELECT TIMESTAMP '2026-01-02 00:00:00', '2', * FROM customer)"""
 STREAM_LATEST_GUILDS = (f"WITH {GUILD_LOADS}, {guild_ctes('gloads', 'ldts,', 'ldts DESC,', 'tag')} "
                         "SELECT * FROM guild_silver")
+STREAM_GOLD_GUILDS = (f"WITH {GUILD_LOADS}, {guild_ctes('gloads', 'ldts,', 'ldts DESC,', 'tag')} "
+                      "SELECT * FROM guild_gold")
 STREAM_BRONZE_GUILDS = f"""WITH {GUILD_LOADS}
 SELECT ldts, count(DISTINCT c_custkey // 100) AS documents, count(*) AS records FROM gloads GROUP BY ldts"""
 
@@ -144,6 +163,18 @@ UNION ALL SELECT 1, 'bronze', count(DISTINCT (user_id % 5, event_id // 100)) FRO
 UNION ALL SELECT 2, 'silver', count(*) FROM silver
 UNION ALL SELECT 3, 'gold', count(*) FROM gold"""
 
+STREAM_RULE_COUNTS = f"""WITH {LOADS}, p AS (SELECT *, (props->>'$.k')::INT AS k, day(ldts)::INT AS day FROM loads),
+c AS (SELECT day, count(*) AS n,
+   count(*) FILTER (WHERE round((value - 5)::FLOAT, 2)::FLOAT <= 0) AS r,
+   count(*) FILTER (WHERE round(((value - 2) * 0.95::DOUBLE)::FLOAT, 2)::FLOAT <= 0) AS a,
+   count(*) FILTER (WHERE (k * 90000 + 500) // 1000 <= 0) AS d FROM p GROUP BY day)
+SELECT day, rule, n AS rows_tested, failed AS rows_failed FROM (
+  SELECT day, 'valid_encounter_id' AS rule, n, 0::BIGINT AS failed FROM c UNION ALL
+  SELECT day, 'valid_player_name', n, 0::BIGINT FROM c UNION ALL
+  SELECT day, 'positive_rdps', n, r FROM c UNION ALL
+  SELECT day, 'positive_adps', n, a FROM c UNION ALL
+  SELECT day, 'valid_duration', n, d FROM c)"""
+
 # ---------------------------------------------------------------- quality report
 ENC_RULE_SQL = f"""WITH p AS (SELECT *, (props->>'$.k')::INT AS k FROM events),
 c AS (SELECT (user_id % 5 + 101)::INT AS encounter_id,
@@ -281,6 +312,9 @@ DAMAGE_PROBABILITY = f"""WITH {ENC},
 SELECT encounter_name, class, round(empirical, 6) AS empirical, round(mean, 6) AS mean, round(sd, 6) AS sd, n,
   round(CASE WHEN z >= 0 THEN h ELSE 1 - h END, 6) AS normal_tail FROM u"""
 
+MERGE_ENVELOPES = """WITH p AS (SELECT (user_id % 5 + 101)::INT AS eid, event_id // 100 AS page FROM events)
+SELECT eid, 'pull ' || min(page) AS title, count(DISTINCT page) AS pages, count(*) AS records FROM p GROUP BY eid"""
+
 JOINT_PROBABILITY = f"""WITH {ENC}
 SELECT encounter_name, class, round(avg(("rDPS" >= 50 AND "aDPS" >= 60)::INT::DOUBLE), 6) AS p_all,
   round(avg(("rDPS" >= 50 OR "aDPS" >= 60)::INT::DOUBLE), 6) AS p_any, count(*) AS n
@@ -300,3 +334,19 @@ SELECT code, title, zone_id, guild_id, start_ms, 2 AS page, l_linenumber AS figh
   epoch_ms(l_shipdate) AS fight_start, epoch_ms(l_shipdate) + (l_quantity * 60000)::BIGINT AS fight_end
 FROM kept JOIN lineitem ON l_orderkey = o_orderkey
 WHERE rn > 50 AND rn <= 100 AND l_partkey % 5 + 101 = 103"""
+
+REPORT_ENVELOPES = """WITH kept AS (SELECT * FROM orders
+  WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AND split_part(o_orderpriority, '-', 1)::INT = 1
+    AND o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1996-01-01')
+SELECT count(*) AS total, 50 AS per_page, 2 AS current_page, greatest(ceil(count(*) / 50), 1)::BIGINT AS last_page,
+  2 < greatest(ceil(count(*) / 50), 1) AS has_more_pages FROM kept"""
+
+SELECT_GUILD_REPORTS = """WITH kept AS (
+    SELECT 'R' || o_orderkey AS code, 'report ' || o_orderstatus AS title,
+      split_part(o_orderpriority, '-', 1)::INT AS zone_id, o_custkey AS guild_id, epoch_ms(o_orderdate) AS start_ms,
+      o_orderkey, row_number() OVER (ORDER BY epoch_ms(o_orderdate), 'R' || o_orderkey) AS rn
+    FROM orders WHERE o_custkey = 100 AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey))
+SELECT code, title, zone_id, guild_id, start_ms, 1 AS page, l_linenumber AS fight_id,
+  (l_partkey % 5 + 101)::INT AS encounter_id, l_returnflag = 'R' AS kill,
+  epoch_ms(l_shipdate) AS fight_start, epoch_ms(l_shipdate) + (l_quantity * 60000)::BIGINT AS fight_end
+FROM kept JOIN lineitem ON l_orderkey = o_orderkey WHERE rn <= 100"""

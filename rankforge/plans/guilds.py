@@ -70,5 +70,6 @@ def deduplicate(silver_c: DataFrame) -> DataFrame:
     return latest_per_key(silver_c, schemas.GUILD_KEYS, schemas.VERSION_COLUMN, TIE_BREAK)
 
 
-def gold(silver: DataFrame, observation=None) -> DataFrame:
-    return expect_or_drop(silver.select(*GOLD_COLUMNS), GOLD_GUILD_RULES, observation)
+def gold(silver: DataFrame, observation=None, keep: list[str] = ()) -> DataFrame:
+    """Gold projection and rules; ``keep`` names further columns that pass through."""
+    return expect_or_drop(silver.select(*GOLD_COLUMNS, *keep), GOLD_GUILD_RULES, observation)

@@ -9,25 +9,42 @@ from pyspark.sql import functions as F
 from ..operators.ordinal import page_slice
 
 
-def select_reports(reports: DataFrame, start_ms: float, end_ms: float, zone_id: int | None = None,
-                   guild_id: int | None = None, encounter_id: int | None = None,
-                   page: int = 1, limit: int = 100) -> DataFrame:
+def matching_reports(reports: DataFrame, start_ms: float, end_ms: float, zone_id: int | None = None,
+                     guild_id: int | None = None) -> DataFrame:
     """Reports whose start lies in ``[start_ms, end_ms)`` (half-open), in the given zone and
-    guild when set, ordered by start then code, page ``page`` (1-based) of ``limit``; the
-    fights of each kept report are narrowed to ``encounter_id`` when set."""
-    if page < 1 or limit < 1:
-        raise ValueError("page and limit must be >= 1")
+    guild when set."""
     cond = (F.col("start_ms") >= F.lit(start_ms)) & (F.col("start_ms") < F.lit(end_ms))
     if zone_id is not None:
         cond = cond & (F.col("zone_id") == F.lit(zone_id))
     if guild_id is not None:
         cond = cond & (F.col("guild_id") == F.lit(guild_id))
-    kept = reports.where(cond)
+    return reports.where(cond)
+
+
+def select_reports(reports: DataFrame, start_ms: float, end_ms: float, zone_id: int | None = None,
+                   guild_id: int | None = None, encounter_id: int | None = None,
+                   page: int = 1, limit: int = 100) -> DataFrame:
+    """Page ``page`` (1-based) of ``limit`` of the matching reports, ordered by start then code;
+    the fights of each kept report are narrowed to ``encounter_id`` when set."""
+    if page < 1 or limit < 1:
+        raise ValueError("page and limit must be >= 1")
+    kept = matching_reports(reports, start_ms, end_ms, zone_id, guild_id)
     if encounter_id is not None:
         kept = kept.withColumn("fights", F.filter("fights", lambda f: f["encounterID"] == F.lit(encounter_id)))
     return page_slice(kept, ["start_ms", "code"], page - 1, 1, limit)
 
 
+def report_envelope(matching: DataFrame, page: int = 1, limit: int = 100) -> DataFrame:
+    """The envelope of one page, one row: ``total`` matching reports, ``per_page``,
+    ``current_page``, ``last_page`` (at least 1) and ``has_more_pages``."""
+    if page < 1 or limit < 1:
+        raise ValueError("page and limit must be >= 1")
+    last = F.greatest(F.ceil(F.col("total") / limit), F.lit(1)).cast("bigint")
+    return (matching.agg(F.count(F.lit(1)).alias("total"))
+            .select("total", F.lit(limit).alias("per_page"), F.lit(page).alias("current_page"),
+                    last.alias("last_page"), (F.lit(page) < last).alias("has_more_pages")))
+
+
 def report_fights(selected: DataFrame) -> DataFrame:
     """One row per kept fight."""
     return (selected.select("code", "title", "zone_id", "guild_id", "start_ms", "page",

@@ -15,12 +15,12 @@ from .functions import (date_text, epoch_to_timestamp, minutes_seconds, normaliz
                         surrogate_key, to_title_case)
 from .operators import analytics as an
 from .operators.latest import latest_per_key
-from .operators.nested import merged_positions
+from .operators.nested import merged_envelopes, merged_positions
 from .operators.ordinal import page_slice as _page_slice
 from .operators.quality import SILVER_ENCOUNTER_RULES, SILVER_GUILD_RULES, expectation_report
 from .plans import encounters as enc
 from .plans import guilds as gld
-from .plans.reports import report_fights, select_reports as _select_reports
+from .plans.reports import matching_reports, report_envelope, report_fights, select_reports as _select_reports
 from .plans.stages import encounter_spec, guild_spec, run_pipeline, stage_counts as _stage_counts
 from .session import prepare, shared_path
 from .sources import fixtures
@@ -69,7 +69,24 @@ def gold_encounters(spark, sf_dir):
 
 def presentation(spark, sf_dir):
     """The presentation view (A9): a named temporary view over gold, read back by name."""
-    return publish_view(enc.presentation(_gold_enc(spark, sf_dir)), "encounter_ranking_presentation")
+    return publish_view(enc.presentation(_gold_enc(spark, sf_dir)), "encounter_ranking_presentation",
+                        "Ranked players with their fight time as minutes and seconds.")
+
+
+def _faulty_bronze(spark, sf_dir):
+    docs = fixtures.rank_documents(fixtures.with_faults(_t(spark, sf_dir, "events")), faults=True)
+    return attach_metadata(docs.drop("_doc"), SOURCE)
+
+
+def silver_encounters_faults(spark, sf_dir):
+    """Newest per key over documents with repeated keys, players and encounters without a name
+    and encounters without an id."""
+    silver = enc.deduplicate(enc.silver_clean(_faulty_bronze(spark, sf_dir)))
+    return _ntz(silver.drop("ldts", "rsrc"), "ranked_date")
+
+
+def gold_encounters_faults(spark, sf_dir):
+    return enc.gold(enc.deduplicate(enc.silver_clean(_faulty_bronze(spark, sf_dir))))
 
 
 def silver_guilds(spark, sf_dir):
@@ -84,28 +101,43 @@ def gold_guilds(spark, sf_dir):
 PULL_DAY = dt.datetime(2026, 1, 1)
 
 
-def _land_encounters(spark, sf_dir, events=None, when=PULL_DAY, landing=None):
+def _land_encounters(spark, sf_dir, events=None, when=PULL_DAY, landing=None, layout="lines"):
     landing = landing or shared_path(spark, "landing", "encounters")
     events = events if events is not None else _t(spark, sf_dir, "events")
     write_landing(fixtures.rank_documents(events, as_text=False).select("worldData"),
-                  landing, "encounter_ranking", when)
+                  landing, "encounter_ranking", when, layout)
     return landing
 
 
-def scan_json_multiline(spark, sf_dir):
-    """Land the documents as files (one per document), scan them back (multi-line JSON,
-    declared schema, payload kept as text), load time from the pull stamp, then silver."""
-    landing = _land_encounters(spark, sf_dir)
-    bronze = attach_metadata(read_landing(spark, landing, "encounters"), SOURCE, stamp_from_file_name())
+def _scan(spark, sf_dir, layout):
+    landing = _land_encounters(spark, sf_dir, layout=layout)
+    bronze = attach_metadata(read_landing(spark, landing, "encounters", layout=layout), SOURCE, stamp_from_file_name())
     silver_c = enc.silver_clean(bronze)
     return _ntz(silver_c.drop("rsrc"), "ldts", "ranked_date")
 
 
+def scan_json_lines(spark, sf_dir):
+    """Land the documents as lines, many in a file, scan them back (declared schema, payload
+    kept as text), load time from the pull stamp, then silver."""
+    return _scan(spark, sf_dir, "lines")
+
+
+def scan_json_multiline(spark, sf_dir):
+    """The same with one multi-line document per file."""
+    return _scan(spark, sf_dir, "document")
+
+
 def sql_preview(spark, sf_dir):
+    """The SQL preview of landed guild documents: all columns but the one for broken lines,
+    the first five documents by their first guild."""
     landing = shared_path(spark, "landing", "guilds")
     write_landing(fixtures.guild_documents(_t(spark, sf_dir, "customer"), as_text=False).select("guildData"),
                   landing, "guilds", PULL_DAY)
-    return preview_sql(spark, landing, SOURCE, schema=schemas.landing_schema("guilds", as_text=False))
+    schema = schemas.landing_schema("guilds", as_text=False).add("_corrupt_record", "string")
+    found = preview_sql(spark, landing, SOURCE, schema=schema, order=["guildData.guilds.data[0].id"])
+    return found.select(F.lit(",".join(found.columns)).alias("preview_columns"), "rsrc",
+                        F.col("guildData.guilds.total").alias("total"), F.size("guildData.guilds.data").alias("records"),
+                        F.col("guildData.guilds.data")[0]["id"].alias("first_id"))
 
 
 def schema_setup(spark, sf_dir):
@@ -153,6 +185,11 @@ def merge_pages(spark, sf_dir):
     return merged_positions(pages, ["eid"], "page", "arr", value_name="event_id")
 
 
+def merge_envelopes(spark, sf_dir):
+    pages = fixtures.event_pages(_t(spark, sf_dir, "events"))
+    return merged_envelopes(pages, ["eid"], "page", "arr", ["title"])
+
+
 def page_slice(spark, sf_dir):
     customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     return _page_slice(customer, [F.col("c_acctbal").desc(), "c_custkey"], offset=1, limit=5, per_page=100)
@@ -219,19 +256,22 @@ def _versioned_encounter_flow(spark, sf_dir):
     landing, bronze_path, clean_path = f"{root}/landing", f"{root}/bronze", f"{root}/silver_clean"
     target = SnapshotTable(spark, f"{root}/silver", ["encounter_id", "player_name", "class", "ranked_date"],
                            "ldts", enc.TIE_BREAK, bucket=F.date_format("ranked_date", "yyyyMMdd"))
+    gold = SnapshotTable(spark, f"{root}/gold", ["encounter_name", "player_name", "class", "ranked_date"])
+    name = f"encounters_{root.rsplit('-', 1)[-1]}"
     metrics = []
     for day in LOAD_DAYS:
         shifted = events.withColumn("value", F.col("value") + F.lit(float(3 - day)))
         _land_encounters(spark, sf_dir, shifted, dt.datetime(2026, 1, day), landing)
         landed = bronze_stream(spark, landing, "encounters", SOURCE, stamp_from_file_name())
-        append_to_table(landed, bronze_path, f"{root}/_chk/bronze")
+        append_to_table(landed, bronze_path, f"{root}/_chk/bronze", f"bronze_{name}",
+                        "Landed encounter documents as text, with load time and source.")
         bronze = read_table_stream(spark, bronze_path, landed.schema)
         clean = enc.silver_clean(bronze, observation="silver_encounter_rules")
         metrics.append(append_to_table(clean, clean_path, f"{root}/_chk/silver_clean"))
         cleaned = read_table_stream(spark, clean_path, clean.schema)
-        upsert_stream(cleaned, target, f"{root}/_chk/silver")
-    return {"root": root, "bronze": bronze_path, "silver_clean": clean_path, "silver": target,
-            "metrics": metrics}
+        upsert_stream(cleaned, target, f"{root}/_chk/silver", derived=(gold, enc.gold))
+    return {"root": root, "bronze": bronze_path, "silver_clean": clean_path, "silver": target, "gold": gold,
+            "bronze_table": f"bronze_{name}", "metrics": metrics}
 
 
 def stream_encounter_tables(spark, sf_dir):
@@ -258,8 +298,25 @@ def stream_latest_encounters(spark, sf_dir):
 
 
 def stream_gold_encounters(spark, sf_dir):
-    _, _, silver = stream_encounter_tables(spark, sf_dir)
-    return enc.gold(silver)
+    """Gold kept by the stream: after each batch the ranking days that it touched."""
+    return _versioned_encounter_flow(spark, sf_dir)["gold"].read()
+
+
+def stream_rule_counts(spark, sf_dir):
+    """Rows tested and failed by each rule of the silver hop, of each pull."""
+    flow = _versioned_encounter_flow(spark, sf_dir)
+    rows = [(day, rule, m["silver_encounter_rules"]["rows_tested"], m["silver_encounter_rules"][f"failed_{rule}"])
+            for day, m in zip(LOAD_DAYS, flow["metrics"]) for rule in SILVER_ENCOUNTER_RULES]
+    return spark.createDataFrame(rows, "day int, rule string, rows_tested long, rows_failed long")
+
+
+def stream_bronze_table(spark, sf_dir):
+    """The bronze table by its name: its comment and its documents of each load."""
+    flow = _versioned_encounter_flow(spark, sf_dir)
+    comment = spark.catalog.getTable(flow["bronze_table"]).description
+    table = read_table(spark, flow["bronze_table"])
+    return _ntz(table.groupBy("ldts").agg(F.count(F.lit(1)).alias("documents"))
+                .withColumn("comment", F.lit(comment)), "ldts")
 
 
 def stream_latest_guilds(spark, sf_dir):
@@ -283,28 +340,34 @@ def _chained_guild_flow(spark, sf_dir):
     root = shared_path(spark, "stream", "guild-chain")
     landing, bronze_path = f"{root}/landing", f"{root}/bronze"
     target = SnapshotTable(spark, f"{root}/silver", ["guild_id"], "ldts", gld.TIE_BREAK, num_buckets=16)
+    gold = SnapshotTable(spark, f"{root}/gold", ["guild_id"])
     for day in LOAD_DAYS:
         docs = fixtures.guild_documents(customer, as_text=False, tag=str(day)).select("guildData")
         write_landing(docs, landing, "guilds", dt.datetime(2026, 1, day))
         landed = bronze_stream(spark, landing, "guilds", SOURCE, stamp_from_file_name())
         append_to_table(landed, bronze_path, f"{root}/_chk/bronze")
         upsert_stream(read_table_stream(spark, bronze_path, landed.schema), target,
-                      f"{root}/_chk/silver", transform=gld.silver_clean)
-    return spark.read.parquet(bronze_path), target
+                      f"{root}/_chk/silver", transform=gld.silver_clean, derived=(gold, gld.gold))
+    return spark.read.parquet(bronze_path), target, gold
 
 
 def stream_bronze_guilds(spark, sf_dir):
-    bronze, _ = _chained_guild_flow(spark, sf_dir)
+    bronze, _, _ = _chained_guild_flow(spark, sf_dir)
     recs = F.size(F.from_json("guildData", "guilds struct<data: array<string>>")["guilds"]["data"])
     return _ntz(bronze.groupBy("ldts").agg(F.count(F.lit(1)).alias("documents"),
                                            F.sum(recs).alias("records")), "ldts")
 
 
 def stream_silver_guilds(spark, sf_dir):
-    _, silver = _chained_guild_flow(spark, sf_dir)
+    _, silver, _ = _chained_guild_flow(spark, sf_dir)
     return _ntz(silver.read().drop("rsrc"), "ldts")
 
 
+def stream_gold_guilds(spark, sf_dir):
+    """Gold kept by the stream: after each batch the buckets that it touched."""
+    return _chained_guild_flow(spark, sf_dir)[2].read()
+
+
 # ---------------------------------------------------------------- analytics
 def feature_select(spark, sf_dir):
     return an.select_features(_gold_enc(spark, sf_dir), ["class", "rDPS", "aDPS", "duration"],
@@ -371,18 +434,37 @@ def joint_probability(spark, sf_dir):
 # ---------------------------------------------------------------- reports
 def select_reports(spark, sf_dir):
     reports = fixtures.report_rows(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
+    chosen = _select_reports(reports, *_report_window(), zone_id=1, encounter_id=103, page=2, limit=50)
+    return report_fights(chosen)
+
+
+def _report_window():
     start = int(dt.datetime(1995, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
     end = int(dt.datetime(1996, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
-    chosen = _select_reports(reports, start, end, zone_id=1, encounter_id=103, page=2, limit=50)
-    return report_fights(chosen)
+    return start, end
+
+
+def report_envelopes(spark, sf_dir):
+    """The envelope of page 2 of 50 of the zone's reports."""
+    reports = fixtures.report_rows(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
+    return report_envelope(matching_reports(reports, *_report_window(), zone_id=1), page=2, limit=50)
+
+
+def select_guild_reports(spark, sf_dir):
+    """All fights of one guild's reports."""
+    reports = fixtures.report_rows(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
+    return report_fights(_select_reports(reports, 0, 4_102_444_800_000, guild_id=100))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_encounters": silver_encounters,
     "gold_encounters": gold_encounters,
     "presentation": presentation,
+    "silver_encounters_faults": silver_encounters_faults,
+    "gold_encounters_faults": gold_encounters_faults,
     "silver_guilds": silver_guilds,
     "gold_guilds": gold_guilds,
+    "scan_json_lines": scan_json_lines,
     "scan_json_multiline": scan_json_multiline,
     "sql_preview": sql_preview,
     "schema_setup": schema_setup,
@@ -390,6 +472,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_counts": stage_counts,
     "stage_counts_encounters": stage_counts_encounters,
     "merge_pages": merge_pages,
+    "merge_envelopes": merge_envelopes,
     "page_slice": page_slice,
     "surrogate_key": surrogate_keys,
     "latest_per_key": latest_events,
@@ -401,9 +484,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_silver": stream_silver,
     "stream_latest_encounters": stream_latest_encounters,
     "stream_gold_encounters": stream_gold_encounters,
+    "stream_rule_counts": stream_rule_counts,
+    "stream_bronze_table": stream_bronze_table,
     "stream_latest_guilds": stream_latest_guilds,
     "stream_bronze_guilds": stream_bronze_guilds,
     "stream_silver_guilds": stream_silver_guilds,
+    "stream_gold_guilds": stream_gold_guilds,
     "feature_select": feature_select,
     "bootstrap_sample": bootstrap_sample,
     "least_squares": least_squares,
@@ -413,6 +499,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_from_points": line_from_points,
     "damage_probability": damage_probability,
     "joint_probability": joint_probability,
+    "report_envelopes": report_envelopes,
+    "select_guild_reports": select_guild_reports,
     "select_reports": select_reports,
 }
 
@@ -420,15 +508,19 @@ ORACLE_SQL: dict[str, str] = {
     "silver_encounters": oracle.SILVER_ENCOUNTERS,
     "gold_encounters": oracle.GOLD_ENCOUNTERS,
     "presentation": oracle.PRESENTATION,
+    "silver_encounters_faults": oracle.SILVER_ENCOUNTERS_FAULTS,
+    "gold_encounters_faults": oracle.GOLD_ENCOUNTERS_FAULTS,
     "silver_guilds": oracle.SILVER_GUILDS,
     "gold_guilds": oracle.GOLD_GUILDS,
+    "scan_json_lines": oracle.SCAN_JSON_LINES,
     "scan_json_multiline": oracle.SCAN_JSON_MULTILINE,
-    # sql_preview: LIMIT 5 without an order is an arbitrary 5 rows -> rows-only check
+    "sql_preview": oracle.SQL_PREVIEW,
     "schema_setup": oracle.SCHEMA_SETUP,
     "raw_preview": oracle.RAW_PREVIEW,
     "stage_counts": oracle.STAGE_COUNTS,
     "stage_counts_encounters": oracle.STAGE_COUNTS_ENCOUNTERS,
     "merge_pages": oracle.MERGE_PAGES,
+    "merge_envelopes": oracle.MERGE_ENVELOPES,
     "page_slice": oracle.PAGE_SLICE,
     "surrogate_key": oracle.SURROGATE_KEY,
     "latest_per_key": oracle.LATEST_PER_KEY,
@@ -440,9 +532,12 @@ ORACLE_SQL: dict[str, str] = {
     "stream_silver": oracle.STREAM_SILVER,
     "stream_latest_encounters": oracle.STREAM_LATEST_ENCOUNTERS,
     "stream_gold_encounters": oracle.STREAM_GOLD_ENCOUNTERS,
+    "stream_rule_counts": oracle.STREAM_RULE_COUNTS,
+    "stream_bronze_table": oracle.STREAM_BRONZE_TABLE,
     "stream_latest_guilds": oracle.STREAM_LATEST_GUILDS,
     "stream_bronze_guilds": oracle.STREAM_BRONZE_GUILDS,
     "stream_silver_guilds": oracle.STREAM_LATEST_GUILDS,   # same rows through the bronze table
+    "stream_gold_guilds": oracle.STREAM_GOLD_GUILDS,
     "feature_select": oracle.FEATURE_SELECT,
     "bootstrap_sample": oracle.BOOTSTRAP_SAMPLE,
     "least_squares": oracle.LEAST_SQUARES,
@@ -452,5 +547,7 @@ ORACLE_SQL: dict[str, str] = {
     "line_from_points": oracle.LINE_FROM_POINTS,
     "damage_probability": oracle.DAMAGE_PROBABILITY,
     "joint_probability": oracle.JOINT_PROBABILITY,
+    "report_envelopes": oracle.REPORT_ENVELOPES,
+    "select_guild_reports": oracle.SELECT_GUILD_REPORTS,
     "select_reports": oracle.SELECT_REPORTS,
 }

@@ -38,11 +38,12 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
-def stream_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.readStream.table(name)
-
-
-def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """Named view over a frame (A9)."""
+def publish_view(df: DataFrame, name: str, comment: str | None = None) -> DataFrame:
+    """Named view over a frame (A9), with a comment."""
     df.createOrReplaceTempView(name)
+    if comment is not None:
+        spark = df.sparkSession
+        df.createOrReplaceTempView(f"{name}_rows")
+        text = comment.replace("'", "''")
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} COMMENT '{text}' AS SELECT * FROM {name}_rows")
     return df.sparkSession.table(name)

@@ -1,7 +1,9 @@
-"""Landing-folder sources and sinks: multi-line JSON documents, one per file.
+"""Landing-folder sources and sinks: JSON documents in time-stamped pull folders.
 
-A landing file is one pretty-printed JSON document (not splittable: one file = one row =
-one task), named ``{name}_{yyyyMMdd_HHmmss}.json``. Bronze keeps the payload object as raw
+Two layouts, which the writer and the reader of a folder both name. ``lines`` holds one
+document per line, many in a file: files split, and their number does not follow the number of
+documents. ``document`` holds one (multi-line) document per file, as some sources deliver it:
+such a file is one row and one task cannot share it. Bronze keeps the payload object as raw
 JSON text plus load metadata; silver parses it with the declared schema.
 """
 
@@ -24,37 +26,43 @@ STAMP_PATTERN = "yyyyMMdd_HHmmss"
 # Fixed value: name filter of landing files.
 FILE_FILTER = "*.json"
 
-# Most landing files one stream micro-batch takes: the driver plans (and logs) the file
-# list of a batch, so a very large pull is cut into several batches.
-MAX_FILES_PER_TRIGGER = 100_000
+# The layouts of a landing folder, and the most files that one stream
+# micro-batch takes of each (the driver plans and logs the file list of a batch; a larger pull
+# is cut into several batches, which gives the same tables).
+LAYOUTS = {"lines": 1_000, "document": 100_000}
 
 
-def _landing_options(reader, file_filter: str = FILE_FILTER):
+def _check(layout: str) -> None:
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {', '.join(LAYOUTS)}, not {layout!r}")
+
+
+def _landing_options(reader, layout: str, file_filter: str = FILE_FILTER):
     """Every ``*.json`` file below the landing folder, pull folders included. A recursive
     directory listing with a name filter, not a path glob: a glob stats every file one by
     one on the driver (8 s for 5,000 files here, against 0.2 s)."""
-    return (reader.option("multiLine", True).option("recursiveFileLookup", True)
+    _check(layout)
+    return (reader.option("multiLine", layout == "document").option("recursiveFileLookup", True)
             .option("pathGlobFilter", file_filter))
 
 
 def read_landing(spark: SparkSession, landing_dir: str, dataset: str = "encounters",
-                 as_text: bool = True, file_filter: str = FILE_FILTER) -> DataFrame:
+                 as_text: bool = True, layout: str = "lines", file_filter: str = FILE_FILTER) -> DataFrame:
     """Batch scan of every landing file (A1). Declared schema, never inferred."""
     reader = spark.read.schema(schemas.landing_schema(dataset, as_text))
-    return _landing_options(reader, file_filter).json(landing_dir.rstrip("/"))
+    return _landing_options(reader, layout, file_filter).json(landing_dir.rstrip("/"))
 
 
 def stream_landing(spark: SparkSession, landing_dir: str, dataset: str = "encounters",
-                   as_text: bool = True, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                   as_text: bool = True, layout: str = "lines", max_files_per_trigger: int | None = None,
                    file_filter: str = FILE_FILTER) -> DataFrame:
     """Incremental file stream (A2): each file is picked up once; the checkpoint of the
     query that consumes this frame records which files were seen. A run to completion
-    (``availableNow``) takes at most ``max_files_per_trigger`` files per micro-batch."""
-    reader = _landing_options(spark.readStream.schema(schemas.landing_schema(dataset, as_text)),
-                              file_filter)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing_dir.rstrip("/"))
+    (``availableNow``) takes at most ``max_files_per_trigger`` files (by default those of the
+    layout) per micro-batch."""
+    reader = _landing_options(spark.readStream.schema(schemas.landing_schema(dataset, as_text)), layout, file_filter)
+    most = max_files_per_trigger or LAYOUTS[layout]
+    return reader.option("maxFilesPerTrigger", most).json(landing_dir.rstrip("/"))
 
 
 def stamp_from_file_name() -> Column:
@@ -75,25 +83,30 @@ def bronze(df: DataFrame, source: str, ldts: Column | None = None) -> DataFrame:
 
 
 def preview_sql(spark: SparkSession, landing_dir: str, source: str, drop: str = "_corrupt_record",
-                view: str = "landing_preview", n: int = 5, file_filter: str = FILE_FILTER,
-                schema: T.StructType | None = None, sampling_ratio: float | None = None) -> DataFrame:
-    """SQL preview (A4): all columns except one, plus load metadata, first ``n`` rows.
-
-    The landing folder is exposed as a temporary view ``USING json`` (multi-line). Pass the
-    declared ``schema``: without it Spark infers one by reading the files (all of them, or a
+                view: str = "landing_preview", n: int = 5, order: list[str] = (), layout: str = "lines",
+                file_filter: str = FILE_FILTER, schema: T.StructType | None = None,
+                sampling_ratio: float | None = None) -> DataFrame:
+    """SQL preview (A4): all columns except one, plus load metadata, first ``n`` rows in the
+    order of the SQL expressions ``order`` (any rows without one).
+
+    The landing folder is exposed as a temporary view ``USING json``. Pass the declared
+    ``schema``: without it Spark infers one by reading the files (all of them, or a
     ``sampling_ratio`` share), a full extra pass over a large landing folder."""
+    _check(layout)
     path = landing_dir.rstrip("/").replace("'", "\\'")
     columns = ""
     if schema is not None:
         columns = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ") "
     ratio = f", samplingRatio '{float(sampling_ratio)}'" if sampling_ratio and schema is None else ""
+    multi = "true" if layout == "document" else "false"
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} {columns}USING json "
-              f"OPTIONS (path '{path}', multiLine 'true', recursiveFileLookup 'true', "
+              f"OPTIONS (path '{path}', multiLine '{multi}', recursiveFileLookup 'true', "
               f"pathGlobFilter '{file_filter}'{ratio})")
     star = f"* EXCEPT (`{drop}`)" if drop in spark.table(view).columns else "*"
     src = source.replace("'", "''")
+    by = f"ORDER BY {', '.join(order)} " if order else ""
     return spark.sql(f"SELECT {star}, current_timestamp() AS ldts, '{src}' AS rsrc "
-                     f"FROM {view} LIMIT {int(n)}")
+                     f"FROM {view} {by}LIMIT {int(n)}")
 
 
 def landing_file_name(name: str, when: _dt.datetime | None = None) -> str:
@@ -102,12 +115,16 @@ def landing_file_name(name: str, when: _dt.datetime | None = None) -> str:
 
 
 def write_landing(docs: DataFrame, landing_dir: str, name: str, when: _dt.datetime | None = None,
-                  records_per_file: int = 1) -> str:
+                  layout: str = "lines") -> str:
     """JSON sink (A10): a time-stamped pull folder, appended, never overwriting an older
-    pull. One document per file (a landing file holds one document), written in parallel
-    by every task."""
+    pull; written in parallel by every task, as lines (a file per task) or one document per
+    file."""
+    _check(layout)
     target = f"{landing_dir.rstrip('/')}/{landing_file_name(name, when)[:-5]}"
-    docs.write.mode("append").option("maxRecordsPerFile", records_per_file).json(target)
+    writer = docs.write.mode("append")
+    if layout == "document":
+        writer = writer.option("maxRecordsPerFile", 1)
+    writer.json(target)
     return target
 
 
@@ -121,10 +138,3 @@ def raw_preview(docs: DataFrame, dataset: str = "guilds", n: int = 3) -> DataFra
                   "reports": "reports.data"}[dataset]
     parsed = docs.withColumn(column, F.from_json(F.col(column), payload))
     return slice_records(parsed, f"{column}.{array_path}", n)
-
-
-def text_payload(df: DataFrame, column: str) -> DataFrame:
-    """Re-serialise a typed payload struct as JSON text (bronze keeps text)."""
-    if isinstance(df.schema[column].dataType, T.StringType):
-        return df
-    return df.withColumn(column, F.to_json(F.col(column)))

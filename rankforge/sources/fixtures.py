@@ -19,13 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ranking_records(events: DataFrame) -> DataFrame:
-    """events -> (encounter id, document number, ranking record struct)."""
+def with_faults(events: DataFrame) -> DataFrame:
+    """Events that make every rule matter: each tenth event comes again under the same key
+    with a higher value."""
+    again = events.where(F.col("event_id") % 10 == 0).withColumn("value", F.col("value") + 1)
+    return events.unionByName(again)
+
+
+def ranking_records(events: DataFrame, faults: bool = False) -> DataFrame:
+    """events -> (encounter id, document number, ranking record struct). With ``faults`` each
+    thirteenth player has no name."""
     uid = F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("int")
     gid = uid % 50
     record = F.struct(
-        F.concat(F.lit(" player\n "), uid.cast("string")).alias("name"),
+        F.when((uid % 13 != 0) | F.lit(not faults), F.concat(F.lit(" player\n "), uid.cast("string"))).alias("name"),
         F.concat(F.initcap("event_type"), F.lit("Mage")).alias("spec"),
         (F.col("value") - 5).alias("amount"),
         ((F.col("value") - 2) * 0.95).alias("aDPS"),
@@ -43,15 +51,17 @@ def ranking_records(events: DataFrame) -> DataFrame:
                          record.alias("rec"))
 
 
-def rank_documents(events: DataFrame, as_text: bool = True) -> DataFrame:
+def rank_documents(events: DataFrame, as_text: bool = True, faults: bool = False) -> DataFrame:
     """One encounter-ranking document per (encounter, block of 100 event ids) in column
     ``worldData``: JSON text (bronze form) or the object itself (landing-file form).
-    Records are sorted inside the document, so documents are deterministic."""
-    recs = ranking_records(events)
+    Records are sorted inside the document, so documents are deterministic. With ``faults``
+    encounter 104 has no name and 105 no id."""
+    recs = ranking_records(events, faults)
     docs = recs.groupBy("eid", "doc").agg(F.array_sort(F.collect_list("rec")).alias("rankings"))
     payload = F.struct(F.struct(
-        F.col("eid").alias("id"),
-        F.concat(F.lit(" the  fight "), F.col("eid").cast("string")).alias("name"),
+        F.when((F.col("eid") != 105) | F.lit(not faults), F.col("eid")).alias("id"),
+        F.when((F.col("eid") != 104) | F.lit(not faults),
+               F.concat(F.lit(" the  fight "), F.col("eid").cast("string"))).alias("name"),
         F.struct(F.lit(1).alias("id"), F.lit("zone").alias("name")).alias("zone"),
         F.struct(F.col("rankings").alias("rankings")).alias("characterRankings"),
     ).alias("encounter"))
@@ -95,7 +105,8 @@ def event_pages(events: DataFrame) -> DataFrame:
     """Paged pulls: (eid, page, arr) with ``arr`` the sorted event ids of one page."""
     return (events.select((F.col("user_id") % 5 + 101).cast("int").alias("eid"),
                           F.floor(F.col("event_id") / RECORDS_PER_DOC).alias("page"), "event_id")
-            .groupBy("eid", "page").agg(F.array_sort(F.collect_list("event_id")).alias("arr")))
+            .groupBy("eid", "page").agg(F.array_sort(F.collect_list("event_id")).alias("arr"))
+            .withColumn("title", F.concat(F.lit("pull "), F.col("page").cast("string"))))
 
 
 def report_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:

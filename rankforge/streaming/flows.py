@@ -8,13 +8,55 @@ up only new input (exactly-once file discovery). The transforms are the same
 
 from __future__ import annotations
 
+import json
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
-from ..sources.files import MAX_FILES_PER_TRIGGER, attach_metadata, stream_landing
-from .snapshot import SnapshotTable
+from ..sources.files import attach_metadata, stream_landing
+from .snapshot import BUCKET, SnapshotTable, read_text
+
+
+class RuleCounts(StreamingQueryListener):
+    """Sums the ``observe`` metrics of every micro-batch of every query, by run. (A query
+    object keeps only its last hundred progress reports.)"""
+
+    def __init__(self):
+        self._sums: dict[str, dict[str, dict]] = {}
+        self._ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def _end(self, run: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event):
+        self._end(str(event.runId))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        with self._lock:
+            sums = self._sums.setdefault(str(event.progress.runId), {})
+            for name, row in (event.progress.observedMetrics or {}).items():
+                total = sums.setdefault(name, {})
+                for k, v in row.asDict().items():
+                    total[k] = total.get(k, 0) + (v or 0)
+
+    def onQueryTerminated(self, event):
+        self._end(str(event.runId)).set()
+
+    def of(self, run: str, wait: float = 60.0) -> dict[str, dict]:
+        """Totals of an ended run, once its last report has arrived."""
+        if not self._end(run).wait(wait):
+            raise TimeoutError(f"no end of the streaming run {run} was reported")
+        with self._lock:
+            self._ended.pop(run, None)
+            return self._sums.pop(run, {})
 
 
 def run_to_completion(query) -> None:
@@ -24,33 +66,40 @@ def run_to_completion(query) -> None:
 
 
 def bronze_stream(spark: SparkSession, landing_dir: str, dataset: str, source: str,
-                  ldts: Column | None = None,
-                  max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
+                  ldts: Column | None = None, layout: str = "lines",
+                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Incremental scan of the landing folder with load metadata (A2 + A3)."""
-    return attach_metadata(stream_landing(spark, landing_dir, dataset, True, max_files_per_trigger),
+    return attach_metadata(stream_landing(spark, landing_dir, dataset, True, layout, max_files_per_trigger),
                            source, ldts)
 
 
-def observed_metrics(query) -> dict[str, dict]:
-    """Metrics of every ``observe`` in the query, summed over the batches it ran."""
-    totals: dict[str, dict] = {}
-    for progress in query.recentProgress:
-        for name, row in (progress.observedMetrics or {}).items():
-            values = row.asDict() if hasattr(row, "asDict") else dict(row)
-            acc = totals.setdefault(name, {})
-            for k, v in values.items():
-                acc[k] = acc.get(k, 0) + (v or 0)
-    return totals
-
-
-def append_to_table(stream: DataFrame, table_path: str, checkpoint: str) -> dict[str, dict]:
-    """Append-only streaming table (A7) as parquet, run until the input is drained.
-    Returns the ``observe`` metrics of the run (e.g. rows failing each quality rule)."""
-    q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("path", table_path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    run_to_completion(q)
-    return observed_metrics(q)
+def append_to_table(stream: DataFrame, table_path: str, checkpoint: str, table: str | None = None,
+                    comment: str | None = None) -> dict[str, dict]:
+    """Append-only streaming table (A7) as parquet, run until the input is drained. With
+    ``table`` it is also a named table of the catalog, with its comment. Returns the
+    ``observe`` metrics of the run (e.g. rows failing each quality rule), of all its batches."""
+    spark = stream.sparkSession
+    counts = RuleCounts()
+    spark.streams.addListener(counts)
+    try:
+        q = (stream.writeStream.format("parquet").outputMode("append")
+             .option("path", table_path).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        run_to_completion(q)
+        found = counts.of(str(q.runId))
+    finally:
+        spark.streams.removeListener(counts)
+    if table:
+        name_table(spark, table, table_path, as_nullable(stream.schema), comment)
+    return found
+
+
+def name_table(spark: SparkSession, table: str, path: str, schema: T.StructType, comment: str | None = None) -> None:
+    """Name a parquet folder as an external table of the catalog, in place of any of that name."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    text = "" if comment is None else " COMMENT '" + comment.replace("'", "''") + "'"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{text} LOCATION '{path}'")
 
 
 def as_nullable(dtype: T.DataType) -> T.DataType:
@@ -72,9 +121,26 @@ def read_table_stream(spark: SparkSession, table_path: str, schema: T.StructType
 
 
 def upsert_stream(stream: DataFrame, target: SnapshotTable, checkpoint: str,
-                  transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """Keyed SCD-1 upsert (A8 / J4-J6): each micro-batch is merged into ``target``."""
+                  transform: Callable[[DataFrame], DataFrame] | None = None,
+                  derived: tuple[SnapshotTable, Callable[[DataFrame], DataFrame]] | None = None) -> None:
+    """Keyed SCD-1 upsert (A8 / J4-J6): each micro-batch is merged into ``target``, named by the
+    query's identifier (which its checkpoint keeps) and its batch number, so a batch that is
+    run again is told from one of a new checkpoint. ``derived`` is a table made from
+    ``target`` row by row, with its function (gold from silver): after each batch only the
+    buckets that the batch touched are derived anew."""
+    spark = stream.sparkSession
     shaped = transform(stream) if transform else stream
-    q = (shaped.writeStream.foreachBatch(lambda df, batch_id: target.upsert(df, batch_id))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+    def merge(df: DataFrame, batch_id: int) -> None:
+        query = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        touched = target.upsert(df, batch_id, query)
+        if derived and touched:
+            table, make = derived
+            rows = target.read(with_bucket=True, buckets=touched)
+            named = rows.withColumnRenamed(BUCKET, "bucket_of")
+            made = make(named, keep=["bucket_of"]).withColumnRenamed("bucket_of", BUCKET)
+            table.replace(made, touched, batch_id, query)
+
+    q = (shaped.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     run_to_completion(q)

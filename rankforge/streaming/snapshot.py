@@ -1,26 +1,27 @@
-"""Keyed upsert target without a MERGE-capable table format.
+"""Keyed upsert target without a MERGE-capable table format: deltas, merged on read.
 
 The table is a set of parquet *buckets*; the bucket of a row is a function of its key (by
-default a hash, or e.g. the day of a date key so new loads touch only recent buckets).
-Each upsert (one micro-batch) rewrites only the buckets its rows fall in:
-
-    new bucket = newest-per-key(old bucket rows  UNION  batch rows)
-
-and publishes a manifest ``_manifest/{batch:012d}.json`` mapping every bucket to the
-version folder that holds it (and its row count); the newest manifest is the current
-snapshot. A rewritten bucket is laid out in ``ceil(rows / rows_per_file)`` slices by a
-hash of the key, each written by one task, so a version holds about one file per slice
-whatever the number of tasks, and a bucket holding a third of the rows is spread over
-many tasks. A replayed batch
-id rewrites the same folder and manifest from the manifest *before* it, so retries after a
-crash are idempotent. "Newest" is ``max(struct(version, tie..., row))``, which does not
-depend on arrival order: an older version arriving later never overwrites a newer one.
+default a hash, or e.g. the day of a date key, so a reader can prune by it). An upsert (one
+micro-batch) reduces the batch to its newest row per key and writes only these rows, as one
+more part of each bucket that they fall in; stored rows are neither read nor rewritten, so its
+cost follows the batch. A read takes the newest row per key over a bucket's parts. "Newest" is
+``max(struct(version, tie..., row))``, which does not depend on arrival order. A bucket whose
+parts reach ``max_parts`` is compacted into one: every row is rewritten once per
+``max_parts`` batches that touch its bucket.
+
+A published version is a manifest ``_manifest/{version:012d}.json`` that maps every bucket to
+its parts (and their rows) and every query to the last batch of it that is merged. Versions
+count up whatever a query's batch numbers are, part folders have names of their own and are
+never written twice, and manifests never change, so a new checkpoint (with batch numbers
+from 0 again) or a reader during a write is safe, and a batch that is run again after it was
+merged changes nothing. What a crash leaves behind is in no manifest; ``vacuum`` deletes it.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +30,15 @@ from pyspark.sql import types as T
 from ..operators.latest import latest_per_key
 
 BUCKET = "_bucket"
+PART = "_part"
 SLICE = "_slice"
 NULL_BUCKET = -1
 ROWS_PER_FILE = 2_000_000
+MAX_PARTS = 8
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return _FS(spark, path).read_text(path)
 
 
 class _FS:
@@ -66,31 +73,31 @@ class _FS:
         self.fs.delete(self._path(path), True)
 
     def write_text_atomic(self, path: str, text: str) -> None:
+        """A new file, complete from the moment it has its name."""
         tmp = self._path(path + ".tmp")
         out = self.fs.create(tmp, True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        target = self._path(path)
-        if self.fs.exists(target):
-            self.fs.delete(target, False)
-        self.fs.rename(tmp, target)
+        if not self.fs.rename(tmp, self._path(path)):
+            raise FileExistsError(f"{path} is there already: another writer has published this version")
 
 
 class SnapshotTable:
     """Keyed SCD-1 table at ``path``: newest row per ``keys`` by ``version`` (then ``tie``,
     then the rest of the row). ``bucket`` maps a row to its bucket (default: hash of the
-    key into ``num_buckets``); a rewritten bucket is written as slices of about
-    ``rows_per_file`` rows each."""
+    key into ``num_buckets``); files hold about ``rows_per_file`` rows; a bucket of
+    ``max_parts`` parts is compacted."""
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], version: str = "ldts",
                  tie: list[str] = (), bucket: Column | None = None, num_buckets: int = 64,
-                 rows_per_file: int = ROWS_PER_FILE):
-        if rows_per_file < 1:
-            raise ValueError("rows_per_file must be >= 1")
+                 rows_per_file: int = ROWS_PER_FILE, max_parts: int = MAX_PARTS):
+        if rows_per_file < 1 or max_parts < 1:
+            raise ValueError("rows_per_file and max_parts must be >= 1")
         self.spark = spark
         self.rows_per_file = rows_per_file
+        self.max_parts = max_parts
         self.path = path.rstrip("/")
         self.keys = list(keys)
         self.version = version
@@ -102,109 +109,120 @@ class SnapshotTable:
         self._fs = _FS(spark, self.path)
 
     # ------------------------------------------------------------------ manifests
-    def _manifest_ids(self) -> list[int]:
-        ids = []
-        for name in self._fs.list_names(f"{self.path}/_manifest"):
-            if name.endswith(".json") and name[:-5].isdigit():
-                ids.append(int(name[:-5]))
-        return sorted(ids)
-
-    def manifest(self, before: int | None = None) -> dict:
-        ids = [i for i in self._manifest_ids() if before is None or i < before]
-        if not ids:
-            return {"batch": None, "previous": None, "schema": None, "buckets": {}}
-        return json.loads(self._fs.read_text(f"{self.path}/_manifest/{ids[-1]:012d}.json"))
-
-    def _bucket_paths(self, manifest: dict, buckets=None) -> list[str]:
-        chosen = manifest["buckets"] if buckets is None else {
-            b: v for b, v in manifest["buckets"].items() if b in buckets}
-        return [f"{self.path}/v={v:012d}/{BUCKET}={b}" for b, v in sorted(chosen.items())]
+    def versions(self) -> list[int]:
+        names = self._fs.list_names(f"{self.path}/_manifest")
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def manifest(self, version: int | None = None) -> dict:
+        """A published version, the newest by default; an empty one when there is none."""
+        found = self.versions()
+        if not found:
+            return {"version": -1, "schema": None, "buckets": {}, "done": {}}
+        return json.loads(self._fs.read_text(f"{self.path}/_manifest/{found[-1] if version is None else version:012d}.json"))
 
     # ------------------------------------------------------------------ reads
-    def read(self, manifest: dict | None = None) -> DataFrame | None:
-        """Current snapshot (or the one of ``manifest``); None when nothing was written."""
+    def _rows(self, manifest: dict, buckets=None) -> DataFrame:
+        """Stored rows of the buckets, with their bucket, one per key and part."""
+        paths = [f"{self.path}/{PART}={part}/{BUCKET}={b}" for b, entry in sorted(manifest["buckets"].items())
+                 if buckets is None or b in buckets for part in entry["parts"]]
+        schema = T.StructType.fromJson(json.loads(manifest["schema"]))
+        return (self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
+                .select(*schema.fieldNames(), F.col(BUCKET).cast("int").alias(BUCKET)))
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        # the bucket is a function of the key: grouping by both is grouping by key
+        return latest_per_key(rows, [*self.keys, BUCKET], self.version, self.tie)
+
+    def read(self, manifest: dict | None = None, with_bucket: bool = False,
+             buckets: list[str] | None = None) -> DataFrame | None:
+        """A version's rows (the current one's by default), of some ``buckets`` or of all; None
+        when nothing is stored there. A filter on the bucket column (``with_bucket``) prunes
+        folders."""
         m = manifest or self.manifest()
-        if not m["buckets"]:
+        wanted = m["buckets"] if buckets is None else [b for b in buckets if b in m["buckets"]]
+        if not wanted:
             return None
-        schema = T.StructType.fromJson(json.loads(m["schema"]))
-        return self.spark.read.schema(schema).parquet(*self._bucket_paths(m))
+        rows = self._rows(m, None if buckets is None else set(wanted))
+        if any(len(e["parts"]) > 1 for e in m["buckets"].values()):
+            rows = self._newest(rows)
+        columns = T.StructType.fromJson(json.loads(m["schema"])).fieldNames()
+        return rows.select(*columns, *([BUCKET] if with_bucket else []))
 
     # ------------------------------------------------------------------ housekeeping
     def vacuum(self, retain: int = 2) -> list[str]:
-        """Delete version folders and manifests that none of the newest ``retain``
-        manifests refers to (older snapshots stop being readable). Returns what was
-        deleted. Run it between batches, never concurrently with an upsert."""
+        """Delete part folders and manifests that none of the newest ``retain`` versions
+        refers to (older versions stop being readable). Returns what was deleted. Run it
+        between batches, never concurrently with an upsert."""
         if retain < 1:
             raise ValueError("retain must be >= 1")
-        ids = self._manifest_ids()
-        keep_ids = ids[-retain:]
-        live = set()
-        for i in keep_ids:
-            doc = json.loads(self._fs.read_text(f"{self.path}/_manifest/{i:012d}.json"))
-            live.update(int(v) for v in doc["buckets"].values())
-        # a replay of the newest batch rebuilds from the manifest before it: keep that too
-        if len(ids) > len(keep_ids):
-            doc = json.loads(self._fs.read_text(f"{self.path}/_manifest/{ids[-len(keep_ids) - 1]:012d}.json"))
-            live.update(int(v) for v in doc["buckets"].values())
-            keep_ids = ids[-len(keep_ids) - 1:]
-        deleted = []
-        for name in self._fs.list_names(self.path):
-            if name.startswith("v=") and name[2:].isdigit() and int(name[2:]) not in live:
-                self._fs.delete(f"{self.path}/{name}")
-                deleted.append(name)
-        for i in ids:
-            if i not in keep_ids:
-                self._fs.delete(f"{self.path}/_manifest/{i:012d}.json")
-                deleted.append(f"_manifest/{i:012d}.json")
-        return deleted
+        versions = self.versions()
+        keep = versions[-retain:]
+        live = {part for v in keep for e in self.manifest(v)["buckets"].values() for part in e["parts"]}
+        gone = [n for n in self._fs.list_names(self.path) if n.startswith(f"{PART}=") and n[len(PART) + 1:] not in live]
+        gone += [f"_manifest/{v:012d}.json" for v in versions if v not in keep]
+        for name in gone:
+            self._fs.delete(f"{self.path}/{name}")
+        return gone
 
     # ------------------------------------------------------------------ writes
-    def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge one batch; safe to call again with the same ``batch_id``.
-
-        1. the batch reduced to its newest row per key (map-side partial aggregate first,
-           so a key holding a third of the batch is one row per task before the shuffle),
-           kept with ``persist`` (recomputed from its lineage if an executor is lost);
-        2. its keys per touched bucket (a partial aggregate of one small column);
-        3. old rows of the touched buckets UNION (1), shuffled once by (bucket, slice) --
-           at most one old and one new row per key -- and reduced per key inside those
-           partitions (no further shuffle), then written by bucket;
-        4. exact rows per bucket from the footers of the files just written."""
-        newest = latest_per_key(batch, self.keys, self.version, self.tie).withColumn(
-            BUCKET, self.bucket_expr).persist()
+    def upsert(self, batch: DataFrame, batch_id: int, query: str = "direct") -> list[str]:
+        """Merge one batch of a query; returns the buckets that it touches. A batch that is
+        merged already changes nothing (the buckets of a query's last batch are kept, so what
+        follows the merge can be done again).
+
+        The batch is reduced to its newest row per key by a map-side partial aggregate, so a
+        key holding a third of it is one row per task before the shuffle, and kept with
+        ``persist`` (recomputed from its lineage if an executor is lost). What reaches the
+        driver is one row per touched bucket."""
+        m = self.manifest()
+        last = m["done"].get(query, {"batch": -1, "buckets": []})
+        if batch_id <= last["batch"]:
+            return last["buckets"] if batch_id == last["batch"] else []
+        newest = latest_per_key(batch, self.keys, self.version, self.tie).withColumn(BUCKET, self.bucket_expr).persist()
         try:
-            batch_rows = {str(r[0]): int(r[1]) for r in newest.groupBy(BUCKET).count().collect()}
-            if not batch_rows:
-                return
-            self._merge(newest, batch_rows, batch_id, batch.schema)
+            part, counts = self._write(newest)
         finally:
             newest.unpersist()
-
-    def _merge(self, newest: DataFrame, batch_rows: dict, batch_id: int, data_schema) -> None:
-        touched = sorted(batch_rows)
-        prev = self.manifest(before=batch_id)
-        prev_rows = prev.get("rows", {})
-        slices = {b: max(1, math.ceil((prev_rows.get(b, 0) + batch_rows[b]) / self.rows_per_file))
-                  for b in touched}
-        rows = newest
-        old_paths = self._bucket_paths(prev, set(touched))
-        if old_paths:
-            old = self.spark.read.schema(data_schema).parquet(*old_paths)
-            rows = old.withColumn(BUCKET, self.bucket_expr).unionByName(newest)
-        per_bucket = F.create_map(*[F.lit(x) for b in touched for x in (int(b), slices[b])])
-        slice_of = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.element_at(per_bucket, F.col(BUCKET)))
-        laid = rows.withColumn(SLICE, slice_of).repartition(sum(slices.values()), BUCKET, SLICE)
-        # the bucket and the slice are functions of the key: grouping by (key, bucket, slice)
-        # is grouping by key, and the (bucket, slice) partitioning already serves it
-        merged = latest_per_key(laid, self.keys + [BUCKET, SLICE], self.version, self.tie).drop(SLICE)
-        target = f"{self.path}/v={batch_id:012d}"
-        merged.write.mode("overwrite").partitionBy(BUCKET).parquet(target)
-        written = {str(r[0]): int(r[1]) for r in
-                   self.spark.read.parquet(target).groupBy(BUCKET).count().collect()}
-        buckets, counts = dict(prev["buckets"]), dict(prev_rows)
-        for b in touched:
-            buckets[b] = batch_id
-            counts[b] = written.get(b, 0)
-        doc = {"batch": batch_id, "previous": prev["batch"], "schema": data_schema.json(),
-               "buckets": buckets, "rows": counts}
-        self._fs.write_text_atomic(f"{self.path}/_manifest/{batch_id:012d}.json", json.dumps(doc))
+        buckets = {b: dict(e) for b, e in m["buckets"].items()}
+        for b, n in counts.items():
+            old = buckets.get(b, {"parts": [], "rows": 0})
+            buckets[b] = {"parts": [*old["parts"], part], "rows": old["rows"] + n}
+        doc = {"version": m["version"] + 1, "schema": batch.schema.json(), "buckets": buckets,
+               "done": {**m["done"], query: {"batch": batch_id, "buckets": sorted(counts)}}}
+        full = {b for b, e in buckets.items() if len(e["parts"]) > self.max_parts}
+        if full:
+            part, counts = self._write(self._newest(self._rows(doc, full)))
+            buckets.update({b: {"parts": [part], "rows": n} for b, n in counts.items()})
+        self._publish(doc)
+        return sorted(counts)
+
+    def replace(self, rows: DataFrame, buckets: list[str], batch_id: int, query: str = "direct") -> None:
+        """Put ``rows`` (with their bucket column) in place of all rows of ``buckets``, as one
+        version; doing so again for the same batch changes nothing."""
+        m = self.manifest()
+        if not buckets or batch_id <= m["done"].get(query, {"batch": -1})["batch"]:
+            return
+        part, counts = self._write(rows)
+        kept = {b: e for b, e in m["buckets"].items() if b not in set(buckets)}
+        kept.update({b: {"parts": [part], "rows": n} for b, n in counts.items()})
+        self._publish({"version": m["version"] + 1, "schema": rows.drop(BUCKET).schema.json(), "buckets": kept,
+                       "done": {**m["done"], query: {"batch": batch_id, "buckets": sorted(buckets)}}})
+
+    def _publish(self, doc: dict) -> None:
+        self._fs.write_text_atomic(f"{self.path}/_manifest/{doc['version']:012d}.json", json.dumps(doc))
+
+    def _write(self, rows: DataFrame) -> tuple[str, dict[str, int]]:
+        """Rows as a new part; its name and its rows per bucket. A bucket is cut into slices of
+        about ``rows_per_file`` rows by a hash of the key, each written by one task."""
+        sizes = rows.groupBy(BUCKET).count()
+        counts = {str(r[0]): int(r[1]) for r in sizes.collect()}
+        part = uuid.uuid4().hex
+        if counts:
+            cuts = sizes.select(F.col(BUCKET).alias("_b"), F.ceil(F.col("count") / self.rows_per_file).alias("_cuts"))
+            total = sum(math.ceil(n / self.rows_per_file) for n in counts.values())
+            spread = [k for k in self.keys if k in rows.columns] or rows.columns
+            slice_ = F.pmod(F.xxhash64(*[F.col(k) for k in spread]), F.col("_cuts"))
+            laid = (rows.join(cuts, F.col(BUCKET) == F.col("_b")).withColumn(SLICE, slice_)
+                    .repartition(total, BUCKET, SLICE).drop("_b", "_cuts", SLICE))
+            laid.write.partitionBy(BUCKET).parquet(f"{self.path}/{PART}={part}")
+        return part, counts
