@@ -25,7 +25,7 @@ LABELLED = 20_000
 MIN_PAGES = 3
 LIMIT = 4.0
 #: Default weights of a word and a tag, and the least cost of any tag.
-WORD, TAG, LEAST = 1.0, -0.5, -0.05
+WORD, TAG, LEAST = 1.0, -0.25, -0.05
 
 _RAW = "script|style|noscript|template|textarea|iframe|svg|math|canvas|object|select|title"
 _TOKEN = re.compile(

@@ -130,8 +130,11 @@ def _letters(f: Feistel, kind: str, text: str, back: bool) -> str:
 def _email(f: Feistel, text: str, back: bool) -> str | None:
     local, _, domain = text.rpartition("@")
     name, _, top = domain.rpartition(".")
-    # The value is permuted in lower case, so layouts of one address stay linked.
-    return _letters(f, "email", f"{local}@{name}".lower(), back) + "." + top
+    # Letters are permuted in lower case and get their place's case back, so spellings of one
+    # address stay linked.
+    own = f"{local}@{name}"
+    new = _letters(f, "email", own.lower(), back)
+    return "".join(n.upper() if c.isupper() else n for c, n in zip(own, new)) + "." + top
 
 
 def _iban(f: Feistel, text: str, back: bool) -> str | None:

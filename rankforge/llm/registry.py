@@ -61,7 +61,7 @@ def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(_table(spark, sf_dir, "documents"), sharding.layout(SHARDS), sharding.layout(SHARDS + 1))
+    return sharding.shard(_table(spark, sf_dir, "documents"), sharding.layout(SHARDS), sharding.layout(SHARDS, 1))
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Regions and racks of the first layout; shards are dealt to its racks in turn.
+#: Regions and racks that a layout's first shards are dealt to in turn.
 REGIONS, RACKS = 3, 4
 #: Bits of the row hash that name a numbering block; 2 ** bits blocks for each shard.
 BLOCK_BITS = 12
@@ -35,21 +35,13 @@ class Leaf:
     weight: float = 1.0
 
 
-def layout(shards: int, regions: int = REGIONS, racks: int = RACKS) -> list[Leaf]:
-    """``shards`` equal shards. The first ``2 * regions * racks`` fill the racks; each later
-    one opens a region, so a layout and the next larger one differ by that region."""
-    base = 2 * regions * racks
-    if shards <= 0:
-        raise ValueError("at least one shard is needed")
-    leaves = []
-    for s in range(shards):
-        if shards >= base and s < base:
-            region = s % regions
-            rack = s // regions % racks
-            leaves.append(Leaf(s, f"r{region}", f"r{region}/k{rack}"))
-        else:
-            leaves.append(Leaf(s, f"own{s}", f"own{s}/k0"))
-    return leaves
+def layout(shards: int, extra: int = 0, regions: int = REGIONS, racks: int = RACKS) -> list[Leaf]:
+    """``shards`` equal shards dealt to the racks in turn, and ``extra`` later ones, each in a
+    region of its own, so that every later one takes documents only into itself."""
+    if shards <= 0 or extra < 0:
+        raise ValueError("at least one shard is needed, and no negative number of later ones")
+    first = [Leaf(s, f"r{s % regions}", f"r{s % regions}/k{s // regions % racks}") for s in range(shards)]
+    return first + [Leaf(s, f"own{s}", f"own{s}/k0") for s in range(shards, shards + extra)]
 
 
 def _children(leaves: list[Leaf]) -> list[dict[str, list[tuple[str, float]]]]:

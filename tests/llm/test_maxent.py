@@ -1,0 +1,105 @@
+"""Hashed maximum-entropy scoring."""
+
+import collections
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rankforge.llm import maxent as M
+from rankforge.llm.frames import in_sample
+
+SCHEMA = "doc_id long, text string, row int, score string"
+
+
+def base_of(rows):
+    pattern = re.compile(rb"[^\x20\x09-\x0d]+")
+    tokens = [pattern.findall((t or "").encode().lower()) + [None] for _, t, *_ in rows]
+    held = [i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i, *_ in rows]
+    c = collections.Counter(w for ws, h in zip(tokens, held) if not h for w in ws)
+    n, v = sum(c.values()), len(c)
+    return [(i, h, len(ws), sum(c[w] > 0 for w in ws), n,
+             sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws)) for (i, *_), h, ws in zip(rows, held, tokens)]
+
+
+def run(spark, rows, **options):
+    df = spark.createDataFrame([(i, t, 0, "") for i, t, *_ in rows], SCHEMA)
+    return M.score_documents(df, in_sample("doc_id", 10), **options).collect()
+
+
+def same(got, want):
+    key = lambda r: (str(r[0]), r[1], r[2], r[3], round(r[5], 6))
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert tuple(g)[:5] == w[:5] and g.base_score == pytest.approx(w[5], rel=1e-12)
+
+
+def test_base_is_exact_and_the_model_predicts_held_out_text_better(spark, sf_small):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
+    got = run(spark, rows)
+    assert len(got) == len(rows)
+    same(got, base_of(rows))
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_words_without_a_number_keep_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(M, "NUMBERED", 8)
+    rows = [(k, " ".join(f"w{(k * j) % 40}" for j in range(30))) for k in range(60)] + [(7, "never seen before")]
+    got = M.score_documents(spark.createDataFrame([(i, t, 0, "") for i, t in rows], SCHEMA), in_sample("doc_id", 10))
+    counts = M.lexicon(M.word_counts(spark.createDataFrame(rows, "doc_id long, text string")), 8)
+    assert 0 < len(counts.hashes) <= 8
+    same(got.collect(), base_of(rows))
+
+
+def test_edges(spark):
+    rows = [(1, "a b a"), (2, None), (None, "A b"), (1, "a b a"), (3, ""), (4, "x " * 50000), (35, "q"), (35, None)]
+    same(run(spark, rows), base_of(rows))
+    assert run(spark, []) == []
+
+
+def test_without_training_rows_every_word_has_probability_one(spark):
+    held = [i for i in range(300) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
+    got = run(spark, [(i, "some words here") for i in held])
+    assert all(r.held_out and r.n_known == 0 and r.train_tokens == 0 for r in got)
+    assert all(r.base_score == pytest.approx(0) and r.score == pytest.approx(0, abs=1e-6) for r in got)
+
+
+def test_probabilities_of_all_words_sum_to_one(spark):
+    rows = [(k, " ".join(f"w{(k * j * j + j) % 50}" for j in range(40)) + " rare%d" % k) for k in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", F.lit(False))
+    counts = M.word_counts(df)
+    lex = M.lexicon(counts, 64)
+    encoded = M.encode(df, lex)
+    model = M.train(encoded, lex, 1)
+    total = M.SMOOTH * (lex.types + 1) + lex.total
+    rest = total - (lex.counts + M.SMOOTH)[model.klass[:-1] < M.CLASSES - 1].sum()
+    n = len(lex.hashes)
+    for before in ([], [3], [5, 2], [n, 1]):
+        p = 0.0
+        for w in range(n):
+            ids = np.array([*before, w], np.int32)
+            p += 10 ** (M.token_log10(model, ids, np.array([0, len(ids)]))[-1] + model.share[w])
+        # all words without a number, the unknown one among them
+        ids = np.array([*before, n], np.int32)
+        share = (rest - (lex.counts + M.SMOOTH)[model.klass[:-1] == M.CLASSES - 1].sum()) / rest
+        p += 10 ** M.token_log10(model, ids, np.array([0, len(ids)]))[-1] * share
+        assert p == pytest.approx(1, abs=1e-4)
+
+
+def test_context_matters(spark):
+    rows = [(k, "left right " * 20 if k % 2 else "up down " * 20) for k in range(60)]
+    got = run(spark, rows)
+    assert all(r.score > r.base_score + 3 for r in got)
+
+
+def test_a_lexicon_finds_its_words():
+    rng = np.random.default_rng(2)
+    h = np.unique(rng.integers(0, 1 << 62, 5000).astype(np.uint64))
+    rng.shuffle(h)
+    lex = M.Lexicon(h, np.arange(len(h), 0, -1), 10, 10)
+    assert (lex.numbers(h) == np.arange(len(h))).all()
+    other = np.setdiff1d(rng.integers(0, 1 << 62, 5000).astype(np.uint64), h)
+    assert (lex.numbers(other) == len(h)).all()
