@@ -80,7 +80,8 @@ class _FS:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        if not self.fs.rename(tmp, self._path(path)):
+        # a local file system's rename replaces silently, so look first
+        if self.fs.exists(self._path(path)) or not self.fs.rename(tmp, self._path(path)):
             raise FileExistsError(f"{path} is there already: another writer has published this version")
 
 

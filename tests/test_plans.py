@@ -89,10 +89,9 @@ def test_surrogate_key_reads_only_its_columns(plan):
                          for s in scans), scans
 
 
-def test_upsert_merge_shuffles_once_by_bucket_slice(spark, monkeypatch):
-    """The merge write: the batch is pre-reduced per key (partial aggregate, then its
-    shuffle), old rows and batch rows are shuffled once by (bucket, slice), and the
-    per-key reduction runs inside that partitioning (no further exchange above it)."""
+def test_upsert_writes_the_reduced_batch_and_reads_no_stored_row(spark, monkeypatch):
+    """The write of a batch: the batch reduced per key (kept in memory), laid out by one shuffle
+    on (bucket, slice), and no scan of what the table holds."""
     from pyspark.sql import functions as F
     from pyspark.sql.readwriter import DataFrameWriter
 
@@ -112,13 +111,9 @@ def test_upsert_merge_shuffles_once_by_bucket_slice(spark, monkeypatch):
     t.upsert(df, 0)
     monkeypatch.setattr(DataFrameWriter, "parquet", spy)
     t.upsert(df.withColumn("ver", F.col("ver") + 1), 1)
-    tree = plans[0]
-    exchanges = [n[1] for n in _nodes(tree) if n[0].endswith("Exchange") and "Broadcast" not in n[0]]
-    slice_ex = [e for e in exchanges if "REPARTITION_BY_NUM" in e]
-    assert len(slice_ex) == 1 and "_bucket" in slice_ex[0] and "_slice" in slice_ex[0]
-    # above the (bucket, slice) exchange there is no other shuffle
-    top = tree
-    while "REPARTITION_BY_NUM" not in top[1]:
-        assert not (top[0].endswith("Exchange") and "Broadcast" not in top[0]), top[1]
-        top = top[2][0]
-    assert any("partial_max" in n[1] for n in _nodes(tree))
+    assert len(plans) == 1
+    descs = [n[1] for n in _nodes(plans[0])]
+    slices = [d for d in descs if "REPARTITION_BY_NUM" in d]
+    assert len(slices) == 1 and "_bucket" in slices[0] and "_slice" in slices[0]
+    assert not any("FileScan" in d for d in descs) and any("InMemoryTableScan" in d for d in descs)
+

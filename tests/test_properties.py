@@ -79,8 +79,9 @@ UPSERT_ROWS = st.lists(
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=UPSERT_ROWS, per_file=st.integers(1, 8), cuts=st.integers(1, 3), seed=st.integers(0, 99))
-def test_sliced_upsert_equals_newest_of_all(spark, rows, per_file, cuts, seed):
+@given(rows=UPSERT_ROWS, per_file=st.integers(1, 8), cuts=st.integers(1, 3), seed=st.integers(0, 99),
+       max_parts=st.integers(1, 3))
+def test_sliced_upsert_equals_newest_of_all(spark, rows, per_file, cuts, seed, max_parts):
     """Any cut of the input into batches, any arrival order and any slice size give the
     newest row per key over everything (NULL keys included)."""
     from rankforge.session import shared_path
@@ -90,7 +91,7 @@ def test_sliced_upsert_equals_newest_of_all(spark, rows, per_file, cuts, seed):
     parts = [rows[i::cuts] for i in range(cuts)]
     random.Random(seed).shuffle(parts)
     t = SnapshotTable(spark, shared_path(spark, "prop", "slices"), ["k"], "ver", ["payload"],
-                      num_buckets=3, rows_per_file=per_file)
+                      num_buckets=3, rows_per_file=per_file, max_parts=max_parts)
     for batch_id, part in enumerate(p for p in parts if p):
         t.upsert(spark.createDataFrame(part, schema), batch_id)
     want = latest_per_key(spark.createDataFrame(rows, schema), ["k"], "ver", ["payload"])

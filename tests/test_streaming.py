@@ -69,13 +69,12 @@ def test_capped_micro_batches_equal_one_batch(spark, sf_small):
     landing = f"{root}/landing"
     for day in (2, 1):
         docs = fixtures.guild_documents(customer, as_text=False, tag=str(day)).select("guildData")
-        write_landing(docs, landing, "guilds", dt.datetime(2026, 1, day))
-    target = SnapshotTable(spark, f"{root}/silver", ["guild_id"], "ldts", gld.TIE_BREAK, num_buckets=4)
-    stream = bronze_stream(spark, landing, "guilds", "t", stamp_from_file_name(), max_files_per_trigger=1)
+        write_landing(docs, landing, "guilds", dt.datetime(2026, 1, day), layout="document")
+    target = SnapshotTable(spark, f"{root}/silver", ["guild_id"], "ldts", gld.TIE_BREAK, num_buckets=4, max_parts=2)
+    stream = bronze_stream(spark, landing, "guilds", "t", stamp_from_file_name(), "document", max_files_per_trigger=1)
     upsert_stream(stream, target, f"{root}/_chk", transform=gld.silver_clean)
-    batches = len(target._manifest_ids())
-    assert batches == 4                                   # 4 files, one per batch
-    bronze = attach_metadata(read_landing(spark, landing, "guilds"), "t", stamp_from_file_name())
+    assert len(target.versions()) == 4                    # 4 files, one per batch
+    bronze = attach_metadata(read_landing(spark, landing, "guilds", layout="document"), "t", stamp_from_file_name())
     want = gld.deduplicate(gld.silver_clean(bronze))
     got = target.read()
     assert got.count() == want.count() > 0
@@ -101,16 +100,126 @@ def test_upsert_order_independent_and_replay_safe(spark, versions):
     assert all(r.ver == 3 for r in results[0]) and len(results[0]) == 7
 
 
-def test_upsert_writes_one_file_per_slice(spark, versions):
-    """Whatever the task count, a rewritten bucket below ``rows_per_file`` is one file."""
+def _files(t, bucket="*"):
     import glob
 
+    return set(glob.glob(f"{t.path.replace('file:', '')}/_part=*/_bucket={bucket}/*.parquet"))
+
+
+def test_upsert_writes_one_file_per_slice(spark, versions):
+    """Whatever the task count, a bucket's part below ``rows_per_file`` is one file."""
+
     t = SnapshotTable(spark, shared_path(spark, "test", "snapfiles"), ["key"], "ver", ["payload"], num_buckets=3)
     many = versions[0].repartition(8).unionByName(versions[1].repartition(8))
     t.upsert(many, 0)
-    version_dir = f"{t.path}/v={0:012d}".replace("file:", "")
-    per_bucket = [len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{version_dir}/_bucket=*")]
-    assert per_bucket and all(n == 1 for n in per_bucket), per_bucket
+    buckets = t.manifest()["buckets"]
+    assert buckets and all(len(_files(t, b)) == 1 for b in buckets)
+
+
+def test_a_one_key_batch_writes_one_file_and_touches_no_other(spark, versions):
+    """The cost of an upsert follows the batch: no stored file is read, rewritten or deleted."""
+    import os
+
+    t = SnapshotTable(spark, shared_path(spark, "test", "delta"), ["key"], "ver", ["payload"], num_buckets=3)
+    t.upsert(versions[0], 0)
+    before = {f: os.stat(f).st_mtime_ns for f in _files(t)}
+    touched = t.upsert(versions[1].where("key = 4"), 1)
+    after = _files(t)
+    assert len(touched) == 1 and len(after - set(before)) == 1
+    assert {f: os.stat(f).st_mtime_ns for f in before} == before
+    assert {r.key: r.ver for r in t.read().collect()} == {k: 2 if k == 4 else 1 for k in range(7)}
+
+
+def test_a_new_checkpoint_starts_again_without_losing_rows(spark, versions):
+    """Batch numbers of a new query start at 0 again; nothing of the old query's is replaced, and
+    a batch that is run again under its own query changes nothing."""
+    t = SnapshotTable(spark, shared_path(spark, "test", "newchk"), ["key"], "ver", ["payload"], num_buckets=3)
+    t.upsert(versions[0], 0, "first")
+    t.upsert(versions[1], 1, "first")
+    t.upsert(versions[2].where("key = 2"), 0, "second")
+    assert {r.key: r.ver for r in t.read().collect()} == {k: 3 if k == 2 else 2 for k in range(7)}
+    published = t.versions()
+    assert t.upsert(versions[1], 1, "first") and t.versions() == published      # its last batch: known buckets
+    assert t.upsert(versions[0], 0, "first") == [] and t.versions() == published
+    t.upsert(versions[2], 1, "second")
+    assert all(r.ver == 3 for r in t.read().collect()) and len(t.versions()) == 4
+
+
+def test_compaction_keeps_the_rows_and_one_part(spark):
+    t = SnapshotTable(spark, shared_path(spark, "test", "compact"), ["key"], "ver", num_buckets=2, max_parts=3)
+    for n in range(5):
+        t.upsert(spark.createDataFrame([(k, n, f"p{n}") for k in range(n, 12)], "key int, ver int, payload string"), n)
+    parts = [len(e["parts"]) for e in t.manifest()["buckets"].values()]
+    assert max(parts) <= 3
+    assert {r.key: r.ver for r in t.read().collect()} == {k: min(k, 4) for k in range(12)}
+
+
+def test_read_prunes_by_bucket(spark):
+    df = spark.createDataFrame([(k, 20240100 + k % 3, 1) for k in range(30)], "key int, day int, ver int")
+    t = SnapshotTable(spark, shared_path(spark, "test", "prune"), ["key", "day"], "ver", bucket=F.col("day"))
+    t.upsert(df, 0)
+    t.upsert(df.withColumn("ver", F.lit(2)), 1)
+    one = t.read(with_bucket=True).where("_bucket = 20240101")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 10 and "PartitionFilters: [isnotnull(_bucket" in plan
+    assert t.read(buckets=["20240102"]).count() == 10 and t.read(buckets=["7"]) is None
+
+
+def test_two_writers_of_one_version_do_not_overwrite_each_other(spark, versions):
+    a = SnapshotTable(spark, shared_path(spark, "test", "race"), ["key"], "ver", num_buckets=3)
+    b = SnapshotTable(spark, a.path, ["key"], "ver", num_buckets=3)
+    stale = b.manifest()
+    a.upsert(versions[0], 0)
+    b.manifest = lambda version=None: stale
+    with pytest.raises(FileExistsError):
+        b.upsert(versions[1], 0, "other")
+    assert all(r.ver == 1 for r in a.read().collect())
+
+
+def test_rule_counts_cover_more_than_a_hundred_batches(spark):
+    """A query object keeps its last hundred progress reports; the counts cover all batches."""
+    from rankforge.operators.quality import expect_or_drop
+    from rankforge.streaming.flows import append_to_table
+
+    root = shared_path(spark, "test", "many")
+    spark.range(110).repartition(110).write.json(f"{root}/in")
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    checked = expect_or_drop(stream, {"even": "id % 2 = 0"}, "rules")
+    found = append_to_table(checked, f"{root}/out", f"{root}/_chk")
+    assert (found["rules"]["rows_tested"], found["rules"]["failed_even"]) == (110, 55)
+    assert spark.read.parquet(f"{root}/out").count() == 55
+
+
+def test_lines_hold_many_documents_in_few_files(spark):
+    import glob
+
+    landing = shared_path(spark, "test", "lines")
+    docs = spark.range(500).select(F.struct(F.col("id").alias("n"), F.lit("a\nb").alias("t")).alias("worldData"))
+    folder = write_landing(docs.coalesce(2), landing, "many", dt.datetime(2026, 1, 1))
+    assert len(glob.glob(f"{folder.replace('file:', '')}/*.json")) == 2
+    back = read_landing(spark, landing, "encounters")
+    assert back.select(F.get_json_object("worldData", "$.n").cast("int").alias("n")).distinct().count() == 500
+    with pytest.raises(ValueError):
+        read_landing(spark, landing, layout="csv")
+
+
+def test_gold_follows_the_touched_buckets(spark):
+    from rankforge.streaming.snapshot import BUCKET
+
+    silver = SnapshotTable(spark, shared_path(spark, "test", "g-silver"), ["key"], "ver", num_buckets=4)
+    gold = SnapshotTable(spark, shared_path(spark, "test", "g-gold"), ["key"])
+
+    def follow(batch, n):
+        touched = silver.upsert(batch, n)
+        rows = silver.read(with_bucket=True, buckets=touched).where("value > 0").select("key", "value", BUCKET)
+        gold.replace(rows, touched, n)
+
+    schema = "key int, ver int, value int"
+    follow(spark.createDataFrame([(k, 1, 1) for k in range(20)], schema), 0)
+    follow(spark.createDataFrame([(k, 2, -1) for k in range(20) if k != 3], schema), 1)   # rows leave gold
+    assert [tuple(r) for r in gold.read().collect()] == [(3, 1)]
+    follow(spark.createDataFrame([(5, 3, 9)], schema), 2)
+    assert sorted(tuple(r) for r in gold.read().collect()) == [(3, 1), (5, 9)]
 
 
 def test_upsert_with_null_bucket(spark):
@@ -140,10 +249,9 @@ def test_upsert_slices_a_hot_bucket(spark):
     assert sorted((r.key, r.payload) for r in got.collect()) == [(k, f"p{k}-2") for k in range(600)]
     m = t.manifest()
     want = Counter(99 if k % 3 == 0 else k % 5 for k in range(600))
-    assert m["rows"] == {str(b): n for b, n in want.items()}
-    hot = f"{t.path}/v={m['buckets']['99']:012d}/_bucket=99".replace("file:", "")
-    files = [f for f in os.listdir(hot) if f.endswith(".parquet")]
-    assert len(files) >= 3          # 200 keys at 40 rows per file: spread over slices
+    assert {b: e["rows"] for b, e in m["buckets"].items()} == {str(b): 2 * n for b, n in want.items()}
+    assert all(len(e["parts"]) == 2 for e in m["buckets"].values())
+    assert len(_files(t, "99")) >= 6          # 200 keys at 40 rows per file, twice: spread over slices
 
 
 def test_upsert_retry_after_crash_before_manifest(spark, versions, monkeypatch):
@@ -188,13 +296,20 @@ def test_chained_hops_report_rule_failures(spark, sf_small):
     assert spark.read.parquet(flow["silver_clean"]).count() < 3 * n_events
 
 
-def test_vacuum_keeps_current_and_replay_base(spark, versions):
-    t = SnapshotTable(spark, shared_path(spark, "test", "vac"), ["key"], "ver", ["payload"], num_buckets=3)
+def test_vacuum_deletes_what_no_kept_version_needs(spark, versions, monkeypatch):
+    from rankforge.streaming import snapshot as sn
+
+    t = SnapshotTable(spark, shared_path(spark, "test", "vac"), ["key"], "ver", ["payload"], num_buckets=3, max_parts=1)
     for batch_id in range(3):
-        t.upsert(versions[batch_id], batch_id)
+        t.upsert(versions[batch_id], batch_id)            # every batch compacts: old parts are unused
+    with monkeypatch.context() as m:
+        m.setattr(sn._FS, "write_text_atomic", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            t.upsert(versions[0], 3)                      # leaves a part without a manifest
     before = sorted(t.read().collect())
     deleted = t.vacuum(retain=1)
-    assert "v=000000000000" in deleted and "_manifest/000000000000.json" in deleted
+    assert "_manifest/000000000000.json" in deleted and sum(d.startswith("_part=") for d in deleted) >= 3
     assert sorted(t.read().collect()) == before
-    t.upsert(versions[2], 2)                 # replay of the newest batch still works
+    t.upsert(versions[2], 2)                              # run again: nothing changes
+    t.upsert(versions[2], 3)
     assert sorted(t.read().collect()) == before
