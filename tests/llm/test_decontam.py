@@ -2,6 +2,7 @@
 
 import random
 
+from plain import shingles_of  # noqa: F401
 from rankforge.llm import decontam as D
 
 DOCS = "doc_id long, text string, item_id int, key string"

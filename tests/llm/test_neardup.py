@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from plain import shingles_of  # noqa: F401
 from rankforge.llm import components, neardup as N
 
 SCHEMA = "doc_id long, text string, class_id int, band string"

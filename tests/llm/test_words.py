@@ -7,6 +7,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from plain import plain_words
 from rankforge.llm import frames, words as W
 
 TEXTS = st.lists(st.text(alphabet="aAbÉé \t\n\x0b\x0c\r\x1c\xa0|", max_size=40) | st.none(), max_size=12)
@@ -19,8 +20,6 @@ def _words(texts):
 @settings(max_examples=60, deadline=None)
 @given(texts=TEXTS)
 def test_words_and_shingles_equal_python(texts):
-    from conftest import plain_words
-
     hashes, bounds, _ = _words(texts)
     want = [plain_words(t) for t in texts]
     assert np.diff(bounds).tolist() == [len(w) for w in want]
