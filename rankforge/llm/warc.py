@@ -202,11 +202,11 @@ def _row(head: dict, block: bytes, with_payload: bool) -> dict:
 
 
 def read_records(spark: SparkSession, path: str, *, with_payload: bool = True) -> DataFrame:
-    """The records of all archives below ``path`` (plain or gzip), one row each. A response
+    """The records of all archives below ``path`` (``.warc`` or ``.gz``), one row each. A response
     has its payload's size and digest, computed anew; a revisit those of its header. A broken
     archive fails the read. ``with_payload`` adds the payload bytes of responses."""
     ship(spark)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*{.gz,.warc}").option("recursiveFileLookup", "true")
              .load(path).select("content"))
     schema = RECORD_SCHEMA + (", payload binary" if with_payload else "")
     kinds = [("record_id", pa.string()), ("record_type", pa.string()), ("concurrent_to", pa.string()),

@@ -63,7 +63,8 @@ def test_reads_members_and_two_hops(spark, tmp_path):
              record("request", "b", b"GET / HTTP/1.1\r\n\r\n", WARC_Concurrent_To="a"),
              record("metadata", "c", b"page-id: 4\r\n", WARC_Concurrent_To="b"),
              record("response", "d", b"no header end")]
-    (tmp_path / "x.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in parts))
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in parts[:3]))
+    (tmp_path / "y.warc").write_bytes(b"".join(parts[3:]))
     got = {r.capture_id: r for r in warc.assemble(warc.read_records(spark, str(tmp_path))).collect()}
     a = got["<a>"]
     assert (a.n_records, bytes(a.response.payload), a.request.record_id, a.metadata.fields["page-id"]) == (3, b"hello", "<b>", "4")
