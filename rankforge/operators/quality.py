@@ -78,14 +78,14 @@ def expectation_report(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """One row per rule: rows tested, rows failed, rows passed; plus an ``ALL`` row counting
     rows that fail at least one rule (the rows ``expect_or_drop`` removes). One scan."""
     names = list(rules)
-    aggs = [F.count(F.lit(1)).alias("rows_tested")]
-    aggs += [F.count_if(~_passes(rules[n])).alias(f"f{i}") for i, n in enumerate(names)]
-    any_fail = None
-    for n in names:
-        c = ~_passes(rules[n])
-        any_fail = c if any_fail is None else any_fail | c
-    aggs.append(F.count_if(any_fail).alias("f_all"))
-    totals = df.agg(*aggs)
+    # each rule once per row; the counts read its outcome
+    failed = df.select(*[(~_passes(rules[n])).alias(f"f{i}") for i, n in enumerate(names)])
+    any_fail = F.lit(False)
+    for i in range(len(names)):
+        any_fail = any_fail | F.col(f"f{i}")
+    totals = failed.agg(F.count(F.lit(1)).alias("rows_tested"),
+                        *[F.count_if(f"f{i}").alias(f"f{i}") for i in range(len(names))],
+                        F.count_if(any_fail).alias("f_all"))
     pairs = [F.struct(F.lit(n).alias("rule"), F.col(f"f{i}").alias("rows_failed"))
              for i, n in enumerate(names)]
     pairs.append(F.struct(F.lit("ALL").alias("rule"), F.col("f_all").alias("rows_failed")))
