@@ -350,3 +350,13 @@ SELECT code, title, zone_id, guild_id, start_ms, 1 AS page, l_linenumber AS figh
   (l_partkey % 5 + 101)::INT AS encounter_id, l_returnflag = 'R' AS kill,
   epoch_ms(l_shipdate) AS fight_start, epoch_ms(l_shipdate) + (l_quantity * 60000)::BIGINT AS fight_end
 FROM kept JOIN lineitem ON l_orderkey = o_orderkey WHERE rn <= 100"""
+
+REPORT_DOCUMENT_FIGHTS = """WITH kept AS (
+    SELECT 'R' || o_orderkey AS code, 'report ' || o_orderstatus AS title, o_orderkey,
+      row_number() OVER (ORDER BY epoch_ms(o_orderdate), 'R' || o_orderkey) AS rn FROM orders
+    WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AND split_part(o_orderpriority, '-', 1)::INT = 1
+      AND o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1996-01-01'),
+  n AS (SELECT count(*)::INT AS total, greatest(ceil(count(*) / 50), 1)::INT AS last_page FROM kept)
+SELECT total, last_page, (rn - 1) // 50 + 1 < last_page AS has_more_pages, code, title, l_linenumber AS fight_id,
+  (l_partkey % 5 + 101)::INT AS encounter_id, l_returnflag = 'R' AS kill
+FROM kept JOIN lineitem ON l_orderkey = o_orderkey, n"""

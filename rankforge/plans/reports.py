@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ordinal import page_slice
+from .. import schemas
+from ..operators.nested import explode_records
+from ..operators.ordinal import page_slice, with_ordinal
 
 
 def matching_reports(reports: DataFrame, start_ms: float, end_ms: float, zone_id: int | None = None,
@@ -53,3 +55,27 @@ def report_fights(selected: DataFrame) -> DataFrame:
                     F.col("f.id").alias("fight_id"), F.col("f.encounterID").alias("encounter_id"),
                     F.col("f.kill").alias("kill"), F.col("f.startTime").alias("fight_start"),
                     F.col("f.endTime").alias("fight_end")))
+
+
+def report_documents(matching: DataFrame, limit: int = 100) -> DataFrame:
+    """The pages of a pull as documents: one row per page of ``limit`` matching reports (ordered
+    by start, then code) with its envelope and reports, in ``reportData``."""
+    numbered = with_ordinal(matching.select("start_ms", "code", "title", "fights"), [], ["start_ms", "code"], "n")
+    last = F.greatest(F.ceil(F.col("total") / limit), F.lit(1)).cast("int")
+    pages = numbered.groupBy(F.floor(F.col("n") / limit).cast("bigint").alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct("n", F.struct("code", "title", "fights").alias("report")))).alias("rows"))
+    total = numbered.agg(F.count(F.lit(1)).cast("int").alias("total"))
+    return pages.join(F.broadcast(total)).select(F.struct(F.struct(
+        "total", last.alias("last_page"), (F.col("page") + 1 < last).alias("has_more_pages"),
+        F.transform("rows", lambda r: r["report"]).alias("data")).alias("reports")).alias("reportData"))
+
+
+def document_fights(documents: DataFrame) -> DataFrame:
+    """Landed report documents (JSON text) -> one row per fight, with the page's envelope."""
+    parsed = documents.select(F.from_json("reportData", schemas.REPORTS_DATA).alias("d"))
+    envelope = [F.col(f"d.reports.{c}").alias(c) for c in ("total", "last_page", "has_more_pages")]
+    reports = explode_records(parsed, "d.reports.data", "r", carry=envelope)
+    fights = explode_records(reports, "r.fights", "f", carry=["total", "last_page", "has_more_pages",
+                                                              F.col("r.code").alias("code"), F.col("r.title").alias("title")])
+    return fights.select("total", "last_page", "has_more_pages", "code", "title", F.col("f.id").alias("fight_id"),
+                         F.col("f.encounterID").alias("encounter_id"), F.col("f.kill").alias("kill"))

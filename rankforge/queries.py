@@ -20,7 +20,8 @@ from .operators.ordinal import page_slice as _page_slice
 from .operators.quality import SILVER_ENCOUNTER_RULES, SILVER_GUILD_RULES, expectation_report
 from .plans import encounters as enc
 from .plans import guilds as gld
-from .plans.reports import matching_reports, report_envelope, report_fights, select_reports as _select_reports
+from .plans.reports import (document_fights, matching_reports, report_documents, report_envelope, report_fights,
+                            select_reports as _select_reports)
 from .plans.stages import encounter_spec, guild_spec, run_pipeline, stage_counts as _stage_counts
 from .session import prepare, shared_path
 from .sources import fixtures
@@ -450,6 +451,14 @@ def report_envelopes(spark, sf_dir):
     return report_envelope(matching_reports(reports, *_report_window(), zone_id=1), page=2, limit=50)
 
 
+def report_document_fights(spark, sf_dir):
+    """The zone's reports landed as pages of 50, scanned back and unnested to their fights."""
+    reports = fixtures.report_rows(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
+    landing = shared_path(spark, "landing", "reports")
+    write_landing(report_documents(matching_reports(reports, *_report_window(), zone_id=1), 50), landing, "reports", PULL_DAY)
+    return document_fights(read_landing(spark, landing, "reports"))
+
+
 def select_guild_reports(spark, sf_dir):
     """All fights of one guild's reports."""
     reports = fixtures.report_rows(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem"))
@@ -501,6 +510,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "joint_probability": joint_probability,
     "report_envelopes": report_envelopes,
     "select_guild_reports": select_guild_reports,
+    "report_document_fights": report_document_fights,
     "select_reports": select_reports,
 }
 
@@ -549,5 +559,6 @@ ORACLE_SQL: dict[str, str] = {
     "joint_probability": oracle.JOINT_PROBABILITY,
     "report_envelopes": oracle.REPORT_ENVELOPES,
     "select_guild_reports": oracle.SELECT_GUILD_REPORTS,
+    "report_document_fights": oracle.REPORT_DOCUMENT_FIGHTS,
     "select_reports": oracle.SELECT_REPORTS,
 }
