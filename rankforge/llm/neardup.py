@@ -9,10 +9,12 @@ independent hashes, at about one round's cost for a set much larger than t.
 
 Bins are banded; documents that share a band are candidates, and candidates are linked only if
 their full shingle sets reach the similarity. Documents with equal sets count as one class
-from the start, so copies never meet pairwise. Within a band all members are first compared
-with the band's smallest class; then, where a band still holds several components, every pair
-across components whose sketches are not far below the similarity. No other pair can
-change the components, and none is dropped for the size of its band.
+from the start, so copies never meet pairwise. Links are sought in three rounds, each one only
+where a band still holds several components: every class with the smallest class of a band
+that it shares most bands with; the edges of a maximum spanning forest of each band by
+sketch similarity; every remaining pair across components whose sketches are not far below
+the similarity, once, in the first band that it shares. No other pair can change the components,
+and none is left out for the size of its band.
 """
 
 from __future__ import annotations
@@ -23,16 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import cut, hashed, key_filter, map_text, passes, ship, text_buffer
+from .frames import cut, hashed, key_filter, map_text, passes, ship, slices, text_buffer
 from .words import U, distinct, document_of, mix, shingles, words
 
 #: 32 bands of 4 bins: a pair of similarity 0.8 shares no band with probability 5e-8.
 BANDS, ROWS = 32, 4
-#: A pair across components of a band is looked up unless its sketches agree in less than
-#: the similarity minus this much (over 6 standard deviations of the estimate at 0.8).
-MARGIN = 0.22
+#: Bins of the sketch; the first BANDS * ROWS are banded.
+BINS = 512
+#: A pair is looked up unless its sketches agree in less than the similarity minus this much:
+#: by 128 bins for the forest, by all for the rest (there 4.8 standard deviations at 0.8).
+FOREST_MARGIN, MARGIN = 0.2, 0.085
 #: Members of a band that meet as one block with another.
-BLOCK = 1024
+BLOCK = 2048
 
 
 # ------------------------------------------------------------------ sketches
@@ -61,7 +65,7 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
     key = np.zeros((len(sketches), bands), U)
     with np.errstate(over="ignore"):
         for r in range(rows):
-            key = mix(key * U(0xD6E8FEB86659FD93) + sketches[:, r::rows][:, :bands], 7 + r)
+            key = mix(key * U(0xD6E8FEB86659FD93) + sketches[:, r:bands * rows:rows], 7 + r)
         return mix(key + np.arange(bands, dtype=U), 3)
 
 
@@ -102,14 +106,14 @@ def document_sets(docs: DataFrame, width: int, bands: int, rows: int) -> DataFra
     def make():
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
             flat, bounds = _sets(part, width)
-            full = sketch(flat, bounds, bands * rows)
+            full = sketch(flat, bounds, max(BINS, bands * rows))
             digest = set_digest(flat, bounds)
             keys = band_keys(full, bands, rows).astype(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands), pa.int32()),
                                              pa.array(keys.reshape(-1)))
             return pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(digest),
-                 _binary(mix(full, 5).astype(np.uint16)), lists],
+                 _binary(mix(full, 5).astype(np.uint8)), lists],
                 ["doc_id", "n_shingles", "class_id", "sketch", "bands"])
         return one
 
@@ -171,40 +175,166 @@ def star_pairs(members: DataFrame) -> DataFrame:
     return best.select("a", F.col("best.b").alias("b"))
 
 
-def cross_pairs(members: DataFrame, sketches: DataFrame, labels: DataFrame, floor: float) -> DataFrame:
-    """``(a, b)``: all pairs of a band that lie in different components and whose sketches
-    agree in at least ``floor`` of the bins. A large band is dealt to tasks block by block."""
+def _dealt(members: DataFrame, extra: DataFrame, labels: DataFrame) -> DataFrame:
+    """The classes of bands with several components, with their columns of ``extra``, dealt to
+    tasks: block x of a band meets every block, as the lower or the upper of the two."""
     named = (members.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
              .select("band", "class_id", F.coalesce("label", "class_id").alias("label")))
     mixed = (named.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                        F.count(F.lit(1)).alias("size"))
              .where("lo <> hi").select("band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
     open_ = named.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int"))
-    # Block x meets every block, as the lower or the upper of the two.
-    dealt = (open_.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("band", F.least("block", "y").alias("lo"), F.greatest("block", "y").alias("hi"),
-                     "block", "class_id", "label")
-             .join(sketches, "class_id"))
+    ship(members.sparkSession)
+    return (open_.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("band", F.least("block", "y").alias("lo"), F.greatest("block", "y").alias("hi"),
+                    "block", "class_id", "label").join(extra, "class_id"))
 
-    def pairs(table: pa.Table) -> pa.Table:
+
+def agreement(bins: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Estimated similarity of each row of 8-bit bins with one, chance agreement taken off."""
+    same = (bins == one).view(np.uint8).sum(axis=1, dtype=np.uint16) / bins.shape[1]
+    return (same - 1 / 256) / (1 - 1 / 256)
+
+
+def _pairs(a: list[int], b: list[int]) -> pa.Table:
+    return pa.table({"a": pa.array([max(x) for x in zip(a, b)], pa.int64()),
+                     "b": pa.array([min(x) for x in zip(a, b)], pa.int64())})
+
+
+def forest_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, floor: float) -> DataFrame:
+    """``(a, b)``: a maximum spanning forest of each mixed band by sketch similarity, edges below
+    ``floor`` left out; between two blocks of a large band each class's most similar one."""
+    width = BANDS * ROWS
+    extra = classes.select("class_id", F.expr(f"substring(sketch, 1, {width})").alias("sketch"))
+
+    def edges(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        block = table["block"].to_numpy()
-        ids, label = table["class_id"].to_numpy(), table["label"].to_numpy()
-        bins = _read_binary(table["sketch"].combine_chunks() if isinstance(table["sketch"], pa.ChunkedArray)
-                            else table["sketch"], "<u2")
-        left = np.flatnonzero(block == block.min())
-        right = np.flatnonzero(block == block.max())
+        block, label = table["block"].to_numpy(), table["label"].to_numpy()
+        order = np.argsort(table["class_id"].to_numpy(), kind="stable")
+        ids, block, label = table["class_id"].to_numpy()[order], block[order], label[order]
+        bins = _read_binary(table["sketch"].combine_chunks(), "u1")[order]
         a, b = [], []
+        left, right = (np.flatnonzero(block == x) for x in (block.min(), block.max()))
+        if block.min() != block.max():
+            for i in left:
+                near = agreement(bins[right], bins[i])
+                near[label[right] == label[i]] = -1
+                j = int(near.argmax())
+                if near[j] >= floor:
+                    a.append(int(ids[i]))
+                    b.append(int(ids[right[j]]))
+            return _pairs(a, b)
+        # Prim's algorithm; classes of one component are joined at no cost.
+        n = len(ids)
+        best, who = np.full(n, -1.0), np.zeros(n, np.int64)
+        todo = np.ones(n, bool)
+        i = 0
+        for _ in range(n):
+            todo[i] = False
+            near = np.where(label == label[i], 2.0, agreement(bins, bins[i]))
+            up = near > best
+            best[up], who[up] = near[up], i
+            if not todo.any():
+                break
+            i = int(np.where(todo, best, -2.0).argmax())
+            if floor <= best[i] < 2:
+                a.append(int(ids[i]))
+                b.append(int(ids[who[i]]))
+        return _pairs(a, b)
+
+    return (_dealt(members, extra, labels).groupBy("band", "lo", "hi").applyInArrow(edges, "a long, b long")
+            .where("a <> b").distinct())
+
+
+def rest_links(members: DataFrame, classes: DataFrame, labels: DataFrame, texts_of, width: int,
+               percent: int) -> DataFrame:
+    """``(a, b)``: links between components among all pairs across components that share a band
+    and whose sketches are not far below the similarity, each pair tested once, in the first
+    band that it shares; of links that would join the same components one is enough.
+
+    Two steps, neither of which makes a row per pair: each block lists the classes that have
+    such pairs, and each class's partners as an array; then the full sets of these classes
+    meet in the block and are compared there."""
+    floor = percent / 100 - MARGIN
+    key = ["band", "lo", "hi"]
+
+    def near(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        block, label = table["block"].to_numpy(), table["label"].to_numpy()
+        ids, band = table["class_id"].to_numpy(), table["band"][0].as_py()
+        bins = _read_binary(table["sketch"].combine_chunks(), "u1")
+        bands = _lists(table["bands"].combine_chunks())
+        mine = (bands == band).argmax(axis=1)
+        left, right = (np.flatnonzero(block == x) for x in (block.min(), block.max()))
+        met, rows = set(), []
         for i in left:
-            near = right[(label[right] != label[i]) & ((bins[right] == bins[i]).mean(axis=1) >= floor)]
-            a.append(np.maximum(ids[i], ids[near]))
-            b.append(np.minimum(ids[i], ids[near]))
-        a, b = np.concatenate(a), np.concatenate(b)
-        return pa.table({"a": a, "b": b})
-
-    ship(dealt.sparkSession)
-    met = dealt.groupBy("band", "lo", "hi").applyInArrow(pairs, "a long, b long")
-    return met.where("a <> b").distinct()
+            some = right[label[right] != label[i]]
+            some = some[some > i] if block.min() == block.max() else some
+            like = agreement(bins[some], bins[i])
+            some = some[like >= floor][np.argsort(-like[like >= floor], kind="stable")]
+            some = some[(bands[some] == bands[i]).argmax(axis=1) == mine[i]]
+            if len(some):
+                met.update([i, *some.tolist()])
+                rows.append((int(i), some))
+        met = np.array(sorted(met), np.int64)
+        n, m = len(rows), len(met)
+        at = np.array([r[0] for r in rows], np.int64)
+        lists = [np.concatenate([[0], np.cumsum([len(r[1]) for r in rows])]).astype(np.int32)]
+        flat = np.concatenate([r[1] for r in rows]) if rows else met
+        none = pa.nulls(m, pa.list_(pa.int64()))
+        return pa.table({
+            **{k: pa.array([table[k][0].as_py()] * (n + m), table[k].type) for k in key},
+            "class_id": pa.array(np.concatenate([ids[at], ids[met]]), pa.int64()),
+            "label": pa.array(np.concatenate([label[at], label[met]]), pa.int64()),
+            "others": pa.concat_arrays([pa.ListArray.from_arrays(pa.array(lists[0]), pa.array(ids[flat], pa.int64()))
+                                        if rows else pa.nulls(0, pa.list_(pa.int64())), none])})
+
+    def confirm(_, pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        sets = {}
+        for batch in texts.combine_chunks().to_batches():
+            for part in slices(batch, "text"):
+                flat, bounds = _sets(part, width)
+                for k, c in enumerate(part.column("class_id").to_pylist()):
+                    sets[c] = flat[bounds[k]:bounds[k + 1]]
+        label = dict(zip(texts["class_id"].to_pylist(), texts["label"].to_pylist()))
+
+        def find(x: int) -> int:
+            while up.setdefault(x, x) != x:
+                x = up[x]
+            return x
+
+        up: dict[int, int] = {}
+        a, b = [], []
+        for one, others in zip(pairs["class_id"].to_pylist(), pairs["others"].to_pylist()):
+            for other in others:
+                p, q = find(label[one]), find(label[other])
+                if p == q:
+                    continue
+                x, y = sets[one], sets[other]
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    up[p] = q
+                    a.append(one)
+                    b.append(other)
+        return _pairs(a, b)
+
+    schema = "band long, lo int, hi int, class_id long, label long, others array<long>"
+    found = cut(_dealt(members, classes.select("class_id", "sketch", "bands"), labels)
+                .groupBy(*key).applyInArrow(near, schema))
+    met = found.where("others IS NULL").drop("others")
+    if met.isEmpty():
+        return met.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")).limit(0)
+    texts = texts_of(met.select("class_id").distinct())
+    texts = texts.groupBy("class_id").agg(F.first("text").alias("text"))
+    pairs = found.where("others IS NOT NULL").select(*key, "class_id", "others").toDF(*key, "class_id", "others")
+    sets = met.join(texts, "class_id").select(*key, "class_id", "label", "text").toDF(*key, "class_id", "label", "text")
+    return pairs.groupBy(*key).cogroup(sets.groupBy(*key)).applyInArrow(confirm, "a long, b long")
+
+
+def _lists(column: pa.Array) -> np.ndarray:
+    """A matrix from lists of equal length."""
+    off = column.offsets.to_numpy()
+    return column.values.to_numpy()[off[0]:off[-1]].reshape(len(column), -1)
 
 
 # ------------------------------------------------------------------ the operator
@@ -225,24 +355,33 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
     # Classes of equal sets; a class's sketch and bands are those of any of its documents.
     classes = cut(usable.groupBy("class_id").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"),
                                                  F.first("bands").alias("bands")))
-    members = classes.select("class_id", F.explode("bands").alias("band"))
+    many = classes.select("class_id", F.explode("bands").alias("band"))
+    # Only bands of several classes.
+    members = cut(many.join(many.groupBy("band").count().where("count > 1"), "band", "left_semi"))
     real = narrow.where("doc_id IS NOT NULL")
 
+    def texts_of(some: DataFrame) -> DataFrame:
+        return class_texts(real, classes.join(some, "class_id", "left_semi"), width)
+
     def links(pairs: DataFrame) -> DataFrame:
+        if pairs.isEmpty():
+            return pairs
         ends = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-        texts = class_texts(real, classes.join(ends, "class_id", "left_semi"), width)
-        return cut(verified(pairs, texts, width, percent))
-
-    first = links(cut(star_pairs(members)))
-    labels = components(first)
-    second = cut(cross_pairs(members, classes.select("class_id", "sketch"), labels, percent / 100 - MARGIN))
-    labels = components(first.unionByName(links(second)))
+        return cut(verified(pairs, texts_of(ends), width, percent))
+
+    pairs = cut(star_pairs(members))
+    found = links(pairs)
+    labels = components(found)
+    more = cut(forest_pairs(members, classes, labels, percent / 100 - FOREST_MARGIN).join(pairs, ["a", "b"], "left_anti"))
+    found = found.unionByName(links(more))
+    labels = components(found)
+    labels = components(found.unionByName(rest_links(members, classes, labels, texts_of, width, percent)))
     named = (classes.select("class_id", "rep")
              .join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
              .withColumn("label", F.coalesce("label", "class_id")))
     smallest = named.groupBy("label").agg(F.min("rep").alias("smallest"))
-    found = named.join(smallest, "label").select("class_id", "smallest")
-    return (every.select("doc_id", "n_shingles", "class_id").join(found, "class_id", "left")
+    answer = named.join(smallest, "label").select("class_id", "smallest")
+    return (every.select("doc_id", "n_shingles", "class_id").join(answer, "class_id", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("smallest"))
                            .otherwise(F.col("doc_id"))).alias("component_id"))

@@ -99,6 +99,8 @@ def test_sketch_fills_every_bin_and_estimates(shingles_of):
 
 def test_components_of_a_long_path_and_a_hub(spark):
     links = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(200, 200), (7, 3)]
-    got = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect())
-    assert got == {**{k: 0 for k in range(61)}, **{k: 100 for k in range(100, 160)}}
+    df = spark.createDataFrame(links, "a long, b long")
+    for per_task in (10 ** 6, 10):                      # one contraction, many that are joined
+        got = dict(components.components(df, per_task).collect())
+        assert got == {**{k: 0 for k in range(61)}, **{k: 100 for k in range(100, 160)}}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
