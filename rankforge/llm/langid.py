@@ -84,9 +84,6 @@ class Model:
     table: np.ndarray
     false_rate: np.ndarray
 
-    def slots(self, codes: np.ndarray) -> list[np.ndarray]:
-        return _slots(codes)
-
     def shares(self, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """(texts, languages): the share of a text's n-grams that are in each language's
         filter, corrected for false positives."""

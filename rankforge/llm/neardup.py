@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .frames import cut, hashed, key_filter, map_text, passes, ship, slices, text_buffer
-from .words import U, distinct, document_of, mix, shingles, words
+from .words import U, distinct, mix, shingles, words
 
 #: 32 bands of 4 bins: a pair of similarity 0.8 shares no band with probability 5e-8.
 BANDS, ROWS = 32, 4

@@ -18,6 +18,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _ODD = U(0x9E3779B97F4A7C15)
 _MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
+#: Bytes of a word beyond which it is digested on its own; bytes worked on at a time.
 LONG = 1024
 WINDOW = 1 << 21
 
