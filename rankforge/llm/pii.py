@@ -40,6 +40,10 @@ _PATTERNS = {
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS.items()))
 _EACH = {k: re.compile(f"(?P<{k}>{p})") for k, p in _PATTERNS.items()}
+#: Country codes of two digits; 1 and 7 have one, all others three.
+_TWO_DIGIT_CODES = frozenset(map(int, (
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 "
+    "91 92 93 94 95 98").split()))
 _HINT = re.compile(r"[0-9@=:]|A[KS]IA")
 
 
@@ -206,23 +210,43 @@ def _ssn(f: Feistel, text: str, back: bool) -> str | None:
     return f"{a:03d}-{b:02d}-{c:04d}"
 
 
+def country_code(digits: list[int]) -> int:
+    """How many of an international number's digits are its E.164 country code."""
+    if digits[0] in (1, 7):
+        return 1
+    return 2 if digits[0] * 10 + digits[1] in _TWO_DIGIT_CODES else 3
+
+
 def _phone(f: Feistel, text: str, back: bool) -> str | None:
     digits = _figures(text)
-    keep = 0
-    if text.startswith("+"):
-        keep = 1 if digits[0] in (1, 7) else 2
+    # A trunk prefix written as "(0)" is no part of the number and stays.
+    trunk = text.find("(0)")
+    trunk = len(_figures(text[:trunk])) if trunk >= 0 and text.startswith("+") else None
+    if trunk is not None:
+        del digits[trunk]
+    keep = country_code(digits) if text.startswith("+") else 0
     if not 8 <= len(digits) <= 15 or (not keep and len(digits) != 10):
         return None
     north = not keep or digits[0] == 1
     rest = digits[keep:]
+    if north and len(rest) != 10:
+        return None
+    # Subscriber numbers whose first digit a number plan has, and all others among themselves.
+    least = 2 if north else 1
+    common = rest[0] >= least
+    single = re.search(r"\([1-9]\)", text)
+    single = len(_figures(text[:single.start()])) - keep if single else None
 
     def fits(d: list[int]) -> bool:
-        return len(d) == 10 and d[0] >= 2 if north else d[0] > 0
+        # A digit alone in brackets does not become a trunk prefix.
+        return (d[0] >= least) == common and (single is None or single < 0 or d[single] > 0)
 
-    if not fits(rest):
-        return None
     code = "1" if north else "".join(map(str, digits[:keep]))
-    return _pour(text, digits[:keep] + f.walk("phone" + code, rest, [10] * len(rest), fits, back))
+    radix = [10 if common else least] + [10] * (len(rest) - 1)
+    new = digits[:keep] + f.walk("phone" + code, rest, radix, fits, back)
+    if trunk is not None:
+        new.insert(trunk, 0)
+    return _pour(text, new)
 
 
 def _card(f: Feistel, text: str, back: bool) -> str | None:

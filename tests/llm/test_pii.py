@@ -100,3 +100,44 @@ def test_frame_edges(spark):
     back = P.pseudonymise(found.drop("values", "kinds"), KEY, count_col=None, back=True)
     assert sorted((r.text or "" for r in back.collect())) == sorted(t or "" for _, t, *_ in rows)
     assert P.pseudonymise(df.limit(0), KEY).count() == 0
+
+
+@pytest.mark.parametrize("phone", [
+    "+1 (017) 555-7713", "+1 (132) 555-1352", "(088) 555-2485", "120-555-2671", "+1 0175557713", "+420 601 123 456",
+    "+420 012 345 678", "+380 44 123 4567", "+370 5 212 3456", "+39 06 6982 1234", "+44 (0)20 7946 0958", "+49 (0) 30 123456",
+    "+353 1 234 5678", "+7 012 345 67 89", "+49 (3) 123 4567"])
+def test_every_first_digit_of_a_phone_is_replaced_and_restored(phone):
+    text = f"call {phone} today"
+    new, kinds = P.replace(text, F1)
+    assert len(kinds) == 1 and phone not in new and len(new) == len(text)
+    assert re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", text)
+    assert P.replace(new, F1, back=True)[0] == text
+
+
+def test_country_code_and_trunk_prefix_stay():
+    code = lambda s: [int(c) for c in s if c.isdigit()]
+    for number, n in (("+14155552671", 1), ("+74951234567", 1), ("+442079460958", 2), ("+420601123456", 3), ("+380441234567", 3)):
+        assert P.country_code(code(number)) == n
+        assert P.replace(number, F1)[0][:n + 1] == number[:n + 1]
+    plain, trunk = P.replace("+44 20 7946 0958", F1)[0], P.replace("+44 (0)20 7946 0958", F1)[0]
+    assert trunk == plain.replace("+44 ", "+44 (0)")
+
+
+def test_phones_of_one_class_are_permuted_one_to_one():
+    low = [f"+1 (0{k:02d}) 555-7713" for k in range(100)] + [f"+1 (1{k:02d}) 555-7713" for k in range(100)]
+    new = [P.replace(p, F1)[0] for p in low]
+    assert len(set(new)) == len(low) and all(p[4] in "01" for p in new)
+
+
+def test_no_phone_of_the_test_tables_survives():
+    pq = pytest.importorskip("pyarrow.parquet")
+    shape = re.compile(r"(?<![\w+])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?!\w)"
+                       r"|\+[0-9]{1,3}[ .()-]{0,2}[0-9](?:[ .()-]{0,2}[0-9]){6,13}(?!\w)")
+    met = 0
+    for text in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist():
+        phones = [m[0] for m in shape.finditer(text or "")]
+        new = P.replace(text, F1)[0] if phones else ""
+        met += len(phones)
+        assert not [p for p in phones if p in new]
+        assert not phones or P.replace(new, F1, back=True)[0] == text
+    assert met > 0
