@@ -9,6 +9,7 @@ depend on that document alone.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -34,7 +35,9 @@ class Encoder:
     The pre-tokenizer always cuts before a space that a non-space follows, so ids of the runs
     between such places can be put together. A slice of texts is cut there, each distinct run
     is encoded once, all of them in one string, and the ids are gathered back. (A run at the
-    start of a text has no leading space and is encoded on its own.)
+    start of a text has no leading space and is encoded on its own.) The vocabulary's added
+    tokens are taken from the text first, as its tokenizer does; the parts between them are
+    encoded like texts.
     """
 
     def __init__(self, vocabulary: str):
@@ -43,6 +46,13 @@ class Encoder:
 
         tok = Tokenizer.from_file(vocabulary)
         added = {t.content for t in tok.get_added_tokens_decoder().values()}
+        # The longest first, as where several begin at one place the tokenizer takes that.
+        self._added = {t.content.encode(): i for i, t in tok.get_added_tokens_decoder().items()}
+        for t in tok.get_added_tokens_decoder().values():
+            if t.lstrip or t.rstrip or t.single_word:
+                raise ValueError(f"the added token {t.content!r} takes more than its own text")
+        names = sorted(self._added, key=len, reverse=True)
+        self._find = re.compile(b"|".join(map(re.escape, names))) if names else None
         byte = _byte_names()
         ranks = {bytes(byte[c] for c in name): i
                  for name, i in tok.get_vocab(with_added_tokens=False).items() if name not in added}
@@ -65,6 +75,29 @@ class Encoder:
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds): the ids of text ``d`` are ``ids[bounds[d]:bounds[d + 1]]``."""
+        data = raw.tobytes()
+        if self._find is None or not self._find.search(data):
+            return self._ordinary(raw, offsets)
+        # The parts between added tokens, each with the added token that follows it or -1.
+        parts, after, first = [], [], []
+        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+            first.append(len(parts))
+            for m in self._find.finditer(data, a, b):
+                parts.append(data[a:m.start()])
+                after.append(self._added[m[0]])
+                a = m.end()
+            parts.append(data[a:b])
+            after.append(-1)
+        first.append(len(parts))
+        after = np.array(after, np.int64)
+        ids, bounds = self._ordinary(np.frombuffer(b"".join(parts), np.uint8),
+                                     np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64))
+        some = after >= 0
+        ids = np.insert(ids, bounds[1:][some], after[some].astype(ids.dtype))
+        return ids, (bounds + np.concatenate([[0], np.cumsum(some)]))[first]
+
+    def _ordinary(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of texts without added tokens."""
         cut = np.zeros(len(raw) + 1, bool)
         cut[:-2] = (raw[:-1] == 0x20) & self._solid[raw[1:]]
         first = np.unique(offsets[:-1][np.diff(offsets) > 0])

@@ -31,6 +31,28 @@ def test_encoder_equals_the_tokenizer(tokenizer):
             assert ids[bounds[k]:bounds[k + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids, repr(t)
 
 
+def test_added_tokens_are_taken_from_the_text(tokenizer):
+    rng = random.Random(3)
+    bits = [" ", "  ", "\n", "a", "é", "don't", " word", "<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", "<|", "<"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 10))) for _ in range(2000)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>", "x <|endof", "text|> y", None, ""]
+    enc = packing.Encoder(registry.vocabulary())
+    for _ in range(2):
+        ids, bounds = enc.encode(*text_buffer(pa.array(texts, pa.string())))
+        for k, t in enumerate(texts):
+            assert ids[bounds[k]:bounds[k + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids, repr(t)
+    ids, _ = enc.encode(*text_buffer(pa.array(["a <|endoftext|> b"])))
+    assert ids.tolist() == [64, 220, 50256, 275]
+
+
+def test_packed_documents_hold_added_tokens(spark, tokenizer):
+    text = "one <|endoftext|> two " * 400
+    found = packing.pack(spark.createDataFrame([(1, text, 0, "x")], SCHEMA), registry.vocabulary()).orderBy("start").collect()
+    want = tokenizer.encode(text, add_special_tokens=False).ids + [0]
+    assert sum((r.ids for r in found), []) == want and want.count(50256) == 400
+    assert {r.doc_tokens for r in found} == {len(want)}
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 1023, 1024, 1025, 5000])
 def test_piece_lengths(n):
     got = packing.piece_lengths(n)
