@@ -101,7 +101,9 @@ def _read_binary(column: pa.Array, dtype: str) -> np.ndarray:
 
 def document_sets(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     """``doc_id, n_shingles, class_id, sketch, bands`` of every row: ``class_id`` digests the
-    set, ``sketch`` keeps 16 bits of each bin, ``bands`` holds the band hashes."""
+    set, ``sketch`` keeps 16 bits of each bin, ``bands`` holds the band hashes. A column ``row``
+    is passed through."""
+    passed = [c for c in ("row",) if c in docs.columns]
 
     def make():
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -113,12 +115,12 @@ def document_sets(docs: DataFrame, width: int, bands: int, rows: int) -> DataFra
                                              pa.array(keys.reshape(-1)))
             return pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(digest),
-                 _binary(mix(full, 5).astype(np.uint8)), lists],
-                ["doc_id", "n_shingles", "class_id", "sketch", "bands"])
+                 _binary(mix(full, 5).astype(np.uint8)), lists, *[part.column(c) for c in passed]],
+                ["doc_id", "n_shingles", "class_id", "sketch", "bands", *passed])
         return one
 
     return map_text(docs, "text", make, "doc_id long, n_shingles long, class_id long, "
-                                        "sketch binary, bands array<long>")
+                                        "sketch binary, bands array<long>" + "".join(f", {c} long" for c in passed))
 
 
 # ------------------------------------------------------------------ verification
@@ -350,6 +352,17 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
     table gives no rows; texts of any length are read whole.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return (judged(narrow, width, percent, bands, rows)
+            .select("doc_id", "n_shingles",
+                    F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("smallest"))
+                           .otherwise(F.col("doc_id"))).alias("component_id"))
+            .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
+
+
+def judged(narrow: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """``doc_id, n_shingles, class_id, label, smallest`` (and ``row``) of every row of ``doc_id,
+    text``: ``label`` names the component, ``smallest`` is the smallest id in it. Two components
+    may have the same smallest id where an id repeats."""
     every = cut(document_sets(narrow, width, bands, rows))
     usable = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # Classes of equal sets; a class's sketch and bands are those of any of its documents.
@@ -358,7 +371,7 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
     many = classes.select("class_id", F.explode("bands").alias("band"))
     # Only bands of several classes.
     members = cut(many.join(many.groupBy("band").count().where("count > 1"), "band", "left_semi"))
-    real = narrow.where("doc_id IS NOT NULL")
+    real = narrow.where("doc_id IS NOT NULL").select("doc_id", "text")
 
     def texts_of(some: DataFrame) -> DataFrame:
         return class_texts(real, classes.join(some, "class_id", "left_semi"), width)
@@ -380,19 +393,22 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
              .join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
              .withColumn("label", F.coalesce("label", "class_id")))
     smallest = named.groupBy("label").agg(F.min("rep").alias("smallest"))
-    answer = named.join(smallest, "label").select("class_id", "smallest")
-    return (every.select("doc_id", "n_shingles", "class_id").join(answer, "class_id", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("smallest"))
-                           .otherwise(F.col("doc_id"))).alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
-
-
-def one_per_group(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each group: the row of its smallest id, the smallest such row
-    where an id repeats. Rows with a null id all stay."""
-    found = groups(docs, **options)
-    keep = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_keep")).distinct()
-    id_col = options.get("id_col", "doc_id")
-    named = docs.where(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col("_keep"), "left_semi")
-    return named.unionByName(docs.where(F.col(id_col).isNull()))
+    answer = named.join(smallest, "label").select("class_id", "label", "smallest")
+    return every.drop("sketch", "bands").join(answer, "class_id", "left")
+
+
+def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                  percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``docs`` with one row of each group: the row of its smallest id, the smallest such row by
+    a hash of its columns where an id repeats. Rows without an id and rows without words are in
+    no group and all stay."""
+    hashable = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    keyed = docs.withColumn("_key_id", F.col(id_col).cast("long")).withColumn("_key_row", F.xxhash64(*hashable))
+    text = F.col(text_col).cast("string")
+    grouped = F.col("_key_id").isNotNull() & F.coalesce(text, F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    narrow = keyed.where(grouped).select(F.col("_key_id").alias("doc_id"), text.alias("text"), F.col("_key_row").alias("row"))
+    keep = (judged(narrow, width, percent, bands, rows).where("doc_id = smallest")
+            .groupBy("label", F.col("doc_id").alias("_key_id")).agg(F.min("row").alias("_key_row")).select("_key_id", "_key_row"))
+    # Equal rows meet before the join, already within a task, so a frequent id is no large group.
+    one = keyed.where(grouped).dropDuplicates(["_key_id", "_key_row"]).join(keep, ["_key_id", "_key_row"], "left_semi")
+    return one.unionByName(keyed.where(~grouped)).select(*docs.columns)

@@ -79,6 +79,24 @@ def test_one_per_group_keeps_clean_rows_and_columns(spark):
     assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted([rows[1], rows[2], rows[3]], key=str)
 
 
+def test_one_per_group_where_ids_repeat(spark):
+    base = [f"w{k}" for k in range(60)]
+    text, near, other = " ".join(base), " ".join(["new", *base[1:]]), "quite other words stand in this one"
+    copies = [(7, text, 0, "x")] * 40                       # one id, equal rows
+    rows = [*copies, (7, other, 1, "x"), (9, other, 2, "x"),  # two groups of one smallest id
+            (5, "one more text of its own here", 3, "x"), (8, near, 4, "x"), (8, "and a text that only it has", 5, "x"),
+            (6, "a b c d e f g", 6, "p"), (6, "a b c d e f g", 7, "q"),  # one id, other columns differ
+            (3, None, 8, "x"), (3, "", 9, "x"), (3, " ", 9, "x"), (None, text, 9, "x"), (None, text, 9, "x")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    kept = [tuple(r) for r in N.one_per_group(df).collect()]
+    linked = sorted(r for r in kept if r[0] not in (None, 3))
+    assert [r for r in linked if r[0] != 6] == sorted([copies[0], rows[40], rows[42], rows[44]])
+    assert len([r for r in linked if r[0] == 6]) == 1
+    assert len([r for r in kept if r[0] is None]) == 2 and len([r for r in kept if r[0] == 3]) == 3
+    again = [tuple(r) for r in N.one_per_group(df.repartition(7)).collect()]
+    assert sorted(again, key=str) == sorted(kept, key=str)
+
+
 def test_sketch_fills_every_bin_and_estimates(shingles_of):
     rng = np.random.default_rng(1)
     values = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (1, 2, 5, 60, 5000)]
