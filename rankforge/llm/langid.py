@@ -24,8 +24,10 @@ UNKNOWN = "und"
 #: Slots of the table (8 bytes each and 64 languages) and hash functions.
 SLOT_BITS, HASHES = 20, 3
 #: An n-gram belongs to a language if it occurs there this often at least, and at this share
-#: of the rate that it has in the language where it is most frequent.
+#: of the rate that it has in the language where it is most frequent. A language with little
+#: text has a lower floor: 1, and one more for every so many n-grams of it.
 MIN_COUNT, MIN_SHARE = 3, 0.02
+FLOOR_STEP = 20_000
 SLICE_BYTES = 4 << 20
 
 _TABLES: list[np.ndarray] = []
@@ -121,9 +123,10 @@ def train(docs: DataFrame) -> Model:
         return Model([], np.zeros((0, 1 << SLOT_BITS), U), np.zeros(0))
     bit = F.create_map(*[F.lit(x) for k, (_, lang) in enumerate(totals) for x in (lang, k)])
     size = F.create_map(*[F.lit(x) for n, lang in totals for x in (lang, float(n))])
+    floor = F.create_map(*[F.lit(x) for n, lang in totals for x in (lang, min(MIN_COUNT, 1 + n // FLOOR_STEP))])
     rates = counts.withColumns({"bit": F.element_at(bit, F.col("lang")), "rate": F.col("n") / F.element_at(size, F.col("lang"))})
     kept = (rates.withColumn("top", F.max("rate").over(Window.partitionBy("code")))
-            .where((F.col("n") >= MIN_COUNT) & (F.col("rate") >= MIN_SHARE * F.col("top"))).select("bit", "code"))
+            .where((F.col("n") >= F.element_at(floor, F.col("lang"))) & (F.col("rate") >= MIN_SHARE * F.col("top"))).select("bit", "code"))
 
     def spread(batches):
         for b in batches:

@@ -75,6 +75,20 @@ def test_many_languages_use_more_planes(spark):
     assert all(r.lang == r.lang_pred for r in L.predict(docs, model).collect())
 
 
+def test_a_language_of_one_short_document_is_found(spark):
+    text = "Żółta łódź płynie cicho przez spokojne jezioro"
+    rows = [("the quick brown fox jumps over the lazy dog " * 3000, "en")] + [(text, "pl")]
+    model = L.train(spark.createDataFrame(rows, "text string, lang string"))
+    found = L.predict(spark.createDataFrame([(1, text, "pl", "", 0), (2, "płynie łódź", "pl", "", 0)], SCHEMA), model).collect()
+    assert all(r.lang_pred == "pl" and r.score > 0.9 for r in found)
+
+
+def test_the_floor_stays_where_a_language_has_much_text(spark):
+    rows = [("the quick brown fox jumps over the lazy dog " * 3000 + " zzz", "en")]
+    model = L.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.shares(*L.trigrams(["zzz"]))[0][0] < 0.01
+
+
 def test_corrected_share_takes_chance_hits_off():
     full = np.full((1, 1 << L.SLOT_BITS), np.uint64(1))
     full[0, ::2] |= np.uint64(2)
