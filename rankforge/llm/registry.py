@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import decontam, htmltext, knn, langid, maxent, neardup, packing, pii, sharding, warc
+from . import centroids, decontam, filter_audit, htmltext, knn, langid, maxent, mixing, neardup, packing, pii, sharding, warc
 from .frames import in_sample, load
 
 SHARDS = 24
@@ -73,6 +73,18 @@ def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score_documents(_table(spark, sf_dir, "documents"), in_sample("doc_id", 10))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_voronoi_knn": op1_voronoi_knn,
     "op2_warc": op2_warc,
@@ -84,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_html_text": op9_html_text,
     "op10_maxent": op10_maxent,
+    "op11_centroids": op11_centroids,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_mixing": op13_mixing,
 }
 
 _OP1 = """
@@ -151,10 +166,61 @@ c AS (SELECT page_id, url, array_to_string(list_filter(x, lambda s: s <> ''), ch
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM c
 """
 
+
+
+def _op11(dims: int = 64, k: int = 16, rounds: int = 3) -> str:
+    """Plain rounds: all distances, the nearest centroid, floor of the mean; spelled out."""
+    steps = [f"""v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+      WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, v FROM v QUALIFY c < {k})"""]
+    near = """SELECT vec_id, any_value(x.v) AS v, min((list_dot_product(x.v, x.v) - 2 * list_dot_product(x.v, y.v)
+      + list_dot_product(y.v, y.v))::BIGINT * {k} + c) AS m FROM v x, c{r} y GROUP BY vec_id"""
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS ({near.format(k=k, r=r)})")
+        if r < rounds:
+            steps.append(f"""p{r} AS (SELECT c, i, floor(sum(e) / count(*)) AS e FROM (
+      SELECT m % {k} AS c, unnest(range({dims})) AS i, unnest(v) AS e FROM a{r}) GROUP BY c, i),
+    c{r + 1} AS (SELECT o.c, coalesce(list(p.e ORDER BY p.i) FILTER (p.i IS NOT NULL), any_value(o.v)) AS v
+      FROM c{r} o LEFT JOIN p{r} p ON p.c = o.c GROUP BY o.c)""")
+    return f"""WITH {', '.join(steps)}
+    SELECT vec_id, (m % {k})::INT AS cluster, m // {k} AS distance,
+      (sum(m // {k}) OVER (PARTITION BY m % {k}))::BIGINT AS cluster_inertia, (sum(m // {k}) OVER ())::BIGINT AS inertia,
+      sha256(array_to_string(list_transform(c.v, lambda e: e::BIGINT), ',')) AS centroid_sha256
+    FROM a{rounds} JOIN c{rounds} c ON c.c = m % {k}"""
+
+
+# The definition, order by order: rows by (part, what they fail, labels), each met by 600 steps.
+_OP12 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
+g AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END) ||
+    (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END) ||
+    (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END) ||
+    (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS fails FROM w LEFT JOIN g USING (doc_id)),
+m AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+p(o) AS (SELECT '' UNION ALL SELECT o || x FROM p, unnest(['A', 'B', 'C', 'D', 'E']) t(x) WHERE NOT contains(o, x)),
+s AS (SELECT o, i AS step, o[i] AS x, o[:i - 1] AS before FROM p, range(1, 6) r(i) WHERE length(o) = 5),
+h AS (SELECT part, o, step, x, n, good, toxic, contains(fails, x) AS bad, fails = x AS lone,
+    length(translate(fails, before, '')) < length(fails) AS gone FROM m, s),
+c AS (SELECT part, o, step, x, sum(n) FILTER (NOT gone AND NOT bad) AS kept, sum(n) FILTER (bad AND NOT gone) AS removed,
+    sum(n) FILTER (bad AND gone) AS redundant, sum(n) FILTER (lone) AS unique_fails,
+    sum(n) FILTER (bad AND NOT gone AND good = 1) AS good_lost, sum(n) FILTER (bad AND NOT gone AND toxic = 1) AS toxic_lost
+  FROM h GROUP BY part, o, step, x)
+SELECT part, o AS filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  (sum(coalesce(removed, 0)) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM c
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_voronoi_knn": _OP1,
     "op2_warc": _OP2,
     "op4_decontamination": _OP4,
     "op6_neardup": _OP6,
     "op9_html_text": _OP9,
+    "op11_centroids": _op11(),
+    "op12_filter_audit": _OP12,
 }

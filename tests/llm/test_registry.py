@@ -24,6 +24,10 @@ COLUMNS = {
     "op8_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op9_html_text": ["page_id", "url", "text", "n_chars"],
     "op10_maxent": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    "op11_centroids": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
+    "op12_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost",
+                          "shapley"],
+    "op13_mixing": ["doc_id", "size", "source_size", "target", "taken"],
 }
 
 
