@@ -93,6 +93,12 @@ FROM loads GROUP BY ldts"""
 STREAM_BRONZE_TABLE = f"""WITH {LOADS}
 SELECT ldts, count(DISTINCT (user_id % 5, event_id // 100)) AS documents,
   'Landed encounter documents as text, with load time and source.' AS comment FROM loads GROUP BY ldts"""
+STREAM_TABLE_COMMENTS = f"""{LOAD_CTES}
+SELECT 'bronze' AS layer, 'Landed encounter documents as text, with load time and source.' AS comment,
+  count(DISTINCT (ldts, user_id % 5, event_id // 100)) AS rows FROM loads
+UNION ALL SELECT 'silver_clean', 'Parsed and cleaned rankings that pass the silver rules.', count(*) FROM silver_c
+UNION ALL SELECT 'silver', 'Newest ranking of each encounter, player, class and time.', count(*) FROM silver
+UNION ALL SELECT 'gold', 'Rankings for analysis, by name.', count(*) FROM gold"""
 STREAM_SILVER = f"{LOAD_CTES} SELECT * FROM silver_c"
 STREAM_LATEST_ENCOUNTERS = f"{LOAD_CTES} SELECT * FROM silver"
 STREAM_GOLD_ENCOUNTERS = f"{LOAD_CTES} SELECT * FROM gold"

@@ -28,8 +28,9 @@ from .sources import fixtures
 from .sources.catalog import ensure_schemas, publish_view, read_table, save_table, use_schema
 from .sources.files import (attach_metadata, preview_sql, raw_preview as _raw_preview, read_landing,
                             stamp_from_file_name, write_landing)
-from .streaming.flows import append_to_table, bronze_stream, read_table_stream, upsert_stream
-from .streaming.snapshot import SnapshotTable
+from .streaming.flows import BATCH, append_checked, append_to_table, bronze_stream, ledger_totals
+from .streaming.tables import read_rows, read_table_stream
+from .streaming.upsert import KeyedTable, upsert_stream
 
 SOURCE = "rankforge"
 
@@ -247,41 +248,48 @@ def expectation_report_guilds(spark, sf_dir):
 LOAD_DAYS = (3, 1, 2)  # arrival order: the newest pull lands first
 
 
-def _versioned_encounter_flow(spark, sf_dir):
+def _clean_rows(bronze: DataFrame) -> DataFrame:
+    return enc.clean(enc.define(enc.unpack(bronze)))
+
+
+# Comments of the streamed tables.
+COMMENTS = {
+    "bronze": "Landed encounter documents as text, with load time and source.",
+    "silver_clean": "Parsed and cleaned rankings that pass the silver rules.",
+    "silver": "Newest ranking of each encounter, player, class and time.",
+    "gold": "Rankings for analysis, by name.",
+}
+
+
+def _versioned_encounter_flow(spark, sf_dir, days=LOAD_DAYS):
     """Three pulls of the whole table land one after another; after each, the chained
-    stream hops run to completion in order (availableNow): landing -> bronze table ->
-    silver-clean table (parse, explode, clean, rules) -> silver upsert target. Silver is
-    bucketed by ranking day, so a pull of recent rankings rewrites only recent days."""
+    stream hops run to completion in order (availableNow), each reading the table of the one
+    before by its name: landing -> bronze -> silver-clean (parse, explode, clean, rules with
+    their counts) -> silver (upsert) and gold. Silver and gold are bucketed by ranking day, so a
+    pull of recent rankings replaces recent days only."""
     events = _t(spark, sf_dir, "events")
     root = shared_path(spark, "stream", "encounters")
-    landing, bronze_path, clean_path = f"{root}/landing", f"{root}/bronze", f"{root}/silver_clean"
-    target = SnapshotTable(spark, f"{root}/silver", ["encounter_id", "player_name", "class", "ranked_date"],
-                           "ldts", enc.TIE_BREAK, bucket=F.date_format("ranked_date", "yyyyMMdd"))
-    gold = SnapshotTable(spark, f"{root}/gold", ["encounter_name", "player_name", "class", "ranked_date"])
-    name = f"encounters_{root.rsplit('-', 1)[-1]}"
-    metrics = []
-    for day in LOAD_DAYS:
+    landing, suffix = f"{root}/landing", f"encounters_{root.rsplit('-', 1)[-1]}"
+    name = {layer: f"{layer}_{suffix}" for layer in (*COMMENTS, "ledger")}
+    target = KeyedTable(name["silver"], schemas.ENCOUNTER_KEYS, "ldts", enc.TIE_BREAK, F.date_format("ranked_date", "yyyyMMdd"),
+                        comment=COMMENTS["silver"], path=f"{root}/silver")
+    gold = KeyedTable(name["gold"], ["encounter_name", "player_name", "class", "ranked_date"],
+                      comment=COMMENTS["gold"], path=f"{root}/gold")
+    for day in days:
         shifted = events.withColumn("value", F.col("value") + F.lit(float(3 - day)))
         _land_encounters(spark, sf_dir, shifted, dt.datetime(2026, 1, day), landing)
-        landed = bronze_stream(spark, landing, "encounters", SOURCE, stamp_from_file_name())
-        append_to_table(landed, bronze_path, f"{root}/_chk/bronze", f"bronze_{name}",
-                        "Landed encounter documents as text, with load time and source.")
-        bronze = read_table_stream(spark, bronze_path, landed.schema)
-        clean = enc.silver_clean(bronze, observation="silver_encounter_rules")
-        metrics.append(append_to_table(clean, clean_path, f"{root}/_chk/silver_clean"))
-        cleaned = read_table_stream(spark, clean_path, clean.schema)
-        upsert_stream(cleaned, target, f"{root}/_chk/silver", derived=(gold, enc.gold))
-    return {"root": root, "bronze": bronze_path, "silver_clean": clean_path, "silver": target, "gold": gold,
-            "bronze_table": f"bronze_{name}", "metrics": metrics}
-
-
-def stream_encounter_tables(spark, sf_dir):
-    flow = _versioned_encounter_flow(spark, sf_dir)
-    return spark.read.parquet(flow["bronze"]), spark.read.parquet(flow["silver_clean"]), flow["silver"].read()
+        append_to_table(bronze_stream(spark, landing, "encounters", SOURCE, stamp_from_file_name()), name["bronze"],
+                        f"{root}/_chk/bronze", COMMENTS["bronze"], f"{root}/bronze")
+        append_checked(_clean_rows(read_table_stream(spark, name["bronze"])), SILVER_ENCOUNTER_RULES, name["silver_clean"],
+                       name["ledger"], f"silver_clean day {day}", f"{root}/_chk/silver_clean", COMMENTS["silver_clean"],
+                       f"{root}/silver_clean", f"{root}/ledger")
+        upsert_stream(read_table_stream(spark, name["silver_clean"]).drop(BATCH), target, f"{root}/_chk/silver",
+                      derived=(gold, enc.gold))
+    return {"root": root, "tables": name, "silver": target, "gold": gold}
 
 
 def stream_bronze(spark, sf_dir):
-    bronze, _, _ = stream_encounter_tables(spark, sf_dir)
+    bronze = read_rows(spark, _versioned_encounter_flow(spark, sf_dir)["tables"]["bronze"])
     recs = F.size(F.from_json("worldData", "encounter struct<characterRankings: struct<rankings: array<string>>>")
                   ["encounter"]["characterRankings"]["rankings"])
     return _ntz(bronze.groupBy("ldts").agg(F.count(F.lit(1)).alias("documents"),
@@ -289,48 +297,63 @@ def stream_bronze(spark, sf_dir):
 
 
 def stream_silver(spark, sf_dir):
-    _, cleaned, _ = stream_encounter_tables(spark, sf_dir)
-    return _ntz(cleaned.drop("rsrc"), "ldts", "ranked_date")
+    cleaned = read_rows(spark, _versioned_encounter_flow(spark, sf_dir)["tables"]["silver_clean"])
+    return _ntz(cleaned.drop("rsrc", BATCH), "ldts", "ranked_date")
 
 
 def stream_latest_encounters(spark, sf_dir):
-    _, _, silver = stream_encounter_tables(spark, sf_dir)
+    silver = _versioned_encounter_flow(spark, sf_dir)["silver"].read(spark)
     return _ntz(silver.drop("rsrc"), "ldts", "ranked_date")
 
 
 def stream_gold_encounters(spark, sf_dir):
     """Gold kept by the stream: after each batch the ranking days that it touched."""
-    return _versioned_encounter_flow(spark, sf_dir)["gold"].read()
+    return _versioned_encounter_flow(spark, sf_dir)["gold"].read(spark)
 
 
 def stream_rule_counts(spark, sf_dir):
-    """Rows tested and failed by each rule of the silver hop, of each pull."""
+    """Rows tested and failed by each rule of the silver hop, of each pull, from the ledger."""
     flow = _versioned_encounter_flow(spark, sf_dir)
-    rows = [(day, rule, m["silver_encounter_rules"]["rows_tested"], m["silver_encounter_rules"][f"failed_{rule}"])
-            for day, m in zip(LOAD_DAYS, flow["metrics"]) for rule in SILVER_ENCOUNTER_RULES]
-    return spark.createDataFrame(rows, "day int, rule string, rows_tested long, rows_failed long")
+    totals = ledger_totals(spark, flow["tables"]["ledger"])
+    return totals.select(F.element_at(F.split("query", " "), -1).cast("int").alias("day"), "rule", "rows_tested", "rows_failed")
 
 
 def stream_bronze_table(spark, sf_dir):
     """The bronze table by its name: its comment and its documents of each load."""
-    flow = _versioned_encounter_flow(spark, sf_dir)
-    comment = spark.catalog.getTable(flow["bronze_table"]).description
-    table = read_table(spark, flow["bronze_table"])
-    return _ntz(table.groupBy("ldts").agg(F.count(F.lit(1)).alias("documents"))
+    name = _versioned_encounter_flow(spark, sf_dir)["tables"]["bronze"]
+    comment = spark.catalog.getTable(name).description
+    return _ntz(read_rows(spark, name).groupBy("ldts").agg(F.count(F.lit(1)).alias("documents"))
                 .withColumn("comment", F.lit(comment)), "ldts")
 
 
+def stream_table_comments(spark, sf_dir):
+    """Every table of the encounter chain by its name: comment and rows."""
+    tables = _versioned_encounter_flow(spark, sf_dir)["tables"]
+    parts = [read_rows(spark, tables[layer]).agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(layer).alias("layer"), F.lit(spark.catalog.getTable(tables[layer]).description).alias("comment"), "rows")
+             for layer in COMMENTS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def _guild_tables(root):
+    suffix = f"guilds_{root.rsplit('-', 1)[-1]}"
+    silver = KeyedTable(f"silver_{suffix}", ["guild_id"], "ldts", gld.TIE_BREAK, num_buckets=16,
+                        comment="Newest load of each guild.", path=f"{root}/silver")
+    gold = KeyedTable(f"gold_{suffix}", ["guild_id"], num_buckets=16, comment="Guild ranks.", path=f"{root}/gold")
+    return f"bronze_{suffix}", silver, gold
+
+
 def stream_latest_guilds(spark, sf_dir):
     customer = _t(spark, sf_dir, "customer")
     root = shared_path(spark, "stream", "guilds")
     landing = f"{root}/landing"
-    target = SnapshotTable(spark, f"{root}/silver", ["guild_id"], "ldts", gld.TIE_BREAK, num_buckets=16)
+    _, target, _ = _guild_tables(root)
     for day in LOAD_DAYS:
         docs = fixtures.guild_documents(customer, as_text=False, tag=str(day)).select("guildData")
         write_landing(docs, landing, "guilds", dt.datetime(2026, 1, day))
         upsert_stream(bronze_stream(spark, landing, "guilds", SOURCE, stamp_from_file_name()),
                       target, f"{root}/_chk/silver", transform=gld.silver_clean)
-    return _ntz(target.read().drop("rsrc"), "ldts")
+    return _ntz(target.read(spark).drop("rsrc"), "ldts")
 
 
 def _chained_guild_flow(spark, sf_dir):
@@ -339,34 +362,32 @@ def _chained_guild_flow(spark, sf_dir):
     checks and upserts it by guild id."""
     customer = _t(spark, sf_dir, "customer")
     root = shared_path(spark, "stream", "guild-chain")
-    landing, bronze_path = f"{root}/landing", f"{root}/bronze"
-    target = SnapshotTable(spark, f"{root}/silver", ["guild_id"], "ldts", gld.TIE_BREAK, num_buckets=16)
-    gold = SnapshotTable(spark, f"{root}/gold", ["guild_id"])
+    landing = f"{root}/landing"
+    bronze, target, gold = _guild_tables(root)
     for day in LOAD_DAYS:
         docs = fixtures.guild_documents(customer, as_text=False, tag=str(day)).select("guildData")
         write_landing(docs, landing, "guilds", dt.datetime(2026, 1, day))
-        landed = bronze_stream(spark, landing, "guilds", SOURCE, stamp_from_file_name())
-        append_to_table(landed, bronze_path, f"{root}/_chk/bronze")
-        upsert_stream(read_table_stream(spark, bronze_path, landed.schema), target,
-                      f"{root}/_chk/silver", transform=gld.silver_clean, derived=(gold, gld.gold))
-    return spark.read.parquet(bronze_path), target, gold
+        append_to_table(bronze_stream(spark, landing, "guilds", SOURCE, stamp_from_file_name()), bronze, f"{root}/_chk/bronze",
+                        "Landed guild documents as text, with load time and source.", f"{root}/bronze")
+        upsert_stream(read_table_stream(spark, bronze), target, f"{root}/_chk/silver",
+                      transform=gld.silver_clean, derived=(gold, gld.gold))
+    return bronze, target, gold
 
 
 def stream_bronze_guilds(spark, sf_dir):
-    bronze, _, _ = _chained_guild_flow(spark, sf_dir)
+    bronze = read_rows(spark, _chained_guild_flow(spark, sf_dir)[0])
     recs = F.size(F.from_json("guildData", "guilds struct<data: array<string>>")["guilds"]["data"])
     return _ntz(bronze.groupBy("ldts").agg(F.count(F.lit(1)).alias("documents"),
                                            F.sum(recs).alias("records")), "ldts")
 
 
 def stream_silver_guilds(spark, sf_dir):
-    _, silver, _ = _chained_guild_flow(spark, sf_dir)
-    return _ntz(silver.read().drop("rsrc"), "ldts")
+    return _ntz(_chained_guild_flow(spark, sf_dir)[1].read(spark).drop("rsrc"), "ldts")
 
 
 def stream_gold_guilds(spark, sf_dir):
     """Gold kept by the stream: after each batch the buckets that it touched."""
-    return _chained_guild_flow(spark, sf_dir)[2].read()
+    return _chained_guild_flow(spark, sf_dir)[2].read(spark)
 
 
 # ---------------------------------------------------------------- analytics
@@ -495,6 +516,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_gold_encounters": stream_gold_encounters,
     "stream_rule_counts": stream_rule_counts,
     "stream_bronze_table": stream_bronze_table,
+    "stream_table_comments": stream_table_comments,
     "stream_latest_guilds": stream_latest_guilds,
     "stream_bronze_guilds": stream_bronze_guilds,
     "stream_silver_guilds": stream_silver_guilds,
@@ -544,6 +566,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_gold_encounters": oracle.STREAM_GOLD_ENCOUNTERS,
     "stream_rule_counts": oracle.STREAM_RULE_COUNTS,
     "stream_bronze_table": oracle.STREAM_BRONZE_TABLE,
+    "stream_table_comments": oracle.STREAM_TABLE_COMMENTS,
     "stream_latest_guilds": oracle.STREAM_LATEST_GUILDS,
     "stream_bronze_guilds": oracle.STREAM_BRONZE_GUILDS,
     "stream_silver_guilds": oracle.STREAM_LATEST_GUILDS,   # same rows through the bronze table

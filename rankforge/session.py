@@ -13,6 +13,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: A batch commits its changes, not whole snapshots, and does not look up every key to count keys.
+STATE_SETTINGS = {"spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+                  "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "rankforge") -> SparkSession:
@@ -30,8 +36,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # keyed streaming state (one row per key, no watermark) lives off-heap
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        STATE_STORE: ROCKSDB,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -41,13 +46,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
             # is fetched by a listing job of up to one task per file -- keep it to a few
             # tasks on one machine (a cluster runs them in parallel anyway)
             "spark.sql.sources.parallelPartitionDiscovery.parallelism": "16",
-            # local disk only: no .crc side files for the many small landing files
-            "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
             # opening a local file costs about as much as reading a few KB, not the 4 MB
             # the default assumes (an object-store request): pack more one-document files
             # into a read partition, so a pull is read and written as fewer, larger files
             "spark.sql.files.openCostInBytes": str(1024 * 1024),
-            "spark.hadoop.fs.file.impl.disable.cache": "true",
         })
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -58,9 +60,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the session zone; make sure a shared checkpoint folder is known."""
+    """Pin the session zone; keep streaming state off-heap unless another store is chosen; make
+    sure a shared checkpoint folder is known."""
     if spark.conf.get("spark.sql.session.timeZone", None) != UTC:
         spark.conf.set("spark.sql.session.timeZone", UTC)
+    if not spark.conf.get(STATE_STORE, None) or spark.conf.get(STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    for name, value in STATE_SETTINGS.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     checkpoint_root(spark)
     return spark
 

@@ -1,68 +1,31 @@
-"""Structured Streaming flows: landing files -> bronze table -> silver upsert target.
+"""Structured Streaming flows: landing files -> bronze table -> silver-clean table -> silver
+upsert target.
 
 Each hop is one streaming query run to completion with ``trigger(availableNow=True)``; the
-checkpoint of each query remembers which files / offsets it has consumed, so a rerun picks
-up only new input (exactly-once file discovery). The transforms are the same
-``DataFrame -> DataFrame`` functions as in batch.
+checkpoint of each query remembers which files it has consumed, so a rerun picks up only new
+input (exactly-once file discovery). Hops are chained by the names of their tables. The
+transforms are the same ``DataFrame -> DataFrame`` functions as in batch.
 """
 
 from __future__ import annotations
 
-import json
-import threading
-from collections.abc import Callable
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQueryListener
 
+from ..operators.quality import expect_or_drop
 from ..sources.files import attach_metadata, stream_landing
-from .snapshot import BUCKET, SnapshotTable, read_text
+from .tables import OVERWRITE_MODE, create_table
+from .upsert import run_to_completion
 
+#: Column of a checked table that holds the micro-batch of a row.
+BATCH = "_batch"
 
-class RuleCounts(StreamingQueryListener):
-    """Sums the ``observe`` metrics of every micro-batch of every query, by run. (A query
-    object keeps only its last hundred progress reports.)"""
-
-    def __init__(self):
-        self._sums: dict[str, dict[str, dict]] = {}
-        self._ended: dict[str, threading.Event] = {}
-        self._lock = threading.Lock()
-
-    def _end(self, run: str) -> threading.Event:
-        with self._lock:
-            return self._ended.setdefault(run, threading.Event())
-
-    def onQueryStarted(self, event):
-        self._end(str(event.runId))
-
-    def onQueryIdle(self, event):
-        pass
-
-    def onQueryProgress(self, event):
-        with self._lock:
-            sums = self._sums.setdefault(str(event.progress.runId), {})
-            for name, row in (event.progress.observedMetrics or {}).items():
-                total = sums.setdefault(name, {})
-                for k, v in row.asDict().items():
-                    total[k] = total.get(k, 0) + (v or 0)
-
-    def onQueryTerminated(self, event):
-        self._end(str(event.runId)).set()
-
-    def of(self, run: str, wait: float = 60.0) -> dict[str, dict]:
-        """Totals of an ended run, once its last report has arrived."""
-        if not self._end(run).wait(wait):
-            raise TimeoutError(f"no end of the streaming run {run} was reported")
-        with self._lock:
-            self._ended.pop(run, None)
-            return self._sums.pop(run, {})
-
-
-def run_to_completion(query) -> None:
-    query.awaitTermination()
-    if query.exception() is not None:  # pragma: no cover - surfaced to the caller
-        raise query.exception()
+LEDGER = T.StructType([T.StructField(name, kind) for name, kind in (
+    ("rule", T.StringType()), ("rows_tested", T.LongType()), ("rows_failed", T.LongType()),
+    ("query", T.StringType()), ("batch", T.LongType()))])
 
 
 def bronze_stream(spark: SparkSession, landing_dir: str, dataset: str, source: str,
@@ -73,74 +36,55 @@ def bronze_stream(spark: SparkSession, landing_dir: str, dataset: str, source: s
                            source, ldts)
 
 
-def append_to_table(stream: DataFrame, table_path: str, checkpoint: str, table: str | None = None,
-                    comment: str | None = None) -> dict[str, dict]:
-    """Append-only streaming table (A7) as parquet, run until the input is drained. With
-    ``table`` it is also a named table of the catalog, with its comment. Returns the
-    ``observe`` metrics of the run (e.g. rows failing each quality rule), of all its batches."""
-    spark = stream.sparkSession
-    counts = RuleCounts()
-    spark.streams.addListener(counts)
-    try:
-        q = (stream.writeStream.format("parquet").outputMode("append")
-             .option("path", table_path).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-        run_to_completion(q)
-        found = counts.of(str(q.runId))
-    finally:
-        spark.streams.removeListener(counts)
-    if table:
-        name_table(spark, table, table_path, as_nullable(stream.schema), comment)
-    return found
-
-
-def name_table(spark: SparkSession, table: str, path: str, schema: T.StructType, comment: str | None = None) -> None:
-    """Name a parquet folder as an external table of the catalog, in place of any of that name."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    text = "" if comment is None else " COMMENT '" + comment.replace("'", "''") + "'"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet{text} LOCATION '{path}'")
-
-
-def as_nullable(dtype: T.DataType) -> T.DataType:
-    """The same type with every field nullable (what a file table stores)."""
-    if isinstance(dtype, T.StructType):
-        return T.StructType([T.StructField(f.name, as_nullable(f.dataType), True, f.metadata)
-                             for f in dtype.fields])
-    if isinstance(dtype, T.ArrayType):
-        return T.ArrayType(as_nullable(dtype.elementType), True)
-    if isinstance(dtype, T.MapType):
-        return T.MapType(dtype.keyType, as_nullable(dtype.valueType), True)
-    return dtype
-
-
-def read_table_stream(spark: SparkSession, table_path: str, schema: T.StructType) -> DataFrame:
-    """Stream read of an append-only parquet table (A5). Pass the schema of the stream that
-    writes the table (no file of the table is opened to learn it)."""
-    return spark.readStream.schema(as_nullable(schema)).parquet(table_path)
-
-
-def upsert_stream(stream: DataFrame, target: SnapshotTable, checkpoint: str,
-                  transform: Callable[[DataFrame], DataFrame] | None = None,
-                  derived: tuple[SnapshotTable, Callable[[DataFrame], DataFrame]] | None = None) -> None:
-    """Keyed SCD-1 upsert (A8 / J4-J6): each micro-batch is merged into ``target``, named by the
-    query's identifier (which its checkpoint keeps) and its batch number, so a batch that is
-    run again is told from one of a new checkpoint. ``derived`` is a table made from
-    ``target`` row by row, with its function (gold from silver): after each batch only the
-    buckets that the batch touched are derived anew."""
+def append_to_table(stream: DataFrame, table: str, checkpoint: str, comment: str | None = None,
+                    path: str | None = None) -> None:
+    """Append-only streaming table (A7), created once with its comment, run until the input is
+    drained. The sink's own log makes every row appear once."""
+    create_table(stream.sparkSession, table, stream.schema, comment, path)
+    run_to_completion(stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+                      .trigger(availableNow=True).toTable(table))
+
+
+def create_ledger(spark: SparkSession, ledger: str, path: str | None = None) -> str:
+    """The table of rule counts: one row per query, micro-batch and rule."""
+    return create_table(spark, ledger, LEDGER, "Rows tested and failed by each rule of each micro-batch.", path,
+                        ["query", "batch"])
+
+
+def append_checked(stream: DataFrame, rules: Mapping[str, str], table: str, ledger: str, query: str, checkpoint: str,
+                   comment: str | None = None, path: str | None = None, ledger_path: str | None = None) -> None:
+    """Append the rows that pass every rule to ``table`` and each micro-batch's counts, taken
+    while its rows are written, to ``ledger`` (D6, J2), until the input is drained.
+
+    Rows carry their micro-batch, a partition of the table, and counts are a partition per query
+    and micro-batch: a batch that is run again replaces what it wrote before, rows and counts. A
+    stream that reads the table sees its rows again then (a keyed upsert ignores them). The counts
+    are observed metrics: an executor lost in the middle of a write can make them count the
+    recomputed rows again.
+    """
     spark = stream.sparkSession
-    shaped = transform(stream) if transform else stream
-
-    def merge(df: DataFrame, batch_id: int) -> None:
-        query = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
-        touched = target.upsert(df, batch_id, query)
-        if derived and touched:
-            table, make = derived
-            rows = target.read(with_bucket=True, buckets=touched)
-            named = rows.withColumnRenamed(BUCKET, "bucket_of")
-            made = make(named, keep=["bucket_of"]).withColumnRenamed("bucket_of", BUCKET)
-            table.replace(made, touched, batch_id, query)
-
-    q = (shaped.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    run_to_completion(q)
+    create_table(spark, table, stream.schema.add(BATCH, "long") if BATCH not in stream.columns else stream.schema,
+                 comment, path, [BATCH])
+    create_ledger(spark, ledger, ledger_path)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        own = rows.sparkSession            # the stream's private session
+        own.conf.set(OVERWRITE_MODE, "dynamic")
+        seen = Observation()
+        kept = expect_or_drop(rows, rules, seen).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        kept.write.insertInto(table, overwrite=True)
+        found = seen.get
+        counts = [(rule, found["rows_tested"], found[f"failed_{rule}"], query, batch_id) for rule in rules]
+        own.createDataFrame(counts, LEDGER).coalesce(1).write.insertInto(ledger, overwrite=True)
+
+    run_to_completion(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                      .trigger(availableNow=True).start())
+
+
+def ledger_totals(spark: SparkSession, ledger: str, query: str | None = None) -> DataFrame:
+    """``query, rule, rows_tested, rows_failed``: the counts of all micro-batches."""
+    spark.catalog.refreshTable(ledger)
+    rows = spark.read.table(ledger)
+    if query is not None:
+        rows = rows.where(F.col("query") == query)
+    return rows.groupBy("query", "rule").agg(F.sum("rows_tested").alias("rows_tested"), F.sum("rows_failed").alias("rows_failed"))

@@ -87,33 +87,3 @@ def test_surrogate_key_reads_only_its_columns(plan):
     scans = [n[1] for n in _nodes(plan("surrogate_key")) if "FileScan" in n[1]]
     assert scans and all("ReadSchema: struct<c_custkey:bigint,c_nationkey:int,c_mktsegment:string>" in s
                          for s in scans), scans
-
-
-def test_upsert_writes_the_reduced_batch_and_reads_no_stored_row(spark, monkeypatch):
-    """The write of a batch: the batch reduced per key (kept in memory), laid out by one shuffle
-    on (bucket, slice), and no scan of what the table holds."""
-    from pyspark.sql import functions as F
-    from pyspark.sql.readwriter import DataFrameWriter
-
-    from rankforge.session import shared_path
-    from rankforge.streaming.snapshot import SnapshotTable
-
-    plans = []
-    real = DataFrameWriter.parquet
-
-    def spy(self, path, *a, **k):
-        p = self._df._jdf.queryExecution().executedPlan()
-        plans.append(_tree(p.executedPlan() if p.nodeName() == "AdaptiveSparkPlan" else p))
-        return real(self, path, *a, **k)
-
-    df = spark.range(0, 200, 1, 4).select((F.col("id") % 23).alias("k"), (F.col("id") % 3).alias("ver"))
-    t = SnapshotTable(spark, shared_path(spark, "test", "planup"), ["k"], "ver", num_buckets=3)
-    t.upsert(df, 0)
-    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
-    t.upsert(df.withColumn("ver", F.col("ver") + 1), 1)
-    assert len(plans) == 1
-    descs = [n[1] for n in _nodes(plans[0])]
-    slices = [d for d in descs if "REPARTITION_BY_NUM" in d]
-    assert len(slices) == 1 and "_bucket" in slices[0] and "_slice" in slices[0]
-    assert not any("FileScan" in d for d in descs) and any("InMemoryTableScan" in d for d in descs)
-

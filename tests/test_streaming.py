@@ -1,6 +1,10 @@
-"""Structured Streaming flows: exactly-once file pickup, keyed upsert, batch = stream."""
+"""Structured Streaming flows: exactly-once file pickup, keyed upsert on state, named tables,
+batch = stream."""
 
 import datetime as dt
+import re
+import threading
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +14,35 @@ from rankforge.plans import encounters as enc
 from rankforge.session import shared_path
 from rankforge.sources.files import (attach_metadata, read_landing, stamp_from_file_name,
                                      write_landing)
-from rankforge.streaming.flows import bronze_stream, upsert_stream
-from rankforge.streaming.snapshot import SnapshotTable
+from rankforge.streaming import flows, tables
+from rankforge.streaming import upsert as up
+from rankforge.streaming.flows import append_checked, append_to_table, bronze_stream, ledger_totals
+from rankforge.streaming.tables import create_table, read_rows, read_table_stream
+from rankforge.streaming.upsert import BUCKET, KeyedTable, upsert_stream
+
+
+def fresh(kind="t"):
+    return f"{kind}_{uuid.uuid4().hex[:10]}"
+
+
+def keyed(spark, keys, **options):
+    name = fresh("keyed")
+    return KeyedTable(name, keys, path=shared_path(spark, "test", name), **options)
+
+
+class Feed:
+    """A stream of small frames: each ``put`` is one file, one micro-batch."""
+
+    def __init__(self, spark, schema):
+        self.spark, self.schema, self.path, self.n = spark, schema, shared_path(spark, "test", "feed"), 0
+
+    def put(self, rows):
+        self.spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("append").json(f"{self.path}/part{self.n:04d}")
+        self.n += 1
+
+    def stream(self):
+        reader = self.spark.readStream.schema(self.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1)
+        return reader.json(self.path)
 
 
 def test_versioned_loads_newest_first(spark, sf_small):
@@ -20,7 +51,7 @@ def test_versioned_loads_newest_first(spark, sf_small):
     ev = spark.read.parquet(f"{sf_small}/events.parquet")
     root = shared_path(spark, "test", "versioned")
     landing = f"{root}/landing"
-    target = SnapshotTable(spark, f"{root}/silver", ["k", "etype"], "ldts", ["event_id"], num_buckets=4)
+    target = keyed(spark, ["k", "etype"], tie=["event_id"], num_buckets=4)
 
     def shape(bronze):
         parsed = bronze.select("ldts", F.from_json("worldData", "array<struct<event_id:bigint, event_type:string>>").alias("a"))
@@ -34,7 +65,7 @@ def test_versioned_loads_newest_first(spark, sf_small):
         write_landing(doc, landing, "load", dt.datetime(2026, 1, day))
         upsert_stream(bronze_stream(spark, landing, "encounters", "t", stamp_from_file_name()),
                       target, f"{root}/_chk", transform=shape)
-    out = target.read()
+    out = target.read(spark)
     assert out.count() == 977
     by_day = {r.d: r.n for r in out.groupBy(F.dayofmonth("ldts").alias("d")).agg(F.count("*").alias("n")).collect()}
     assert by_day == {3: 400, 2: 300, 1: 277}
@@ -42,7 +73,7 @@ def test_versioned_loads_newest_first(spark, sf_small):
     # each landing file was consumed exactly once: a rerun with no new files changes nothing
     upsert_stream(bronze_stream(spark, landing, "encounters", "t", stamp_from_file_name()),
                   target, f"{root}/_chk", transform=shape)
-    assert sorted(target.read().collect()) == sorted(out.collect())
+    assert sorted(target.read(spark).collect()) == sorted(out.collect())
 
 
 def test_stream_equals_batch(spark, sf_small):
@@ -70,212 +101,222 @@ def test_capped_micro_batches_equal_one_batch(spark, sf_small):
     for day in (2, 1):
         docs = fixtures.guild_documents(customer, as_text=False, tag=str(day)).select("guildData")
         write_landing(docs, landing, "guilds", dt.datetime(2026, 1, day), layout="document")
-    target = SnapshotTable(spark, f"{root}/silver", ["guild_id"], "ldts", gld.TIE_BREAK, num_buckets=4, max_parts=2)
+    target = keyed(spark, ["guild_id"], tie=gld.TIE_BREAK, num_buckets=4)
     stream = bronze_stream(spark, landing, "guilds", "t", stamp_from_file_name(), "document", max_files_per_trigger=1)
     upsert_stream(stream, target, f"{root}/_chk", transform=gld.silver_clean)
-    assert len(target.versions()) == 4                    # 4 files, one per batch
+    assert tables.exists(spark, f"{root}/_chk/commits/3")          # 4 files, one per batch
     bronze = attach_metadata(read_landing(spark, landing, "guilds", layout="document"), "t", stamp_from_file_name())
     want = gld.deduplicate(gld.silver_clean(bronze))
-    got = target.read()
+    got = target.read(spark)
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-@pytest.fixture()
-def versions(spark):
-    rows = [(k % 7, d, f"v{k}-{d}") for k in range(50) for d in (1, 2, 3)]
-    df = spark.createDataFrame(rows, "key int, ver int, payload string")
-    return [df.where(F.col("ver") == d) for d in (1, 2, 3)]
-
-
-def test_upsert_order_independent_and_replay_safe(spark, versions):
-    results = []
-    for order in [(0, 1, 2), (2, 0, 1), (1, 2, 0)]:
-        t = SnapshotTable(spark, shared_path(spark, "test", "snap"), ["key"], "ver", ["payload"], num_buckets=3)
-        for batch_id, i in enumerate(order):
-            t.upsert(versions[i], batch_id)
-        t.upsert(versions[order[-1]], len(order) - 1)   # replay of the last batch
-        results.append(sorted(t.read().collect()))
-    assert results[0] == results[1] == results[2]
-    assert all(r.ver == 3 for r in results[0]) and len(results[0]) == 7
-
-
-def _files(t, bucket="*"):
-    import glob
+ROWS = "key int, ver int, payload string"
 
-    return set(glob.glob(f"{t.path.replace('file:', '')}/_part=*/_bucket={bucket}/*.parquet"))
 
+def versions():
+    return {d: [(k % 7, d, f"v{k}-{d}") for k in range(50)] for d in (1, 2, 3)}
 
-def test_upsert_writes_one_file_per_slice(spark, versions):
-    """Whatever the task count, a bucket's part below ``rows_per_file`` is one file."""
 
-    t = SnapshotTable(spark, shared_path(spark, "test", "snapfiles"), ["key"], "ver", ["payload"], num_buckets=3)
-    many = versions[0].repartition(8).unionByName(versions[1].repartition(8))
-    t.upsert(many, 0)
-    buckets = t.manifest()["buckets"]
-    assert buckets and all(len(_files(t, b)) == 1 for b in buckets)
+@pytest.mark.parametrize("order", [(1, 2, 3), (3, 1, 2), (2, 3, 1)])
+def test_upsert_does_not_depend_on_the_order_of_arrival(spark, order):
+    feed, target = Feed(spark, ROWS), keyed(spark, ["key"], version="ver", tie=["payload"], num_buckets=3)
+    for d in order:
+        feed.put(versions()[d])
+    upsert_stream(feed.stream(), target, shared_path(spark, "test", "chk"))
+    got = sorted(target.read(spark).collect())
+    assert len(got) == 7 and all(r.ver == 3 for r in got)
+    assert [r.payload for r in got] == [max(f"v{k}-3" for k in range(50) if k % 7 == j) for j in range(7)]
 
 
-def test_a_one_key_batch_writes_one_file_and_touches_no_other(spark, versions):
-    """The cost of an upsert follows the batch: no stored file is read, rewritten or deleted."""
+def test_a_late_version_changes_nothing_and_touches_only_its_buckets(spark):
+    import glob
     import os
 
-    t = SnapshotTable(spark, shared_path(spark, "test", "delta"), ["key"], "ver", ["payload"], num_buckets=3)
-    t.upsert(versions[0], 0)
-    before = {f: os.stat(f).st_mtime_ns for f in _files(t)}
-    touched = t.upsert(versions[1].where("key = 4"), 1)
-    after = _files(t)
-    assert len(touched) == 1 and len(after - set(before)) == 1
-    assert {f: os.stat(f).st_mtime_ns for f in before} == before
-    assert {r.key: r.ver for r in t.read().collect()} == {k: 2 if k == 4 else 1 for k in range(7)}
-
-
-def test_a_new_checkpoint_starts_again_without_losing_rows(spark, versions):
-    """Batch numbers of a new query start at 0 again; nothing of the old query's is replaced, and
-    a batch that is run again under its own query changes nothing."""
-    t = SnapshotTable(spark, shared_path(spark, "test", "newchk"), ["key"], "ver", ["payload"], num_buckets=3)
-    t.upsert(versions[0], 0, "first")
-    t.upsert(versions[1], 1, "first")
-    t.upsert(versions[2].where("key = 2"), 0, "second")
-    assert {r.key: r.ver for r in t.read().collect()} == {k: 3 if k == 2 else 2 for k in range(7)}
-    published = t.versions()
-    assert t.upsert(versions[1], 1, "first") and t.versions() == published      # its last batch: known buckets
-    assert t.upsert(versions[0], 0, "first") == [] and t.versions() == published
-    t.upsert(versions[2], 1, "second")
-    assert all(r.ver == 3 for r in t.read().collect()) and len(t.versions()) == 4
-
-
-def test_compaction_keeps_the_rows_and_one_part(spark):
-    t = SnapshotTable(spark, shared_path(spark, "test", "compact"), ["key"], "ver", num_buckets=2, max_parts=3)
-    for n in range(5):
-        t.upsert(spark.createDataFrame([(k, n, f"p{n}") for k in range(n, 12)], "key int, ver int, payload string"), n)
-    parts = [len(e["parts"]) for e in t.manifest()["buckets"].values()]
-    assert max(parts) <= 3
-    assert {r.key: r.ver for r in t.read().collect()} == {k: min(k, 4) for k in range(12)}
-
-
-def test_read_prunes_by_bucket(spark):
-    df = spark.createDataFrame([(k, 20240100 + k % 3, 1) for k in range(30)], "key int, day int, ver int")
-    t = SnapshotTable(spark, shared_path(spark, "test", "prune"), ["key", "day"], "ver", bucket=F.col("day"))
-    t.upsert(df, 0)
-    t.upsert(df.withColumn("ver", F.lit(2)), 1)
-    one = t.read(with_bucket=True).where("_bucket = 20240101")
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert one.count() == 10 and "PartitionFilters: [isnotnull(_bucket" in plan
-    assert t.read(buckets=["20240102"]).count() == 10 and t.read(buckets=["7"]) is None
-
-
-def test_two_writers_of_one_version_do_not_overwrite_each_other(spark, versions):
-    a = SnapshotTable(spark, shared_path(spark, "test", "race"), ["key"], "ver", num_buckets=3)
-    b = SnapshotTable(spark, a.path, ["key"], "ver", num_buckets=3)
-    stale = b.manifest()
-    a.upsert(versions[0], 0)
-    b.manifest = lambda version=None: stale
-    with pytest.raises(FileExistsError):
-        b.upsert(versions[1], 0, "other")
-    assert all(r.ver == 1 for r in a.read().collect())
-
-
-def test_rule_counts_cover_more_than_a_hundred_batches(spark):
-    """A query object keeps its last hundred progress reports; the counts cover all batches."""
-    from rankforge.operators.quality import expect_or_drop
-    from rankforge.streaming.flows import append_to_table
-
-    root = shared_path(spark, "test", "many")
-    spark.range(110).repartition(110).write.json(f"{root}/in")
-    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).json(f"{root}/in")
-    checked = expect_or_drop(stream, {"even": "id % 2 = 0"}, "rules")
-    found = append_to_table(checked, f"{root}/out", f"{root}/_chk")
-    assert (found["rules"]["rows_tested"], found["rules"]["failed_even"]) == (110, 55)
-    assert spark.read.parquet(f"{root}/out").count() == 55
-
-
-def test_lines_hold_many_documents_in_few_files(spark):
-    import glob
+    feed, target, chk = Feed(spark, ROWS), keyed(spark, ["key"], version="ver", bucket=F.col("key") % 3), shared_path(spark, "test", "chk")
+    feed.put([(k, 5, "new") for k in range(9)])
+    upsert_stream(feed.stream(), target, chk)
+    stamps = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{target.path.replace('file:', '')}/_bucket=*/*.parquet")}
+    feed.put([(4, 1, "late"), (4, 6, "newest")])
+    upsert_stream(feed.stream(), target, chk)
+    feed.put([(7, 2, "late")])
+    upsert_stream(feed.stream(), target, chk)
+    assert sorted((r.key, r.ver, r.payload) for r in target.read(spark).collect()) == sorted(
+        [(k, 5, "new") for k in range(9) if k != 4] + [(4, 6, "newest")])
+    kept = {f for f in stamps if "_bucket=1/" not in f}
+    assert kept and all(os.stat(f).st_mtime_ns == stamps[f] for f in kept)
+
+
+@pytest.mark.parametrize("moment", ["before", "middle"])
+def test_a_batch_that_crashes_is_run_again(spark, monkeypatch, moment):
+    """The driver dies before the partitions are replaced, or after some are gone: the restarted
+    query runs the batch again from its staged rows and loses none, not even of other keys."""
+    feed, target, chk = Feed(spark, ROWS), keyed(spark, ["key"], version="ver", num_buckets=2), shared_path(spark, "test", "chk")
+    feed.put([(k, 1, "old") for k in range(12)])
+    upsert_stream(feed.stream(), target, chk)
+    feed.put([(3, 2, "new")])
+
+    def crash(merged, table):
+        if moment == "middle":
+            for r in merged.select(BUCKET).distinct().collect():
+                tables.forget(spark, f"{table.path}/{BUCKET}={r[0]}")
+        raise RuntimeError("driver lost")
 
-    landing = shared_path(spark, "test", "lines")
-    docs = spark.range(500).select(F.struct(F.col("id").alias("n"), F.lit("a\nb").alias("t")).alias("worldData"))
-    folder = write_landing(docs.coalesce(2), landing, "many", dt.datetime(2026, 1, 1))
-    assert len(glob.glob(f"{folder.replace('file:', '')}/*.json")) == 2
-    back = read_landing(spark, landing, "encounters")
-    assert back.select(F.get_json_object("worldData", "$.n").cast("int").alias("n")).distinct().count() == 500
-    with pytest.raises(ValueError):
-        read_landing(spark, landing, layout="csv")
+    with monkeypatch.context() as m:
+        m.setattr(up, "publish", crash)
+        with pytest.raises(Exception, match="driver lost"):
+            upsert_stream(feed.stream(), target, chk)
+    feed.put([(5, 3, "after")])
+    upsert_stream(feed.stream(), target, chk)
+    got = {r.key: (r.ver, r.payload) for r in target.read(spark).collect()}
+    assert got == {k: (1, "old") for k in range(12)} | {3: (2, "new"), 5: (3, "after")}
+
+
+def test_a_new_checkpoint_keeps_what_the_table_holds(spark):
+    """A new query starts with an empty state and batch 0; older versions that it meets do not win."""
+    target = keyed(spark, ["key"], version="ver", num_buckets=3)
+    first, second = Feed(spark, ROWS), Feed(spark, ROWS)
+    first.put([(k, 5, "first") for k in range(7)])
+    upsert_stream(first.stream(), target, shared_path(spark, "test", "chk"))
+    second.put([(2, 6, "second"), (3, 4, "older")])
+    upsert_stream(second.stream(), target, shared_path(spark, "test", "chk"))
+    assert {r.key: r.ver for r in target.read(spark).collect()} == {k: 6 if k == 2 else 5 for k in range(7)}
 
 
 def test_gold_follows_the_touched_buckets(spark):
-    from rankforge.streaming.snapshot import BUCKET
-
-    silver = SnapshotTable(spark, shared_path(spark, "test", "g-silver"), ["key"], "ver", num_buckets=4)
-    gold = SnapshotTable(spark, shared_path(spark, "test", "g-gold"), ["key"])
+    schema = "key int, ver int, value int"
+    feed, chk = Feed(spark, schema), shared_path(spark, "test", "chk")
+    silver, gold = keyed(spark, ["key"], version="ver", num_buckets=4), keyed(spark, ["key"])
+
+    def make(rows, keep=()):
+        return rows.where("value > 0").select("key", "value", *keep)
+
+    def follow(rows):
+        feed.put(rows)
+        upsert_stream(feed.stream(), silver, chk, derived=(gold, make))
+
+    follow([(k, 1, 1) for k in range(20)])
+    assert gold.read(spark).count() == 20
+    follow([(k, 2, -1) for k in range(20) if k != 3])   # rows leave gold, whole buckets too
+    assert [tuple(r) for r in gold.read(spark).collect()] == [(3, 1)]
+    follow([(5, 3, 9)])
+    assert sorted(tuple(r) for r in gold.read(spark).collect()) == [(3, 1), (5, 9)]
+
+
+def test_null_buckets_and_keys_and_pruning(spark):
+    schema = "key int, day string, ver int, payload string"
+    feed = Feed(spark, schema)
+    target = keyed(spark, ["key", "day"], version="ver", bucket=F.regexp_replace("day", "-", ""))
+    feed.put([(1, None, 1, "a"), (2, "2024-01-02", 1, "c"), (None, "2024-01-02", 1, "n")])
+    feed.put([(1, None, 2, "b"), (None, "2024-01-02", 2, "m")])
+    upsert_stream(feed.stream(), target, shared_path(spark, "test", "chk"))
+    assert sorted((str(r.key), r.payload) for r in target.read(spark).collect()) == [("1", "b"), ("2", "c"), ("None", "m")]
+    one = target.read(spark, with_bucket=True).where(f"{BUCKET} = 20240102")
+    assert one.count() == 2 and "PartitionFilters: [isnotnull(_bucket" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_table_keeps_its_rows_over_a_new_session_catalog(spark):
+    target, chk = keyed(spark, ["key"], version="ver", num_buckets=3), shared_path(spark, "test", "chk")
+    feed = Feed(spark, ROWS)
+    feed.put([(k, 1, "x") for k in range(5)])
+    upsert_stream(feed.stream(), target, chk)
+    spark.sql(f"DROP TABLE {target.name}")            # what a catalog in memory forgets; the files stay
+    feed.put([(1, 2, "y")])
+    upsert_stream(feed.stream(), target, chk)
+    assert {r.key: r.ver for r in target.read(spark).collect()} == {0: 1, 1: 2, 2: 1, 3: 1, 4: 1}
+
+
+def test_a_hop_is_one_shuffle_by_key_and_reads_only_touched_buckets(spark, monkeypatch):
+    """The merge of a batch: a partition-pruned scan of the table and the batch, one aggregate."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, real = [], DataFrameWriter.parquet
+
+    def spy(self, path, *a, **k):
+        plans.append((path, self._df._jdf.queryExecution().executedPlan().toString()))
+        return real(self, path, *a, **k)
+
+    feed, target, chk = Feed(spark, ROWS), keyed(spark, ["key"], version="ver", bucket=F.col("key") % 5), shared_path(spark, "test", "chk")
+    feed.put([(k, 1, "x") for k in range(50)])
+    upsert_stream(feed.stream(), target, chk)
+    feed.put([(7, 2, "y")])
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    upsert_stream(feed.stream(), target, chk)
+    merged = [p for path, p in plans if path.endswith("/merged")]
+    assert len(merged) == 1 and "partial_max" in merged[0] and re.search(r"PartitionFilters: \[[^\]]*_bucket", merged[0])
+    changed = [p for path, p in plans if path.endswith("/changed")]
+    assert len(changed) == 1 and "StateStoreSave" in changed[0]
+
+
+# ------------------------------------------------------------------ named tables
+def test_a_table_can_be_read_while_a_hop_runs(spark):
+    """The table is there, with its comment, before the first row and during every batch."""
+    name, root = fresh("appended"), shared_path(spark, "test", "appended")
+    spark.range(12).repartition(12).write.json(f"{root}/in")
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    create_table(spark, name, stream.schema, "it's a table", f"{root}/out")
+    assert read_rows(spark, name).count() == 0
+    seen, failed, stop = set(), [], threading.Event()
+
+    def watch():
+        while not stop.is_set():
+            try:
+                seen.add(read_rows(spark, name).count())
+            except Exception as e:   # noqa: BLE001
+                failed.append(str(e))
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    append_to_table(stream, name, f"{root}/_chk", "another comment", f"{root}/out")
+    stop.set()
+    watcher.join()
+    assert not failed and read_rows(spark, name).count() == 12 and seen <= set(range(13))
+    assert spark.catalog.getTable(name).description == "it's a table"       # created once
+    append_to_table(stream, name, f"{root}/_chk")
+    assert read_rows(spark, name).count() == 12
+    assert read_table_stream(spark, name).isStreaming
+
+
+def test_rule_counts_cover_every_batch(spark):
+    root, name, ledger = shared_path(spark, "test", "many"), fresh("checked"), fresh("ledger")
+    spark.range(0, 104, 1, 8).write.json(f"{root}/in")
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    append_checked(stream, {"even": "id % 2 = 0"}, name, ledger, "q", f"{root}/_chk", None, f"{root}/out", f"{root}/ledger")
+    assert [tuple(r) for r in ledger_totals(spark, ledger).collect()] == [("q", "even", 104, 52)]
+    assert read_rows(spark, ledger).select("batch").distinct().count() == 8
+    assert read_rows(spark, name).count() == 52
 
-    def follow(batch, n):
-        touched = silver.upsert(batch, n)
-        rows = silver.read(with_bucket=True, buckets=touched).where("value > 0").select("key", "value", BUCKET)
-        gold.replace(rows, touched, n)
 
-    schema = "key int, ver int, value int"
-    follow(spark.createDataFrame([(k, 1, 1) for k in range(20)], schema), 0)
-    follow(spark.createDataFrame([(k, 2, -1) for k in range(20) if k != 3], schema), 1)   # rows leave gold
-    assert [tuple(r) for r in gold.read().collect()] == [(3, 1)]
-    follow(spark.createDataFrame([(5, 3, 9)], schema), 2)
-    assert sorted(tuple(r) for r in gold.read().collect()) == [(3, 1), (5, 9)]
-
-
-def test_upsert_with_null_bucket(spark):
-    df = spark.createDataFrame([(1, None, 1, "a"), (1, None, 2, "b"), (2, "2024-01-02", 1, "c")],
-                               "key int, day string, ver int, payload string")
-    t = SnapshotTable(spark, shared_path(spark, "test", "snapnull"), ["key", "day"], "ver", ["payload"],
-                      bucket=F.regexp_replace("day", "-", ""))
-    t.upsert(df.where("ver = 1"), 0)
-    t.upsert(df.where("ver = 2"), 1)
-    assert sorted((r.key, r.payload) for r in t.read().collect()) == [(1, "b"), (2, "c")]
-
-
-def test_upsert_slices_a_hot_bucket(spark):
-    """A bucket holding a third of the rows is written as several slices (files), the
-    manifest records exact rows per bucket, and the result is the newest row per key."""
-    import os
-    from collections import Counter
-
-    rows = [(k, "hot" if k % 3 == 0 else f"d{k % 5}", v, f"p{k}-{v}") for k in range(600) for v in (1, 2)]
-    df = spark.createDataFrame(rows, "key int, day string, ver int, payload string")
-    t = SnapshotTable(spark, shared_path(spark, "test", "snapslice"), ["key"], "ver", ["payload"],
-                      bucket=F.when(F.col("day") == "hot", 99).otherwise(F.substring("day", 2, 1).cast("int")),
-                      rows_per_file=40)
-    t.upsert(df.where("ver = 1"), 0)
-    t.upsert(df.where("ver = 2"), 1)
-    got = t.read()
-    assert sorted((r.key, r.payload) for r in got.collect()) == [(k, f"p{k}-2") for k in range(600)]
-    m = t.manifest()
-    want = Counter(99 if k % 3 == 0 else k % 5 for k in range(600))
-    assert {b: e["rows"] for b, e in m["buckets"].items()} == {str(b): 2 * n for b, n in want.items()}
-    assert all(len(e["parts"]) == 2 for e in m["buckets"].values())
-    assert len(_files(t, "99")) >= 6          # 200 keys at 40 rows per file, twice: spread over slices
-
-
-def test_upsert_retry_after_crash_before_manifest(spark, versions, monkeypatch):
-    """The driver dies after the version folder is written but before its manifest is
-    published: the snapshot still shows the previous batch, and the retry of the same
-    batch id rebuilds the folder from that previous manifest."""
-    from rankforge.streaming import snapshot as sn
-
-    t = SnapshotTable(spark, shared_path(spark, "test", "snapcrash"), ["key"], "ver", ["payload"], num_buckets=3)
-    t.upsert(versions[0], 0)
-    before = sorted(t.read().collect())
-
-    def crash(self, path, text):
-        raise RuntimeError("driver lost")
+def test_a_query_stopped_midway_has_the_counts_of_all_batches_once(spark, monkeypatch):
+    """The third batch dies after its rows are written, before its counts are: the restarted query
+    replaces both, and the ledger holds every batch once."""
+    root, name, ledger = shared_path(spark, "test", "stopped"), fresh("checked"), fresh("ledger")
+    feed = Feed(spark, "id long")
+    for n in range(5):
+        feed.put([(i,) for i in range(10 * n, 10 * n + 10)])
+    rules = {"even": "id % 2 = 0", "small": "id < 44"}
+    run = lambda: append_checked(feed.stream(), rules, name, ledger, "q", f"{root}/_chk", None, f"{root}/out", f"{root}/ledger")
+    real, calls = flows.Observation, []
+
+    class Dies(real):
+        @property
+        def get(self):
+            calls.append(1)
+            if len(calls) == 3:
+                raise RuntimeError("driver lost")
+            return super().get
 
     with monkeypatch.context() as m:
-        m.setattr(sn._FS, "write_text_atomic", crash)
-        with pytest.raises(RuntimeError):
-            t.upsert(versions[2], 1)
-    assert sorted(t.read().collect()) == before          # half-done batch is invisible
-    t.upsert(versions[2], 1)                             # the stream retries batch 1
-    t.upsert(versions[1], 2)                             # an older version arrives later
-    got = sorted(t.read().collect())
-    assert len(got) == 7 and all(r.ver == 3 for r in got)
+        m.setattr(flows, "Observation", Dies)
+        with pytest.raises(Exception, match="driver lost"):
+            run()
+    assert read_rows(spark, ledger).select("batch").distinct().count() == 2
+    run()
+    run()
+    totals = {r.rule: (r.rows_tested, r.rows_failed) for r in ledger_totals(spark, ledger, "q").collect()}
+    assert totals == {"even": (50, 25), "small": (50, 6)}
+    assert sorted(r.id for r in read_rows(spark, name).collect()) == list(range(0, 44, 2))
 
 
 def test_chained_hops_report_rule_failures(spark, sf_small):
@@ -283,33 +324,29 @@ def test_chained_hops_report_rule_failures(spark, sf_small):
     from rankforge.sources import fixtures
 
     flow = q._versioned_encounter_flow(spark, sf_small)
+    names = flow["tables"]
     ev = spark.read.parquet(f"{sf_small}/events.parquet")
     n_events = ev.count()
-    for day, m in zip(q.LOAD_DAYS, flow["metrics"]):
-        got = m["silver_encounter_rules"]
+    for day in q.LOAD_DAYS:
+        got = {r.rule: r for r in ledger_totals(spark, names["ledger"], f"silver_clean day {day}").collect()}
         shifted = ev.withColumn("value", F.col("value") + F.lit(float(3 - day)))
         docs = attach_metadata(fixtures.rank_documents(shifted).drop("_doc"), "t")
-        report = {r.rule: r.rows_failed for r in expectation_report(
-            enc.clean(enc.define(enc.unpack(docs))), SILVER_ENCOUNTER_RULES).collect()}
-        assert got["rows_tested"] == n_events
-        assert all(got[f"failed_{name}"] == report[name] for name in SILVER_ENCOUNTER_RULES)
-    assert spark.read.parquet(flow["silver_clean"]).count() < 3 * n_events
+        report = {r.rule: r.rows_failed for r in expectation_report(q._clean_rows(docs), SILVER_ENCOUNTER_RULES).collect()}
+        assert all(r.rows_tested == n_events and r.rows_failed == report[rule] for rule, r in got.items())
+        assert set(got) == set(SILVER_ENCOUNTER_RULES)
+    assert read_rows(spark, names["silver_clean"]).count() < 3 * n_events
+    for layer, comment in q.COMMENTS.items():
+        assert spark.catalog.getTable(names[layer]).description == comment
 
 
-def test_vacuum_deletes_what_no_kept_version_needs(spark, versions, monkeypatch):
-    from rankforge.streaming import snapshot as sn
+def test_lines_hold_many_documents_in_few_files(spark):
+    import glob
 
-    t = SnapshotTable(spark, shared_path(spark, "test", "vac"), ["key"], "ver", ["payload"], num_buckets=3, max_parts=1)
-    for batch_id in range(3):
-        t.upsert(versions[batch_id], batch_id)            # every batch compacts: old parts are unused
-    with monkeypatch.context() as m:
-        m.setattr(sn._FS, "write_text_atomic", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
-        with pytest.raises(RuntimeError):
-            t.upsert(versions[0], 3)                      # leaves a part without a manifest
-    before = sorted(t.read().collect())
-    deleted = t.vacuum(retain=1)
-    assert "_manifest/000000000000.json" in deleted and sum(d.startswith("_part=") for d in deleted) >= 3
-    assert sorted(t.read().collect()) == before
-    t.upsert(versions[2], 2)                              # run again: nothing changes
-    t.upsert(versions[2], 3)
-    assert sorted(t.read().collect()) == before
+    landing = shared_path(spark, "test", "lines")
+    docs = spark.range(500).select(F.struct(F.col("id").alias("n"), F.lit("a\nb").alias("t")).alias("worldData"))
+    folder = write_landing(docs.coalesce(2), landing, "many", dt.datetime(2026, 1, 1))
+    assert len(glob.glob(f"{folder.replace('file:', '')}/*.json")) == 2
+    back = read_landing(spark, landing, "encounters")
+    assert back.select(F.get_json_object("worldData", "$.n").cast("int").alias("n")).distinct().count() == 500
+    with pytest.raises(ValueError):
+        read_landing(spark, landing, layout="csv")
