@@ -10,6 +10,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import prepare
+from .ordinal import with_ordinal
 
 # Abramowitz-Stegun 7.1.26 coefficients for erfc (|error| < 1.5e-7).
 AS_P = 0.3275911
@@ -21,6 +25,16 @@ DEFAULT_SAMPLE = 100
 # Fixed value: hex digits of a hash, 60 bits, so its remainder by any row count is even.
 HASH_DIGITS = 15
 
+#: Leading bits of a hash that name a block of rows, and a band of blocks.
+BLOCK_BITS, BAND_BITS = 16, 8
+
+# Positive nodes and weights of the ten-point Gauss-Legendre rule.
+GL_NODES = (0.1488743389816312, 0.4333953941292472, 0.6794095682990244, 0.8650633666889845, 0.9739065285171717)
+GL_WEIGHTS = (0.2955242247147529, 0.2692667193099963, 0.2190863625159821, 0.1494513491505806, 0.0666713443086881)
+
+#: Panels of the joint tail: the angles from a right angle down, halved so many times.
+PANELS = 22
+
 
 def _d(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
@@ -47,30 +61,54 @@ def draw_position(seed: int, i: Column, rows: Column) -> Column:
     return _hash60(F.concat(F.lit(f"{seed}:"), i.cast("string"))) % rows
 
 
+def _exact(df: DataFrame, columns) -> list[str]:
+    """Those of the columns whose text is the same everywhere (no fractions, no nesting)."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return [c for c in columns if isinstance(kinds[c], (T.IntegralType, T.StringType, T.DateType, T.BooleanType))]
+
+
 def bootstrap_sample(df: DataFrame, key: list[str], n: int = DEFAULT_SAMPLE, seed: int = DEFAULT_SEED,
                      draw_col: str = "draw", tie: list[str] = ()) -> DataFrame:
-    """Exactly ``n`` rows drawn with replacement (none from an empty frame).
-
-    Rows have a random order by a hash of ``seed:key`` (equal hashes by ``key`` and ``tie``).
-    Draw ``i`` takes position ``hash(seed:i) mod N``; the distinct positions, in the order in
-    which they are first drawn, stand for the first rows of the random order. Which rows are
-    drawn together, and how often each, is as in sampling with replacement, but only the ``n``
-    smallest hashes are wanted, so no row is sorted, numbered or moved beyond a parameter-sized
-    set: rows whose hash lies below a bound that about ``4 n`` rows meet.
+    """Exactly ``n`` rows drawn with replacement (none from an empty frame), whatever the keys.
+
+    Rows are ordered by a seeded hash of their key and of those ``tie`` columns that are whole
+    numbers, texts, dates or booleans, then by key, ``tie`` and the other columns. Draw ``i`` takes
+    position ``hash(seed:i) mod N`` of this order. The order is cut into blocks by the leading bits
+    of the hash: counting them (at most 2^16 rows) splits the draws over the blocks, and only rows
+    of drawn blocks are kept and numbered, over as many partitions as they need, so neither the
+    table nor a key that fills a block is sorted in one task. Rows that are equal in all columns
+    are interchangeable. The sample is checkpointed: two passes over ``df``, none for what reads it.
     """
     if n < 0:
         raise ValueError("sample size must be >= 0")
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
-    total = df.agg(F.count(F.lit(1)).alias("_rows"))
-    hashed = df.withColumn("_h", _hash60(text))
-    few = hashed.join(F.broadcast(total), F.col("_h") / float(1 << 4 * HASH_DIGITS) * F.col("_rows") < 4 * n + 256)
-    order = Window.orderBy("_h", *key, *tie)
-    chosen = few.drop("_rows").withColumn("_j", F.row_number().over(order)).where(F.col("_j") <= n)
-    draws = (df.sparkSession.range(n).join(F.broadcast(total), F.col("_rows") > 0)
-             .select(F.col("id").alias(draw_col), draw_position(seed, F.col("id"), F.col("_rows")).alias("_p")))
-    first = (draws.groupBy("_p").agg(F.min(draw_col).alias("_first"))
-             .withColumn("_j", F.row_number().over(Window.orderBy("_first"))))
-    return (draws.join(first, "_p").join(chosen, "_j").select(draw_col, *df.columns))
+    spark = prepare(df.sparkSession)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*key, *_exact(df, tie)]]
+    block = F.shiftright(F.col("_h"), 4 * HASH_DIGITS - BLOCK_BITS).cast("int")
+    hashed = df.withColumn("_h", _hash60(F.concat_ws("|", F.lit(str(seed)), *parts))).withColumn("_b", block)
+    sizes = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    band = F.shiftright("_b", BLOCK_BITS - BAND_BITS)
+    # at most 2^BAND_BITS numbers reach the driver
+    bands = sorted((r.band, r.n) for r in sizes.groupBy(band.alias("band")).agg(F.sum("_n").alias("n")).collect())
+    total = sum(m for _, m in bands)
+    if not total or not n:
+        return df.limit(0).select(F.lit(0).cast("long").alias(draw_col), "*")
+    starts = [sum(m for _, m in bands[:i]) for i in range(len(bands))]
+    upto = Window.partitionBy("_band").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    inside = (sizes.withColumn("_band", band).withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+              .groupBy("_band").agg(F.array_sort(F.collect_list(F.struct("_before", "_b"))).alias("_blocks")))
+    draws = spark.range(n).select(F.col("id").alias(draw_col), draw_position(seed, F.col("id"), F.lit(total)).alias("_p"))
+    nth = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in starts]), lambda x: x <= F.col("_p")))
+    draws = draws.withColumn("_nth", nth).select(
+        draw_col, F.element_at(F.array(*[F.lit(int(x)) for x, _ in bands]), F.col("_nth")).alias("_band"),
+        (F.col("_p") - F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), F.col("_nth"))).alias("_off"))
+    found = F.element_at(F.filter("_blocks", lambda x: x["_before"] <= F.col("_off")), -1)
+    draws = (draws.join(inside, "_band").withColumn("_found", found)
+             .select(draw_col, F.col("_found._b").alias("_block"), (F.col("_off") - F.col("_found._before")).alias("_at")))
+    rest = [f.name for f in df.schema.fields if f.name not in {*key, *tie} and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    drawn = hashed.join(draws.select(F.col("_block").alias("_b")).distinct(), "_b", "left_semi").withColumn("_salt", F.rand(seed))
+    placed = with_ordinal(drawn, ["_b"], ["_h", *key, *tie, *rest, "_salt"], "_pos")
+    chosen = draws.join(placed, (F.col("_block") == F.col("_b")) & (F.col("_at") == F.col("_pos")))
+    return chosen.select(draw_col, *df.columns).checkpoint()
 
 
 def _keys(df: DataFrame, group) -> tuple[DataFrame, list[str]]:
@@ -189,11 +227,41 @@ def damage_probability(df: DataFrame, x: float, measure: str = "rDPS",
     return stats.withColumn("normal_tail", tail)
 
 
+def joint_upper_tail(h: Column, k: Column, rho: Column) -> Column:
+    """P(X >= h, Y >= k) of two standard normals with correlation ``rho``, as a Column expression.
+
+    For rho >= 0 it is the product of the tails plus 1 / (2 pi) times the integral over u, from
+    acos(rho) to a right angle, of exp(-((h - k)^2 + 4 h k sin^2(u / 2)) / (2 sin^2 u)). The range
+    is cut into panels that halve towards 0, where the integrand may drop steeply, with ten
+    Gauss-Legendre points each. For rho < 0 one variable is turned round."""
+    rho = F.greatest(F.least(rho, F.lit(1.0)), F.lit(-1.0))
+    turned = F.when(rho < 0, -k).otherwise(k)
+    low = F.acos(F.abs(rho))
+    panels = [(math.pi / 2 ** (j + 2) if j + 1 < PANELS else 0.0, math.pi / 2 ** (j + 1)) for j in range(PANELS)]
+    rule = [(s * x, w) for x, w in zip(GL_NODES, GL_WEIGHTS) for s in (-1.0, 1.0)]
+    points = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("bottom", "top", "node", "weight"), (*ends, *at))])
+                       for ends in panels for at in rule])
+
+    def term(p: Column) -> Column:
+        a, b = F.greatest(p["bottom"], low), F.greatest(p["top"], low)
+        u = (a + b) / 2 + (b - a) / 2 * p["node"]
+        gap = (h - turned) * (h - turned) + 4 * h * turned * F.pow(F.sin(u / 2), 2)
+        return F.when(b > a, (b - a) / 2 * p["weight"] * F.exp(-gap / (2 * F.pow(F.sin(u), 2)))).otherwise(0.0)
+
+    area = F.aggregate(points, F.lit(0.0), lambda total, p: total + term(p))
+    both = normal_upper_tail(h) * normal_upper_tail(turned) + area / (2 * math.pi)
+    return F.when(rho < 0, normal_upper_tail(h) - both).otherwise(both)
+
+
 def joint_probability(df: DataFrame, thresholds: dict[str, float], encounter: str | None = None,
                       job: str | None = None, group: list[str] = ("encounter_name", "class")) -> DataFrame:
     """Per group, the share of rows that reach every threshold (``p_all``) and that reach at
     least one (``p_any``), with the rows (``n``) in which all measures are present; optionally
-    of one encounter and one job. A NULL measure takes its row out."""
+    of one encounter and one job. A NULL measure takes its row out.
+
+    For two measures also the normal model: their correlation (``corr``) and the probabilities
+    ``normal_all`` and ``normal_any`` of a bivariate normal with the measured means, deviations and
+    correlation. A measure without spread is a point mass; a group of one row has no model."""
     if not thresholds or any(not (0 <= t <= 50_000) for t in thresholds.values()):
         raise ValueError("each threshold must lie in [0, 50000]")
     where = {"encounter_name": encounter, "class": job}
@@ -206,8 +274,23 @@ def joint_probability(df: DataFrame, thresholds: dict[str, float], encounter: st
     for r in reached[1:]:
         every, some = every & r, some | r
     present = rows.where(F.expr(" AND ".join(f"`{m}` IS NOT NULL" for m in thresholds)))
-    return present.groupBy(*group).agg(F.avg(every.cast("double")).alias("p_all"),
-                                       F.avg(some.cast("double")).alias("p_any"), F.count(F.lit(1)).alias("n"))
+    aggs = [F.avg(every.cast("double")).alias("p_all"), F.avg(some.cast("double")).alias("p_any"), F.count(F.lit(1)).alias("n")]
+    if len(thresholds) != 2:
+        return present.groupBy(*group).agg(*aggs)
+    (x, at_x), (y, at_y) = thresholds.items()
+    spread = [F.avg(_d(x)).alias("_mx"), F.stddev_samp(_d(x)).alias("_sx"), F.avg(_d(y)).alias("_my"), F.stddev_samp(_d(y)).alias("_sy"),
+              F.covar_samp(_d(x), _d(y)).alias("_cov")]
+    stats = present.groupBy(*group).agg(*aggs, *spread).withColumn("corr", F.try_divide(F.col("_cov"), F.col("_sx") * F.col("_sy")))
+    tails = {}
+    for c, at in (("x", at_x), ("y", at_y)):
+        mean, sd = F.col(f"_m{c}"), F.col(f"_s{c}")
+        tails[f"_z{c}"] = F.try_divide(F.lit(float(at)) - mean, sd)
+        tails[f"_t{c}"] = F.when(sd == 0, (mean >= at).cast("double")).otherwise(normal_upper_tail(F.try_divide(F.lit(float(at)) - mean, sd)))
+    stats = stats.withColumns(tails)
+    flat = (F.col("_sx") == 0) | (F.col("_sy") == 0)
+    both = F.when(flat, F.col("_tx") * F.col("_ty")).otherwise(joint_upper_tail(F.col("_zx"), F.col("_zy"), F.col("corr")))
+    return (stats.withColumn("normal_all", both).withColumn("normal_any", F.col("_tx") + F.col("_ty") - F.col("normal_all"))
+            .select(*group, "p_all", "p_any", "n", "corr", "normal_all", "normal_any"))
 
 
 # ------------------------------------------------------------------ L9

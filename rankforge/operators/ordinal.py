@@ -20,11 +20,15 @@ from its measured size.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+import re
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import prepare, shuffle_partitions
 
+SEED = 42
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | position in partition
 
 
@@ -101,23 +105,100 @@ def running_total(df: DataFrame, keys: list[str], order: list[str | Column], val
     return joined.select(*[local[c] for c in df.columns], total)
 
 
+#: Rows whose order values are sampled to estimate where a slice lies; rows that may be numbered
+#: in one task.
+SAMPLE, SORTED = 8192, 1_000_000
+
+_ORDER = re.compile(r"^\s*`?([^`]+?)`?(?:\s+(ASC|DESC))?(?:\s+NULLS\s+(FIRST|LAST))?\s*$", re.IGNORECASE)
+
+
+def _directions(order: list[str | Column]) -> list[tuple[str, bool, bool]]:
+    """(column, descending, nulls first) of each order term: a name, SQL such as ``v DESC NULLS
+    LAST``, or a sorted Column of a named column."""
+    found = []
+    for term in order:
+        m = _ORDER.match(term if isinstance(term, str) else term._jc.toString())
+        down = (m[2] or "ASC").upper() == "DESC"
+        found.append((m[1], down, (m[3] or ("LAST" if down else "FIRST")).upper() == "FIRST"))
+    return found
+
+
+def _comparable(df: DataFrame, name: str) -> Column:
+    """The column as something whose values a plan can hold as literals: times as microseconds."""
+    kind = df.schema[name].dataType.typeName()
+    return F.unix_micros(F.col(name).cast("timestamp")) if kind.startswith("timestamp") else F.col(name)
+
+
+def _precedes(terms: list[tuple[Column, bool, bool]], values: tuple) -> Column:
+    """Whether a row comes before the row with these order values."""
+    found, equal = F.lit(False), F.lit(True)
+    for (c, down, nulls_first), v in zip(terms, values):
+        if v is None:
+            before = F.lit(False) if nulls_first else c.isNotNull()
+        else:
+            before = F.coalesce(c > F.lit(v) if down else c < F.lit(v), F.lit(nulls_first))
+        found, equal = found | (equal & before), equal & c.eqNullSafe(F.lit(v))
+    return found
+
+
 def page_slice(df: DataFrame, order: list[str | Column], offset: int, limit: int,
                per_page: int, page_col: str = "page") -> DataFrame:
-    """Pages ``offset+1 .. offset+limit`` of ``per_page`` rows each in ``order`` (a unique
-    order makes the slice deterministic).
-
-    Rows are range-partitioned and tagged once; only the partitions that the slice spans (by
-    the one-row-per-partition offsets) keep their rows, and no task holds more than a
-    partition, however deep the page or however large the slice.
+    """Pages ``offset+1 .. offset+limit`` of ``per_page`` rows each in ``order`` (named columns, each
+    ascending or descending; a unique order makes the slice deterministic).
+
+    The slice is found by selection, not by sorting the table: a sample of the order values gives
+    two bounds that the slice should lie between; one aggregate counts the rows before them and
+    between them (bounds that missed the slice are widened); and the same is done again within
+    what is between, until it is small. Only that is sorted. The sample decides how often the
+    rows are counted, never which rows come out. Rows that many ties keep together, or a very large
+    slice, are numbered over many partitions.
     """
     if offset < 0 or limit < 0 or per_page <= 0:
         raise ValueError("offset and limit must be >= 0 and per_page > 0")
+    names = [name for name, _, _ in _directions(order)]
+    terms = [(_comparable(df, name), down, first) for name, down, first in _directions(order)]
+    sort = [getattr(c, f"{'desc' if down else 'asc'}_nulls_{'first' if first else 'last'}")() for c, down, first in terms]
     lo, hi = offset * per_page, (offset + limit) * per_page
-    tagged = tag_positions(df, [], order)
-    spanned = partition_offsets(tagged, []).where(
-        (F.col("_before") < hi) & (F.col("_before") + F.col("_cnt") > lo))
-    joined, _ = _join_offsets(tagged, spanned, [], ["_first", "_before"])
-    position = F.col("_before") + F.col("_loc") - F.col("_first")
-    return (joined.withColumn("_ord", position).where((F.col("_ord") >= lo) & (F.col("_ord") < hi))
-            .select(*[tagged[c] for c in df.columns],
-                    (F.floor(F.col("_ord") / per_page) + 1).cast("bigint").alias(page_col)))
+    kept, base, rows = df, 0, None     # the candidates, the rows before them, and their number
+    while lo < hi:
+        seen = Observation()
+        keys = kept.select(*[c.alias(f"_k{i}") for i, (c, _, _) in enumerate(terms)]).observe(seen, F.count(F.lit(1)).alias("n"))
+        named = [getattr(F.col(f"_k{i}"), f"{'desc' if down else 'asc'}_nulls_{'first' if first else 'last'}")()
+                 for i, (_, down, first) in enumerate(terms)]
+        sample = [tuple(r) for r in keys.orderBy(F.rand(SEED)).limit(SAMPLE).orderBy(*named).collect()]
+        total = seen.get["n"]
+        rows = total
+        if not sample or lo - base >= total:
+            return df.limit(0).withColumn(page_col, F.lit(0).cast("bigint"))
+        first, last = lo - base, min(hi - base, total) - 1      # wanted, within the candidates
+        slack = 0 if len(sample) == total else int(6 * math.sqrt(len(sample))) + 1
+        narrower = None
+        while narrower is None:
+            a = int(first / total * len(sample)) - slack if slack else first
+            b = int(math.ceil(last / total * len(sample))) + slack if slack else last
+            if a <= 0 and b >= len(sample) - 1:
+                break
+            below = _precedes(terms, sample[a]) if a > 0 else F.lit(False)
+            beyond = F.lit(False)
+            if b < len(sample) - 1:
+                beyond = ~_precedes(terms, sample[b])
+                for i, ((c, _, _), v) in enumerate(zip(terms, sample[b])):   # rows equal to the bound stay
+                    same = c.eqNullSafe(F.lit(v)) if i == 0 else same & c.eqNullSafe(F.lit(v))  # noqa: F821
+                beyond = beyond & ~same
+            counts = kept.agg(F.count_if(below).alias("below"), F.count_if(~below & ~beyond).alias("between")).first()
+            if counts.below <= first and counts.below + counts.between > last:
+                narrower = (kept.where(~below & ~beyond), base + counts.below, counts.between)
+            slack = 2 * slack + 1
+        if narrower is None or narrower[2] == total:
+            break
+        kept, base, rows = narrower
+        if rows <= SORTED:
+            break
+    if rows is not None and rows <= SORTED:
+        number = F.row_number().over(Window.orderBy(*sort)).cast("bigint") - 1
+        placed = kept.withColumn("_ord", number)
+    else:
+        placed = with_ordinal(kept, [], sort, "_ord")
+    place = F.col("_ord") + base
+    return (placed.where((place >= lo) & (place < hi))
+            .select(*df.columns, (F.floor(place / per_page) + 1).cast("bigint").alias(page_col)))

@@ -74,6 +74,14 @@ def expect_or_drop(df: DataFrame, rules: Mapping[str, str],
     return df.where(keep)
 
 
+def reject(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
+    """The rows that ``expect_or_drop`` drops: those that fail a rule."""
+    failed = F.lit(False)
+    for predicate in rules.values():
+        failed = failed | ~_passes(predicate)
+    return df.where(failed)
+
+
 def expectation_report(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """One row per rule: rows tested, rows failed, rows passed; plus an ``ALL`` row counting
     rows that fail at least one rule (the rows ``expect_or_drop`` removes). One scan."""

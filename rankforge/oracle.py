@@ -72,6 +72,21 @@ _FAULTS = f"""WITH f AS (SELECT * FROM events UNION ALL
 SILVER_ENCOUNTERS_FAULTS = f"{_FAULTS} SELECT * FROM silver"
 GOLD_ENCOUNTERS_FAULTS = f"{_FAULTS} SELECT * FROM gold"
 
+# Documents are (encounter, block of 100 event ids); those of each seventh block are cut off.
+_DOCS = "docs AS (SELECT DISTINCT user_id % 5 AS e, event_id // 100 AS doc FROM events)"
+QUARANTINE = f"""WITH {_DOCS} SELECT 'payload' AS broken, 'rankforge' AS rsrc, count(*) AS documents, count(*) AS with_text
+FROM docs WHERE doc % 7 = 0 HAVING count(*) > 0"""
+_READ = f"""WITH {_DOCS}, n AS (SELECT count(*) AS tested, count(*) FILTER (WHERE doc % 7 = 0) AS failed FROM docs)"""
+QUARANTINE_REPORT = f"""{_READ} SELECT rule, tested AS rows_tested, failed AS rows_failed, tested - failed AS rows_passed
+FROM n, (VALUES ('readable_document'), ('ALL')) r(rule)"""
+SILVER_ENCOUNTERS_READABLE = f"""WITH readable AS (SELECT * FROM events WHERE event_id // 100 % 7 <> 0),
+{encounter_ctes('readable')} SELECT * FROM silver_c"""
+STREAM_QUARANTINE = f"""{_READ}, l(ldts) AS (VALUES (TIMESTAMP '2026-01-01 00:00:00'), (TIMESTAMP '2026-01-02 00:00:00'))
+SELECT ldts, tested - failed AS documents, 'bronze_read' AS went_to FROM n, l
+UNION ALL SELECT ldts, failed, 'quarantine' FROM n, l WHERE failed > 0"""
+STREAM_QUARANTINE_COUNTS = f"""{_READ}
+SELECT 'bronze' AS query, 'readable_document' AS rule, 2 * tested AS rows_tested, 2 * failed AS rows_failed FROM n"""
+
 # The same encounters landed as files with the pull stamp 2026-01-01 00:00:00 as load time.
 SCAN_JSON_MULTILINE = f"""WITH src AS (SELECT *, TIMESTAMP '2026-01-01 00:00:00' AS ldts FROM events),
 {encounter_ctes('src', 'ldts,')} SELECT * FROM silver_c"""
@@ -262,21 +277,21 @@ FROM events"""
 # ---------------------------------------------------------------- analytics
 FEATURE_SELECT = f"""WITH {ENC} SELECT class, "rDPS", "aDPS", duration FROM gold WHERE encounter_name = 'The Fight 103'"""
 
-def _sample(table: str, key: list[str], tie: list[str] = (), n: int = 100, seed: int = 42) -> str:
-    """CTEs ``r`` (rows in the order of a seeded hash of their key) and ``i`` (draws, with the
-    rank of their position among the distinct ones in order of first appearance)."""
-    text = " || '|' || ".join([f"'{seed}'", *[f"coalesce({c}::VARCHAR, '')" for c in key]])
+def _sample(table: str, key: list[str], tie: list[str] = (), hashed: list[str] = (), n: int = 100, seed: int = 42) -> str:
+    """CTEs ``r`` (rows numbered from 0 in the order of a seeded hash of their key and of the
+    ``hashed`` columns) and ``i`` (draws with the position that each takes)."""
+    text = " || '|' || ".join([f"'{seed}'", *[f"coalesce({c}::VARCHAR, '')" for c in [*key, *hashed]]])
     order = ", ".join(f"{c} NULLS FIRST" for c in [*key, *tie])
-    return f"""r AS (SELECT row_number() OVER (ORDER BY ('0x' || substr(md5({text}), 1, 15))::BIGINT, {order}) AS j, *
+    return f"""r AS (SELECT row_number() OVER (ORDER BY ('0x' || substr(md5({text}), 1, 15))::BIGINT, {order}) - 1 AS j, *
         FROM {table}),
-  d AS (SELECT i AS draw, ('0x' || substr(md5('{seed}:' || i), 1, 15))::BIGINT % (SELECT count(*) FROM {table}) AS pos
-        FROM range({n}) t(i)),
-  f AS (SELECT pos, row_number() OVER (ORDER BY min(draw)) AS j FROM d GROUP BY pos),
-  i AS (SELECT draw, j FROM d JOIN f USING (pos))"""
+  i AS (SELECT i AS draw, ('0x' || substr(md5('{seed}:' || i), 1, 15))::BIGINT % (SELECT count(*) FROM {table}) AS j
+        FROM range({n}) t(i))"""
 
 
 BOOTSTRAP_SAMPLE = f"""WITH {_sample('events', ['event_id'])}
 SELECT draw, event_id, ts, user_id, event_type, value, props FROM i JOIN r USING (j)"""
+BOOTSTRAP_REPEATED = f"""WITH {_sample('events', ['event_type'], ['user_id', 'event_id'], ['user_id', 'event_id'], 250, 7)}
+SELECT draw, event_id, ts, user_id, event_type, value, props FROM i JOIN r USING (j)"""
 
 LEAST_SQUARES = f"""WITH {ENC} SELECT encounter_name, class,
   round(regr_slope("aDPS"::DOUBLE, "rDPS"::DOUBLE), 6) AS m,
@@ -292,7 +307,7 @@ R_SQUARED = """WITH st AS (SELECT event_type, round_even(regr_slope(value, user_
 SELECT * FROM q"""
 
 FIT_REPORT = f"""WITH {ENC},
-  {_sample('gold', ['encounter_name', 'player_name', 'class', 'ranked_date'], ['"rDPS"', '"aDPS"', 'duration'])},
+  {_sample('gold', ['encounter_name', 'player_name', 'class', 'ranked_date'], ['"rDPS"', '"aDPS"', 'duration'], ['duration'])},
   s AS (SELECT "rDPS"::DOUBLE AS x, "aDPS"::DOUBLE AS y FROM i JOIN r USING (j)),
   st AS (SELECT round_even(regr_slope(y, x), 2) AS m, round_even(regr_intercept(y, x), 2) AS b,
                 avg(y) AS yb, count(*) AS n FROM s)
@@ -321,11 +336,42 @@ SELECT encounter_name, class, round(empirical, 6) AS empirical, round(mean, 6) A
 MERGE_ENVELOPES = """WITH p AS (SELECT (user_id % 5 + 101)::INT AS eid, event_id // 100 AS page FROM events)
 SELECT eid, 'pull ' || min(page) AS title, count(DISTINCT page) AS pages, count(*) AS records FROM p GROUP BY eid"""
 
-JOINT_PROBABILITY = f"""WITH {ENC}
-SELECT encounter_name, class, round(avg(("rDPS" >= 50 AND "aDPS" >= 60)::INT::DOUBLE), 6) AS p_all,
-  round(avg(("rDPS" >= 50 OR "aDPS" >= 60)::INT::DOUBLE), 6) AS p_any, count(*) AS n
-FROM gold WHERE encounter_name = 'The Fight 103' AND class = 'Purchase Mage'
-  AND "rDPS" IS NOT NULL AND "aDPS" IS NOT NULL GROUP BY ALL"""
+
+
+def _upper(z: str) -> str:
+    """The upper tail of a standard normal by the same polynomial as the Spark expression."""
+    t = f"(1 / (1 + 0.3275911::DOUBLE * abs({z}) / sqrt(2)))"
+    half = (f"(0.5::DOUBLE * ((((1.061405429::DOUBLE * {t} - 1.453152027::DOUBLE) * {t} + 1.421413741::DOUBLE) * {t}"
+            f" - 0.284496736::DOUBLE) * {t} + 0.254829592::DOUBLE) * {t} * exp(-{z} * {z} / 2))")
+    return f"(CASE WHEN {z} >= 0 THEN {half} ELSE 1 - {half} END)"
+
+
+def _joint(source: str, group: str, x: str, y: str, at_x: float, at_y: float) -> str:
+    """CTEs and query of the shares and of the bivariate normal tail of two measures by group:
+    22 panels that halve towards 0 with ten Gauss-Legendre points each, in angles from the one
+    whose cosine is the correlation to a right angle."""
+    return f"""present AS (SELECT {group}, {x}::DOUBLE AS x, {y}::DOUBLE AS y FROM {source} WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+  st AS (SELECT {group}, avg((x >= {at_x} AND y >= {at_y})::INT::DOUBLE) AS p_all, avg((x >= {at_x} OR y >= {at_y})::INT::DOUBLE) AS p_any,
+    count(*) AS n, ({at_x} - avg(x)) / stddev_samp(x) AS h, ({at_y} - avg(y)) / stddev_samp(y) AS k0, corr(x, y) AS corr
+    FROM present GROUP BY ALL),
+  tn AS (SELECT *, CASE WHEN corr < 0 THEN -k0 ELSE k0 END AS k, acos(least(abs(corr), 1.0::DOUBLE)) AS low FROM st),
+  gl(node, weight) AS (SELECT s * node, weight FROM (VALUES (0.1488743389816312::DOUBLE, 0.2955242247147529::DOUBLE),
+    (0.4333953941292472, 0.2692667193099963), (0.6794095682990244, 0.2190863625159821), (0.8650633666889845, 0.1494513491505806),
+    (0.9739065285171717, 0.0666713443086881)) v(node, weight), (VALUES (-1), (1)) w(s)),
+  panel AS (SELECT CASE WHEN j < 21 THEN pi() / pow(2, j + 2) ELSE 0 END AS bottom, pi() / pow(2, j + 1) AS top FROM range(22) t(j)),
+  pt AS (SELECT tn.*, (greatest(bottom, low) + greatest(top, low)) / 2 + (greatest(top, low) - greatest(bottom, low)) / 2 * node AS u,
+    (greatest(top, low) - greatest(bottom, low)) / 2 * weight AS w FROM tn, panel, gl),
+  area AS (SELECT {group}, sum(CASE WHEN w > 0 THEN w * exp(-((h - k) * (h - k) + 4 * h * k * pow(sin(u / 2), 2)) / (2 * pow(sin(u), 2)))
+    ELSE 0 END) / (2 * pi()) AS a FROM pt GROUP BY ALL),
+  both_ AS (SELECT tn.*, CASE WHEN corr < 0 THEN {_upper('h')} - ({_upper('h')} * {_upper('k')} + a) ELSE {_upper('h')} * {_upper('k')} + a END AS q
+    FROM tn JOIN area USING ({group}))
+SELECT {group}, n, round(p_all, 6) AS p_all, round(p_any, 6) AS p_any, round(corr, 6) AS corr, round(q, 6) AS normal_all,
+  round({_upper('h')} + {_upper('k0')} - q, 6) AS normal_any FROM both_"""
+
+
+JOINT_PROBABILITY = f"""WITH {ENC}, one AS (SELECT * FROM gold WHERE encounter_name = 'The Fight 103' AND class = 'Purchase Mage'),
+  {_joint('one', 'encounter_name, class', '"rDPS"', '"aDPS"', 50, 60)}"""
+JOINT_NORMAL_TAIL = f"WITH {_joint('events', 'event_type', 'user_id', 'value', 40, 60)}"
 
 # ---------------------------------------------------------------- reports
 SELECT_REPORTS = """WITH rep AS (

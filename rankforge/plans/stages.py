@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..sources.files import attach_metadata
@@ -47,22 +47,33 @@ class PipelineSpec:
     ldts: Column | None = None
 
 
-def run_pipeline(raw: DataFrame, spec: PipelineSpec) -> dict[str, DataFrame]:
-    """Raw documents -> bronze -> silver -> gold; returns every stage frame (M5)."""
-    bronze = run_stages(raw, {"ingest": lambda d: d,
-                              "attach_metadata": lambda d: attach_metadata(d, spec.source, spec.ldts)},
-                        BRONZE_ORDER, ("ingest",), "bronze")
-    silver = run_stages(bronze, spec.silver, SILVER_ORDER, SILVER_REQUIRED, "silver")
-    gold = run_stages(silver, spec.gold, GOLD_ORDER, GOLD_REQUIRED, "gold")
-    return {"raw": raw, "bronze": bronze, "silver": silver, "gold": gold}
-
-
-def stage_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per stage: its position in the chain and its row count (A13, E1)."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(i).alias("step"), F.lit(name).alias("stage"), "rows")
-             for i, (name, df) in enumerate(frames.items())]
-    return reduce(DataFrame.unionByName, parts)
+def run_pipeline(raw: DataFrame, spec: PipelineSpec, seen: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
+    """Raw documents -> bronze -> silver -> gold; returns every stage frame (M5). With ``seen``
+    each frame counts its rows into an observation of its own, whenever the chain is run."""
+    def watched(name: str, df: DataFrame) -> DataFrame:
+        if seen is None or df is None:
+            return df
+        seen[name] = Observation(name)
+        return df.observe(seen[name], F.count(F.lit(1)).alias("rows"))
+
+    frames = {"raw": watched("raw", raw)}
+    frames["bronze"] = watched("bronze", run_stages(
+        frames["raw"], {"ingest": lambda d: d, "attach_metadata": lambda d: attach_metadata(d, spec.source, spec.ldts)},
+        BRONZE_ORDER, ("ingest",), "bronze"))
+    frames["silver"] = watched("silver", run_stages(frames["bronze"], spec.silver, SILVER_ORDER, SILVER_REQUIRED, "silver"))
+    frames["gold"] = watched("gold", run_stages(frames["silver"], spec.gold, GOLD_ORDER, GOLD_REQUIRED, "gold"))
+    return frames
+
+
+def stage_counts(raw: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """One row per stage: its position in the chain and its row count (A13, E1). The chain runs
+    once, when this is called: every stage is counted as its rows pass. (The counts are observed
+    metrics: an executor lost in the middle can make them count recomputed rows again.)"""
+    seen: dict[str, Observation] = {}
+    frames = run_pipeline(raw, spec, seen)
+    frames["gold"].agg(F.count(F.lit(1))).collect()
+    rows = [(i, name, seen[name].get["rows"]) for i, name in enumerate(frames)]
+    return raw.sparkSession.createDataFrame(rows, "step int, stage string, rows long")
 
 
 def guild_spec(source: str, ldts: Column | None = None) -> PipelineSpec:

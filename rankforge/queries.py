@@ -20,15 +20,16 @@ from .operators.ordinal import page_slice as _page_slice
 from .operators.quality import SILVER_ENCOUNTER_RULES, SILVER_GUILD_RULES, expectation_report
 from .plans import encounters as enc
 from .plans import guilds as gld
+from .plans.quarantine import RULES as QUARANTINE_RULES, document_report, mark_broken, quarantined, readable
 from .plans.reports import (document_fights, matching_reports, report_documents, report_envelope, report_fights,
                             select_reports as _select_reports)
-from .plans.stages import encounter_spec, guild_spec, run_pipeline, stage_counts as _stage_counts
+from .plans.stages import encounter_spec, guild_spec, stage_counts as _stage_counts
 from .session import prepare, shared_path
 from .sources import fixtures
 from .sources.catalog import ensure_schemas, publish_view, read_table, save_table, use_schema
-from .sources.files import (attach_metadata, preview_sql, raw_preview as _raw_preview, read_landing,
+from .sources.files import (attach_metadata, landing_file_name, preview_sql, raw_preview as _raw_preview, read_landing,
                             stamp_from_file_name, write_landing)
-from .streaming.flows import BATCH, append_checked, append_to_table, bronze_stream, ledger_totals
+from .streaming.flows import BATCH, Rejected, append_checked, append_to_table, bronze_stream, ledger_totals
 from .streaming.tables import read_rows, read_table_stream
 from .streaming.upsert import KeyedTable, upsert_stream
 
@@ -91,6 +92,29 @@ def gold_encounters_faults(spark, sf_dir):
     return enc.gold(enc.deduplicate(enc.silver_clean(_faulty_bronze(spark, sf_dir))))
 
 
+def _cut_off_bronze(spark, sf_dir):
+    docs = fixtures.cut_off(fixtures.rank_documents(_t(spark, sf_dir, "events")))
+    return mark_broken(attach_metadata(docs.drop("_doc"), SOURCE))
+
+
+def quarantine(spark, sf_dir):
+    """Documents of which each seventh is cut off: how many are set aside, by reason, with what
+    is left of them still readable as text."""
+    kept = quarantined(_cut_off_bronze(spark, sf_dir))
+    return kept.groupBy("broken", "rsrc").agg(F.count(F.lit(1)).alias("documents"),
+                                              F.count_if(F.col("document").startswith('{"encounter":{')).alias("with_text"))
+
+
+def quarantine_report(spark, sf_dir):
+    return document_report(_cut_off_bronze(spark, sf_dir))
+
+
+def silver_encounters_readable(spark, sf_dir):
+    """Silver of the documents that could be read."""
+    silver = enc.silver_clean(readable(_cut_off_bronze(spark, sf_dir)))
+    return _ntz(silver.drop("ldts", "rsrc"), "ranked_date")
+
+
 def silver_guilds(spark, sf_dir):
     return gld.silver_clean(guild_bronze(spark, sf_dir)).drop("ldts", "rsrc")
 
@@ -169,16 +193,14 @@ def raw_preview(spark, sf_dir):
 
 def stage_counts(spark, sf_dir):
     raw = fixtures.guild_documents(_t(spark, sf_dir, "customer")).drop("_doc")
-    frames = run_pipeline(raw, guild_spec(SOURCE))
-    return _stage_counts(frames)
+    return _stage_counts(raw, guild_spec(SOURCE))
 
 
 def stage_counts_encounters(spark, sf_dir):
     """The encounter chain through the stage runner: raw documents -> bronze -> silver
     (all rules, newest per key) -> gold (projection and gold rules)."""
     raw = fixtures.rank_documents(_t(spark, sf_dir, "events")).drop("_doc")
-    frames = run_pipeline(raw, encounter_spec(SOURCE))
-    return _stage_counts(frames)
+    return _stage_counts(raw, encounter_spec(SOURCE))
 
 
 # ---------------------------------------------------------------- page merge / slice / keys
@@ -335,6 +357,36 @@ def stream_table_comments(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+def _quarantine_flow(spark, sf_dir):
+    """Two pulls of which some lines are cut off, landed as text: readable documents go to bronze,
+    the others to a quarantine table, counts to the ledger, all in the write of a micro-batch."""
+    root = shared_path(spark, "stream", "quarantine")
+    suffix = root.rsplit("-", 1)[-1]
+    names = {t: f"{t}_{suffix}" for t in ("bronze_read", "quarantine", "ledger_read")}
+    docs = fixtures.rank_documents(_t(spark, sf_dir, "events"), as_text=False)
+    lines = fixtures.cut_off(docs.select(F.to_json(F.struct("worldData")).alias("worldData"), "_doc")).select("worldData")
+    for day in (1, 2):
+        lines.write.text(f"{root}/landing/{landing_file_name('encounters', dt.datetime(2026, 1, day))[:-5]}")
+        stream = bronze_stream(spark, f"{root}/landing", "encounters", SOURCE, stamp_from_file_name(), file_filter="*.txt", corrupt=True)
+        append_checked(mark_broken(stream), QUARANTINE_RULES, names["bronze_read"], names["ledger_read"], "bronze",
+                       f"{root}/_chk/bronze", "Landed documents that can be read.", f"{root}/bronze", f"{root}/ledger", readable,
+                       Rejected(names["quarantine"], quarantined, "Landed documents that cannot be read.", f"{root}/quarantine"))
+    return names
+
+
+def stream_quarantine(spark, sf_dir):
+    """What the quarantine table holds of each load, beside the documents that went on."""
+    names = _quarantine_flow(spark, sf_dir)
+    parts = [read_rows(spark, names[t]).groupBy("ldts").agg(F.count(F.lit(1)).alias("documents")).withColumn("went_to", F.lit(t))
+             for t in ("bronze_read", "quarantine")]
+    return _ntz(parts[0].unionByName(parts[1]), "ldts")
+
+
+def stream_quarantine_counts(spark, sf_dir):
+    """The ledger of the same hop: documents tested and failed."""
+    return ledger_totals(spark, _quarantine_flow(spark, sf_dir)["ledger_read"])
+
+
 def _guild_tables(root):
     suffix = f"guilds_{root.rsplit('-', 1)[-1]}"
     silver = KeyedTable(f"silver_{suffix}", ["guild_id"], "ldts", gld.TIE_BREAK, num_buckets=16,
@@ -401,6 +453,11 @@ def bootstrap_sample(spark, sf_dir):
     return an.bootstrap_sample(ev, ["event_id"], n=100, seed=42)
 
 
+def bootstrap_repeated(spark, sf_dir):
+    """A sample of rows of which many share a key (five event types)."""
+    return an.bootstrap_sample(_t(spark, sf_dir, "events"), ["event_type"], n=250, seed=7, tie=["user_id", "event_id"])
+
+
 def least_squares(spark, sf_dir):
     fit = an.least_squares(_gold_enc(spark, sf_dir), "rDPS", "aDPS", ["encounter_name", "class"])
     return fit.select("encounter_name", "class", F.round("m", 6).alias("m"), F.round("b", 6).alias("b"), "n")
@@ -450,7 +507,14 @@ def damage_probability(spark, sf_dir):
 def joint_probability(spark, sf_dir):
     """rDPS and/or aDPS of one job in one encounter."""
     p = an.joint_probability(_gold_enc(spark, sf_dir), {"rDPS": 50.0, "aDPS": 60.0}, "The Fight 103", "Purchase Mage")
-    return p.select("encounter_name", "class", F.round("p_all", 6).alias("p_all"), F.round("p_any", 6).alias("p_any"), "n")
+    return p.select("encounter_name", "class", "n", *[F.round(c, 6).alias(c) for c in ("p_all", "p_any", "corr", "normal_all", "normal_any")])
+
+
+def joint_normal_tail(spark, sf_dir):
+    """Value and user id of every event type together: measures that hardly correlate."""
+    rows = _t(spark, sf_dir, "events").select("event_type", (F.col("user_id") + 0.0).alias("user"), "value")
+    p = an.joint_probability(rows, {"user": 40.0, "value": 60.0}, group=["event_type"])
+    return p.select("event_type", "n", *[F.round(c, 6).alias(c) for c in ("p_all", "p_any", "corr", "normal_all", "normal_any")])
 
 
 # ---------------------------------------------------------------- reports
@@ -492,6 +556,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "presentation": presentation,
     "silver_encounters_faults": silver_encounters_faults,
     "gold_encounters_faults": gold_encounters_faults,
+    "quarantine": quarantine,
+    "quarantine_report": quarantine_report,
+    "silver_encounters_readable": silver_encounters_readable,
+    "stream_quarantine": stream_quarantine,
+    "stream_quarantine_counts": stream_quarantine_counts,
     "silver_guilds": silver_guilds,
     "gold_guilds": gold_guilds,
     "scan_json_lines": scan_json_lines,
@@ -523,6 +592,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_gold_guilds": stream_gold_guilds,
     "feature_select": feature_select,
     "bootstrap_sample": bootstrap_sample,
+    "bootstrap_repeated": bootstrap_repeated,
     "least_squares": least_squares,
     "r_squared": r_squared,
     "fit_report": fit_report,
@@ -530,6 +600,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_from_points": line_from_points,
     "damage_probability": damage_probability,
     "joint_probability": joint_probability,
+    "joint_normal_tail": joint_normal_tail,
     "report_envelopes": report_envelopes,
     "select_guild_reports": select_guild_reports,
     "report_document_fights": report_document_fights,
@@ -542,6 +613,11 @@ ORACLE_SQL: dict[str, str] = {
     "presentation": oracle.PRESENTATION,
     "silver_encounters_faults": oracle.SILVER_ENCOUNTERS_FAULTS,
     "gold_encounters_faults": oracle.GOLD_ENCOUNTERS_FAULTS,
+    "quarantine": oracle.QUARANTINE,
+    "quarantine_report": oracle.QUARANTINE_REPORT,
+    "silver_encounters_readable": oracle.SILVER_ENCOUNTERS_READABLE,
+    "stream_quarantine": oracle.STREAM_QUARANTINE,
+    "stream_quarantine_counts": oracle.STREAM_QUARANTINE_COUNTS,
     "silver_guilds": oracle.SILVER_GUILDS,
     "gold_guilds": oracle.GOLD_GUILDS,
     "scan_json_lines": oracle.SCAN_JSON_LINES,
@@ -573,6 +649,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_gold_guilds": oracle.STREAM_GOLD_GUILDS,
     "feature_select": oracle.FEATURE_SELECT,
     "bootstrap_sample": oracle.BOOTSTRAP_SAMPLE,
+    "bootstrap_repeated": oracle.BOOTSTRAP_REPEATED,
     "least_squares": oracle.LEAST_SQUARES,
     "r_squared": oracle.R_SQUARED,
     "fit_report": oracle.FIT_REPORT,
@@ -580,6 +657,7 @@ ORACLE_SQL: dict[str, str] = {
     "line_from_points": oracle.LINE_FROM_POINTS,
     "damage_probability": oracle.DAMAGE_PROBABILITY,
     "joint_probability": oracle.JOINT_PROBABILITY,
+    "joint_normal_tail": oracle.JOINT_NORMAL_TAIL,
     "report_envelopes": oracle.REPORT_ENVELOPES,
     "select_guild_reports": oracle.SELECT_GUILD_REPORTS,
     "report_document_fights": oracle.REPORT_DOCUMENT_FIGHTS,

@@ -101,6 +101,13 @@ def guild_documents(customer: DataFrame, as_text: bool = True, tag: str | None =
     return docs.select(body.alias("guildData"), F.col("doc").alias("_doc"))
 
 
+def cut_off(documents: DataFrame, column: str = "worldData", every: int = 7) -> DataFrame:
+    """The same documents with the text of each ``every``-th document number (``_doc``) cut off
+    in the middle, as an interrupted transfer leaves it."""
+    half = F.expr(f"substring({column}, 1, cast(length({column}) / 2 as int))")
+    return documents.withColumn(column, F.when(F.col("_doc") % every == 0, half).otherwise(F.col(column)))
+
+
 def event_pages(events: DataFrame) -> DataFrame:
     """Paged pulls: (eid, page, arr) with ``arr`` the sorted event ids of one page."""
     return (events.select((F.col("user_id") % 5 + 101).cast("int").alias("eid"),

@@ -9,13 +9,14 @@ transforms are the same ``DataFrame -> DataFrame`` functions as in batch.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.quality import expect_or_drop
+from ..operators.quality import expect_or_drop, reject
 from ..sources.files import attach_metadata, stream_landing
 from .tables import OVERWRITE_MODE, create_table
 from .upsert import run_to_completion
@@ -28,11 +29,22 @@ LEDGER = T.StructType([T.StructField(name, kind) for name, kind in (
     ("query", T.StringType()), ("batch", T.LongType()))])
 
 
+@dataclass(frozen=True)
+class Rejected:
+    """Where rows go that fail a rule: the table, what is kept of a row, comment and place."""
+
+    table: str
+    shape: Callable[[DataFrame], DataFrame]
+    comment: str | None = None
+    path: str | None = None
+
+
 def bronze_stream(spark: SparkSession, landing_dir: str, dataset: str, source: str,
                   ldts: Column | None = None, layout: str = "lines",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Incremental scan of the landing folder with load metadata (A2 + A3)."""
-    return attach_metadata(stream_landing(spark, landing_dir, dataset, True, layout, max_files_per_trigger),
+                  max_files_per_trigger: int | None = None, **reading) -> DataFrame:
+    """Incremental scan of the landing folder with load metadata (A2 + A3); ``reading``: further
+    arguments of :func:`rankforge.sources.files.stream_landing`."""
+    return attach_metadata(stream_landing(spark, landing_dir, dataset, True, layout, max_files_per_trigger, **reading),
                            source, ldts)
 
 
@@ -52,7 +64,9 @@ def create_ledger(spark: SparkSession, ledger: str, path: str | None = None) ->
 
 
 def append_checked(stream: DataFrame, rules: Mapping[str, str], table: str, ledger: str, query: str, checkpoint: str,
-                   comment: str | None = None, path: str | None = None, ledger_path: str | None = None) -> None:
+                   comment: str | None = None, path: str | None = None, ledger_path: str | None = None,
+                   shape: Callable[[DataFrame], DataFrame] | None = None,
+                   rejected: Rejected | None = None) -> None:
     """Append the rows that pass every rule to ``table`` and each micro-batch's counts, taken
     while its rows are written, to ``ledger`` (D6, J2), until the input is drained.
 
@@ -61,18 +75,29 @@ def append_checked(stream: DataFrame, rules: Mapping[str, str], table: str, ledg
     stream that reads the table sees its rows again then (a keyed upsert ignores them). The counts
     are observed metrics: an executor lost in the middle of a write can make them count the
     recomputed rows again.
+
+    ``shape`` selects the columns of the rows that pass. ``rejected`` names a second table for those
+    that do not (with what is kept of them), written by the same micro-batch.
     """
     spark = stream.sparkSession
-    create_table(spark, table, stream.schema.add(BATCH, "long") if BATCH not in stream.columns else stream.schema,
-                 comment, path, [BATCH])
+    shape = shape or (lambda rows: rows)
+
+    def make(name: str, rows: DataFrame, text: str | None, place: str | None) -> None:
+        create_table(spark, name, T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())]), text, place, [BATCH])
+
+    make(table, shape(stream), comment, path)
+    if rejected:
+        make(rejected.table, rejected.shape(stream), rejected.comment, rejected.path)
     create_ledger(spark, ledger, ledger_path)
 
     def write(rows: DataFrame, batch_id: int) -> None:
         own = rows.sparkSession            # the stream's private session
         own.conf.set(OVERWRITE_MODE, "dynamic")
         seen = Observation()
-        kept = expect_or_drop(rows, rules, seen).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        kept.write.insertInto(table, overwrite=True)
+        number = F.lit(batch_id).cast("long")
+        shape(expect_or_drop(rows, rules, seen)).withColumn(BATCH, number).write.insertInto(table, overwrite=True)
+        if rejected:
+            rejected.shape(reject(rows, rules)).withColumn(BATCH, number).write.insertInto(rejected.table, overwrite=True)
         found = seen.get
         counts = [(rule, found["rows_tested"], found[f"failed_{rule}"], query, batch_id) for rule in rules]
         own.createDataFrame(counts, LEDGER).coalesce(1).write.insertInto(ledger, overwrite=True)

@@ -92,17 +92,44 @@ def test_bootstrap_is_exact_size_with_replacement(spark):
     assert an.bootstrap_sample(df.limit(0), ["k"], n=5).count() == 0
 
 
-def test_bootstrap_repeats_follow_the_positions(spark):
+def test_bootstrap_follows_the_positions(spark):
     import hashlib
 
     df = spark.range(1000).withColumnRenamed("id", "k")
     got = {r.draw: r.k for r in an.bootstrap_sample(df, ["k"], n=80, seed=7).collect()}
     h = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:15], 16)
     ranked = sorted(range(1000), key=lambda k: (h(f"7|{k}"), k))
-    seen = {}
-    for i in range(80):
-        p = h(f"7:{i}") % 1000
-        assert got[i] == ranked[seen.setdefault(p, len(seen))]
+    assert all(got[i] == ranked[h(f"7:{i}") % 1000] for i in range(80))
+
+
+@pytest.mark.parametrize("distinct", [1, 25, 5000])
+def test_bootstrap_is_exact_whatever_the_keys(spark, distinct):
+    """n rows for one key, for few and for unique ones; each row is about as likely as any other."""
+    df = spark.range(5000).select((F.col("id") % distinct).alias("k"), F.col("id").alias("row"), (F.col("id") / 3).alias("x"))
+    for tie in ([], ["x"]):
+        got = an.bootstrap_sample(df, ["k"], n=3000, seed=5, tie=tie)
+        rows = got.collect()
+        assert got.columns == ["draw", "k", "row", "x"] and sorted(r.draw for r in rows) == list(range(3000))
+        assert all(r.k == r.row % distinct for r in rows)
+        seen = len({r.row for r in rows})
+        assert abs(seen - 5000 * (1 - math.exp(-0.6))) < 150          # with replacement: 45 % of the rows
+        again = an.bootstrap_sample(df.repartition(5), ["k"], n=3000, seed=5, tie=tie)
+        assert sorted(again.collect()) == sorted(rows)
+
+
+def test_bootstrap_of_equal_rows_and_null_keys(spark):
+    df = spark.createDataFrame([(None, 1)] * 40 + [("a", 2)] * 60, "k string, v int").withColumn("m", F.create_map(F.lit("x"), "v"))
+    got = an.bootstrap_sample(df, ["k"], n=400, seed=1).collect()
+    assert len(got) == 400 and 120 < sum(r.k is None for r in got) < 200 and all(r.m == {"x": r.v} for r in got)
+
+
+def test_fit_report_reads_its_sample_once(spark):
+    """The sample is a checkpoint: nothing of the table is read again by what uses it."""
+    df = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 2.0).alias("x"), (F.col("id") * 6.0 + 1).alias("y"))
+    rep = an.fit_report(an.bootstrap_sample(df, ["k"], n=50), "x", "y")
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert "Range (" not in plan and "ExistingRDD" in plan
+    assert (rep.first().m, rep.first().b, rep.first().n) == (3.0, 1.0, 50)
 
 
 def test_draw_positions_reach_beyond_32_bits(spark):
@@ -120,6 +147,42 @@ def test_joint_probability(spark):
         an.joint_probability(df, {})
 
 
+def plain_joint(h, k, rho):
+    """P(X >= h, Y >= k) by summing the conditional tail over a fine grid of X."""
+    if abs(rho) > 1 - 1e-12:
+        tail = lambda z: 0.5 * math.erfc(z / math.sqrt(2))
+        return tail(max(h, k)) if rho > 0 else max(0.0, tail(h) - tail(-k))
+    x = np.linspace(h, max(h, 0) + 12, 400_001)
+    tail = np.array([0.5 * math.erfc(v) for v in (k - rho * x[::40]) / math.sqrt(2 * (1 - rho * rho))])
+    f = np.exp(-x[::40] ** 2 / 2) / math.sqrt(2 * math.pi) * tail
+    return float(((f[1:] + f[:-1]) / 2 * np.diff(x[::40])).sum())
+
+
+def test_joint_normal_tail_against_numerical_integration(spark):
+    cases = [(h, k, r) for h in (-2.0, -0.3, 0.0, 0.4, 1.7) for k in (-1.1, 0.0, 0.4, 2.2)
+             for r in (-1.0, -0.99, -0.6, 0.0, 0.3, 0.8, 0.95, 0.999, 1.0)]
+    df = spark.createDataFrame(cases, "h double, k double, r double")
+    for row in df.withColumn("p", an.joint_upper_tail(F.col("h"), F.col("k"), F.col("r"))).collect():
+        assert row.p == pytest.approx(plain_joint(row.h, row.k, row.r), abs=1e-6), row
+
+
+def test_joint_probability_has_the_normal_model(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(50, 10, 4000)
+    y = 0.7 * x + rng.normal(20, 8, 4000)
+    rows = [("e", "c", float(a), float(b)) for a, b in zip(x, y)] + [("e", "flat", 60.0, v) for v in (1.0, 99.0)] + [("e", "one", 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "encounter_name string, class string, rDPS double, aDPS double")
+    got = {r["class"]: r for r in an.joint_probability(df, {"rDPS": 55, "aDPS": 60}).collect()}
+    h, k = (55 - x.mean()) / x.std(ddof=1), (60 - y.mean()) / y.std(ddof=1)
+    rho = np.corrcoef(x, y)[0, 1]
+    both = plain_joint(h, k, rho)
+    assert got["c"].corr == pytest.approx(rho, abs=1e-9) and got["c"].normal_all == pytest.approx(both, abs=1e-6)
+    assert got["c"].normal_any == pytest.approx(0.5 * math.erfc(h / 2 ** 0.5) + 0.5 * math.erfc(k / 2 ** 0.5) - both, abs=1e-6)
+    assert abs(got["c"].normal_all - got["c"].p_all) < 0.02
+    assert got["flat"].normal_all == pytest.approx(0.5 * math.erfc((60 - 50) / (98 / 2 ** 0.5) / 2 ** 0.5), abs=1e-6)
+    assert got["one"].normal_all is None and got["one"].n == 1
+
+
 def test_nearly_perfect_fit_keeps_its_residual(spark):
     rows = [(1e7 + i, 2 * (1e7 + i) + (1e-4 if i % 2 else -1e-4)) for i in range(1000)]
     df = spark.createDataFrame(rows, "x double, y double")

@@ -59,6 +59,34 @@ def test_page_slice_matches_window(skewed):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+@pytest.mark.parametrize("sample,most", [(64, 100), (256, 10 ** 6), (10 ** 6, 10)])
+def test_page_slice_selects_for_any_sample(spark, monkeypatch, sample, most):
+    """Small samples (bounds widened, counted again), samples of the whole table, slices numbered
+    over many partitions; ties, nulls on either side, times, text; pages beyond the end."""
+    monkeypatch.setattr(ordinal, "SAMPLE", sample)
+    monkeypatch.setattr(ordinal, "SORTED", most)
+    v = F.when(F.col("id") % 11 == 0, None).when(F.col("id") % 3 == 0, 7).otherwise((F.col("id") * 37) % 101)
+    df = spark.range(3000).select("id", v.alias("v"), F.timestamp_seconds(F.col("id") % 50).cast("timestamp_ntz").alias("t"),
+                                  F.concat(F.lit("n'"), F.col("id") % 7).alias("s")).cache()
+    for order in (["v DESC NULLS LAST", "id"], [F.col("v").asc_nulls_last(), F.col("id").desc()], ["t", "s desc", "`id`"])[:2 if sample > 64 else 3]:
+        terms = [getattr(F.col(n), f"{'desc' if d else 'asc'}_nulls_{'first' if f else 'last'}")() for n, d, f in ordinal._directions(order)]
+        ranked = df.withColumn("rn", F.row_number().over(Window.orderBy(*terms)) - 1)
+        for offset, limit in ((0, 1), (40, 2), (58, 9)):
+            got = ordinal.page_slice(df, order, offset, limit, 50)
+            want = ranked.where((F.col("rn") >= offset * 50) & (F.col("rn") < (offset + limit) * 50))
+            want = want.withColumn("page", (F.floor(F.col("rn") / 50) + 1).cast("bigint")).drop("rn")
+            assert got.count() == want.count() and got.exceptAll(want).count() == 0, (order, offset, limit)
+
+
+def test_page_slice_of_one_hot_value_and_of_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ordinal, "SAMPLE", 50)
+    monkeypatch.setattr(ordinal, "SORTED", 100)
+    same = spark.range(2000).select(F.lit(1).alias("v"), "id")
+    assert ordinal.page_slice(same, ["v"], 3, 2, 100).count() == 200
+    assert ordinal.page_slice(same.limit(0), ["v"], 0, 2, 100).count() == 0
+    assert ordinal.page_slice(same, ["v"], 3, 0, 100).count() == 0
+
+
 def test_page_slice_rejects_bad_arguments(skewed):
     with pytest.raises(ValueError):
         ordinal.page_slice(skewed, ["id"], -1, 1, 10)

@@ -53,16 +53,6 @@ def test_r_squared_sums_residuals_in_one_aggregate(plan):
     assert any("partial_sum" in n[1] for n in _nodes(tree))
 
 
-def test_bootstrap_numbers_only_a_parameter_sized_set(plan):
-    for name in ("bootstrap_sample", "fit_report"):
-        tree = plan(name)
-        windows = [n for n in _nodes(tree) if n[0] in ("Window", "TakeOrderedAndProject")]
-        assert windows
-        for w in windows:                         # below: the hash bound, or the draws
-            below = " ".join(x[1] for x in _nodes(w))
-            assert "_rows" in below
-
-
 def test_newest_per_key_is_a_partial_aggregate(plan):
     tree = plan("latest_per_key")
     descs = [n[1] for n in _nodes(tree)]
@@ -75,12 +65,13 @@ def test_fits_and_tails_aggregate_map_side(plan):
         assert any(fn in n[1] for n in _nodes(plan(name))), name
 
 
-def test_page_slice_numbers_rows_without_one_task(plan):
-    for name in ("page_slice", "select_reports"):
-        tree = plan(name)
-        assert "TakeOrderedAndProject" not in _names(tree) and "Scan ExistingRDD" in " ".join(n[1] for n in _nodes(tree))
-        for w in (n for n in _nodes(tree) if n[0] == "Window"):      # one row per partition
-            assert any(n[0] in AGGREGATES for n in _nodes(w))
+def test_page_slice_sorts_only_what_the_slice_spans(plan):
+    """One scan with the two bounds as filters above it, no checkpoint, a window over what is left."""
+    tree = plan("page_slice")
+    descs = [n[1] for n in _nodes(tree)]
+    assert not any("ExistingRDD" in d for d in descs) and sum("FileScan" in d for d in descs) == 1
+    windows = [n for n in _nodes(tree) if n[0] == "Window"]
+    assert len(windows) == 1 and any(n[0] == "Filter" and "c_acctbal" in n[1] for n in _nodes(windows[0]))
 
 
 def test_surrogate_key_reads_only_its_columns(plan):

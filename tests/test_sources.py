@@ -68,7 +68,8 @@ def test_schemas_and_tables(spark):
 def test_stage_runner_order_and_contract(spark):
     raw = spark.createDataFrame([(guild_doc(GUILDS),)], "guildData string")
     frames = run_pipeline(raw, guild_spec("src"))
-    counts = {r.stage: r.rows for r in stage_counts(frames).collect()}
+    assert {name: df.count() for name, df in frames.items()} == {"raw": 1, "bronze": 1, "silver": 3, "gold": 3}
+    counts = {r.stage: r.rows for r in stage_counts(raw, guild_spec("src")).collect()}
     assert counts == {"raw": 1, "bronze": 1, "silver": 3, "gold": 3}
     with pytest.raises(ValueError):
         run_stages(None, {"define": gld.define, "clean": gld.clean})
@@ -87,3 +88,39 @@ def test_preview_sql_with_declared_schema(spark):
     out = preview_sql(spark, landing, "src", schema=schemas.landing_schema("guilds", as_text=False))
     row = out.first()
     assert out.columns == ["guildData", "ldts", "rsrc"] and row.guildData.guilds.data[0].id == 41
+
+
+def test_stage_counts_run_the_chain_once(spark):
+    """Every raw document is read once for all four counts."""
+    reads = spark.sparkContext.accumulator(0)
+    raw = spark.createDataFrame([(guild_doc(GUILDS),)] * 5, "guildData string")
+    watched = raw.mapInArrow(lambda batches: ((reads.add(b.num_rows), b)[1] for b in batches), raw.schema)
+    assert [tuple(r) for r in stage_counts(watched, guild_spec("src")).collect()] == [
+        (0, "raw", 5), (1, "bronze", 5), (2, "silver", 3), (3, "gold", 3)]
+    assert reads.value == 5
+
+
+def test_broken_documents_are_kept_and_counted(spark):
+    """A cut-off line, a cut-off payload and a payload of another kind are set aside with their
+    text; an empty document, a null one and one with a malformed field are not."""
+    from rankforge.plans.quarantine import document_report, mark_broken, quarantined, readable
+
+    good = guild_doc(GUILDS)
+    bad_field = good.replace('"total": 2', '"total": "many"') if '"total": 2' in good else good
+    rows = [good, good[:len(good) // 2], "not json", "[1, 2", None, "{}", bad_field, "", '"text"']
+    folder = shared_path(spark, "test", "broken")
+    bronze = attach_metadata(spark.createDataFrame([(r,) for r in rows], "guildData string"), "src")
+    marked = mark_broken(bronze, "guilds")
+    aside = quarantined(marked, "guilds")
+    assert {r.document for r in aside.collect()} >= {good[:len(good) // 2], "not json", "[1, 2"}
+    assert all(r.broken == "payload" and r.rsrc == "src" and r.ldts is not None for r in aside.collect())
+    went_on = {r.guildData for r in readable(marked).collect()}
+    assert {good, None, "{}", bad_field} <= went_on and readable(marked).columns == bronze.columns
+    report = {r.rule: (r.rows_tested, r.rows_failed) for r in document_report(marked).collect()}
+    assert report["readable_document"] == (len(rows), aside.count())
+    lines = ['{"guildData": {"guilds": {"total": 1}}}', '{"guildData": {"guilds": {"to', '{"guildData": 5}', "{}"]
+    spark.createDataFrame([(x,) for x in lines], "v string").coalesce(1).write.text(folder)
+    landed = mark_broken(attach_metadata(read_landing(spark, folder, "guilds", file_filter="*.txt", corrupt=True), "s"), "guilds")
+    found = {r.document: r.broken for r in quarantined(landed, "guilds").collect()}
+    assert found[lines[1]] == "line" and lines[0] not in found
+    assert readable(landed).count() + len(found) == 4
