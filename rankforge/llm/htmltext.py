@@ -27,7 +27,7 @@ LIMIT = 4.0
 #: Default weights of a word and a tag, and the least cost of any tag.
 WORD, TAG, LEAST = 1.0, -0.25, -0.05
 
-_RAW = "script|style|noscript|template|textarea|iframe|svg|math|canvas|object|select|title"
+_RAW = "script|style|noscript|template|textarea|iframe|svg|canvas|select|title"
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -36,7 +36,8 @@ _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden|itemprop)\b(?:\s*=\
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt "
-                     "ruby s samp small span strike strong sub sup time tt u var wbr").split())
+                     "ruby s samp small span strike strong sub sup time tt u var wbr object math mfrac mi mn mo mover mroot mrow ms "
+                     "msqrt msub msubsup msup mtext munder semantics").split())
 #: Elements that only shape text; they hold no context of their own unless an attribute says so.
 _PLAIN = _INLINE | frozenset("p li dt dd tr td th tbody thead h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _FURNITURE = frozenset("head nav footer aside form button fieldset dialog menu noscript input option".split())
@@ -49,8 +50,15 @@ _WORDS = frozenset((
     "complementary contentinfo dialog hidden").split())
 
 
-def _furniture(name: str, tokens: list[str]) -> bool:
-    return name in _FURNITURE or any(t in _WORDS for t in tokens)
+#: Elements that hold the page or the article whatever their names say, and names of wrappers.
+_HOLDERS = frozenset("html body article main".split())
+_WRAPPERS = frozenset(("article body container content entry hentry layout main page post posts single site story text "
+                       "wrap wrapper").split())
+
+
+def _suspect(name: str, tokens: list[str]) -> bool:
+    """Whether an element's names are those of furniture."""
+    return name not in _HOLDERS and any(t in _WORDS for t in tokens)
 
 
 def _attributes(attrs: str) -> tuple[list[str], str, bool]:
@@ -79,6 +87,8 @@ class Item:
     context: str
     dead: bool
     inside: bool
+    #: Enclosing elements that are furniture by their names, unless they hold most of the words.
+    suspects: tuple[int, ...] = ()
 
 
 @dataclass(slots=True)
@@ -87,19 +97,23 @@ class _Open:
     context: str
     dead: bool
     inside: bool
+    suspects: tuple[int, ...] = ()
 
 
 def read(page: str) -> list[Item]:
     """The words and tags of a page in order; scripts, styles and remarks are dropped. Unclosed
-    elements end with the element around them, stray end tags are ignored."""
+    elements end with the element around them, stray end tags are ignored. An element that its
+    names call both a wrapper and furniture (``post with-comments``) is no furniture if it holds
+    more than half of the page's words."""
     items: list[Item] = []
+    wrappers: list[bool] = []
     stack = [_Open("", "", False, False)]
     at = 0
 
     def text(upto: int) -> None:
         if upto > at:
             top = stack[-1]
-            items.append(Item(None, page[at:upto], top.context, top.dead, top.inside))
+            items.append(Item(None, page[at:upto], top.context, top.dead, top.inside, top.suspects))
 
     for m in _TOKEN.finditer(page):
         text(m.start())
@@ -108,7 +122,7 @@ def read(page: str) -> list[Item]:
         if not name:
             continue
         top = stack[-1]
-        items.append(Item(name, "", top.context, top.dead, top.inside))
+        items.append(Item(name, "", top.context, top.dead, top.inside, top.suspects))
         if m["close"]:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].name == name:
@@ -126,11 +140,27 @@ def read(page: str) -> list[Item]:
         top = stack[-1]
         # A header of the article belongs to it, any other is furniture; an article opens anew
         # what an unclosed element before it would swallow.
-        dead = hidden or _furniture(name, tokens) or (name == "header" and not top.inside)
+        dead = hidden or name in _FURNITURE or (name == "header" and not top.inside)
+        suspect = not article and _suspect(name, tokens)
         if article and not dead:
-            top = stack[0] if top.dead and not top.inside else top
-        stack.append(_Open(name, ".".join([name, *sorted(set(tokens))]), dead or top.dead, article or top.inside))
+            top = stack[0] if (top.dead or top.suspects) and not top.inside else top
+        suspects = top.suspects
+        if suspect:
+            suspects = (*suspects, len(wrappers))
+            wrappers.append(any(t in _WRAPPERS for t in tokens))
+        stack.append(_Open(name, ".".join([name, *sorted(set(tokens))]), dead or top.dead, article or top.inside, suspects))
     text(len(page))
+    if wrappers:
+        words, total = [0] * len(wrappers), 0
+        if any(wrappers):
+            for x in items:
+                if x.tag is None and not x.dead:
+                    n = len(x.text.split())
+                    total += n
+                    for i in x.suspects:
+                        words[i] += n
+        for x in items:
+            x.dead = x.dead or any(not (wrappers[i] and 2 * words[i] > total) for i in x.suspects)
     return items
 
 
@@ -164,11 +194,12 @@ def region(scores: list[float]) -> tuple[int, int]:
     return span
 
 
-def _join(items: list[Item], weights: Weights) -> str:
+def _join(items: list[Item]) -> str:
+    """All words of the items but those in furniture, by blocks."""
     blocks, words = [], []
     for x in items:
         if x.tag is None:
-            if not x.dead and weights.word.get(x.context, WORD) > 0:
+            if not x.dead:
                 words.append(x.text)
         elif x.tag not in _INLINE:
             blocks.append("".join(words))
@@ -186,7 +217,7 @@ def extract(page: str, weights: Weights) -> str:
     items = read(page)
     for w in (weights, Weights()):
         a, b = region([w.of(x) for x in items])
-        found = _join(items[a:b], w)
+        found = _join(items[a:b])
         if found:
             return found
     return ""

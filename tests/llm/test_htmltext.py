@@ -73,3 +73,35 @@ def test_weights_come_from_labelled_pages(spark):
     assert w.word["article"] > 0 > w.word["div.box"] and all(v <= H.LEAST for v in w.tag.values())
     unlabelled = "<body><p>" + "good words " * 9 + "</p><div class=box>promo promo</div></body>"
     assert H.extract(unlabelled, w) == ("good words " * 9).strip()
+
+
+_BODY = "<p>The first paragraph of this page has quite a few words.</p><ul><li>a point</li><li>another point</li></ul>"
+_TEXT = "The first paragraph of this page has quite a few words.\n\na point\n\nanother point"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body class='single no-sidebar'>{_BODY}</body>",
+    f"<article class='post comments-open'>{_BODY}</article>",
+    f"<div class='post with-comments'>{_BODY}</div>",
+    f"<body class='ad-free'><main id='main-notice'>{_BODY}</main><div class='sidebar'>links links</div></body>",
+    f"<div id='page' class='wrapper has-sidebar'><div class='content'>{_BODY}</div><div class='comments'>nice one</div></div>",
+])
+def test_names_of_a_page_or_wrapper_do_not_drop_it(page):
+    assert H.extract(page, H.Weights()) == _TEXT
+
+
+def test_furniture_stays_out_however_long_it_is():
+    talk = "<p>a reader writes a very long reply indeed</p>" * 20
+    page = f"<div class='content'>{_BODY}</div><div class='comments'>{talk}</div><div class='cookie notice'>{talk}</div>"
+    assert H.extract(page, H.Weights()) == _TEXT
+
+
+def test_words_of_an_element_with_negative_weight_stay_in_the_region():
+    page = f"<article>{_BODY}<section><p>a part seen outside of articles mostly</p></section>{_BODY}</article>"
+    found = H.extract(page, H.Weights(word={"section": -1.0}))
+    assert found == f"{_TEXT}\n\na part seen outside of articles mostly\n\n{_TEXT}"
+
+
+def test_formulas_and_fallback_text_stay():
+    assert H.extract("<p>as <math><mi>x</mi></math> grows <object data=f>a picture of it</object></p>", H.Weights()) == (
+        "as x grows a picture of it")
