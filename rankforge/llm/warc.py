@@ -28,8 +28,9 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 #: Payloads of fewer bytes are never revisits.
 MIN_REVISIT_BYTES = 100
-#: Captures written to one file: bounds what a reading task holds.
-CAPTURES_PER_FILE = 4096
+#: Payload bytes and captures written to one file, at most (or one capture): they bound what a
+#: reading task holds.
+FILE_BYTES, CAPTURES_PER_FILE = 256 << 20, 4096
 RECORDS_PER_BATCH = 1024
 
 RECORD_SCHEMA = ("record_id string, record_type string, concurrent_to string, refers_to_id string, "
@@ -109,8 +110,9 @@ def capture_records(keyed: DataFrame, date: str) -> DataFrame:
 
 def write_captures(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url",
                    html_col: str = "html", date: str = "2026-01-01T00:00:00Z",
-                   captures_per_file: int = CAPTURES_PER_FILE) -> None:
-    """Write one transaction per row of ``pages`` below ``path`` (gzip files).
+                   captures_per_file: int = CAPTURES_PER_FILE, file_bytes: int = FILE_BYTES) -> None:
+    """Write one transaction per row of ``pages`` below ``path`` (gzip files), captures of a size
+    class (a power of four) together, so many in a file that it stays below ``file_bytes``.
 
     A null html is an empty payload; null ids and urls leave their header out; of equal
     payloads of at least 100 bytes the smallest page_id (null counts as the largest) is the
@@ -119,9 +121,15 @@ def write_captures(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
     """
     narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                           F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
-    (capture_records(with_revisits(narrow), date).write.format("text")
-     .option("lineSep", RECORD_END).option("compression", "gzip")
-     .option("maxRecordsPerFile", 3 * captures_per_file).save(path))
+    # class k: payloads of at most small * 4^k bytes; one class for most tables
+    small = max(1, file_bytes // captures_per_file)
+    over = F.ceil(F.log(4.0, F.greatest(F.octet_length("html"), F.lit(small)) / float(small))).cast("int")
+    found = sorted(r[0] for r in narrow.select(over.alias("k")).distinct().collect()) or [0]
+    for n, k in enumerate(found):
+        part = with_revisits(narrow).withColumn("k", over).where(F.col("k") == k).drop("k") if len(found) > 1 else with_revisits(narrow)
+        (capture_records(part, date).write.format("text").mode("append" if n else "errorifexists")
+         .option("lineSep", RECORD_END).option("compression", "gzip")
+         .option("maxRecordsPerFile", 3 * max(1, captures_per_file // 4 ** k)).save(path))
 
 
 # ------------------------------------------------------------------ reading

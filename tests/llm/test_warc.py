@@ -79,3 +79,19 @@ def test_a_broken_archive_fails():
         list(warc._records(good[:-8]))
     with pytest.raises(ValueError):
         list(warc._records(b"nonsense\r\n\r\n"))
+
+
+def test_files_are_cut_by_bytes(spark):
+    """Pages of many sizes: no file holds more than the limit, or one capture; nothing is lost."""
+    import glob
+
+    rows = [(i, "http://h", chr(97 + i % 26) * (50 << (i % 11))) for i in range(160)]
+    path = shared_path(spark, "test", "warc-bytes")
+    warc.write_captures(spark.createDataFrame(rows, SCHEMA).coalesce(1), path, captures_per_file=32, file_bytes=32 * 400)
+    files = glob.glob(f"{path.replace('file:', '')}/*.gz")
+    assert len(files) > 10
+    for f in files:
+        data = gzip.open(f).read()
+        assert len(data) <= 32 * 400 + 32 * 2000 or data.count(b"WARC-Type: request") == 1
+    read = warc.read_records(spark, path)
+    assert read.count() == 3 * len(rows) and read.where("NOT digest_valid").count() == 0
