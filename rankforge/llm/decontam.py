@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import FILTER_BITS, cut, hashed, key_filter, map_text, passes, text_buffer
+from .frames import FILTER_BITS, cut, fresh, hashed, key_filter, map_text, passes, text_buffer
 from .words import U, distinct, document_of, shingles, words
 
 WIDTH = 5
@@ -145,9 +145,15 @@ def leaks(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col
 
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
+    """The rows of ``docs`` that hold no item, with all their columns, whatever their names.
+
+    A row goes if its own id and text are those of a leak, so rows that share an id are judged one by
+    one and equal rows go or stay together. Null ids are ids like any other; a null or empty text
+    holds nothing and stays; an empty table of documents gives no rows, one of items keeps all.
+    """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    found = leaks(docs, items, **options).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).distinct()
+    doc, hash_ = fresh(docs, "_doc", "_key")
+    found = leaks(docs, items, **options).select(F.col("doc_id").alias(doc), F.col("key").alias(hash_)).distinct()
     key = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_doc")) & (key == F.col("_key"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (key == F.col(hash_))
     return docs.join(found, same, "left_anti")

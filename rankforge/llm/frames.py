@@ -46,6 +46,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until no column of ``df`` is called so (case aside)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it from there: later jobs
     neither recompute it nor depend on an executor's disk."""

@@ -61,3 +61,15 @@ def test_clean_keeps_other_rows_whole(spark):
     kept = D.clean(spark.createDataFrame(docs, DOCS), items)
     assert kept.columns == ["doc_id", "text", "item_id", "key"]
     assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted([docs[2], docs[4], docs[5], docs[6]], key=str)
+
+
+def test_clean_with_clashing_names_nulls_and_empty_tables(spark):
+    item = "alpha beta gamma delta epsilon zeta"
+    rows = [(1, item, "k", 5, "x"), (None, item, "k", 5, "x"), (1, "nothing of it", "k", 6, "y"), (2, None, None, None, None),
+            (2, "", "k", 1, "z"), (3, f"so {item} so", "k", 2, "w"), (3, f"so {item} so", "k", 2, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, _doc long, key string")
+    items = spark.createDataFrame([(7, item), (8, None)], "item_id long, text string")
+    got = D.clean(docs, items)
+    assert got.columns == docs.columns
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([rows[2], rows[3], rows[4]], key=str)
+    assert D.clean(docs.limit(0), items).count() == 0 and D.clean(docs, items.limit(0)).count() == len(rows)
