@@ -8,8 +8,8 @@ Equal bins of two sketches estimate the Jaccard similarity with the concentratio
 independent hashes, at about one round's cost for a set much larger than t.
 
 Bins are banded; documents that share a band are candidates, and candidates are linked only if
-their full shingle sets reach the similarity. Documents with equal sets count as one class
-from the start, so copies never meet pairwise. Links are sought in three rounds, each one only
+their full shingle sets reach the similarity. Documents with equal sets (by 128 bits of hashes)
+count as one class from the start, so copies never meet pairwise. Links are sought in three rounds, each one only
 where a band still holds several components: every class with the smallest class of a band
 that it shares most bands with; the edges of a maximum spanning forest of each band by
 sketch similarity; every remaining pair across components whose sketches are not far below
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .frames import cut, hashed, key_filter, map_text, passes, ship, slices, text_buffer
+from .frames import cut, fresh, hashed, key_filter, map_text, passes, ship, slices, text_buffer
 from .words import U, distinct, mix, shingles, words
 
 #: 32 bands of 4 bins: a pair of similarity 0.8 shares no band with probability 5e-8.
@@ -69,15 +69,19 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
         return mix(key + np.arange(bands, dtype=U), 3)
 
 
-def set_digest(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A 64-bit digest of each document's distinct values, in any order."""
+def set_digest(flat: np.ndarray, bounds: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """A digest of ``bits`` bits and a proof of 64 of each document's distinct values, in any
+    order, from hashes of their own."""
     n = np.diff(bounds)
-    total = np.zeros(len(n), U)
     some = np.flatnonzero(n)
-    with np.errstate(over="ignore"):
-        if len(some):
-            total[some] = np.add.reduceat(mix(flat, 11), bounds[some])
-        return mix(mix(total, 21) + n.astype(U), 22).astype(np.int64)
+    out = []
+    for seed in (11, 51):
+        total = np.zeros(len(n), U)
+        with np.errstate(over="ignore"):
+            if len(some):
+                total[some] = np.add.reduceat(mix(flat, seed), bounds[some])
+            out.append(mix(mix(total, seed + 10) + n.astype(U), seed + 11))
+    return (out[0] >> U(64 - bits)).astype(np.int64), out[1].astype(np.int64)
 
 
 def _sets(part: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,32 +103,45 @@ def _read_binary(column: pa.Array, dtype: str) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def document_sets(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n_shingles, class_id, sketch, bands`` of every row: ``class_id`` digests the
-    set, ``sketch`` keeps 16 bits of each bin, ``bands`` holds the band hashes. A column ``row``
-    is passed through."""
+def document_sets(docs: DataFrame, width: int, bands: int, rows: int, bits: int = 64) -> DataFrame:
+    """``doc_id, n_shingles, digest, proof, sketch, bands`` of every row: ``digest`` and ``proof``
+    stand for the set, ``sketch`` keeps 8 bits of each bin, ``bands`` holds the band hashes. A
+    column ``row`` is passed through."""
     passed = [c for c in ("row",) if c in docs.columns]
 
     def make():
         def one(part: pa.RecordBatch) -> pa.RecordBatch:
             flat, bounds = _sets(part, width)
             full = sketch(flat, bounds, max(BINS, bands * rows))
-            digest = set_digest(flat, bounds)
+            digest, proof = set_digest(flat, bounds, bits)
             keys = band_keys(full, bands, rows).astype(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands), pa.int32()),
                                              pa.array(keys.reshape(-1)))
             return pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(digest),
+                [part.column("doc_id"), pa.array(np.diff(bounds)), pa.array(digest), pa.array(proof),
                  _binary(mix(full, 5).astype(np.uint8)), lists, *[part.column(c) for c in passed]],
-                ["doc_id", "n_shingles", "class_id", "sketch", "bands", *passed])
+                ["doc_id", "n_shingles", "digest", "proof", "sketch", "bands", *passed])
         return one
 
-    return map_text(docs, "text", make, "doc_id long, n_shingles long, class_id long, "
+    return map_text(docs, "text", make, "doc_id long, n_shingles long, digest long, proof long, "
                                         "sketch binary, bands array<long>" + "".join(f", {c} long" for c in passed))
 
 
 # ------------------------------------------------------------------ verification
-def class_texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def class_ids(every: DataFrame) -> DataFrame:
+    """Add ``class_id``: the digest, or another number for sets of one digest whose proofs differ
+    (unequal sets), so that a class holds equal sets only, by 128 bits. Such digests are looked for
+    in the narrow columns; where there is none, as nearly always, nothing is joined."""
+    several = (every.groupBy("digest").agg(F.min("proof").alias("least"), F.max("proof").alias("largest"))
+               .where("least <> largest").select("digest", "least"))
+    if several.isEmpty():
+        return every.withColumn("class_id", F.col("digest"))
+    other = F.col("least").isNotNull() & (F.col("proof") != F.col("least"))
+    return (every.join(several, "digest", "left")
+            .withColumn("class_id", F.when(other, F.xxhash64("digest", "proof")).otherwise(F.col("digest"))).drop("least"))
+
+
+def class_texts(docs: DataFrame, wanted: DataFrame, width: int, bits: int = 64) -> DataFrame:
     """``class_id, text``: the text of each wanted class's smallest id (of any of its rows
     where an id repeats). A bitmap of these ids keeps most other rows from the shuffle."""
     spark = docs.sparkSession
@@ -135,14 +152,14 @@ def class_texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             part = part.filter(pa.array(passes(bitmap.value, part.column("h").to_numpy())))
             if not part.num_rows:
                 return None
-            digest = set_digest(*_sets(part, width))
-            return pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digest), part.column("text")],
-                                              ["doc_id", "class_id", "text"])
+            digest, proof = set_digest(*_sets(part, width), bits)
+            return pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digest), pa.array(proof), part.column("text")],
+                                              ["doc_id", "digest", "proof", "text"])
         return one
 
-    some = map_text(docs.withColumn("h", hashed("doc_id")), "text", make, "doc_id long, class_id long, text string")
-    exact = wanted.select("class_id", F.col("rep").alias("doc_id"))
-    return some.join(exact, ["class_id", "doc_id"], "left_semi").select("class_id", "text")
+    some = map_text(docs.withColumn("h", hashed("doc_id")), "text", make, "doc_id long, digest long, proof long, text string")
+    exact = wanted.select("class_id", "digest", "proof", F.col("rep").alias("doc_id"))
+    return some.join(exact, ["digest", "proof", "doc_id"]).select("class_id", "text")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -359,14 +376,15 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
 
 
-def judged(narrow: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+def judged(narrow: DataFrame, width: int, percent: int, bands: int, rows: int, bits: int = 64) -> DataFrame:
     """``doc_id, n_shingles, class_id, label, smallest`` (and ``row``) of every row of ``doc_id,
     text``: ``label`` names the component, ``smallest`` is the smallest id in it. Two components
     may have the same smallest id where an id repeats."""
-    every = cut(document_sets(narrow, width, bands, rows))
+    every = class_ids(cut(document_sets(narrow, width, bands, rows, bits)))
     usable = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # Classes of equal sets; a class's sketch and bands are those of any of its documents.
-    classes = cut(usable.groupBy("class_id").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"),
+    classes = cut(usable.groupBy("class_id").agg(F.min("doc_id").alias("rep"), F.first("digest").alias("digest"),
+                                                 F.first("proof").alias("proof"), F.first("sketch").alias("sketch"),
                                                  F.first("bands").alias("bands")))
     many = classes.select("class_id", F.explode("bands").alias("band"))
     # Only bands of several classes.
@@ -374,7 +392,7 @@ def judged(narrow: DataFrame, width: int, percent: int, bands: int, rows: int) -
     real = narrow.where("doc_id IS NOT NULL").select("doc_id", "text")
 
     def texts_of(some: DataFrame) -> DataFrame:
-        return class_texts(real, classes.join(some, "class_id", "left_semi"), width)
+        return class_texts(real, classes.join(some, "class_id", "left_semi"), width, bits)
 
     def links(pairs: DataFrame) -> DataFrame:
         if pairs.isEmpty():
@@ -394,21 +412,23 @@ def judged(narrow: DataFrame, width: int, percent: int, bands: int, rows: int) -
              .withColumn("label", F.coalesce("label", "class_id")))
     smallest = named.groupBy("label").agg(F.min("rep").alias("smallest"))
     answer = named.join(smallest, "label").select("class_id", "label", "smallest")
-    return every.drop("sketch", "bands").join(answer, "class_id", "left")
+    return every.drop("sketch", "bands", "digest", "proof").join(answer, "class_id", "left")
 
 
 def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                   percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``docs`` with one row of each group: the row of its smallest id, the smallest such row by
     a hash of its columns where an id repeats. Rows without an id and rows without words are in
-    no group and all stay."""
-    hashable = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    keyed = docs.withColumn("_key_id", F.col(id_col).cast("long")).withColumn("_key_row", F.xxhash64(*hashable))
+    no group and all stay. Columns may have any name; an empty table gives no rows."""
+    # a map has no hash of its own: its JSON stands for it
+    hashable = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in docs.schema.fields]
+    id_, row = fresh(docs, "_key_id", "_key_row")
+    keyed = docs.withColumns({id_: F.col(id_col).cast("long"), row: F.xxhash64(*hashable)})
     text = F.col(text_col).cast("string")
-    grouped = F.col("_key_id").isNotNull() & F.coalesce(text, F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    narrow = keyed.where(grouped).select(F.col("_key_id").alias("doc_id"), text.alias("text"), F.col("_key_row").alias("row"))
+    grouped = F.col(id_).isNotNull() & F.coalesce(text, F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    narrow = keyed.where(grouped).select(F.col(id_).alias("doc_id"), text.alias("text"), F.col(row).alias("row"))
     keep = (judged(narrow, width, percent, bands, rows).where("doc_id = smallest")
-            .groupBy("label", F.col("doc_id").alias("_key_id")).agg(F.min("row").alias("_key_row")).select("_key_id", "_key_row"))
+            .groupBy("label", F.col("doc_id").alias(id_)).agg(F.min("row").alias(row)).select(id_, row))
     # Equal rows meet before the join, already within a task, so a frequent id is no large group.
-    one = keyed.where(grouped).dropDuplicates(["_key_id", "_key_row"]).join(keep, ["_key_id", "_key_row"], "left_semi")
+    one = keyed.where(grouped).dropDuplicates([id_, row]).join(keep, [id_, row], "left_semi")
     return one.unionByName(keyed.where(~grouped)).select(*docs.columns)

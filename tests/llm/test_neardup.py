@@ -122,3 +122,25 @@ def test_components_of_a_long_path_and_a_hub(spark):
         got = dict(components.components(df, per_task).collect())
         assert got == {**{k: 0 for k in range(61)}, **{k: 100 for k in range(100, 160)}}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_unequal_sets_of_one_digest_are_no_class(spark, shingles_of):
+    """Digests of four bits collide all the time; the proofs keep the classes apart."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 5000, size=30))) for i in range(120)]
+    rows += [(200 + i, rows[i][1]) for i in range(0, 60, 3)] + [(300, rows[7][1] + " tail"), (301, rows[7][1] + " other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.smallest for r in N.judged(df, 2, 80, N.BANDS, N.ROWS, bits=4).collect()}
+    want = {r.doc_id: r.component_id for r in N.groups(df, width=2).collect()}
+    assert got == want and len(set(want.values())) == 120
+
+
+def test_one_per_group_with_clashing_names_and_maps(spark):
+    schema = "doc_id long, text string, _key_id int, _KEY_ROW string, m map<string,int>, row long"
+    rows = [(1, "one two three four five six", 6, "a", {"x": 1}, 3), (2, "one two three four five six", 8, "b", {"x": 2}, 4),
+            (2, "one two three four five six", 8, "b", {"x": 3}, 4), (9, "something else in here for sure", 7, "c", None, None)]
+    df = spark.createDataFrame(rows, schema)
+    got = N.one_per_group(df)
+    assert got.columns == df.columns
+    assert sorted(tuple(r) for r in got.collect()) == [rows[0], rows[3]]
+    assert N.one_per_group(df.limit(0)).count() == 0
