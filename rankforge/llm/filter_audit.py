@@ -124,9 +124,10 @@ def mask_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                            (F.col(toxic_col) == 1).alias("toxic"))
              .where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("good").alias("good"), F.max("toxic").alias("toxic")))
     joined = failures(docs, id_col, text_col, part_col).join(marks, "doc_id", "left")
-    return joined.groupBy("part", "mask").agg(
+    # one row per part and mask, read three times below
+    return cut(joined.groupBy("part", "mask").agg(
         F.sum("n").alias("n"), F.sum(F.when(F.col("good"), F.col("n")).otherwise(0)).alias("good"),
-        F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0)).alias("toxic"))
+        F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0)).alias("toxic")))
 
 
 # ------------------------------------------------------------------ audit
