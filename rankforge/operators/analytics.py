@@ -97,10 +97,10 @@ def bootstrap_sample(df: DataFrame, key: list[str], n: int = DEFAULT_SAMPLE, see
     inside = (sizes.withColumn("_band", band).withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
               .groupBy("_band").agg(F.array_sort(F.collect_list(F.struct("_before", "_b"))).alias("_blocks")))
     draws = spark.range(n).select(F.col("id").alias(draw_col), draw_position(seed, F.col("id"), F.lit(total)).alias("_p"))
-    nth = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in starts]), lambda x: x <= F.col("_p")))
-    draws = draws.withColumn("_nth", nth).select(
-        draw_col, F.element_at(F.array(*[F.lit(int(x)) for x, _ in bands]), F.col("_nth")).alias("_band"),
-        (F.col("_p") - F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), F.col("_nth"))).alias("_off"))
+    firsts, names = (F.expr(f"array({', '.join(f'{x}{kind}' for x in values)})")
+                     for values, kind in ((starts, "L"), ([x for x, _ in bands], "")))
+    draws = draws.withColumn("_nth", F.size(F.filter(firsts, lambda x: x <= F.col("_p")))).select(
+        draw_col, F.element_at(names, F.col("_nth")).alias("_band"), (F.col("_p") - F.element_at(firsts, F.col("_nth"))).alias("_off"))
     found = F.element_at(F.filter("_blocks", lambda x: x["_before"] <= F.col("_off")), -1)
     draws = (draws.join(inside, "_band").withColumn("_found", found)
              .select(draw_col, F.col("_found._b").alias("_block"), (F.col("_off") - F.col("_found._before")).alias("_at")))
@@ -239,8 +239,9 @@ def joint_upper_tail(h: Column, k: Column, rho: Column) -> Column:
     low = F.acos(F.abs(rho))
     panels = [(math.pi / 2 ** (j + 2) if j + 1 < PANELS else 0.0, math.pi / 2 ** (j + 1)) for j in range(PANELS)]
     rule = [(s * x, w) for x, w in zip(GL_NODES, GL_WEIGHTS) for s in (-1.0, 1.0)]
-    points = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("bottom", "top", "node", "weight"), (*ends, *at))])
-                       for ends in panels for at in rule])
+    named = ("named_struct(" + ", ".join(f"'{n}', {v!r}D" for n, v in zip(("bottom", "top", "node", "weight"), (*ends, *at))) + ")"
+             for ends in panels for at in rule)
+    points = F.expr(f"array({', '.join(named)})")
 
     def term(p: Column) -> Column:
         a, b = F.greatest(p["bottom"], low), F.greatest(p["top"], low)

@@ -107,7 +107,7 @@ def running_total(df: DataFrame, keys: list[str], order: list[str | Column], val
 
 #: Rows whose order values are sampled to estimate where a slice lies; rows that may be numbered
 #: in one task.
-SAMPLE, SORTED = 8192, 1_000_000
+SAMPLE, SORTED = 16_384, 1_000_000
 
 _ORDER = re.compile(r"^\s*`?([^`]+?)`?(?:\s+(ASC|DESC))?(?:\s+NULLS\s+(FIRST|LAST))?\s*$", re.IGNORECASE)
 
@@ -141,6 +141,19 @@ def _precedes(terms: list[tuple[Column, bool, bool]], values: tuple) -> Column:
     return found
 
 
+def _sorted(sample: list[tuple], directions: list[tuple[str, bool, bool]]) -> list[tuple]:
+    """The sampled order values in their order (stable sorts from the last term to the first)."""
+    def key(v):
+        return (math.isnan(v), v) if isinstance(v, float) else bytes(v) if isinstance(v, bytearray) else v
+
+    for i in reversed(range(len(directions))):
+        _, down, nulls_first = directions[i]
+        none = [r for r in sample if r[i] is None]
+        some = sorted((r for r in sample if r[i] is not None), key=lambda r: key(r[i]), reverse=down)
+        sample = none + some if nulls_first else some + none
+    return sample
+
+
 def page_slice(df: DataFrame, order: list[str | Column], offset: int, limit: int,
                per_page: int, page_col: str = "page") -> DataFrame:
     """Pages ``offset+1 .. offset+limit`` of ``per_page`` rows each in ``order`` (named columns, each
@@ -155,17 +168,15 @@ def page_slice(df: DataFrame, order: list[str | Column], offset: int, limit: int
     """
     if offset < 0 or limit < 0 or per_page <= 0:
         raise ValueError("offset and limit must be >= 0 and per_page > 0")
-    names = [name for name, _, _ in _directions(order)]
-    terms = [(_comparable(df, name), down, first) for name, down, first in _directions(order)]
+    directions = _directions(order)
+    terms = [(_comparable(df, name), down, first) for name, down, first in directions]
     sort = [getattr(c, f"{'desc' if down else 'asc'}_nulls_{'first' if first else 'last'}")() for c, down, first in terms]
     lo, hi = offset * per_page, (offset + limit) * per_page
     kept, base, rows = df, 0, None     # the candidates, the rows before them, and their number
     while lo < hi:
         seen = Observation()
         keys = kept.select(*[c.alias(f"_k{i}") for i, (c, _, _) in enumerate(terms)]).observe(seen, F.count(F.lit(1)).alias("n"))
-        named = [getattr(F.col(f"_k{i}"), f"{'desc' if down else 'asc'}_nulls_{'first' if first else 'last'}")()
-                 for i, (_, down, first) in enumerate(terms)]
-        sample = [tuple(r) for r in keys.orderBy(F.rand(SEED)).limit(SAMPLE).orderBy(*named).collect()]
+        sample = _sorted([tuple(r) for r in keys.orderBy(F.rand(SEED)).limit(SAMPLE).collect()], directions)
         total = seen.get["n"]
         rows = total
         if not sample or lo - base >= total:
@@ -185,9 +196,13 @@ def page_slice(df: DataFrame, order: list[str | Column], offset: int, limit: int
                 for i, ((c, _, _), v) in enumerate(zip(terms, sample[b])):   # rows equal to the bound stay
                     same = c.eqNullSafe(F.lit(v)) if i == 0 else same & c.eqNullSafe(F.lit(v))  # noqa: F821
                 beyond = beyond & ~same
-            counts = kept.agg(F.count_if(below).alias("below"), F.count_if(~below & ~beyond).alias("between")).first()
-            if counts.below <= first and counts.below + counts.between > last:
-                narrower = (kept.where(~below & ~beyond), base + counts.below, counts.between)
+            if len(sample) == total:       # nothing is left to count
+                before = sample.index(sample[a]) if a > 0 else 0
+                between = (total if b >= total - 1 else total - sample[::-1].index(sample[b])) - before
+            else:
+                before, between = kept.agg(F.count_if(below), F.count_if(~below & ~beyond)).first()
+            if before <= first and before + between > last:
+                narrower = (kept.where(~below & ~beyond), base + before, between)
             slack = 2 * slack + 1
         if narrower is None or narrower[2] == total:
             break

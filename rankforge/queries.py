@@ -474,7 +474,8 @@ def r_squared(spark, sf_dir):
 
 
 def fit_report(spark, sf_dir):
-    gold = _gold_enc(spark, sf_dir)
+    # the sample takes two passes: the chain runs once, its narrow rows are written
+    gold = _gold_enc(spark, sf_dir).select("encounter_name", "player_name", "class", "ranked_date", "rDPS", "aDPS", "duration").checkpoint()
     sample = an.bootstrap_sample(gold, ["encounter_name", "player_name", "class", "ranked_date"], 100, 42,
                                  tie=["rDPS", "aDPS", "duration"])
     rep = an.fit_report(sample, "rDPS", "aDPS", [], round_decimal=2)
