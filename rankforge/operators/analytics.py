@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +29,9 @@ HASH_DIGITS = 15
 #: Leading bits of a hash that name a block of rows, and a band of blocks.
 BLOCK_BITS, BAND_BITS = 16, 8
 
+#: Rows of a block that may be numbered in one task.
+IN_BLOCK = 1_000_000
+
 # Positive nodes and weights of the ten-point Gauss-Legendre rule.
 GL_NODES = (0.1488743389816312, 0.4333953941292472, 0.6794095682990244, 0.8650633666889845, 0.9739065285171717)
 GL_WEIGHTS = (0.2955242247147529, 0.2692667193099963, 0.2190863625159821, 0.1494513491505806, 0.0666713443086881)
@@ -74,10 +78,12 @@ def bootstrap_sample(df: DataFrame, key: list[str], n: int = DEFAULT_SAMPLE, see
     Rows are ordered by a seeded hash of their key and of those ``tie`` columns that are whole
     numbers, texts, dates or booleans, then by key, ``tie`` and the other columns. Draw ``i`` takes
     position ``hash(seed:i) mod N`` of this order. The order is cut into blocks by the leading bits
-    of the hash: counting them (at most 2^16 rows) splits the draws over the blocks, and only rows
-    of drawn blocks are kept and numbered, over as many partitions as they need, so neither the
-    table nor a key that fills a block is sorted in one task. Rows that are equal in all columns
-    are interchangeable. The sample is checkpointed: two passes over ``df``, none for what reads it.
+    of the hash: their counts (at most 2^16 numbers, which the driver keeps) split the draws over
+    the blocks, and only rows of drawn blocks are kept and numbered: block by block, or, if the
+    largest block has more than ``IN_BLOCK`` rows (as with few keys), over as many partitions as
+    they need, so neither the table nor a key that fills a block is sorted in one task. Rows that
+    are equal in all columns are interchangeable. The sample is checkpointed: two passes over
+    ``df``, none for what reads it.
     """
     if n < 0:
         raise ValueError("sample size must be >= 0")
@@ -85,20 +91,23 @@ def bootstrap_sample(df: DataFrame, key: list[str], n: int = DEFAULT_SAMPLE, see
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*key, *_exact(df, tie)]]
     block = F.shiftright(F.col("_h"), 4 * HASH_DIGITS - BLOCK_BITS).cast("int")
     hashed = df.withColumn("_h", _hash60(F.concat_ws("|", F.lit(str(seed)), *parts))).withColumn("_b", block)
-    sizes = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
-    band = F.shiftright("_b", BLOCK_BITS - BAND_BITS)
-    # at most 2^BAND_BITS numbers reach the driver
-    bands = sorted((r.band, r.n) for r in sizes.groupBy(band.alias("band")).agg(F.sum("_n").alias("n")).collect())
-    total = sum(m for _, m in bands)
+    sizes = sorted((r["_b"], r["_n"]) for r in hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).collect())
+    total = sum(m for _, m in sizes)
     if not total or not n:
         return df.limit(0).select(F.lit(0).cast("long").alias(draw_col), "*")
-    starts = [sum(m for _, m in bands[:i]) for i in range(len(bands))]
-    upto = Window.partitionBy("_band").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    inside = (sizes.withColumn("_band", band).withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
-              .groupBy("_band").agg(F.array_sort(F.collect_list(F.struct("_before", "_b"))).alias("_blocks")))
+    bands: dict[int, list[tuple[int, int]]] = {}   # band -> (rows of the band before the block, block)
+    starts, before = [], 0                         # rows before each band
+    for b, m in sizes:
+        found = bands.setdefault(b >> (BLOCK_BITS - BAND_BITS), [])
+        if not found:
+            starts.append(before)
+        found.append((before - starts[-1], b))
+        before += m
+    blocks = pa.array([[{"_before": x, "_b": b} for x, b in found] for found in bands.values()],
+                      pa.list_(pa.struct([("_before", pa.int64()), ("_b", pa.int32())])))
+    inside = F.broadcast(spark.createDataFrame(pa.table({"_band": pa.array(bands, pa.int32()), "_blocks": blocks})))
     draws = spark.range(n).select(F.col("id").alias(draw_col), draw_position(seed, F.col("id"), F.lit(total)).alias("_p"))
-    firsts, names = (F.expr(f"array({', '.join(f'{x}{kind}' for x in values)})")
-                     for values, kind in ((starts, "L"), ([x for x, _ in bands], "")))
+    firsts, names = (F.expr(f"array({', '.join(f'{x}{kind}' for x in values)})") for values, kind in ((starts, "L"), (bands, "")))
     draws = draws.withColumn("_nth", F.size(F.filter(firsts, lambda x: x <= F.col("_p")))).select(
         draw_col, F.element_at(names, F.col("_nth")).alias("_band"), (F.col("_p") - F.element_at(firsts, F.col("_nth"))).alias("_off"))
     found = F.element_at(F.filter("_blocks", lambda x: x["_before"] <= F.col("_off")), -1)
@@ -106,7 +115,12 @@ def bootstrap_sample(df: DataFrame, key: list[str], n: int = DEFAULT_SAMPLE, see
              .select(draw_col, F.col("_found._b").alias("_block"), (F.col("_off") - F.col("_found._before")).alias("_at")))
     rest = [f.name for f in df.schema.fields if f.name not in {*key, *tie} and not isinstance(f.dataType, (T.MapType, T.VariantType))]
     drawn = hashed.join(draws.select(F.col("_block").alias("_b")).distinct(), "_b", "left_semi").withColumn("_salt", F.rand(seed))
-    placed = with_ordinal(drawn, ["_b"], ["_h", *key, *tie, *rest, "_salt"], "_pos")
+    order = ["_h", *key, *tie, *rest, "_salt"]
+    if max(m for _, m in sizes) <= IN_BLOCK:
+        number = F.row_number().over(Window.partitionBy("_b").orderBy(*order)).cast("bigint") - 1
+        placed = drawn.withColumn("_pos", number)
+    else:
+        placed = with_ordinal(drawn, ["_b"], order, "_pos")
     chosen = draws.join(placed, (F.col("_block") == F.col("_b")) & (F.col("_at") == F.col("_pos")))
     return chosen.select(draw_col, *df.columns).checkpoint()
 

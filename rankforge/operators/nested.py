@@ -72,14 +72,24 @@ def merged_positions(df: DataFrame, keys: list[str], page: str, array: str,
     """The records of the merged document, one row each, with their position in it.
 
     Equal to ``posexplode(merge_pages(...)[array])`` but distributed: the position of a
-    page's first record is a running total of page sizes within the key, and every page is
-    exploded where it lies, so no key is gathered into one row or one task. Pages go in the
+    page's first record is a running total of page sizes within the key, taken on the narrow table
+    (key, page, size) and joined to the pages, and every page is exploded where it lies, so no key
+    is gathered into one row or one task and no array is sorted or checkpointed. Pages go in the
     order of (page, records): a repeated page number counts once for each row, a NULL page
-    comes first.
+    comes first. Only rows that repeat a page number are ordered by their records.
     """
     from .ordinal import running_total
 
-    pages = df.select(*keys, page, array, F.coalesce(F.size(F.col(array)), F.lit(0)).cast("bigint").alias("_n"))
-    placed = running_total(pages.where(F.col("_n") > 0), keys, [page, array], "_n", "_start")
-    out = placed.select(*keys, "_start", F.posexplode(array).alias("_idx", value_name))
+    n = F.coalesce(F.size(F.col(array)), F.lit(0)).cast("bigint")
+    pages = df.select(*keys, page, array, n.alias("_n")).where(F.col("_n") > 0)
+    sizes = pages.groupBy(*keys, page).agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    starts = running_total(sizes, keys, [page], "_n", "_start")
+    renamed = starts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, page])], "_rows", "_start")
+    same = [pages[k].eqNullSafe(renamed[f"_k{i}"]) for i, k in enumerate([*keys, page])]
+    placed = pages.join(renamed, same).select(*pages.columns, "_rows", "_start")
+    once = placed.where(F.col("_rows") == 1).select(*keys, array, "_start")
+    if not starts.where(F.col("_rows") > 1).isEmpty():
+        inner = running_total(placed.where(F.col("_rows") > 1).drop("_rows"), [*keys, page], [array], "_n", "_inner")
+        once = once.unionByName(inner.select(*keys, array, (F.col("_start") + F.col("_inner")).alias("_start")))
+    out = once.select(*keys, "_start", F.posexplode(array).alias("_idx", value_name))
     return out.select(*keys, (F.col("_start") + F.col("_idx")).cast("bigint").alias(pos_name), value_name)

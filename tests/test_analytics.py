@@ -117,6 +117,14 @@ def test_bootstrap_is_exact_whatever_the_keys(spark, distinct):
         assert sorted(again.collect()) == sorted(rows)
 
 
+@pytest.mark.parametrize("distinct", [1, 25, 5000])
+def test_bootstrap_is_the_same_however_blocks_are_numbered(spark, monkeypatch, distinct):
+    df = spark.range(5000).select((F.col("id") % distinct).alias("k"), F.col("id").alias("row"))
+    want = sorted(an.bootstrap_sample(df, ["k"], n=700, seed=3).collect())
+    monkeypatch.setattr(an, "IN_BLOCK", 0)
+    assert sorted(an.bootstrap_sample(df, ["k"], n=700, seed=3).collect()) == want
+
+
 def test_bootstrap_of_equal_rows_and_null_keys(spark):
     df = spark.createDataFrame([(None, 1)] * 40 + [("a", 2)] * 60, "k string, v int").withColumn("m", F.create_map(F.lit("x"), "v"))
     got = an.bootstrap_sample(df, ["k"], n=400, seed=1).collect()

@@ -132,3 +132,14 @@ def test_expect_or_drop_and_report(spark):
     assert (m["rows_tested"], m["failed_has_a"], m["failed_pos_b"]) == (5, 2, 3)
     rep = {r.rule: (r.rows_tested, r.rows_failed, r.rows_passed) for r in expectation_report(df, RULES).collect()}
     assert rep == {"has_a": (5, 2, 3), "pos_b": (5, 3, 2), "ALL": (5, 4, 1)}
+
+
+def test_merged_positions_order_only_pages_by_size(spark):
+    """No array is sorted or written: where no page repeats, the plan reads a table of numbers."""
+    df = spark.range(400).select((F.col("id") % 3).alias("k"), F.col("id").alias("page"),
+                                 F.array_repeat(F.col("id"), 5).alias("arr"))
+    got = merged_positions(df, ["k"], "page", "arr")
+    tree = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in tree and "Union" not in tree
+    assert [line for line in tree.splitlines() if "Scan ExistingRDD" in line and "arr" in line] == []
+    assert got.count() == 2000 and got.where("value % 3 != k").isEmpty()
