@@ -4,20 +4,22 @@ The probability of a word given the two before it is class-factored:
 
     P(w | h) = P(class | h) * P(bin | class, h) * P(w | bin)
 
-The first two factors are softmaxes over hashed n-gram and skip features (the word before, the
-two before, the one before that); a word's share of its bin is its smoothed training count.
-The most frequent words are clustered into classes by the words they stand next to and cut
+The first two factors are softmaxes over hashed n-gram and skip features (the word before, its class
+and bin, the two before, the one before that); a word's share of its bin is its smoothed training count.
+Frequent words are clustered into classes by the words they stand next to and cut
 into bins by frequency; all others share the last class, an unknown word being one of them, so
-the probabilities of all words sum to 1.
+the probabilities of all words sum to 1. Every word is a context of its own, rare ones by their hash.
 
 Training, on all training texts: word counts (shuffled), a shared table of word numbers, and
 gradient updates. The gradient of a weight is its observed minus its expected count; every
 update gathers both from all tasks, sums them as a tree and moves each weight by the log of
 their ratio over the number of active features (the gradient as iterative scaling conditions
-it). The first update's expectations follow from the counts alone. Scoring is in numpy batches.
+it). The first update's expectations follow from the counts alone; the others go on until the
+likelihood of the training texts settles. Scoring is in numpy batches.
 
-Tables that go to every task have fixed sizes: the numbered words, the classes, the weights. A
-word outside the numbered ones keeps its exact count by a join.
+The words with a class and the rows of the feature tables grow with the square root of the
+training tokens (as a vocabulary does), up to ``MOST``: these tables go to every task. A word
+outside the numbered ones keeps its exact count by a join.
 """
 
 from __future__ import annotations
@@ -35,13 +37,21 @@ from ..session import shared_path
 from .frames import cut, map_text, ship, text_buffer
 from .words import U, mix, words
 
-#: Words with a number; of these, words with a class of their own cluster.
-NUMBERED, CLUSTERED = 1 << 20, 1 << 16
-#: Classes and bins of a class (the last class holds all other words), feature rows of a table.
-CLASSES, BINS, ROWS = 16, 16, 1 << 16
-#: Context words of the clustering; smoothing of a feature's counts; gradient updates after the
-#: first; tasks that gather counts, at most.
-NEIGHBOURS, ALPHA, UPDATES, TASKS = 16, 4.0, 1, 1024
+#: Words with a number.
+NUMBERED = 1 << 20
+#: Words with a class and feature rows of a table: the power of two from GROWTH times the root of the
+#: training tokens, within these bounds (128 bytes a row go to every task: 256 MB at most).
+LEAST, MOST, GROWTH = 1 << 16, 1 << 21, 8
+#: One of so many feature rows is for word pairs, so that these never share a row with single words.
+PAIRS = 4
+#: Classes and bins of a class (the last class holds all other words).
+CLASSES, BINS = 16, 16
+#: Context words of the clustering; smoothing of a feature's counts; precision of the weights' normal prior.
+NEIGHBOURS, ALPHA, PRIOR = 16, 4.0, 2.0
+#: Training stops when an update has raised the log10 likelihood of a token by less than TOLERANCE,
+#: at the latest after UPDATES updates. Steps are RATE times those of iterative scaling, half as much
+#: after one that lowered the likelihood.
+TOLERANCE, UPDATES, RATE = 0.01, 8, 2.0
 SMOOTH = 0.1
 BATCH = 1 << 18
 END = U(0x5DEECE66D1234567)
@@ -151,18 +161,28 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy()[off[0]:off[-1]], off - off[0]
 
 
+def _contexts(ids: np.ndarray, rest: np.ndarray, none: int) -> np.ndarray:
+    """What a word is as a context: its number, or its hash if it has none."""
+    out = ids.astype(U)
+    out[ids == none] = mix(rest.view(U), 9) | U(1 << 63)
+    return out
+
+
+def _tasks(encoded: DataFrame) -> int:
+    """Tasks that gather counts: a few for each core, as each sends a whole table."""
+    return 2 * max(encoded.sparkSession.sparkContext.defaultParallelism, 1)
+
+
 def _over(encoded: DataFrame, fold, finish, schema: str) -> DataFrame:
     """``finish`` of what ``fold`` has gathered over all batches of a task."""
     ship(encoded.sparkSession)
-    narrow = encoded.select("ids")
-    if narrow.rdd.getNumPartitions() > TASKS:
-        narrow = narrow.coalesce(TASKS)
+    narrow = encoded.select("ids", "rest").coalesce(_tasks(encoded))
 
     def run(batches):
         state = None
         for b in batches:
             if b.num_rows:
-                state = fold(state, *_lists(b.column("ids")))
+                state = fold(state, *_lists(b.column("ids")), _lists(b.column("rest"))[0])
         if state is not None:
             yield from finish(state)
 
@@ -175,7 +195,7 @@ def neighbour_counts(encoded: DataFrame, words_: int) -> np.ndarray:
     most frequent words."""
     wide = 2 * NEIGHBOURS
 
-    def fold(state, ids, bounds):
+    def fold(state, ids, bounds, _):
         state = np.zeros(words_ * wide, np.int64) if state is None else state
         first = np.zeros(len(ids), bool)
         first[bounds[:-1][np.diff(bounds) > 0]] = True
@@ -222,7 +242,8 @@ def cluster(near: np.ndarray, counts: np.ndarray, classes: int, rounds: int = 12
 @dataclass
 class Model:
     """``klass`` and ``bin_`` of each number (the last entry stands for words without one),
-    ``share``: log10 of a word's share of its bin, and the two weight tables."""
+    ``share``: log10 of a word's share of its bin, and the two weight tables (a row for each
+    hashed feature)."""
 
     klass: np.ndarray
     bin_: np.ndarray
@@ -230,33 +251,38 @@ class Model:
     rest: float
     weights: list[np.ndarray]
 
-    def features(self, p1: np.ndarray, p2: np.ndarray, klass: np.ndarray) -> list[list[np.ndarray]]:
-        """The feature rows of both softmaxes; row 0 (rows 0 to CLASSES - 1) is the bias."""
-        a, b = p1.astype(U), p2.astype(U)
+    def features(self, a: np.ndarray, b: np.ndarray, kind: np.ndarray, klass: np.ndarray) -> list[list[np.ndarray]]:
+        """The feature rows of both softmaxes from the contexts one and two before and the class and bin
+        (``kind``) of the one before; row 0 (rows 0 to CLASSES - 1) is the bias."""
+        pairs = U(len(self.weights[0]) // PAIRS)                 # the last rows
+        words_ = U(len(self.weights[0]) - CLASSES) - pairs
         with np.errstate(over="ignore"):
             two = mix(a * U(0x9E3779B97F4A7C15) + b, 2)
             skip = mix(b, 3)
             one = mix(a, 1)
             k = klass.astype(U) << U(3)
-            place = lambda h: (CLASSES + (h >> U(20)) % U(ROWS - CLASSES)).astype(np.int64)
-            return [[np.zeros(len(a), np.int64), place(one), place(two), place(skip)],
-                    [klass.astype(np.int64), place(mix(one + k, 4)), place(mix(two + k, 5))]]
-
-    def batches(self, ids: np.ndarray, bounds: np.ndarray):
-        """(first, last, feature rows, class, bin) of batches of tokens; -1 is before a text."""
+            word = lambda h: (U(CLASSES) + (h >> U(20)) % words_).astype(np.int64)
+            pair = lambda h: (U(CLASSES) + words_ + (h >> U(20)) % pairs).astype(np.int64)
+            near = kind.astype(U)
+            return [[np.zeros(len(a), np.int64), word(one), pair(two), word(skip), word(mix(near, 6))],
+                    [klass.astype(np.int64), word(mix(one + k, 4)), pair(mix(two + k, 5)), word(mix((near << U(8)) + k, 7))]]
+
+    def batches(self, ids: np.ndarray, bounds: np.ndarray, rest: np.ndarray):
+        """(first, last, feature rows, class, bin) of batches of tokens."""
         first = np.zeros(len(ids), bool)
         first[bounds[:-1][np.diff(bounds) > 0]] = True
-        p1 = np.full(len(ids), -1, np.int64)
-        p1[1:] = np.where(first[1:], -1, ids[:-1])
-        p2 = np.full(len(ids), -1, np.int64)
-        p2[1:] = np.where(first[1:], -1, p1[:-1])
-        limit = len(self.klass) - 1
-        # Words without a class of their own count as one context.
-        known = lambda p: np.where(p < min(CLUSTERED, limit), p, CLUSTERED)
+        before = U(0xFFFFFFFFFFFFFFFF)          # the context before a text
+        at = _contexts(ids, rest, len(self.klass) - 1)
+        p1 = np.full(len(ids), before)
+        p1[1:] = np.where(first[1:], before, at[:-1])
+        p2 = np.full(len(ids), before)
+        p2[1:] = np.where(first[1:], before, p1[:-1])
+        kind = np.full(len(ids), CLASSES * BINS, np.int64)
+        kind[1:] = np.where(first[1:], CLASSES * BINS, self.klass[ids[:-1]] * np.int64(BINS) + self.bin_[ids[:-1]])
         for a in range(0, len(ids), BATCH):
             z = slice(a, a + BATCH)
             k = self.klass[ids[z]]
-            yield a, min(a + BATCH, len(ids)), self.features(known(p1[z]), known(p2[z]), k), k, self.bin_[ids[z]]
+            yield a, min(a + BATCH, len(ids)), self.features(p1[z], p2[z], kind[z], k), k, self.bin_[ids[z]]
 
     def softmax(self, level: int, rows: list[np.ndarray]) -> np.ndarray:
         s = self.weights[level][rows[0]]
@@ -268,7 +294,13 @@ class Model:
         return s
 
 
-def initial(lex: Lexicon, klass: np.ndarray) -> Model:
+def width(tokens: int) -> int:
+    """Words with a class, and feature rows of a table, for so many training tokens."""
+    want = GROWTH * math.isqrt(max(tokens, 1))
+    return min(max(1 << (want - 1).bit_length(), LEAST), MOST)
+
+
+def initial(lex: Lexicon, klass: np.ndarray, rows: int = LEAST) -> Model:
     """The model without context: classes and bins by their share of the counts."""
     words_ = len(klass)
     none = len(lex.hashes)
@@ -290,9 +322,9 @@ def initial(lex: Lexicon, klass: np.ndarray) -> Model:
     in_bin[last, 0] = everything - in_bin.sum()
     with np.errstate(divide="ignore"):
         share = np.log10(mass) - np.log10(in_bin[of, bins])
-        first = np.full((ROWS, CLASSES), 0, np.float32)
+        first = np.zeros((rows, CLASSES), np.float32)
         first[0] = np.maximum(np.log(in_bin.sum(axis=1) / everything), -1e9)
-        second = np.zeros((ROWS, BINS), np.float32)
+        second = np.zeros((rows, BINS), np.float32)
         second[:CLASSES] = np.maximum(np.log(in_bin / np.maximum(in_bin.sum(axis=1, keepdims=True), 1e-300)), -1e9)
     return Model(of, bins, np.where(np.isfinite(share), share, 0.0), math.log10(in_bin[last, 0]), [first, second])
 
@@ -301,13 +333,13 @@ def initial(lex: Lexicon, klass: np.ndarray) -> Model:
 _PIECE = 1024
 
 
-def _short(x: np.ndarray) -> bytes:
-    """Counts as the upper half of their 32-bit form (three digits), half as much to send."""
-    return ((x.astype("<f4").view("<u4") + np.uint32(0x8000)) >> np.uint32(16)).astype("<u2").tobytes()
+def _packed(x: np.ndarray) -> bytes:
+    """32-bit floats, byte plane by byte plane: whole numbers and exponents shrink in the shuffle."""
+    return x.astype("<f4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _long(raw: bytes) -> np.ndarray:
-    return (np.frombuffer(raw, "<u2").astype("<u4") << np.uint32(16)).view("<f4")
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).reshape(-1).view("<f4")
 
 
 def _sum_tree(parts: DataFrame, tasks: int) -> DataFrame:
@@ -317,24 +349,27 @@ def _sum_tree(parts: DataFrame, tasks: int) -> DataFrame:
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(_PIECE)
         for raw in table["data"]:
-            total += _long(raw.as_py())
-        return pa.table({"piece": table["piece"][:1], "data": pa.array([_short(total)], pa.binary())})
+            total += _unpacked(raw.as_py())
+        return pa.table({"piece": table["piece"][:1], "data": pa.array([_packed(total)], pa.binary())})
 
     schema = "piece long, data binary"
-    groups = F.pmod("task", F.lit(-(-tasks // 32)))
-    return parts.groupBy("piece", groups.alias("group")).applyInArrow(add, schema).groupBy("piece").applyInArrow(add, schema)
+    if tasks > 32:
+        groups = F.pmod("task", F.lit(-(-tasks // 32)))
+        parts = parts.groupBy("piece", groups.alias("group")).applyInArrow(add, schema)
+    return parts.groupBy("piece").applyInArrow(add, schema)
 
 
-def gather(encoded: DataFrame, model: Model, expected: bool) -> list[np.ndarray]:
-    """Observed (or, under the model, expected) counts of every weight, from all tasks."""
+def gather(encoded: DataFrame, model: Model, expected: bool) -> tuple[list[np.ndarray], float]:
+    """Observed (or, under the model, expected) counts of every weight, from all tasks; and, with the
+    expected ones, the log likelihood of all classes and bins."""
     spark = encoded.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    sizes = (CLASSES, BINS)
+    sizes, height = (CLASSES, BINS), len(model.weights[0])
 
-    def fold(state, ids, bounds):
+    def fold(state, ids, bounds, rest):
         m = shared.value
-        state = [np.zeros((n, ROWS)) for n in sizes] if state is None else state
-        for _, _, rows, k, b in m.batches(ids, bounds):
+        state = [np.zeros((n, height)) for n in sizes] + [np.zeros((1, _PIECE))] if state is None else state
+        for _, _, rows, k, b in m.batches(ids, bounds, rest):
             for level, target in enumerate((k, b)):
                 at = rows[level]
                 if level:
@@ -345,53 +380,60 @@ def gather(encoded: DataFrame, model: Model, expected: bool) -> list[np.ndarray]
                     continue
                 if expected:
                     p = m.softmax(level, at)
-                    for r in at[1:]:
-                        for c in range(sizes[level]):
-                            state[level][c] += np.bincount(r, weights=p[:, c], minlength=ROWS)
+                    state[2][0, 0] += np.log(np.maximum(p[np.arange(len(target)), target], 1e-30)).sum()
+                    for c in range(sizes[level]):
+                        column = p[:, c].astype(np.float64)
+                        for r in at[1:]:
+                            np.add.at(state[level][c], r, column)
                 else:
                     for r in at[1:]:
-                        flat = np.bincount(target.astype(np.int64) * ROWS + r, minlength=sizes[level] * ROWS)
-                        state[level] += flat.reshape(sizes[level], ROWS)
+                        np.add.at(state[level].reshape(-1), target.astype(np.int64) * height + r, 1.0)
         return state
 
     def finish(state):
         task = TaskContext.get().partitionId()
-        flat = np.concatenate(state).reshape(-1, _PIECE)
+        flat = np.concatenate([x.reshape(-1, _PIECE) for x in state])
         some = np.flatnonzero(flat.any(axis=1))
         for a in range(0, len(some), 256):
             at = some[a:a + 256]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at), pa.array(np.full(len(at), task)), pa.array([_short(flat[i]) for i in at], pa.binary())],
+                [pa.array(at), pa.array(np.full(len(at), task)), pa.array([_packed(flat[i]) for i in at], pa.binary())],
                 ["piece", "task", "data"])
 
     parts = _over(encoded, fold, finish, "piece long, task long, data binary")
-    found = _sum_tree(parts, min(TASKS, encoded.rdd.getNumPartitions())).toArrow()
-    out = np.zeros(((CLASSES + BINS) * ROWS // _PIECE, _PIECE), np.float32)
+    found = _sum_tree(parts, _tasks(encoded)).toArrow()
+    out = np.zeros(((CLASSES + BINS) * height // _PIECE + 1, _PIECE), np.float32)
     for i, raw in zip(found["piece"].to_pylist(), found["data"]):
-        out[i] = _long(raw.as_py())
-    out = out.reshape(CLASSES + BINS, ROWS)
-    return [out[:CLASSES].T, out[CLASSES:].T]
+        out[i] = _unpacked(raw.as_py())
+    likelihood = float(out[-1, 0])
+    out = out[:-1].reshape(CLASSES + BINS, height)
+    shared.unpersist()
+    return [out[:CLASSES].T, out[CLASSES:].T], likelihood
 
 
-def _update(model: Model, observed: list[np.ndarray], expected: list[np.ndarray], active: tuple[float, float]) -> Model:
+def _update(model: Model, observed: list[np.ndarray], expected: list[np.ndarray], active: tuple[float, float],
+            rate: float = 1.0) -> Model:
     """One step: each weight moves by the log of its smoothed counts' ratio over the number of
-    active features."""
+    active features. The weight's prior counts on the other side, ``PRIOR`` for each unit of it."""
     new = []
     for w, o, e, n in zip(model.weights, observed, expected, active):
-        step = np.log((o + ALPHA * 0.1) / (e + ALPHA * 0.1)) * (o + e) / (o + e + ALPHA) / n
+        o, e = o + PRIOR * np.maximum(-w, 0), e + PRIOR * np.maximum(w, 0)
+        step = np.log((o + ALPHA * 0.1) / (e + ALPHA * 0.1)) * (o + e) / (o + e + ALPHA) * (rate / n)
         step[:CLASSES] = 0
         new.append(np.ascontiguousarray(w + step.astype(np.float32)))
     return Model(model.klass, model.bin_, model.share, model.rest, new)
 
 
-def train(encoded: DataFrame, lex: Lexicon, updates: int = UPDATES) -> Model:
-    """Fit the model on the texts of ``encoded``."""
-    words_ = min(CLUSTERED, len(lex.hashes))
+def train(encoded: DataFrame, lex: Lexicon, updates: int = UPDATES, trace: list | None = None) -> Model:
+    """Fit the model on the texts of ``encoded``: at most ``updates`` updates after the first, which
+    end when the likelihood settles. ``trace`` gets the log10 likelihood of a token before each."""
+    rows = width(lex.total)
+    words_ = min(rows, len(lex.hashes))
     if not words_:
         return initial(lex, np.zeros(0, np.int64))
     klass = cluster(neighbour_counts(encoded, words_), lex.counts[:words_], CLASSES - 1)
-    model = initial(lex, klass)
-    observed = gather(encoded, model, expected=False)
+    model = initial(lex, klass, rows)
+    observed, _ = gather(encoded, model, expected=False)
     # Without context a row's expected counts are its own total times the bias shares; rows
     # of the second table hold one class's events, up to hash collisions.
     prior = [np.exp(model.weights[0][0])[None, :], None]
@@ -399,17 +441,29 @@ def train(encoded: DataFrame, lex: Lexicon, updates: int = UPDATES) -> Model:
     overall = observed[1].sum(axis=0, keepdims=True)
     prior[1] = overall / max(float(overall.sum()), 1.0)
     expected = [t * p for t, p in zip(total, prior)]
-    model = _update(model, observed, expected, (2.0, 1.5))
+    model = _update(model, observed, expected, (3.0, 2.0))
+    best, had, rate = None, -math.inf, RATE
     for _ in range(updates):
-        model = _update(model, observed, gather(encoded, model, expected=True), (3.0, 2.0))
+        expected, likelihood = gather(encoded, model, expected=True)
+        now = likelihood / max(lex.total, 1) / math.log(10)
+        if trace is not None:
+            trace.append(now)
+        if now < had:                 # too far: again from the best model, with half the step
+            rate /= 2
+            model, expected = best
+        elif now - had < TOLERANCE:
+            break
+        else:
+            best, had = (model, expected), now
+        model = _update(model, observed, expected, (4.0, 3.0), rate)
     return model
 
 
 # ------------------------------------------------------------------ scoring
-def token_log10(model: Model, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """log10 P(class, bin | context) of every token."""
+def token_log10(model: Model, ids: np.ndarray, bounds: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """log10 P(class, bin | context) of every token; ``rest``: hashes of those without a number."""
     out = np.zeros(len(ids))
-    for a, b, rows, k, bin_ in model.batches(ids, bounds):
+    for a, b, rows, k, bin_ in model.batches(ids, bounds, rest):
         p = model.softmax(0, rows[0])
         v = np.log10(np.maximum(p[np.arange(len(k)), k], 1e-30))
         on = np.flatnonzero(k < CLASSES - 1)
@@ -435,7 +489,7 @@ def score(encoded: DataFrame, counts: DataFrame, lex: Lexicon, model: Model) ->
             if not b.num_rows:
                 continue
             ids, bounds = _lists(b.column("ids"))
-            value = token_log10(m, ids, bounds)
+            value = token_log10(m, ids, bounds, _lists(b.column("rest"))[0])
             value += np.where(ids == none, 0.0, m.share[ids])
             sums = [np.add.reduceat(x, bounds[:-1]) for x in (value, base_[ids], (ids < none).astype(np.int64))]
             yield pa.RecordBatch.from_arrays(
@@ -444,7 +498,7 @@ def score(encoded: DataFrame, counts: DataFrame, lex: Lexicon, model: Model) ->
                 ["row", "doc_id", "held_out", "n_tokens", "numbered", "base", "model"])
 
     # a text has at least its end, so no sum is empty
-    scored = encoded.select("row", "doc_id", "held_out", "ids").mapInArrow(
+    scored = encoded.select("row", "doc_id", "held_out", "ids", "rest").mapInArrow(
         run, "row long, doc_id long, held_out boolean, n_tokens long, numbered long, base double, model double")
     # Words without a number: their counts by a join, each distinct word of a text once.
     rest = (encoded.where(F.size("rest") > 0).select("row", F.explode("rest").alias("h"))

@@ -67,6 +67,11 @@ def test_without_training_rows_every_word_has_probability_one(spark):
     assert all(r.base_score == pytest.approx(0) and r.score == pytest.approx(0, abs=1e-6) for r in got)
 
 
+def _hashes(ids, none):
+    """Some hash for each word without a number."""
+    return np.arange(7, 7 + (ids == none).sum(), dtype=np.int64)
+
+
 def test_probabilities_of_all_words_sum_to_one(spark):
     rows = [(k, " ".join(f"w{(k * j * j + j) % 50}" for j in range(40)) + " rare%d" % k) for k in range(80)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", F.lit(False))
@@ -81,11 +86,11 @@ def test_probabilities_of_all_words_sum_to_one(spark):
         p = 0.0
         for w in range(n):
             ids = np.array([*before, w], np.int32)
-            p += 10 ** (M.token_log10(model, ids, np.array([0, len(ids)]))[-1] + model.share[w])
+            p += 10 ** (M.token_log10(model, ids, np.array([0, len(ids)]), _hashes(ids, n))[-1] + model.share[w])
         # all words without a number, the unknown one among them
         ids = np.array([*before, n], np.int32)
         share = (rest - (lex.counts + M.SMOOTH)[model.klass[:-1] == M.CLASSES - 1].sum()) / rest
-        p += 10 ** M.token_log10(model, ids, np.array([0, len(ids)]))[-1] * share
+        p += 10 ** M.token_log10(model, ids, np.array([0, len(ids)]), _hashes(ids, n))[-1] * share
         assert p == pytest.approx(1, abs=1e-4)
 
 
@@ -103,3 +108,95 @@ def test_a_lexicon_finds_its_words():
     assert (lex.numbers(h) == np.arange(len(h))).all()
     other = np.setdiff1d(rng.integers(0, 1 << 62, 5000).astype(np.uint64), h)
     assert (lex.numbers(other) == len(h)).all()
+
+
+_M64 = (1 << 64) - 1
+
+
+def _mix(x, seed):
+    """The hash of one whole number, in plain integers."""
+    z = (x + seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & _M64
+    z = ((z ^ (z >> 30)) * 0xBF58476D1CE4E5B9) & _M64
+    z = ((z ^ (z >> 27)) * 0x94D049BB133111EB) & _M64
+    return z ^ (z >> 31)
+
+
+def _plain(model, texts):
+    """Each token's [(feature rows, target), ...], token by token, from lists of (number, hash)."""
+    none, height = len(model.klass) - 1, len(model.weights[0])
+    pairs = height // M.PAIRS
+    singles = height - M.CLASSES - pairs
+    word = lambda h: M.CLASSES + (h >> 20) % singles                # noqa: E731
+    pair = lambda h: M.CLASSES + singles + (h >> 20) % pairs        # noqa: E731
+    for text in texts:
+        context = [_mix(h, 9) | 1 << 63 if i == none else i for i, h in text]
+        for t, (i, _) in enumerate(text):
+            a = context[t - 1] if t else _M64
+            b = context[t - 2] if t > 1 else _M64
+            near = int(model.klass[text[t - 1][0]]) * M.BINS + int(model.bin_[text[t - 1][0]]) if t else M.CLASSES * M.BINS
+            one, two, skip = _mix(a, 1), _mix((a * 0x9E3779B97F4A7C15 + b) & _M64, 2), _mix(b, 3)
+            k, c = int(model.klass[i]), int(model.klass[i]) << 3
+            yield [([0, word(one), pair(two), word(skip), word(_mix(near, 6))], k),
+                   ([k, word(_mix((one + c) & _M64, 4)), pair(_mix((two + c) & _M64, 5)), word(_mix(((near << 8) + c) & _M64, 7))],
+                    int(model.bin_[i]))][:1 if k == M.CLASSES - 1 else 2]
+
+
+def _softmax(table, rows):
+    s = [sum(float(table[r][c]) for r in rows) for c in range(table.shape[1])]
+    e = [math.exp(x - max(s)) for x in s]
+    return [x / sum(e) for x in e]
+
+
+def test_counts_and_scores_equal_those_of_a_plain_model(spark):
+    """Observed and expected counts, likelihood and scores against sums token by token, rare words
+    (without a number) as contexts among them."""
+    rows = [(k, " ".join(f"w{(k * j * j + j) % 23}" for j in range(25)) + f" rare{k} w1 w2") for k in range(24)] + [(90, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", F.lit(False)).repartition(3)
+    lex = M.lexicon(M.word_counts(df), 20)
+    encoded = M.encode(df, lex)
+    model = M.train(encoded, lex, 2)
+    none, found = len(lex.hashes), encoded.collect()
+    texts = []
+    for r in found:
+        others = iter(r["rest"])
+        texts.append([(i, next(others) & _M64 if i == none else None) for i in r["ids"]])
+    assert any(i == none for t in texts for i, _ in t)
+    seen, want, likelihood = collections.Counter(), collections.Counter(), 0.0
+    for token in _plain(model, texts):
+        for level, (at, target) in enumerate(token):
+            p = _softmax(model.weights[level], at)
+            likelihood += math.log(p[target])
+            for r in at[1:]:
+                seen[level, r, target] += 1
+                for c, x in enumerate(p):
+                    want[level, r, c] += x
+    for expected, plain in ((False, seen), (True, want)):
+        got, total = M.gather(encoded, model, expected)
+        assert all(got[level][r][c] == pytest.approx(n, rel=1e-4, abs=1e-5) for (level, r, c), n in plain.items())
+        assert sum(float(g.sum()) for g in got) == pytest.approx(sum(plain.values()), rel=1e-5)
+    assert total == pytest.approx(likelihood, rel=1e-5)
+    scores = {r.doc_id: r.score for r in M.score(encoded, M.word_counts(df), lex, model).collect()}
+    counts = collections.Counter(w for _, t in rows for w in [*(t or "").split(), None])
+    n, v = sum(counts.values()), len(counts)
+    for r, text in zip(found, texts):
+        words = [*dict(rows)[r["doc_id"]].split(), None] if dict(rows)[r["doc_id"]] else [None]
+        plain = 0.0
+        for token, (i, _), w in zip(_plain(model, [text]), text, words):
+            plain += sum(math.log10(_softmax(model.weights[level], at)[target]) for level, (at, target) in enumerate(token))
+            mass = math.log10(counts[w] + M.SMOOTH)
+            plain += float(model.share[i]) if i != none else mass - model.rest
+        assert scores[r["doc_id"]] == pytest.approx(plain, rel=1e-4)
+
+
+def test_training_goes_on_until_the_likelihood_settles(spark, sf_small):
+    df = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").withColumn("held_out", F.lit(False))
+    lex = M.lexicon(M.word_counts(df))
+    encoded = M.encode(df, lex)
+    trace = []
+    M.train(encoded, lex, 40, trace)
+    gains = np.diff(trace)
+    assert 2 < len(trace) < 40 and (gains[:-1] >= M.TOLERANCE).all() and 0 <= gains[-1] < M.TOLERANCE
+
+
+def test_tables_grow_with_the_tokens():
+    assert M.width(0) == M.width(10 ** 7) == M.LEAST < M.width(10 ** 8) < M.width(10 ** 10) <= M.width(10 ** 16) == M.MOST
