@@ -17,12 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import map_text
+from .frames import cut, map_text
 from .words import U, mix
 
 UNKNOWN = "und"
-#: Slots of the table (8 bytes each and 64 languages) and hash functions.
-SLOT_BITS, HASHES = 20, 3
+#: Least slots of the table (8 bytes each and 64 languages), hash functions, and the false positive
+#: rate that the table is sized for, by the language with the most n-grams (7 to 13 slots for each).
+SLOT_BITS, HASHES, FALSE_RATE = 20, 3, 0.05
 #: An n-gram belongs to a language if it occurs there this often at least, and at this share
 #: of the rate that it has in the language where it is most frequent. A language with little
 #: text has a lower floor: 1, and one more for every so many n-grams of it.
@@ -94,7 +95,7 @@ class Model:
         some = np.flatnonzero(n)
         if not len(some):
             return out
-        slots = _slots(codes)
+        slots = _slots(codes, self.table.shape[1])
         for plane in range(len(self.table)):
             mask = self.table[plane][slots[0]]
             for s in slots[1:]:
@@ -105,16 +106,24 @@ class Model:
         return np.clip((out - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9), 0, 1)
 
 
-def _slots(codes: np.ndarray) -> list[np.ndarray]:
+def table_size(ngrams: int) -> int:
+    """Slots, a power of two, in which so many n-grams of a language have at most ``FALSE_RATE``."""
+    fill = FALSE_RATE ** (1 / HASHES)
+    want = int(HASHES * ngrams / -np.log1p(-fill)) + 1
+    return 1 << max(SLOT_BITS, (want - 1).bit_length())
+
+
+def _slots(codes: np.ndarray, size: int) -> list[np.ndarray]:
     """Double hashing: slot i is a + i * b."""
     h = mix(codes, 31)
     a, b = h & U((1 << SLOT_BITS) - 1), (h >> U(32)) | U(1)
-    return [((a + U(i) * b) & U((1 << SLOT_BITS) - 1)).astype(np.int64) for i in range(HASHES)]
+    return [((a + U(i) * b) & U(size - 1)).astype(np.int64) for i in range(HASHES)]
 
 
 def train(docs: DataFrame) -> Model:
     """Fit the filters on all rows of ``docs`` (text, lang) with a text and a language. What
-    reaches the driver is the table itself, of a fixed size for each 64 languages."""
+    reaches the driver is the table itself: ``table_size`` of the n-grams of the language that has
+    most. Repeated rows count as often as they occur."""
     counts = ngram_counts(docs.where("text IS NOT NULL AND lang IS NOT NULL"))
     totals = sorted(((r["n"], r["lang"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()),
                     key=lambda x: (-x[0], x[1]))
@@ -127,10 +136,13 @@ def train(docs: DataFrame) -> Model:
     rates = counts.withColumns({"bit": F.element_at(bit, F.col("lang")), "rate": F.col("n") / F.element_at(size, F.col("lang"))})
     kept = (rates.withColumn("top", F.max("rate").over(Window.partitionBy("code")))
             .where((F.col("n") >= F.element_at(floor, F.col("lang"))) & (F.col("rate") >= MIN_SHARE * F.col("top"))).select("bit", "code"))
+    kept = cut(kept)
+    most = kept.groupBy("bit").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    size_ = table_size(most or 0)
 
     def spread(batches):
         for b in batches:
-            slots = np.stack(_slots(b.column("code").to_numpy().view(U)))
+            slots = np.stack(_slots(b.column("code").to_numpy().view(U), size_))
             bits = np.tile(b.column("bit").to_numpy().astype(np.int64), HASHES)
             yield pa.RecordBatch.from_arrays([pa.array(slots.reshape(-1)), pa.array(bits // 64),
                                               pa.array(U(1) << (bits % 64).astype(U)).cast(pa.uint64())
@@ -138,7 +150,7 @@ def train(docs: DataFrame) -> Model:
 
     found = (kept.mapInArrow(spread, "slot long, plane long, word long")
              .groupBy("plane", "slot").agg(F.bit_or("word").alias("word")).toArrow())
-    table = np.zeros((-(-len(languages) // 64), 1 << SLOT_BITS), np.int64)
+    table = np.zeros((-(-len(languages) // 64), size_), np.int64)
     table[found["plane"].to_numpy(), found["slot"].to_numpy()] = found["word"].to_numpy()
     table = table.view(U)
     fill = [float(((table[k // 64] >> U(k % 64)) & U(1)).mean()) for k in range(len(languages))]
@@ -149,7 +161,8 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` in front of its columns named otherwise: the
     language of each whole text and its corrected share of n-grams. A text that is null or has
     no letter (or any text, when no language was learned) is ``und`` with score 0; ties go to
-    the language with more training text, so a text none of whose n-grams is known gets that."""
+    the language with more training text, so a text none of whose n-grams is known gets that.
+    Repeated rows and null ids are kept, each predicted alike; an empty table gives no rows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():

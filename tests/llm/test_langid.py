@@ -96,3 +96,65 @@ def test_corrected_share_takes_chance_hits_off():
     codes, bounds = L.trigrams(["".join(chr(0x4E00 + k) for k in range(20000))])
     share = model.shares(codes, bounds)[0]
     assert share[0] == 0 and share[1] == pytest.approx(0, abs=0.02)
+
+
+def _grams(text):
+    letters = [c.lower() if len(c.lower()) == 1 else c for c in f"\n{text}\n"]
+    letters = [c if c.isalpha() else "" for c in letters]
+    return [tuple(letters[i - 1:i + 2]) for i in range(1, len(letters) - 1) if letters[i]]
+
+
+def test_predictions_equal_those_of_exact_sets(spark, sf_small):
+    """Plain sets of each language's trigrams by the same rules decide as the filters do; shares
+    differ by chance hits only."""
+    import collections
+
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").withColumn("held_out", in_sample("doc_id", 5))
+    rows = docs.select("doc_id", "text", "lang", "held_out").collect()
+    counts = collections.defaultdict(collections.Counter)
+    for r in rows:
+        if not r.held_out and r.text is not None and r.lang is not None:
+            counts[r.lang].update(_grams(r.text))
+    total = {lang: sum(c.values()) for lang, c in counts.items()}
+    top = collections.Counter()
+    for lang, c in counts.items():
+        for g, n in c.items():
+            top[g] = max(top[g], n / total[lang])
+    sets = {lang: {g for g, n in c.items() if n >= min(L.MIN_COUNT, 1 + total[lang] // L.FLOOR_STEP) and n / total[lang] >= L.MIN_SHARE * top[g]}
+            for lang, c in counts.items()}
+    model = L.train(docs.where("NOT held_out").select("text", "lang"))
+    assert model.languages == sorted(total, key=lambda x: (-total[x], x))
+    for r in L.predict(docs.select("doc_id", "text"), model).collect():
+        grams = _grams(r.text or "")
+        if not grams:
+            assert (r.lang_pred, r.score) == (L.UNKNOWN, 0.0)
+            continue
+        share = {lang: sum(g in known for g in grams) / len(grams) for lang, known in sets.items()}
+        best = max(share.values())
+        assert abs(r.score - best) < 0.02
+        assert share[r.lang_pred] >= best - 0.02
+
+
+def test_the_table_is_sized_for_its_false_positive_rate(spark):
+    assert L.table_size(0) == L.table_size(10 ** 5) == 1 << L.SLOT_BITS < L.table_size(10 ** 6) < L.table_size(10 ** 7)
+    rng = np.random.default_rng(1)
+    size = L.table_size(300_000)
+    filled = np.zeros(size, bool)
+    for s in L._slots(rng.integers(0, 1 << 62, 300_000).astype(np.uint64), size):
+        filled[s] = True
+    assert filled.mean() ** L.HASHES <= L.FALSE_RATE
+
+
+def test_a_million_trigrams_of_one_language_leave_the_others_apart(spark):
+    rng = np.random.default_rng(2)
+    letters = np.array([chr(0x4E00 + k) for k in range(4000)])
+    big = ["".join(letters[rng.integers(0, 4000, 50_000)]) for _ in range(20)]
+    small = ["".join(letters[rng.integers(0, 4000, 3000)]) for _ in range(4)]
+    rows = [(t * 4, "big") for t in big] + [(t * 4, "small") for t in small]
+    model = L.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.table.shape[1] > 1 << L.SLOT_BITS and (model.false_rate <= L.FALSE_RATE).all()
+    tests = [(k, t[100:400], lang, "", 0) for k, (t, lang) in enumerate([(t, "big") for t in big] + [(t, "small") for t in small])]
+    strange = ("".join(letters[rng.integers(0, 4000, 5000)]))
+    found = L.predict(spark.createDataFrame([*tests, (99, strange, None, "", 0)], SCHEMA), model).collect()
+    assert all(r.lang == r.lang_pred and r.score > 0.95 for r in found if r.doc_id != 99)
+    assert [r.score for r in found if r.doc_id == 99][0] < 0.05
