@@ -285,10 +285,14 @@ class Model:
             yield a, min(a + BATCH, len(ids)), self.features(p1[z], p2[z], kind[z], k), k, self.bin_[ids[z]]
 
     def softmax(self, level: int, rows: list[np.ndarray]) -> np.ndarray:
-        s = self.weights[level][rows[0]]
+        s = np.take(self.weights[level], rows[0], axis=0)
         for r in rows[1:]:
-            s += self.weights[level][r]
-        s -= s.max(axis=1, keepdims=True)
+            s += np.take(self.weights[level], r, axis=0)
+        top = s
+        while top.shape[1] > 1:       # the largest of a row by halves: its width is a power of two
+            half = top.shape[1] // 2
+            top = np.maximum(top[:, :half], top[:, half:])
+        s -= top
         np.exp(s, out=s)
         s /= s.sum(axis=1, keepdims=True)
         return s
