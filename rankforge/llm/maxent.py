@@ -54,6 +54,8 @@ NEIGHBOURS, ALPHA, PRIOR = 16, 4.0, 2.0
 TOLERANCE, UPDATES, RATE = 0.01, 8, 2.0
 SMOOTH = 0.1
 BATCH = 1 << 18
+#: Sums of weights whose exponential a 32-bit float holds with all its digits.
+SAFE = 60.0
 END = U(0x5DEECE66D1234567)
 SLICE_BYTES = 16 << 20
 
@@ -288,11 +290,14 @@ class Model:
         s = np.take(self.weights[level], rows[0], axis=0)
         for r in rows[1:]:
             s += np.take(self.weights[level], r, axis=0)
-        top = s
-        while top.shape[1] > 1:       # the largest of a row by halves: its width is a power of two
-            half = top.shape[1] // 2
-            top = np.maximum(top[:, :half], top[:, half:])
-        s -= top
+        if len(s) and s.max() < SAFE:
+            p = np.exp(s)
+            total = np.einsum("ij->i", p)
+            if total.min() > math.exp(-SAFE):
+                p /= total[:, None]
+                return p
+        # a sum beyond the exponential's range: from the largest of each row
+        s -= s.max(axis=1, keepdims=True)
         np.exp(s, out=s)
         s /= s.sum(axis=1, keepdims=True)
         return s
