@@ -10,6 +10,28 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def typed_value(value: Column, dtype: T.DataType, path: str = "$") -> Column:
+    """What a VARIANT holds at ``path``, in the declared type, field by field: a missing field, a null
+    or a value that the type cannot hold is NULL and the other fields stay, as with ``from_json``.
+    Unlike there, a value of another type is converted where a cast can (``"7"`` to 7, 1.5 to 1),
+    and a struct that is missing has NULL fields. No text is parsed."""
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[typed_value(value, f.dataType, f"{path}.{f.name}").alias(f.name) for f in dtype.fields])
+    return F.try_variant_get(value, path, dtype.simpleString())
+
+
+def explode_variant(df: DataFrame, value: str, array_path: str, element: T.StructType, alias: str,
+                    carry: Iterable[str | Column] = ()) -> DataFrame:
+    """:func:`explode_records` for documents held as VARIANT: one row per element of the array at
+    ``array_path`` (a JSON path), with the declared fields of the element as the struct ``alias``.
+    What is no array gives no row; an element that is null or no object has NULL fields."""
+    records = df.withColumn("_records", F.try_variant_get(F.col(value), array_path, "array<variant>"))
+    rows = explode_records(records, "_records", "_record", carry=[*carry])
+    kept = [c for c in rows.columns if c != "_record"]
+    return rows.select(*kept, typed_value(F.col("_record"), element).alias(alias))
 
 
 def explode_records(df: DataFrame, array_path: str, alias: str,

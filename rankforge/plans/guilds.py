@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import empty_to_null, trim_whitespace
 from ..operators.latest import latest_per_key
-from ..operators.nested import explode_records, flatten
+from ..operators.nested import explode_records, explode_variant, flatten
 from ..operators.quality import GOLD_GUILD_RULES, SILVER_GUILD_RULES, expect_or_drop
 
 META = ["ldts", "rsrc"]
@@ -36,6 +37,9 @@ def _meta(df: DataFrame) -> list[str]:
 
 
 def unpack(bronze: DataFrame, text_col: str = "guildData") -> DataFrame:
+    """Explode the guilds of a document, held as text or as a VARIANT."""
+    if isinstance(bronze.schema[text_col].dataType, T.VariantType):
+        return explode_variant(bronze, text_col, "$.guilds.data", schemas.GUILD, "s", carry=_meta(bronze))
     parsed = bronze.select(*_meta(bronze), F.from_json(F.col(text_col), schemas.GUILD_DATA).alias("g"))
     return explode_records(parsed, "g.guilds.data", "s", carry=_meta(bronze))
 

@@ -153,6 +153,16 @@ def scan_json_multiline(spark, sf_dir):
     return _scan(spark, sf_dir, "document")
 
 
+def scan_variant(spark, sf_dir):
+    """Land the documents as lines and parse them once: bronze keeps the payload as a VARIANT, in
+    files, and silver extracts the declared fields from it without parsing text."""
+    landing = _land_encounters(spark, sf_dir)
+    bronze = attach_metadata(read_landing(spark, landing, "encounters", parsed=True), SOURCE, stamp_from_file_name())
+    place = shared_path(spark, "bronze", "variant")
+    bronze.write.mode("overwrite").parquet(place)
+    return _ntz(enc.silver_clean(spark.read.schema(bronze.schema).parquet(place)).drop("rsrc"), "ldts", "ranked_date")
+
+
 def sql_preview(spark, sf_dir):
     """The SQL preview of landed guild documents: all columns but the one for broken lines,
     the first five documents by their first guild."""
@@ -281,14 +291,16 @@ COMMENTS = {
     "silver": "Newest ranking of each encounter, player, class and time.",
     "gold": "Rankings for analysis, by name.",
 }
+PARSED_COMMENT = "Landed encounter documents as VARIANT, parsed once, with load time and source."
 
 
-def _versioned_encounter_flow(spark, sf_dir, days=LOAD_DAYS):
+def _versioned_encounter_flow(spark, sf_dir, days=LOAD_DAYS, parsed=False):
     """Three pulls of the whole table land one after another; after each, the chained
     stream hops run to completion in order (availableNow), each reading the table of the one
     before by its name: landing -> bronze -> silver-clean (parse, explode, clean, rules with
     their counts) -> silver (upsert) and gold. Silver and gold are bucketed by ranking day, so a
-    pull of recent rankings replaces recent days only."""
+    pull of recent rankings replaces recent days only. With ``parsed`` the scan is the only parse:
+    bronze holds the documents as VARIANT."""
     events = _t(spark, sf_dir, "events")
     root = shared_path(spark, "stream", "encounters")
     landing, suffix = f"{root}/landing", f"encounters_{root.rsplit('-', 1)[-1]}"
@@ -300,8 +312,8 @@ def _versioned_encounter_flow(spark, sf_dir, days=LOAD_DAYS):
     for day in days:
         shifted = events.withColumn("value", F.col("value") + F.lit(float(3 - day)))
         _land_encounters(spark, sf_dir, shifted, dt.datetime(2026, 1, day), landing)
-        append_to_table(bronze_stream(spark, landing, "encounters", SOURCE, stamp_from_file_name()), name["bronze"],
-                        f"{root}/_chk/bronze", COMMENTS["bronze"], f"{root}/bronze")
+        append_to_table(bronze_stream(spark, landing, "encounters", SOURCE, stamp_from_file_name(), parsed=parsed), name["bronze"],
+                        f"{root}/_chk/bronze", PARSED_COMMENT if parsed else COMMENTS["bronze"], f"{root}/bronze")
         append_checked(_clean_rows(read_table_stream(spark, name["bronze"])), SILVER_ENCOUNTER_RULES, name["silver_clean"],
                        name["ledger"], f"silver_clean day {day}", f"{root}/_chk/silver_clean", COMMENTS["silver_clean"],
                        f"{root}/silver_clean", f"{root}/ledger")
@@ -323,6 +335,12 @@ def stream_silver(spark, sf_dir):
     return _ntz(cleaned.drop("rsrc", BATCH), "ldts", "ranked_date")
 
 
+def stream_silver_variant(spark, sf_dir):
+    """The silver-clean table of a chain whose bronze table holds VARIANT documents."""
+    cleaned = read_rows(spark, _versioned_encounter_flow(spark, sf_dir, parsed=True)["tables"]["silver_clean"])
+    return _ntz(cleaned.drop("rsrc", BATCH), "ldts", "ranked_date")
+
+
 def stream_latest_encounters(spark, sf_dir):
     silver = _versioned_encounter_flow(spark, sf_dir)["silver"].read(spark)
     return _ntz(silver.drop("rsrc"), "ldts", "ranked_date")
@@ -408,10 +426,10 @@ def stream_latest_guilds(spark, sf_dir):
     return _ntz(target.read(spark).drop("rsrc"), "ldts")
 
 
-def _chained_guild_flow(spark, sf_dir):
+def _chained_guild_flow(spark, sf_dir, parsed=False):
     """The guild chain with its bronze table: each pull lands, the landing -> bronze hop
-    appends it (raw text + load metadata), and the bronze -> silver hop parses, cleans,
-    checks and upserts it by guild id."""
+    appends it (raw text, or a VARIANT when ``parsed``, + load metadata), and the bronze -> silver
+    hop parses, cleans, checks and upserts it by guild id."""
     customer = _t(spark, sf_dir, "customer")
     root = shared_path(spark, "stream", "guild-chain")
     landing = f"{root}/landing"
@@ -419,8 +437,9 @@ def _chained_guild_flow(spark, sf_dir):
     for day in LOAD_DAYS:
         docs = fixtures.guild_documents(customer, as_text=False, tag=str(day)).select("guildData")
         write_landing(docs, landing, "guilds", dt.datetime(2026, 1, day))
-        append_to_table(bronze_stream(spark, landing, "guilds", SOURCE, stamp_from_file_name()), bronze, f"{root}/_chk/bronze",
-                        "Landed guild documents as text, with load time and source.", f"{root}/bronze")
+        append_to_table(bronze_stream(spark, landing, "guilds", SOURCE, stamp_from_file_name(), parsed=parsed), bronze,
+                        f"{root}/_chk/bronze", f"Landed guild documents as {'VARIANT' if parsed else 'text'}, with load time and source.",
+                        f"{root}/bronze")
         upsert_stream(read_table_stream(spark, bronze), target, f"{root}/_chk/silver",
                       transform=gld.silver_clean, derived=(gold, gld.gold))
     return bronze, target, gold
@@ -437,6 +456,11 @@ def stream_silver_guilds(spark, sf_dir):
     return _ntz(_chained_guild_flow(spark, sf_dir)[1].read(spark).drop("rsrc"), "ldts")
 
 
+def stream_silver_guilds_variant(spark, sf_dir):
+    """The same from a bronze table that holds the documents as VARIANT."""
+    return _ntz(_chained_guild_flow(spark, sf_dir, parsed=True)[1].read(spark).drop("rsrc"), "ldts")
+
+
 def stream_gold_guilds(spark, sf_dir):
     """Gold kept by the stream: after each batch the buckets that it touched."""
     return _chained_guild_flow(spark, sf_dir)[2].read(spark)
@@ -566,6 +590,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gold_guilds": gold_guilds,
     "scan_json_lines": scan_json_lines,
     "scan_json_multiline": scan_json_multiline,
+    "scan_variant": scan_variant,
     "sql_preview": sql_preview,
     "schema_setup": schema_setup,
     "raw_preview": raw_preview,
@@ -582,6 +607,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expectation_report_guilds": expectation_report_guilds,
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
+    "stream_silver_variant": stream_silver_variant,
     "stream_latest_encounters": stream_latest_encounters,
     "stream_gold_encounters": stream_gold_encounters,
     "stream_rule_counts": stream_rule_counts,
@@ -590,6 +616,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_latest_guilds": stream_latest_guilds,
     "stream_bronze_guilds": stream_bronze_guilds,
     "stream_silver_guilds": stream_silver_guilds,
+    "stream_silver_guilds_variant": stream_silver_guilds_variant,
     "stream_gold_guilds": stream_gold_guilds,
     "feature_select": feature_select,
     "bootstrap_sample": bootstrap_sample,
@@ -623,6 +650,7 @@ ORACLE_SQL: dict[str, str] = {
     "gold_guilds": oracle.GOLD_GUILDS,
     "scan_json_lines": oracle.SCAN_JSON_LINES,
     "scan_json_multiline": oracle.SCAN_JSON_MULTILINE,
+    "scan_variant": oracle.SCAN_JSON_LINES,                # same rows, parsed once
     "sql_preview": oracle.SQL_PREVIEW,
     "schema_setup": oracle.SCHEMA_SETUP,
     "raw_preview": oracle.RAW_PREVIEW,
@@ -647,6 +675,8 @@ ORACLE_SQL: dict[str, str] = {
     "stream_latest_guilds": oracle.STREAM_LATEST_GUILDS,
     "stream_bronze_guilds": oracle.STREAM_BRONZE_GUILDS,
     "stream_silver_guilds": oracle.STREAM_LATEST_GUILDS,   # same rows through the bronze table
+    "stream_silver_variant": oracle.STREAM_SILVER,
+    "stream_silver_guilds_variant": oracle.STREAM_LATEST_GUILDS,
     "stream_gold_guilds": oracle.STREAM_GOLD_GUILDS,
     "feature_select": oracle.FEATURE_SELECT,
     "bootstrap_sample": oracle.BOOTSTRAP_SAMPLE,

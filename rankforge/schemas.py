@@ -99,14 +99,18 @@ PAYLOADS = {
 }
 
 
-def landing_schema(dataset: str, as_text: bool = True) -> T.StructType:
+def landing_schema(dataset: str, as_text: bool = True, parsed: bool = False) -> T.StructType:
     """Schema used to *read* a landing file.
 
     ``as_text=True`` keeps the payload object as raw JSON text (bronze stores text; silver
     parses it with the declared schema). ``as_text=False`` reads the typed struct directly,
-    which avoids a second parse when bronze is skipped.
+    which avoids a second parse when bronze is skipped. ``parsed`` keeps the payload as a VARIANT:
+    the scan is the only parse, bronze still holds whole documents, and silver extracts the
+    declared fields from the binary form.
     """
     column, payload = PAYLOADS[dataset]
+    if parsed:
+        return _s(_f(column, T.VariantType()))
     return _s(_f(column, T.StringType() if as_text else payload))
 
 

@@ -46,28 +46,29 @@ def _landing_options(reader, layout: str, file_filter: str = FILE_FILTER):
             .option("pathGlobFilter", file_filter))
 
 
-def _schema(dataset: str, as_text: bool, corrupt: bool) -> T.StructType:
-    found = schemas.landing_schema(dataset, as_text)
+def _schema(dataset: str, as_text: bool, corrupt: bool, parsed: bool = False) -> T.StructType:
+    found = schemas.landing_schema(dataset, as_text, parsed)
     return T.StructType([*found.fields, T.StructField("_corrupt_record", T.StringType())]) if corrupt else found
 
 
 def read_landing(spark: SparkSession, landing_dir: str, dataset: str = "encounters",
                  as_text: bool = True, layout: str = "lines", file_filter: str = FILE_FILTER,
-                 corrupt: bool = False) -> DataFrame:
+                 corrupt: bool = False, parsed: bool = False) -> DataFrame:
     """Batch scan of every landing file (A1). Declared schema, never inferred. With ``corrupt`` the
-    text of what is no JSON comes in the column ``_corrupt_record`` (see ``plans.quarantine``)."""
-    reader = spark.read.schema(_schema(dataset, as_text, corrupt))
+    text of what is no JSON comes in the column ``_corrupt_record`` (see ``plans.quarantine``).
+    With ``parsed`` the payload comes as a VARIANT, parsed here once for all later hops."""
+    reader = spark.read.schema(_schema(dataset, as_text, corrupt, parsed))
     return _landing_options(reader, layout, file_filter).json(landing_dir.rstrip("/"))
 
 
 def stream_landing(spark: SparkSession, landing_dir: str, dataset: str = "encounters",
                    as_text: bool = True, layout: str = "lines", max_files_per_trigger: int | None = None,
-                   file_filter: str = FILE_FILTER, corrupt: bool = False) -> DataFrame:
+                   file_filter: str = FILE_FILTER, corrupt: bool = False, parsed: bool = False) -> DataFrame:
     """Incremental file stream (A2): each file is picked up once; the checkpoint of the
     query that consumes this frame records which files were seen. A run to completion
     (``availableNow``) takes at most ``max_files_per_trigger`` files (by default those of the
     layout) per micro-batch."""
-    reader = _landing_options(spark.readStream.schema(_schema(dataset, as_text, corrupt)), layout, file_filter)
+    reader = _landing_options(spark.readStream.schema(_schema(dataset, as_text, corrupt, parsed)), layout, file_filter)
     most = max_files_per_trigger or LAYOUTS[layout]
     return reader.option("maxFilesPerTrigger", most).json(landing_dir.rstrip("/"))
 
