@@ -34,13 +34,22 @@ def unreadable(text: Column, payload: T.StructType) -> Column:
     return read[CORRUPT].isNotNull() & reduce(lambda a, b: a & b, [read[f].isNull() for f in fields])
 
 
+def _parsed(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.VariantType)
+
+
 def mark_broken(bronze: DataFrame, dataset: str = "encounters") -> DataFrame:
     """Add ``broken``: ``line`` when the landed line was no JSON (its text is in the corrupt-record
     column that :func:`rankforge.sources.files.read_landing` adds on request), ``payload`` when the
     payload cannot be read, else NULL. A NULL payload without a corrupt line holds nothing and is
-    not broken. No shuffle; one more parse of the payload."""
+    not broken. No shuffle; one more parse of a payload held as text, none of a VARIANT (which is broken
+    when it holds no object)."""
     column, payload = schemas.PAYLOADS[dataset]
-    reason = F.when(F.col(column).isNotNull() & unreadable(F.col(column), payload), F.lit(PAYLOAD))
+    if _parsed(bronze, column):
+        bad = ~F.is_variant_null(column) & F.try_variant_get(F.col(column), "$", "map<string,variant>").isNull()
+    else:
+        bad = unreadable(F.col(column), payload)
+    reason = F.when(F.col(column).isNotNull() & bad, F.lit(PAYLOAD))
     if CORRUPT in bronze.columns:
         reason = F.when(F.col(CORRUPT).isNotNull(), F.lit(LINE)).otherwise(reason)
     return bronze.withColumn(REASON, reason)
@@ -52,9 +61,10 @@ def readable(marked: DataFrame) -> DataFrame:
 
 
 def quarantined(marked: DataFrame, dataset: str = "encounters") -> DataFrame:
-    """The others: ``document`` (the text as it came), ``broken``, ``ldts``, ``rsrc``."""
+    """The others: ``document`` (the text as it came; of a VARIANT its JSON), ``broken``, ``ldts``, ``rsrc``."""
     column, _ = schemas.PAYLOADS[dataset]
-    text = F.coalesce(F.col(CORRUPT), F.col(column)) if CORRUPT in marked.columns else F.col(column)
+    payload = F.to_json(column) if _parsed(marked, column) else F.col(column)
+    text = F.coalesce(F.col(CORRUPT), payload) if CORRUPT in marked.columns else payload
     return marked.where(F.col(REASON).isNotNull()).select(text.alias("document"), REASON, "ldts", "rsrc")
 
 

@@ -11,8 +11,9 @@ from rankforge import queries as q
 from rankforge.operators.nested import explode_variant, typed_value
 from rankforge.plans import encounters as enc
 from rankforge.plans import guilds as gld
+from rankforge.plans.quarantine import mark_broken, quarantined, readable
 from rankforge.session import shared_path
-from rankforge.sources.files import read_landing
+from rankforge.sources.files import attach_metadata, read_landing
 
 ENCOUNTERS = [
     '{"encounter":{"id":7,"name":"a b","characterRankings":{"rankings":['
@@ -70,6 +71,23 @@ def test_values_of_another_type_are_converted_where_they_can(spark):
     assert row.select("t.*").first().asDict(recursive=True) == {"i": 7, "s": "5", "b": None, "n": {"x": None}, "a": [1, 2]}
 
 
+def test_broken_documents_are_set_aside_as_from_text(spark):
+    place = shared_path(spark, "test", "variant-broken") + "/pull_20260101_000000"
+    lines = ['{"worldData":' + ENCOUNTERS[0] + "}", '{"worldData":{"encounter":{"id":', '{"worldData":5}', '{"worldData":[1,2]}',
+             '{"worldData":"text"}', '{"worldData":null}', '{"worldData":{}}', "{}"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(place)
+    found = []
+    for parsed in (False, True):
+        rows = read_landing(spark, place, parsed=parsed, corrupt=True, file_filter="*.txt")
+        marked = mark_broken(attach_metadata(rows, "test", F.lit(dt.datetime(2026, 1, 1))))
+        found.append((sorted((r["broken"], r["document"]) for r in quarantined(marked).select("document", "broken", "ldts").collect()),
+                      enc.silver_clean(readable(marked)).count()))
+    # a payload that is a bare string comes without quotes as text, with them as the JSON of a VARIANT
+    assert found[0][0] == [("line", lines[1]), ("payload", "5"), ("payload", "[1,2]"), ("payload", "text")]
+    assert found[1][0] == [("line", lines[1]), ("payload", '"text"'), ("payload", "5"), ("payload", "[1,2]")]
+    assert found[0][1] == found[1][1] > 0
+
+
 def test_no_documents(spark):
     none = spark.createDataFrame([], T.StructType([T.StructField("worldData", T.VariantType())]))
     assert explode_variant(none, "worldData", "$.encounter.characterRankings.rankings", schemas.RANKING, "r").count() == 0
