@@ -27,11 +27,13 @@ def explode_variant(df: DataFrame, value: str, array_path: str, element: T.Struc
                     carry: Iterable[str | Column] = ()) -> DataFrame:
     """:func:`explode_records` for documents held as VARIANT: one row per element of the array at
     ``array_path`` (a JSON path), with the declared fields of the element as the struct ``alias``.
-    What is no array gives no row; an element that is null or no object has NULL fields."""
-    records = df.withColumn("_records", F.try_variant_get(F.col(value), array_path, "array<variant>"))
-    rows = explode_records(records, "_records", "_record", carry=[*carry])
-    kept = [c for c in rows.columns if c != "_record"]
-    return rows.select(*kept, typed_value(F.col("_record"), element).alias(alias))
+    What is no array gives no row; an element that is null or no object has NULL fields. The array
+    is cast once, value by value: one that does not fit is NULL and its record stays."""
+    records = F.try_variant_get(F.col(value), array_path, T.ArrayType(element).simpleString())
+    carry = [F.col(c) if isinstance(c, str) else c for c in carry]
+    names = df.select(*carry).columns
+    whole = df.select(*carry, records.alias("_records"))
+    return explode_records(whole, "_records", alias, carry=names)
 
 
 def explode_records(df: DataFrame, array_path: str, alias: str,
