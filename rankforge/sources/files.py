@@ -10,7 +10,12 @@ JSON text plus load metadata; silver parses it with the declared schema.
 from __future__ import annotations
 
 import datetime as _dt
+import os
+import shutil
+import uuid
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,11 +136,55 @@ def write_landing(docs: DataFrame, landing_dir: str, name: str, when: _dt.dateti
     target = f"{landing_dir.rstrip('/')}/{landing_file_name(name, when)[:-5]}"
     writer = docs.write.mode("append")
     if layout == "document":
+        folder = _local_folder(docs.sparkSession, target)
+        if folder is not None:
+            _write_document_files(docs, folder)
+            return target
         writer = writer.option("maxRecordsPerFile", 1)
     writer.json(target)
     return target
 
 
+def _local_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder itself where ``path`` is one of the local (or a mounted, shared) file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return place.toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
+def _write_document_files(docs: DataFrame, target: str) -> None:
+    """One document per file below a folder of the local file system, where Spark's writer starts
+    two processes (``chmod``) per file and the driver moves file by file. Each task writes a folder
+    of its own, hidden until all tasks have ended; the driver moves one folder per task."""
+    run = uuid.uuid4().hex[:12]
+    staged = f"{target}/_temporary-{run}"
+
+    def write(batches):
+        task = TaskContext.get()
+        folder, files = f"{staged}/{task.taskAttemptId()}", 0
+        for batch in batches:
+            if batch.num_rows:
+                os.makedirs(folder, exist_ok=True)
+            for text in batch.column(0).to_pylist():
+                with open(f"{folder}/part-{task.partitionId():05d}-c{files:06d}.json", "wb") as out:
+                    out.write(text + b"\n")
+                files += 1
+        if files:
+            yield pa.RecordBatch.from_pydict({"folder": [folder], "part": [task.partitionId()]},
+                                             pa.schema([("folder", pa.string()), ("part", pa.int32())]))
+
+    columns = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    os.makedirs(staged)
+    try:
+        written = (docs.select(F.to_json(F.struct(*columns)).cast("binary").alias("text"))
+                   .mapInArrow(write, "folder string, part int").collect())
+        for row in written:
+            os.rename(row.folder, f"{target}/part-{row.part:05d}-{run}")
+        open(f"{target}/_SUCCESS", "wb").close()
+    finally:
+        shutil.rmtree(staged, ignore_errors=True)
+
+
 def raw_preview(docs: DataFrame, dataset: str = "guilds", n: int = 3) -> DataFrame:
     """Envelope of each document with only the first ``n`` records (A12), parsed with the
     declared schema, one row per document; other columns of ``docs`` are kept."""

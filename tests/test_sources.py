@@ -16,6 +16,32 @@ from rankforge.sources.files import (attach_metadata, landing_file_name, preview
 from test_chains import GUILDS, guild_doc
 
 
+def test_documents_land_in_a_folder_per_task(spark):
+    """One document per file, without a checksum file or a move by the driver for each; a second
+    pull under the same stamp is added; null fields are left out as Spark's writer does."""
+    landing, when = shared_path(spark, "test", "landing"), dt.datetime(2024, 6, 1, 12, 30, 5)
+    docs = spark.range(40).repartition(4).select(
+        F.struct("id", F.when(F.col("id") % 2 == 0, F.lit("\u00e9\n")).alias("name")).alias("worldData"))
+    for _ in range(2):
+        target = write_landing(docs, landing, "pull", when, "document").replace("file:", "")
+    assert len([f for f in os.listdir(target) if not f.startswith(("_", "."))]) <= 8
+    files = [os.path.join(d, f) for d, _, fs in os.walk(target) for f in fs if f != "_SUCCESS"]
+    assert len(files) == 80 and all(f.endswith(".json") for f in files)
+    plain = [r.value for r in docs.select(F.to_json(F.struct("worldData")).alias("value")).collect()]
+    assert sorted(open(f, encoding="utf-8").read() for f in files) == sorted(t + "\n" for t in 2 * plain)
+    back = attach_metadata(read_landing(spark, landing, layout="document"), "src", stamp_from_file_name()).collect()
+    assert len(back) == 80 and {r.ldts for r in back} == {when}
+
+
+def test_a_failed_write_of_documents_leaves_none(spark):
+    landing = shared_path(spark, "test", "landing")
+    docs = spark.range(10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("broken"))).otherwise(F.col("id").cast("string"))
+                                  .alias("worldData"))
+    with pytest.raises(Exception, match="broken"):
+        write_landing(docs, landing, "pull", dt.datetime(2024, 6, 1), "document")
+    assert read_landing(spark, landing, layout="document").count() == 0
+
+
 def test_landing_roundtrip_one_document_per_file(spark):
     landing = shared_path(spark, "test", "landing")
     docs = spark.createDataFrame([(i, [i, i + 1]) for i in range(6)], "id int, arr array<int>")
