@@ -15,7 +15,8 @@ in; what it would otherwise have to read from them is staged already.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,11 @@ from .tables import create_table, exists, forget, read_rows, replace_partitions
 BUCKET = "_bucket"
 NULL_BUCKET = -1
 
+WIDTH = "spark.sql.shuffle.partitions"
+#: State partitions for each core. A state partition costs a store to open and files to commit in every
+#: micro-batch, whatever it holds, and its keys lie off-heap; adaptive execution does not join them.
+STATE_TASKS = 2
+
 
 @dataclass
 class KeyedTable:
@@ -104,6 +110,19 @@ def _location(spark: SparkSession, name: str) -> str:
     return rows[0].data_type.rstrip("/")
 
 
+@contextmanager
+def state_width(spark: SparkSession) -> Iterator[None]:
+    """Within, a stream that starts a new checkpoint keeps its state in ``STATE_TASKS`` partitions per
+    core at most (an old checkpoint keeps its number). The session's width is as before after it."""
+    before = spark.conf.get(WIDTH)
+    most = STATE_TASKS * max(spark.sparkContext.defaultParallelism, 1)
+    spark.conf.set(WIDTH, str(min(int(before), most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(WIDTH, before)
+
+
 def upsert_stream(stream: DataFrame, target: KeyedTable, checkpoint: str,
                   transform: Callable[[DataFrame], DataFrame] | None = None,
                   derived: tuple[KeyedTable, Callable[..., DataFrame]] | None = None) -> None:
@@ -130,8 +149,10 @@ def upsert_stream(stream: DataFrame, target: KeyedTable, checkpoint: str,
         if batch_id > 0:   # the batch before is committed: it is never run again
             forget(spark, f"{place}/batch={batch_id - 1}")
 
-    query = (target.newest(shaped).writeStream.outputMode("update").foreachBatch(merge)
-             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    writer = (target.newest(shaped).writeStream.outputMode("update").foreachBatch(merge)
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    with state_width(spark):                 # a query takes its settings when it starts
+        query = writer.start()
     run_to_completion(query)
 
 

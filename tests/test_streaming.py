@@ -130,6 +130,25 @@ def test_upsert_does_not_depend_on_the_order_of_arrival(spark, order):
     assert [r.payload for r in got] == [max(f"v{k}-3" for k in range(50) if k % 7 == j) for j in range(7)]
 
 
+def test_state_partitions_follow_the_cores_not_the_shuffle_width(spark):
+    import os
+
+    feed, target, chk = Feed(spark, ROWS), keyed(spark, ["key"], version="ver"), shared_path(spark, "test", "chk")
+    width, most = "spark.sql.shuffle.partitions", 2 * spark.sparkContext.defaultParallelism
+    before = spark.conf.get(width)
+    try:
+        spark.conf.set(width, str(most + 7))
+        for ver in (1, 2):
+            feed.put([(k, ver, f"v{ver}") for k in range(200)])
+            upsert_stream(feed.stream(), target, chk)
+            assert spark.conf.get(width) == str(most + 7)
+    finally:
+        spark.conf.set(width, before)
+    parts = [d for d in os.listdir(f"{chk.replace('file:', '')}/state/0") if d.isdigit()]
+    assert len(parts) == most
+    assert sorted((r.key, r.ver) for r in target.read(spark).collect()) == [(k, 2) for k in range(200)]
+
+
 def test_a_late_version_changes_nothing_and_touches_only_its_buckets(spark):
     import glob
     import os
