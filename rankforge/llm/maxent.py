@@ -163,6 +163,17 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy()[off[0]:off[-1]], off - off[0]
 
 
+def _pieces(batch: pa.RecordBatch, most: int = BATCH):
+    """Whole texts of a batch with ``most`` tokens at most, or one text: the arrays made from them
+    do not grow with the rows that Spark puts in a batch."""
+    size = batch.column("ids").offsets.to_numpy().astype(np.int64)
+    a = 0
+    while a < batch.num_rows:
+        z = max(a + 1, int(np.searchsorted(size, size[a] + most, side="right")) - 1)
+        yield batch.slice(a, z - a)
+        a = z
+
+
 def _contexts(ids: np.ndarray, rest: np.ndarray, none: int) -> np.ndarray:
     """What a word is as a context: its number, or its hash if it has none."""
     out = ids.astype(U)
@@ -183,8 +194,8 @@ def _over(encoded: DataFrame, fold, finish, schema: str) -> DataFrame:
     def run(batches):
         state = None
         for b in batches:
-            if b.num_rows:
-                state = fold(state, *_lists(b.column("ids")), _lists(b.column("rest"))[0])
+            for part in _pieces(b):
+                state = fold(state, *_lists(part.column("ids")), _lists(part.column("rest"))[0])
         if state is not None:
             yield from finish(state)
 
@@ -377,7 +388,9 @@ def gather(encoded: DataFrame, model: Model, expected: bool) -> tuple[list[np.nd
 
     def fold(state, ids, bounds, rest):
         m = shared.value
-        state = [np.zeros((n, height)) for n in sizes] + [np.zeros((1, _PIECE))] if state is None else state
+        if state is None:                  # one array: all tables and, in the last row, the likelihood
+            state = np.zeros((sum(sizes) * height // _PIECE + 1, _PIECE))
+        tables = np.split(state[:-1].reshape(-1), [sizes[0] * height])
         for _, _, rows, k, b in m.batches(ids, bounds, rest):
             for level, target in enumerate((k, b)):
                 at = rows[level]
@@ -389,19 +402,18 @@ def gather(encoded: DataFrame, model: Model, expected: bool) -> tuple[list[np.nd
                     continue
                 if expected:
                     p = m.softmax(level, at)
-                    state[2][0, 0] += np.log(np.maximum(p[np.arange(len(target)), target], 1e-30)).sum()
+                    state[-1, 0] += np.log(np.maximum(p[np.arange(len(target)), target], 1e-30)).sum()
                     for c in range(sizes[level]):
                         column = p[:, c].astype(np.float64)
                         for r in at[1:]:
-                            np.add.at(state[level][c], r, column)
+                            np.add.at(tables[level][c * height:(c + 1) * height], r, column)
                 else:
                     for r in at[1:]:
-                        np.add.at(state[level].reshape(-1), target.astype(np.int64) * height + r, 1.0)
+                        np.add.at(tables[level], target.astype(np.int64) * height + r, 1.0)
         return state
 
-    def finish(state):
+    def finish(flat):
         task = TaskContext.get().partitionId()
-        flat = np.concatenate([x.reshape(-1, _PIECE) for x in state])
         some = np.flatnonzero(flat.any(axis=1))
         for a in range(0, len(some), 256):
             at = some[a:a + 256]
@@ -494,9 +506,7 @@ def score(encoded: DataFrame, counts: DataFrame, lex: Lexicon, model: Model) ->
     def run(batches):
         m, base_ = shared.value
         none = len(base_) - 1
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (part for whole in batches for part in _pieces(whole)):
             ids, bounds = _lists(b.column("ids"))
             value = token_log10(m, ids, bounds, _lists(b.column("rest"))[0])
             value += np.where(ids == none, 0.0, m.share[ids])

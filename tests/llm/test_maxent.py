@@ -36,6 +36,20 @@ def same(got, want):
         assert tuple(g)[:5] == w[:5] and g.base_score == pytest.approx(w[5], rel=1e-12)
 
 
+def test_arrays_of_a_batch_follow_the_tokens_not_the_rows():
+    """Whole texts, all of them in order, at most ``most`` tokens together; a longer text alone."""
+    import pyarrow as pa
+
+    sizes = [3, 4, 1, 30, 1, 1, 5, 6, 2]
+    texts = [list(range(n)) for n in sizes]
+    batch = pa.RecordBatch.from_pydict({"ids": pa.array([[9]] + texts, pa.list_(pa.int32()))}).slice(1)
+    parts = [p.column("ids").to_pylist() for p in M._pieces(batch, 8)]
+    assert [t for p in parts for t in p] == texts
+    assert [[len(t) for t in p] for p in parts] == [[3, 4, 1], [30], [1, 1, 5], [6, 2]]
+    flat = [(M._lists(p.column("ids"))[0].tolist(), M._lists(p.column("ids"))[1].tolist()) for p in M._pieces(batch, 8)]
+    assert flat[2] == ([0, 0, 0, 1, 2, 3, 4], [0, 1, 2, 7])
+
+
 def test_base_is_exact_and_the_model_predicts_held_out_text_better(spark, sf_small):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").collect()]
     got = run(spark, rows)
