@@ -10,9 +10,13 @@ JSON text plus load metadata; silver parses it with the declared schema.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
+import re
 import shutil
 import uuid
+from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -36,6 +40,15 @@ FILE_FILTER = "*.json"
 # is cut into several batches, which gives the same tables).
 LAYOUTS = {"lines": 1_000, "document": 100_000}
 
+# What opening a local file counts for, in bytes read, and the most files of a list
+# that a task reads at once.
+FILE_COST = 16 * 1024
+FILES_LISTED = 100
+
+# Settings under which only Spark's reader does as they say.
+READER_SETTINGS = {"spark.sql.files.ignoreMissingFiles": "true", "spark.sql.files.ignoreCorruptFiles": "true",
+                   "spark.sql.json.enableExactStringParsing": "false"}
+
 
 def _check(layout: str) -> None:
     if layout not in LAYOUTS:
@@ -61,7 +74,14 @@ def read_landing(spark: SparkSession, landing_dir: str, dataset: str = "encounte
                  corrupt: bool = False, parsed: bool = False) -> DataFrame:
     """Batch scan of every landing file (A1). Declared schema, never inferred. With ``corrupt`` the
     text of what is no JSON comes in the column ``_corrupt_record`` (see ``plans.quarantine``).
-    With ``parsed`` the payload comes as a VARIANT, parsed here once for all later hops."""
+    With ``parsed`` the payload comes as a VARIANT, parsed here once for all later hops.
+
+    Payloads kept as text, one document per file, on a local (or mounted) file system: tasks read
+    lists of files, and the driver plans lists, not files (see :func:`_read_document_files`)."""
+    if layout == "document" and as_text and file_filter == FILE_FILTER and not (corrupt or parsed):
+        found = _read_document_files(spark, landing_dir, schemas.PAYLOADS[dataset][0])
+        if found is not None:
+            return found
     reader = spark.read.schema(_schema(dataset, as_text, corrupt, parsed))
     return _landing_options(reader, layout, file_filter).json(landing_dir.rstrip("/"))
 
@@ -185,6 +205,175 @@ def _write_document_files(docs: DataFrame, target: str) -> None:
         shutil.rmtree(staged, ignore_errors=True)
 
 
+def _document_lists(folder: str, most: int) -> Iterator[tuple[str, list[str], int]]:
+    """The landing files below a folder as lists (folder, names, cost in bytes) of up to
+    ``FILES_LISTED`` files and about ``most`` bytes, without those that Spark takes for hidden. A
+    checksum file raises ``LookupError``: Hadoop's file system compares it with its file."""
+    folders = [folder]
+    while folders:
+        at, names, cost = folders.pop(), [], 0
+        with os.scandir(at) as entries:
+            for entry in entries:
+                if entry.name.startswith(".") and entry.name.endswith(".json.crc"):
+                    raise LookupError(entry.path)
+                hidden = entry.name.startswith(".") or entry.name.startswith("_") and "=" not in entry.name
+                if entry.is_dir():
+                    if not entry.name.endswith("._COPYING_") and (
+                            not hidden or entry.name.startswith(("_metadata", "_common_metadata"))):
+                        folders.append(entry.path)
+                elif entry.name.endswith(FILE_FILTER[1:]) and not hidden:
+                    try:
+                        cost += entry.stat().st_size + FILE_COST
+                    except FileNotFoundError:        # gone since, as in Spark's listing
+                        continue
+                    names.append(entry.name)
+                    if len(names) == FILES_LISTED or cost >= most:
+                        yield at, names, cost
+                        names, cost = [], 0
+        if names:
+            yield at, names, cost
+
+
+def _document_reader(column: str):
+    """What a task does with lists of files: ``value`` is the top-level field ``column`` of each
+    document, an object as it stands in the file. What is no plain JSON or beyond the limits of
+    Spark's parser (Jackson's: 1,000 levels, numbers of 1,000 digits) goes out whole in ``odd``, for
+    that parser to tell (it writes the object anew). As with Spark's reader a blank file gives no row,
+    and one in no Unicode encoding a null, as an object in UTF-16 or UTF-32 does."""
+    blank, scanstring = json.decoder.WHITESPACE.match, json.decoder.scanstring
+    long_number, escaped = re.compile(r"\d{1001}").search, re.compile(r"[\x00-\x20\"#%<>?\[\\\]^`{|}\x7f-\xa0]")
+    schema = pa.schema([("value", pa.string()), ("odd", pa.string()), ("file_path", pa.string()), ("file_name", pa.string()),
+                        ("file_size", pa.int64()), ("modified", pa.int64())])
+
+    def check_depth(value):
+        level, depth = [value], 0
+        while level := [x for v in level if isinstance(v, dict | list) for x in (v.values() if isinstance(v, dict) else v)]:
+            depth += 1
+            if depth > 990:
+                raise ValueError("too deep")
+
+    def field(text, at, scan, exact):
+        """Of the object that begins at ``at``: the field, and where the object ends."""
+        found, more = None, text[at] == "{"
+        at = blank(text, at + 1).end()
+        if more and text[at] == "}":
+            return None, at + 1
+        while more:
+            if text[at] != '"':
+                raise ValueError("no field name")
+            name, at = scanstring(text, at + 1, True)
+            at = blank(text, at).end()
+            if text[at] != ":":
+                raise ValueError("no value")
+            begin = blank(text, at + 1).end()
+            value, at = scan(text, begin)
+            if text.count("[", begin, at) + text.count("{", begin, at) > 990:
+                check_depth(value)
+            if name == column:
+                found = value if value is None or isinstance(value, str) else text[begin:at] if exact else None
+            at = blank(text, at).end()
+            if text[at] == "}":
+                return found, at + 1
+            more, at = text[at] == ",", blank(text, at + 1).end()
+        raise ValueError("no object")
+
+    def fields(text, scan, exact):
+        if long_number(text):
+            raise ValueError("a long number")
+        at = blank(text, 0).end()
+        if text[at] != "[":
+            return [field(text, at, scan, exact)[0]]
+        found, at = [], blank(text, at + 1).end()
+        more = text[at] != "]"
+        while more:
+            value, at = field(text, at, scan, exact)
+            found.append(value)
+            at = blank(text, at).end()
+            more = text[at] == ","
+            if not more and text[at] != "]":
+                raise ValueError("no list")
+            at = blank(text, at + 1).end()
+        return found
+
+    def read(batches):
+        scan = json.JSONDecoder().scan_once
+        for batch in batches:
+            for folder, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows = []
+                for name in names:
+                    with open(f"{folder}/{name}", "rb") as source:
+                        data, changed = source.read(), os.fstat(source.fileno()).st_mtime_ns
+                    path = "file:" + escaped.sub(lambda found: quote(found[0]), f"{folder}/{name}")
+                    about = path, path.rpartition("/")[2], len(data), changed // 1_000_000
+                    try:
+                        text = data.decode(code := "utf-8" if len(data) == 3 else json.detect_encoding(data))
+                    except UnicodeDecodeError:
+                        rows.append((None, None, *about))
+                        continue
+                    if text.strip(" \t\r\n"):
+                        try:
+                            rows += [(None if v is None else v.encode("utf-8", "replace"), None, *about)
+                                     for v in fields(text, scan, code.startswith("utf-8"))]
+                        except (ValueError, IndexError, StopIteration, RecursionError):
+                            rows.append((None, text, *about))
+                columns = zip(*rows) if rows else [()] * len(schema)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k.type) for c, k in zip(columns, schema)], schema=schema)
+
+    return read
+
+
+def _read_document_files(spark: SparkSession, landing_dir: str, column: str) -> DataFrame | None:
+    """The rows of Spark's multi-line reader over the documents below a folder of the local file
+    system (else None). That reader keeps the status of every file on the driver and counts a file
+    as 4 MB, so that a task gets a few documents; here the driver keeps names, in lists, and a task
+    gets files for ``spark.sql.files.maxPartitionBytes``, an open file counted as ``FILE_COST``."""
+    from ..operators.nested import explode_records
+
+    folder = _local_folder(spark, landing_dir.rstrip("/"))
+    if folder is None or not os.path.isdir(folder) or set(folder) & set("{}[]*?\\"):
+        return None
+    if any(spark.conf.get(name).lower() == value for name, value in READER_SETTINGS.items()):
+        return None
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    kept, part, costs = [], [], 0
+    kind = pa.schema([("folder", pa.string()), ("names", pa.list_(pa.string()))])
+    try:
+        for at, names, cost in _document_lists(os.path.abspath(folder), max(size // 8, 1)):
+            part.append({"folder": at, "names": names})
+            costs += cost
+            if len(part) == 1_000:
+                kept.append(pa.RecordBatch.from_pylist(part, kind))
+                part = []
+    except LookupError:
+        return None
+    table = pa.Table.from_batches([*kept, pa.RecordBatch.from_pylist(part, kind)], kind)
+    tasks = min(max(spark.sparkContext.defaultParallelism, -(-costs // size)), max(table.num_rows, 1))
+    read = (spark.createDataFrame(table).repartition(tasks)
+            .mapInArrow(_document_reader(column), "value string, odd string, file_path string, file_name string, "
+                                                  "file_size bigint, modified bigint"))
+    name = "`" + column + "`"
+    whole = F.transform(F.from_json("odd", f"array<struct<{name} string>>"), lambda d: d[column])
+    found = F.when(F.col("odd").isNull(), F.array("value")).otherwise(whole)
+    about = F.struct("file_path", "file_name", "file_size", F.lit(0).cast("bigint").alias("file_block_start"),
+                     F.col("file_size").alias("file_block_length"),
+                     F.timestamp_millis("modified").alias("file_modification_time"))
+    rows = explode_records(read.select(F.coalesce(found, F.array(F.lit(None).cast("string"))).alias("_found"), about.alias("_about")),
+                           "_found", column, carry=["_about"])
+    return _hide_metadata(rows.select(column, F.col("_about").alias("_metadata", metadata={"__metadata_col": "_metadata"})))
+
+
+def _hide_metadata(rows: DataFrame) -> DataFrame:
+    """The frame without its last column, ``_metadata``, which can be named all the same, as the one
+    that Spark's file scans have: hidden output of the projection, as a natural join has it."""
+    shown = rows.select(*rows.columns[:-1])
+    plan = shown._jdf.queryExecution().analyzed()
+    known = plan.child().output()
+    hidden = rows.sparkSession.sparkContext._jvm.org.apache.spark.sql.catalyst.plans.logical.Project.hiddenOutputTag()
+    plan.setTagValue(hidden, known.drop(known.size() - 1))
+    return shown
+
+
 def raw_preview(docs: DataFrame, dataset: str = "guilds", n: int = 3) -> DataFrame:
     """Envelope of each document with only the first ``n`` records (A12), parsed with the
     declared schema, one row per document; other columns of ``docs`` are kept."""

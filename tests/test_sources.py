@@ -42,6 +42,59 @@ def test_a_failed_write_of_documents_leaves_none(spark):
     assert read_landing(spark, landing, layout="document").count() == 0
 
 
+def test_documents_are_read_in_lists_of_files(spark):
+    """Tasks follow the bytes and the cores, not the number of files; all are read, with the file
+    each came from, and the landing column is the only one shown."""
+    landing, when = shared_path(spark, "test", "landing"), dt.datetime(2024, 6, 1, 12, 30, 5)
+    docs = spark.range(1_500).repartition(3).select(F.struct("id").alias("worldData"))
+    write_landing(docs, landing, "pull", when, "document")
+    narrow = {"spark.sql.files.maxPartitionBytes": "16m", "spark.sql.files.openCostInBytes": "4m"}
+    before = {name: spark.conf.get(name) for name in narrow}
+    try:
+        for name, value in narrow.items():
+            spark.conf.set(name, value)
+        found = read_landing(spark, landing, layout="document")
+        assert found.columns == ["worldData"]
+        assert found.rdd.getNumPartitions() <= max(spark.sparkContext.defaultParallelism, 2)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    rows = found.select("worldData", "_metadata.file_path", "_metadata.file_size", stamp_from_file_name().alias("ldts")).collect()
+    assert sorted(int(r.worldData[6:-1]) for r in rows) == list(range(1_500)) and {r.ldts for r in rows} == {when}
+    assert len({r.file_path for r in rows}) == 1_500
+    assert all(os.path.getsize(r.file_path.removeprefix("file:")) == r.file_size for r in rows)
+
+
+def test_odd_documents_are_read_as_by_sparks_reader(spark):
+    """Text as it stands in the file; lists, blanks, broken files, encodings, hidden names."""
+    landing = shared_path(spark, "test", "odd").removeprefix("file:")
+    docs = {"plain": b'{"worldData": { "a" :  1.10 , "b":[1e3, 0.30000000000000004441,"\\u00e9"] }}\n',
+            "lines": b'{\n "x": 1,\n "worldData": {\n  "a": "l\xc3\xa9"\n }\n}\n', "empty": b"", "blank": b" \n\t ",
+            "list": b'[{"worldData": {"a": 1}}, {"worldData":2}, {}]', "no items": b" [ ] ", "null item": b"[null]",
+            "mixed": b'[{"worldData":1}, 5]', "lists": b'[[{"worldData":1}]]', "cut list": b'[{"worldData":1}, {"worldData":',
+            "text": b'{"worldData":"t\\u00e9xt \\n \\ud800 x"}', "number": b'{"worldData": 1.50 }', "null": b'{"worldData":null}',
+            "other": b'{"other":1}', "none": b"{}", "twice": b'{"worldData":1,"worldData":{"b": 2}}', "case": b'{"WORLDDATA":1}',
+            "cut": b'{"worldData":{"a":1', "open": b'{"worldData":{"a":1}', "no json": b"{this is not", "scalar": b"5",
+            "two": b'{"worldData":1}{"worldData":2}', "more": b'{"worldData":{"a":1}} more', "quotes": b"{'worldData': 'x'}",
+            "nan": b'{"worldData":{"a":NaN}}', "zero": b'{"worldData":01}', "tab": b'{"worldData":"a\tb"}',
+            "latin": b'{"worldData":{"a":"\xe9"}}', "mark": b'\xef\xbb\xbf{"worldData": {"a": 1}}', "only mark": b"\xef\xbb\xbf",
+            "utf16": '{"worldData":{"a":"\u00e9"}}'.encode("utf-16"), "utf32": '{"worldData":"\u00e9"}'.encode("utf-32"),
+            "comma": b'{"worldData":1,}', "deep": b'{"worldData":' + b"[" * 1500 + b"]" * 1500 + b"}",
+            "digits": b'{"worldData":' + b"1" * 1500 + b"}", "many": b'{"worldData":[' + b'{"a": [] }, ' * 2000 + b"{}]}",
+            "sp ace%\u00e9": b'{"worldData":7}', "_hidden": b'{"worldData":8}', ".hidden": b'{"worldData":9}', "_a=b": b'{"worldData":10}'}
+    for folder in ("p_20240601_123005", "_left", "_k=1/sub"):
+        os.makedirs(f"{landing}/{folder}")
+        for name, data in docs.items():
+            with open(f"{landing}/{folder}/{name}.json", "wb") as out:
+                out.write(data)
+    plain = spark.read.schema("worldData string").option("multiLine", True).option("recursiveFileLookup", True)
+    found, known = ([tuple(r) for r in frame.select("worldData", "_metadata", stamp_from_file_name()).collect()]
+                    for frame in (read_landing(spark, landing, layout="document"),
+                                  plain.option("pathGlobFilter", "*.json").json(landing)))
+    assert sorted(map(repr, found)) == sorted(map(repr, known))
+    assert len(found) > 60 and any(r[0] == '{ "a" :  1.10 , "b":[1e3, 0.30000000000000004441,"\\u00e9"] }' for r in found)
+
+
 def test_landing_roundtrip_one_document_per_file(spark):
     landing = shared_path(spark, "test", "landing")
     docs = spark.createDataFrame([(i, [i, i + 1]) for i in range(6)], "id int, arr array<int>")
